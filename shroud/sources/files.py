@@ -90,9 +90,9 @@ def ingest_url(pages: DataFrame, keys: DataFrame, created_at: Column | None = No
     base = pages.select(
         F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("file_id"),
         F.lit("pdf").alias("file_code"), F.lit("url").alias("source_kind"),
-        F.col("url").alias("uri"), F.parse_url(F.col("url"), F.lit("HOST")).alias("host"),
+        F.col("url").alias("uri"), F.try_parse_url(F.col("url"), F.lit("HOST")).alias("host"),
         F.regexp_extract(F.regexp_replace(F.col("url"), F.lit(r"[?#].*$"), F.lit("")),
-                         F.lit(r"[^/]+$"), 0).alias("name"),
+                         r"[^/]+$", 0).alias("name"),
         created.cast("timestamp").alias("created_at"), text.alias("content"),
         F.lit(key_id).alias("key_id"))
     base = base.withColumn("n_chars", F.length("content").cast("bigint"))
@@ -151,7 +151,7 @@ def download(files: DataFrame, requests: DataFrame, keys: DataFrame,
 
 def redacted_name(path: Column) -> Column:
     """basename, then ``_redacted`` before the last extension (kept)."""
-    base = F.regexp_extract(path, F.lit(r"[^/]+$"), 0)
+    base = F.regexp_extract(path, r"[^/]+$", 0)
     return F.regexp_replace(base, F.lit(r"^(.+?)(\.[^.]*)?$"), F.lit("$1_redacted$2"))
 
 
