@@ -35,7 +35,8 @@ def save_results_json(jobs_json: DataFrame, path: str) -> None:
     jobs_json.select(F.col("json").alias("value")).write.mode("overwrite").text(path)
 
 
-def load_redactions_json(spark: SparkSession, path: str) -> DataFrame:
-    """Saved JSON files, one whole file per row (``wholetext``), for R1."""
-    return (spark.read.option("wholetext", "true").text(path)
+def load_redactions_json(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
+    """Saved JSON files for R1.  ``wholetext`` reads one whole file per row
+    (a pretty-printed document spans lines); otherwise one JSON per line."""
+    return (spark.read.option("wholetext", str(wholetext).lower()).text(path)
             .select(F.input_file_name().alias("source_file"), F.col("value").alias("json")))
