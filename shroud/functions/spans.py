@@ -82,9 +82,14 @@ def find_all(text: Column, m: Column, regex: str, small_k: int = SMALL_K) -> Col
     ``m`` must be ``regex_matches(text, regex)`` already materialised in its own
     projection, so the regex runs once.  Null or matchless text gives ``[]``.
     """
-    return (F.when(text.isNull() | (F.size(m) == 0), empty(MATCH_DDL))
-            .when((F.size(m) <= small_k) | (F.instr(text, _MARK) > 0), _offsets_by_sum(text, m, regex))
-            .otherwise(_offsets_by_marker(text, m, regex)))
+    def body(t, mm):
+        return (F.when(t.isNull() | mm.isNull() | (F.size(mm) == 0), empty(MATCH_DDL))
+                .when((F.size(mm) <= small_k) | (F.instr(t, _MARK) > 0), _offsets_by_sum(t, mm, regex))
+                .otherwise(_offsets_by_marker(t, mm, regex)))
+
+    # both inputs are bound to lambda variables: evaluated once per row even
+    # where Catalyst folds the projection that produced them into this one
+    return let(text, lambda t: let(m, lambda mm: body(t, mm)))
 
 
 def to_findings(matches: Column, entity: str | Column, detector: str = "pattern",
@@ -164,6 +169,10 @@ def replacement(span, style: str | Column) -> Column:
 def redact_text(text: Column, spans: Column, style: str | Column = "label",
                 small: int = SMALL_SPANS) -> Column:
     """Replace every span of ``spans`` (sorted, disjoint) in ``text``."""
+    return let(text, lambda t: let(spans, lambda sp: _redact(t, sp, style, small)))
+
+
+def _redact(text: Column, spans: Column, style, small: int) -> Column:
     def prev_end(i):
         return F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])
 

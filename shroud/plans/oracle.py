@@ -98,3 +98,37 @@ def html_text(col: str = "html") -> str:
 
 
 PAGES_TEXT = f"(SELECT page_id, {html_text()} AS text FROM pages)"
+
+
+TOKEN = r"[\p{L}\p{M}\p{N}]+"
+
+
+def token_rows(src: str, key: str, text: str = "text") -> str:
+    """One row per token: key, i (1-based), t (lowered), start, end_ -- offsets
+    by a running window sum (linear), not by the Spark route."""
+    run = f"sum(length(p) + length(m)) OVER (PARTITION BY {key} ORDER BY i ROWS UNBOUNDED PRECEDING)"
+    return (f"SELECT {key}, i, lower(m) AS t, CAST({run} - length(m) AS INTEGER) AS start, "
+            f"CAST({run} AS INTEGER) AS end_ FROM (SELECT {key}, unnest(ms) AS m, unnest(ps[1:len(ms)]) AS p, "
+            f"unnest(range(1, len(ms) + 1)) AS i FROM (SELECT {key}, regexp_extract_all({text}, {q(TOKEN)}) AS ms, "
+            f"string_split_regex({text}, {q(TOKEN)}) AS ps FROM {src}) AS a) AS b")
+
+
+def dictionary(values_sql: str) -> str:
+    """(entity, phrase) rows -> entity, first, n, phrase (lowered tokens)."""
+    return (f"SELECT DISTINCT entity, toks[1] AS first, len(toks) AS n, array_to_string(toks, ' ') AS phrase "
+            f"FROM (SELECT entity, list_transform(regexp_extract_all(phrase, {q(TOKEN)}), lambda x: lower(x)) AS toks "
+            f"FROM ({values_sql}) AS v) AS w WHERE len(toks) > 0")
+
+
+def keyword_values(rows) -> str:
+    return " UNION ALL ".join(f"SELECT {q(e)} AS entity, {q(p)} AS phrase" for e, p in rows)
+
+
+def keyword_findings(src: str, key: str, dict_sql: str, text: str = "text") -> str:
+    """key, start, end_, entity, detector for every dictionary phrase occurrence."""
+    return (f"(WITH tk AS ({token_rows(src, key, text)}), d AS ({dict_sql}), "
+            f"l AS (SELECT {key}, list(t ORDER BY i) AS lt FROM tk GROUP BY {key}) "
+            f"SELECT s.{key} AS {key}, s.start AS start, e.end_ AS end_, d.entity AS entity, "
+            f"'keyword' AS detector, CAST(1.0 AS DOUBLE) AS score FROM tk AS s JOIN d ON s.t = d.first "
+            f"JOIN l ON l.{key} = s.{key} JOIN tk AS e ON e.{key} = s.{key} AND e.i = s.i + d.n - 1 "
+            f"WHERE array_to_string(l.lt[s.i:s.i + d.n - 1], ' ') = d.phrase)")

@@ -19,7 +19,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ("q_detect", "q_files", "q_jobs")
+MODULES = ("q_detect", "q_files", "q_jobs", "q_keywords")
 
 
 def load_all() -> None:
