@@ -199,3 +199,22 @@ def _redact(text: Column, spans: Column, style, small: int) -> Column:
 def shift(findings: Column, delta: Column) -> Column:
     return F.transform(findings, lambda x: x.withField("start", x["start"] + delta)
                        .withField("end", x["end"] + delta))
+
+
+def greedy_decode(findings: Column) -> Column:
+    """Highest score first (then start, end, entity); a span is kept unless
+    it overlaps one already kept.  Result sorted by start."""
+    key_ddl = ("struct<neg:double,start:int,end:int,entity:string,detector:string,score:double>")
+
+    def body(fs):
+        keyed = F.sort_array(F.transform(fs, lambda x: F.struct(
+            (-x["score"]).alias("neg"), x["start"].alias("start"), x["end"].alias("end"),
+            x["entity"].alias("entity"), x["detector"].alias("detector"), x["score"].alias("score"))))
+        kept = F.aggregate(keyed, empty(key_ddl), lambda acc, x: F.when(
+            F.exists(acc, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"])), acc)
+            .otherwise(F.concat(acc, F.array(x))))
+        return F.sort_array(F.transform(kept, lambda y: F.struct(
+            y["start"].alias("start"), y["end"].alias("end"), y["entity"].alias("entity"),
+            y["detector"].alias("detector"), y["score"].alias("score"))))
+
+    return let(F.coalesce(findings, empty(FINDING_DDL)), body)
