@@ -19,7 +19,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ("q_detect", "q_files", "q_jobs", "q_keywords", "q_review", "q_workflow")
+MODULES = ("q_detect", "q_files", "q_jobs", "q_keywords", "q_review", "q_workflow", "q_streams")
 
 
 def load_all() -> None:
