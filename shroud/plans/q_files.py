@@ -15,7 +15,7 @@ DELAY_RULE = "n_chars % 2880"           # derived requests: minutes after ingest
 
 
 def _local_files(spark, sf_dir, keys=None):
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars"), "doc_id")
     keys = keys if keys is not None else PR.load_or_create_keys(spark)
     return FS.ingest_local(docs, keys, F.lit(INGESTED_AT).cast("timestamp"))
 
@@ -93,7 +93,6 @@ def _download(spark, sf_dir):
     keys = PR.load_or_create_keys(spark)
     files = FS.delete_files(_local_files(spark, sf_dir, keys), _tombstones(spark, sf_dir))
     # requests for every document (deleted ones included), derived from the data
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("n_chars"))
     fresh = _local_files(spark, sf_dir, keys).select("file_id", "dek_token", "n_chars")
     req = fresh.select(
         "file_id",
@@ -101,7 +100,6 @@ def _download(spark, sf_dir):
         .otherwise(F.col("dek_token")).alias("dek_token"),
         (F.lit(INGESTED_AT).cast("timestamp")
          + F.make_dt_interval(F.lit(0), F.lit(0), F.expr(DELAY_RULE).cast("int"))).alias("requested_at"))
-    del docs
     return FS.download(files, req, keys, ttl_minutes=1440)
 
 

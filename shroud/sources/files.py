@@ -76,7 +76,9 @@ def ingest_local(documents: DataFrame, keys: DataFrame, created_at: Column | Non
         F.col("doc_id").cast("string").alias("file_id"), F.lit("pdf").alias("file_code"),
         F.lit("local").alias("source_kind"),
         F.concat(F.lit("local://"), F.col("source"), F.lit("/"), name).alias("uri"),
-        name.alias("name"), F.length("text").cast("bigint").alias("n_chars"),
+        name.alias("name"),
+        # the stored length when the table has one: listing then never reads the text
+        (F.col("n_chars") if "n_chars" in documents.columns else F.length("text")).cast("bigint").alias("n_chars"),
         created.cast("timestamp").alias("created_at"), F.col("text").alias("content"),
         F.lit(key_id).alias("key_id"))
     return _tokenise(base, keys)
