@@ -62,9 +62,13 @@ def merge(df: DataFrame, col: str = "findings", out: str | None = None) -> DataF
 
 
 def explode_findings(df: DataFrame, keys, col: str = "findings", with_score: bool = False) -> DataFrame:
-    """Table plane: one row per finding, ``end`` renamed ``end_`` (a keyword elsewhere)."""
+    """Table plane: one row per finding, ``end`` renamed ``end_`` (a keyword elsewhere).
+
+    ``inline_outer`` plus a filter on its output: a plain ``inline`` makes
+    Catalyst infer ``size(findings) > 0`` and push it (with the whole detection
+    expression) below any repartition, into the scan task."""
     cols = [F.col(k) for k in keys]
-    out = df.select(*cols, F.inline(F.col(col)))
+    out = df.select(*cols, F.inline_outer(F.col(col))).where(F.col("start").isNotNull())
     sel = [*keys, "start", F.col("end").alias("end_"), "entity", "detector"]
     if with_score:
         sel.append("score")

@@ -151,11 +151,13 @@ def keyword_table(df: DataFrame, key_cols, text_col: str, dictionary: DataFrame,
     t = with_tokens(df.select(*keys, text_col), text_col)
     ok = F.array_join(F.slice(F.col("__tl"), F.col("pos") + 1, F.col("n")), " ") == F.col("phrase")
     if n_dict <= MAX_BROADCAST:
-        cand = t.select(*keys, "__ts", "__tl", F.posexplode("__tl").alias("pos", "tok"))
+        # outer + filter: no inferred size() filter pushed into the scan (see explode_findings)
+        cand = t.select(*keys, "__ts", "__tl", F.posexplode_outer("__tl").alias("pos", "tok")) \
+            .where(F.col("tok").isNotNull())
         d = F.broadcast(norm)
         hit = cand.join(d, cand["tok"] == d["first"], "inner").where(ok)
     else:
-        bare = t.select(*keys, F.posexplode("__tl").alias("pos", "tok"))
+        bare = t.select(*keys, F.posexplode_outer("__tl").alias("pos", "tok")).where(F.col("tok").isNotNull())
         cand = bare.join(norm, bare["tok"] == norm["first"], "inner").select(*keys, "pos", "n", "phrase", "entity")
         hit = cand.join(t.select(*keys, "__ts", "__tl"), keys, "inner").where(ok)
     return hit.select(*keys, F.get(F.col("__ts"), F.col("pos"))["start"].alias("start"),

@@ -17,32 +17,47 @@ from shroud.session import exists, scratch_path
 from shroud.sources.files import derive_dek, unwrap_token
 
 MAX_KEYS = 1024  # key versions; the key table is broadcast only below this
-KEYS_SCHEMA = "key_id string, master binary"
+N_DEMO_KEYS = 4
+KEYS_SCHEMA = "key_id string, slot int, master binary"
 
 
 def checked_keys(keys: DataFrame) -> DataFrame:
     """The key table with its size bound proven before it is broadcast."""
+    key_count(keys)
+    return keys.select("key_id", "slot", "master")
+
+
+def key_count(keys: DataFrame) -> int:
     n = keys.limit(MAX_KEYS + 1).count()
     if n > MAX_KEYS:
         raise ValueError(f"key table has more than {MAX_KEYS} rows; refusing to broadcast it")
-    return keys.select("key_id", "master")
+    if n == 0:
+        raise ValueError("key table is empty")
+    return n
 
 
-def load_or_create_keys(spark: SparkSession, path: str | None = None, key_id: str = "k1") -> DataFrame:
-    """Master keys are inputs.  For tests and demos a random 32-byte key is
-    written once (so every later read, and every recomputed task, sees the
-    same key) below the shared checkpoint folder."""
+def load_or_create_keys(spark: SparkSession, path: str | None = None, n: int = N_DEMO_KEYS) -> DataFrame:
+    """Master keys are inputs: one row per key version, ``slot`` 0..n-1.  For
+    tests and demos random 32-byte keys are written once (so every later read,
+    and every recomputed task, sees the same keys) below the shared
+    checkpoint folder."""
     path = path or scratch_path(spark, "shroud-keys")
     if not exists(spark, path):
-        spark.createDataFrame([(key_id, bytearray(os.urandom(32)))], KEYS_SCHEMA) \
-            .write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+        rows = [(f"k{i + 1}", i, bytearray(os.urandom(32))) for i in range(n)]
+        spark.createDataFrame(rows, KEYS_SCHEMA).write.mode("errorifexists").parquet(path)
+    keys = spark.read.parquet(path)
+    if "slot" not in keys.columns:
+        # a key table written before slots existed: number its keys in key order
+        # (at most MAX_KEYS rows, so one small window is fine)
+        from pyspark.sql import Window
+        keys = keys.withColumn("slot", (F.row_number().over(Window.orderBy("key_id")) - 1).cast("int"))
+    return keys
 
 
 def protect(files: DataFrame, keys: DataFrame) -> DataFrame:
     """``content`` -> ``content_enc`` with the file's data key (random IV)."""
     cols = [c for c in files.columns if c != "content"]
-    j = files.join(F.broadcast(checked_keys(keys)), "key_id", "inner")
+    j = files.join(F.broadcast(checked_keys(keys).drop("slot")), "key_id", "inner")
     dek = derive_dek(F.col("master"), F.col("file_id"))
     enc = F.aes_encrypt(F.col("content"), dek, F.lit("GCM"), F.lit("DEFAULT"), F.lit(""),
                         F.col("file_id").cast("binary"))
@@ -57,7 +72,7 @@ def unprotect(protected: DataFrame, requests: DataFrame, keys: DataFrame) -> Dat
     """
     p = protected.select("file_id", "key_id", "content_enc")
     r = requests.select("file_id", F.col("dek_token").alias("req_token"))
-    j = r.join(p, "file_id", "left").join(F.broadcast(checked_keys(keys)), "key_id", "left")
+    j = r.join(p, "file_id", "left").join(F.broadcast(checked_keys(keys).drop("slot")), "key_id", "left")
     dek = unwrap_token(F.col("master"), F.col("file_id"), F.col("req_token"))
     text = F.try_aes_decrypt(F.col("content_enc"), dek, F.lit("GCM"), F.lit("DEFAULT"),
                              F.col("file_id").cast("binary")).cast("string")

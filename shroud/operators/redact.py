@@ -42,7 +42,7 @@ def residual_check(redacted: DataFrame, text_cols=("redacted_text",), patterns=P
     for i, c in enumerate(cols):
         found = detect_patterns(found, c, pats, out=f"__r{i}")
         outs.append(F.col(f"__r{i}"))
-    ent = F.explode(F.concat(*outs) if len(outs) > 1 else outs[0]).alias("f")
+    ent = F.explode_outer(F.concat(*outs) if len(outs) > 1 else outs[0]).alias("f")  # no inferred filter
     counts = found.select(ent).agg(*[
         F.count_if(F.col("f.entity") == p.entity).alias(p.entity) for p in pats])
     stack = ", ".join(f"'{p.entity}', `{p.entity}`" for p in pats)

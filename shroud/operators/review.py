@@ -93,8 +93,10 @@ def review_queue(docs: DataFrame, k: int, findings_col: str = "findings", text_c
         F.col(text_col).substr(F.greatest(s - context, F.lit(0)) + 1, s - F.greatest(s - context, F.lit(0))),
         F.concat(F.lit("["), F.upper(f["entity"]), F.lit("]")),
         F.col(text_col).substr(e + 1, F.lit(context)))
-    cand = docs.where(F.size(findings_col) > 0).select(
-        group, key, F.size(findings_col).alias("n"), snippet.alias("snippet"))
+    cand = docs.select(group, key, F.size(findings_col).alias("n"), snippet.alias("snippet"))
     w = Window.partitionBy(group).orderBy(F.col("n").desc(), F.col(key))
+    # documents without findings rank last, so dropping them after ranking
+    # changes no rank, and no filter on the detection output is pushed into
+    # the scan (where it would run the detection before the work is spread)
     return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select(group, "rank", key, "n", "snippet"))
+            .where(F.col("n") > 0).select(group, "rank", key, "n", "snippet"))

@@ -26,7 +26,8 @@ def get_session(app: str = "shroud", master: str | None = None,
         builder = builder.master(master)
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor
-            builder = builder.config("spark.ui.enabled", "false").config("spark.driver.memory", "16g")
+            builder = (builder.config("spark.ui.enabled", "false").config("spark.driver.memory", "16g")
+                       .config("spark.ui.showConsoleProgress", "false"))
     for k, v in _REQUIRED_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

@@ -61,14 +61,23 @@ def unwrap_token(master: Column, file_id: Column, token: Column) -> Column:
 
 
 def with_master(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """Attach ``master`` by ``key_id``.  The key table holds one row per key
-    version (a handful), checked before it is broadcast."""
+    """Attach ``master`` by the file's ``key_id`` (a data column).  The key
+    table holds one row per key version (a handful), checked before it is
+    broadcast."""
     from shroud.operators.protect import checked_keys
-    return df.join(F.broadcast(checked_keys(keys)), "key_id", "inner")
+    return df.join(F.broadcast(checked_keys(keys).drop("slot")), "key_id", "inner")
 
 
-def ingest_local(documents: DataFrame, keys: DataFrame, created_at: Column | None = None,
-                 key_id: str = "k1") -> DataFrame:
+def assign_keys(base: DataFrame, keys: DataFrame) -> DataFrame:
+    """New files are spread over the key versions by a hash of the file id
+    (an equi-join on the slot), and keep their ``key_id`` for later unwrapping."""
+    from shroud.operators.protect import checked_keys, key_count
+    n = key_count(keys)
+    slotted = base.withColumn("slot", F.pmod(F.xxhash64("file_id"), F.lit(n)).cast("int"))
+    return slotted.join(F.broadcast(checked_keys(keys)), "slot", "inner").drop("slot")
+
+
+def ingest_local(documents: DataFrame, keys: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Bring documents in as files, each with an id and a token."""
     created = created_at if created_at is not None else F.current_timestamp()
     name = F.concat(F.col("source"), F.lit("-"), F.col("doc_id").cast("string"), F.lit(".txt"))
@@ -79,13 +88,11 @@ def ingest_local(documents: DataFrame, keys: DataFrame, created_at: Column | Non
         name.alias("name"),
         # the stored length when the table has one: listing then never reads the text
         (F.col("n_chars") if "n_chars" in documents.columns else F.length("text")).cast("bigint").alias("n_chars"),
-        created.cast("timestamp").alias("created_at"), F.col("text").alias("content"),
-        F.lit(key_id).alias("key_id"))
+        created.cast("timestamp").alias("created_at"), F.col("text").alias("content"))
     return _tokenise(base, keys)
 
 
-def ingest_url(pages: DataFrame, keys: DataFrame, created_at: Column | None = None,
-               key_id: str = "k1") -> DataFrame:
+def ingest_url(pages: DataFrame, keys: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Pages addressed by URL (already fetched); content is the visible text."""
     created = created_at if created_at is not None else F.current_timestamp()
     text = html_to_text(F.col("html"))
@@ -95,16 +102,14 @@ def ingest_url(pages: DataFrame, keys: DataFrame, created_at: Column | None = No
         F.col("url").alias("uri"), F.try_parse_url(F.col("url"), F.lit("HOST")).alias("host"),
         F.regexp_extract(F.regexp_replace(F.col("url"), F.lit(r"[?#].*$"), F.lit("")),
                          r"[^/]+$", 0).alias("name"),
-        created.cast("timestamp").alias("created_at"), text.alias("content"),
-        F.lit(key_id).alias("key_id"))
+        created.cast("timestamp").alias("created_at"), text.alias("content"))
     base = base.withColumn("n_chars", F.length("content").cast("bigint"))
     return _tokenise(base, keys)
 
 
 def _tokenise(base: DataFrame, keys: DataFrame) -> DataFrame:
-    cols = [c for c in base.columns]
-    joined = with_master(base, keys)
-    return joined.select(*cols, wrap_token(F.col("master"), F.col("file_id")).alias("dek_token"))
+    joined = assign_keys(base, keys)
+    return joined.select(*base.columns, "key_id", wrap_token(F.col("master"), F.col("file_id")).alias("dek_token"))
 
 
 def list_files(files: DataFrame) -> DataFrame:
