@@ -1,20 +1,31 @@
 """Span arithmetic on the array plane: find-all with offsets, merge, redact.
 
-All functions return Columns built from Spark SQL built-ins (regex, array and
-higher-order functions).  Nothing here shuffles or calls Python per row.
+Every builder returns Spark SQL expression *text* made of built-ins (regex,
+array and higher-order functions); ``col`` turns it into one Column with a
+single ``F.expr`` call, so building a plan costs one parse in the JVM instead
+of thousands of Python-to-JVM calls.  Nothing here shuffles or calls Python
+per row.
 
 Offsets are 0-based, end exclusive, counted in Unicode code points, which is
 what Spark's ``length``/``substring`` (and Python, and DuckDB) count.
+
+Inputs are SQL snippets: a column reference (``ref("text")``) or any
+expression.  Inputs used more than once are bound to a lambda variable
+(``let``), so they are evaluated once per row even where Catalyst folds the
+projection that produced them into this one.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MATCH_DDL = "struct<start:int,end:int,match:string>"
 FINDING_DDL = "struct<start:int,end:int,entity:string,detector:string,score:double>"
 FINDINGS_DDL = f"array<{FINDING_DDL}>"
+DECISION_DDL = "struct<start:int,end:int,action:string,entity:string>"
 
 # Up to this many matches per text, offsets come from running sums over the
 # split pieces (cheap, but quadratic in the match count of one text).  Above
@@ -23,52 +34,64 @@ SMALL_K = 64
 # Up to this many spans, redaction cuts gaps with ``substring`` (each call scans
 # from the start of the text); above it a code-point array gives O(1) cuts.
 SMALL_SPANS = 256
-_MARK = "\u0000"
+_MARK = "'\\u0000'"
+_MARK_REPLACEMENT = "'\\u0000$0'"
 
 # ---- fixed values: detector priority for the label of a merged span ----
 DETECTOR_RANK = {"review": 0, "pattern": 1, "keyword": 2, "ner": 3}
 # ---- end of fixed values ----
 
+_ids = itertools.count()
+
+
+def _v(prefix: str = "v") -> str:
+    return f"__{prefix}{next(_ids)}"
+
+
+def ref(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-def let(value: Column, fn) -> Column:
-    """Evaluate ``value`` once and pass it to ``fn`` (a lambda variable)."""
-    return F.get(F.transform(F.array(value), fn), 0)
 
+def lit(s: str) -> str:
+    """A Spark SQL string literal (backslashes and quotes escaped)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def empty(ddl: str) -> Column:
-    return F.array().cast(f"array<{ddl}>")
 
+def col(sql: str) -> Column:
+    return F.expr(sql)
 
-def _offsets_by_sum(text: Column, m: Column, regex: str) -> Column:
-    pieces = F.split(text, regex, -1)
-    zipped = F.zip_with(m, F.slice(pieces, 1, F.size(m)),
-                        lambda a, b: F.struct(a.alias("mm"), F.length(b).alias("lp")))
-    init = F.struct(F.lit(0).alias("pos"), empty(MATCH_DDL).alias("out"))
 
-    def step(acc, x):
-        s = acc["pos"] + x["lp"]
-        e = s + F.length(x["mm"])
-        item = F.struct(s.alias("start"), e.alias("end"), x["mm"].alias("match"))
-        return F.struct(e.alias("pos"), F.concat(acc["out"], F.array(item)).alias("out"))
+def let(value: str, body) -> str:
+    """Evaluate ``value`` once and pass its lambda variable to ``body``."""
+    v = _v()
+    return f"get(transform(array({value}), {v} -> {body(v)}), 0)"
 
-    return F.aggregate(zipped, init, step, lambda acc: acc["out"])
 
+def empty(ddl: str) -> str:
+    return f"CAST(array() AS array<{ddl}>)"
 
-def _offsets_by_marker(text: Column, m: Column, regex: str) -> Column:
-    # every match gets a NUL in front; match k (0-based) then sits at
-    # marker position p_k (1-based, in the marked text) minus k + 1 markers.
-    marked = F.regexp_replace(text, F.lit(regex), F.lit(_MARK + "$0"))
 
-    def with_chars(chars):
-        positions = F.filter(F.sequence(F.lit(1), F.size(chars)),
-                             lambda i: F.get(chars, i - 1) == F.lit(_MARK))
-        return let(positions, lambda pos: F.transform(
-            m, lambda mm, k: F.struct(
-                (F.get(pos, k) - k - 1).alias("start"),
-                (F.get(pos, k) - k - 1 + F.length(mm)).alias("end"),
-                mm.alias("match"))))
+# ---- D1: find-all with offsets ----
+def _offsets_by_sum(t: str, m: str, regex: str) -> str:
+    a, b, acc, x, out = _v("a"), _v("b"), _v("acc"), _v("x"), _v("o")
+    s = f"{acc}.pos + {x}.lp"
+    e = f"{acc}.pos + {x}.lp + length({x}.mm)"
+    return (f"aggregate(zip_with({m}, slice(split({t}, {lit(regex)}, -1), 1, size({m})), "
+            f"({a}, {b}) -> named_struct('mm', {a}, 'lp', length({b}))), "
+            f"named_struct('pos', 0, 'out', {empty(MATCH_DDL)}), "
+            f"({acc}, {x}) -> named_struct('pos', {e}, 'out', concat({acc}.out, "
+            f"array(named_struct('start', {s}, 'end', {e}, 'match', {x}.mm)))), {out} -> {out}.out)")
 
-    return let(F.split(marked, ""), with_chars)
+
+def _offsets_by_marker(t: str, m: str, regex: str) -> str:
+    # every match gets a NUL in front; match k (0-based) then sits at marker
+    # position p_k (1-based, in the marked text) minus the k + 1 markers
+    i, mm, k = _v("i"), _v("mm"), _v("k")
+    marked = f"split(regexp_replace({t}, {lit(regex)}, {_MARK_REPLACEMENT}), '')"
+    return let(marked, lambda c: let(
+        f"filter(sequence(1, size({c})), {i} -> get({c}, {i} - 1) = {_MARK})",
+        lambda p: (f"transform({m}, ({mm}, {k}) -> named_struct('start', get({p}, {k}) - {k} - 1, "
+                   f"'end', get({p}, {k}) - {k} - 1 + length({mm}), 'match', {mm}))")))
 
 
 def regex_matches(text: Column, regex: str) -> Column:
@@ -76,145 +99,142 @@ def regex_matches(text: Column, regex: str) -> Column:
     return F.regexp_extract_all(text, F.lit(regex), F.lit(0))
 
 
-def find_all(text: Column, m: Column, regex: str, small_k: int = SMALL_K) -> Column:
+def find_all(text: str, m: str, regex: str, small_k: int = SMALL_K) -> str:
     """``array<struct<start,end,match>>`` for the matches ``m`` of ``regex`` in ``text``.
 
-    ``m`` must be ``regex_matches(text, regex)`` already materialised in its own
-    projection, so the regex runs once.  Null or matchless text gives ``[]``.
+    ``m`` is ``regex_matches(text, regex)`` materialised in its own projection
+    (the regex runs once).  Null or matchless text gives ``[]``.
     """
-    def body(t, mm):
-        return (F.when(t.isNull() | mm.isNull() | (F.size(mm) == 0), empty(MATCH_DDL))
-                .when((F.size(mm) <= small_k) | (F.instr(t, _MARK) > 0), _offsets_by_sum(t, mm, regex))
-                .otherwise(_offsets_by_marker(t, mm, regex)))
-
-    # both inputs are bound to lambda variables: evaluated once per row even
-    # where Catalyst folds the projection that produced them into this one
-    return let(text, lambda t: let(m, lambda mm: body(t, mm)))
+    def body(v):
+        t, mm = f"{v}.t", f"{v}.m"
+        return (f"CASE WHEN {t} IS NULL OR {mm} IS NULL OR size({mm}) = 0 THEN {empty(MATCH_DDL)} "
+                f"WHEN size({mm}) <= {small_k} OR instr({t}, {_MARK}) > 0 THEN {_offsets_by_sum(t, mm, regex)} "
+                f"ELSE {_offsets_by_marker(t, mm, regex)} END")
+    return let(f"named_struct('t', {text}, 'm', {m})", body)
 
 
-def to_findings(matches: Column, entity: str | Column, detector: str = "pattern",
-                score: float | Column = 1.0) -> Column:
-    ent = entity if isinstance(entity, Column) else F.lit(entity)
-    sc = score if isinstance(score, Column) else F.lit(float(score))
-    return F.transform(matches, lambda x: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), ent.alias("entity"),
-        F.lit(detector).alias("detector"), sc.cast("double").alias("score")))
+def to_findings(matches: str, entity: str, detector: str = "pattern", score: float = 1.0) -> str:
+    x = _v("x")
+    return (f"transform({matches}, {x} -> named_struct('start', {x}.start, 'end', {x}.end, "
+            f"'entity', {lit(entity)}, 'detector', {lit(detector)}, 'score', CAST({float(score)!r} AS DOUBLE)))")
 
 
-def detector_rank(detector: Column) -> Column:
-    expr = F.lit(len(DETECTOR_RANK))
-    for name, rank in sorted(DETECTOR_RANK.items(), key=lambda kv: -kv[1]):
-        expr = F.when(detector == name, F.lit(rank)).otherwise(expr)
-    return expr
+# ---- D7: merge ----
+def detector_rank(detector: str) -> str:
+    whens = " ".join(f"WHEN {lit(k)} THEN {v}" for k, v in DETECTOR_RANK.items())
+    return f"CASE {detector} {whens} ELSE {len(DETECTOR_RANK)} END"
 
 
-def has_overlap(sorted_spans: Column) -> Column:
+def has_overlap(s: str) -> str:
     """Spans sorted by start overlap iff some span starts before its predecessor ends."""
-    return F.when(F.size(sorted_spans) <= 1, F.lit(False)).otherwise(
-        F.exists(F.sequence(F.lit(1), F.size(sorted_spans) - 1),
-                 lambda i: F.get(sorted_spans, i)["start"] < F.get(sorted_spans, i - 1)["end"]))
-
-
-def _merge_slow(s: Column) -> Column:
-    acc_ddl = ("struct<start:int,end:int,entity:string,detector:string,score:double,"
-               "brank:int,blen:int,bstart:int>")
-
-    def step(acc, x):
-        n = F.size(acc)
-        last = F.get(acc, n - 1)
-        xr = detector_rank(x["detector"])
-        xl = x["end"] - x["start"]
-        overlaps = (n > 0) & (x["start"] < last["end"])
-        better = ((xr < last["brank"])
-                  | ((xr == last["brank"]) & ((xl > last["blen"])
-                     | ((xl == last["blen"]) & ((x["start"] < last["bstart"])
-                        | ((x["start"] == last["bstart"]) & (x["entity"] < last["entity"])))))))
-        merged = F.struct(
-            last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"),
-            F.when(better, x["entity"]).otherwise(last["entity"]).alias("entity"),
-            F.when(better, x["detector"]).otherwise(last["detector"]).alias("detector"),
-            F.greatest(last["score"], x["score"]).alias("score"),
-            F.when(better, xr).otherwise(last["brank"]).alias("brank"),
-            F.when(better, xl).otherwise(last["blen"]).alias("blen"),
-            F.when(better, x["start"]).otherwise(last["bstart"]).alias("bstart"))
-        fresh = F.struct(x["start"].alias("start"), x["end"].alias("end"), x["entity"].alias("entity"),
-                         x["detector"].alias("detector"), x["score"].alias("score"),
-                         xr.alias("brank"), xl.alias("blen"), x["start"].alias("bstart"))
-        return F.when(overlaps, F.concat(F.slice(acc, 1, n - 1), F.array(merged))) \
-                .otherwise(F.concat(acc, F.array(fresh)))
-
-    return F.aggregate(s, empty(acc_ddl), step, lambda acc: F.transform(acc, lambda y: F.struct(
-        y["start"].alias("start"), y["end"].alias("end"), y["entity"].alias("entity"),
-        y["detector"].alias("detector"), y["score"].alias("score"))))
-
-
-def merge_spans(findings: Column) -> Column:
-    """One span per connected overlap (touching spans stay apart).
+    i = _v("i")
+    return (f"CASE WHEN size({s}) <= 1 THEN false ELSE exists(sequence(1, size({s}) - 1), "
+            f"{i} -> get({s}, {i}).start < get({s}, {i} - 1).end) END")
 
-    The label comes from the member with the best (detector rank, longest span,
-    earliest start, smallest entity name); the score is the island's maximum.
-    Sorted by start.  Linear when nothing overlaps (the common case).
-    """
-    return let(F.sort_array(F.coalesce(findings, empty(FINDING_DDL))),
-               lambda s: F.when(has_overlap(s), _merge_slow(s)).otherwise(s))
 
+_ACC_DDL = "struct<start:int,end:int,entity:string,detector:string,score:double,brank:int,blen:int,bstart:int>"
 
-def replacement(span, style: str | Column) -> Column:
-    st = style if isinstance(style, Column) else F.lit(style)
-    return (F.when(st == "label", F.concat(F.lit("["), F.upper(span["entity"]), F.lit("]")))
-            .when(st == "mask", F.repeat(F.lit("*"), span["end"] - span["start"]))
-            .otherwise(F.lit("")))
 
+def _merge_slow(s: str) -> str:
+    acc, x, out, y = _v("acc"), _v("x"), _v("o"), _v("y")
+    xr, xl = detector_rank(f"{x}.detector"), f"({x}.end - {x}.start)"
 
-def redact_text(text: Column, spans: Column, style: str | Column = "label",
-                small: int = SMALL_SPANS) -> Column:
-    """Replace every span of ``spans`` (sorted, disjoint) in ``text``."""
-    return let(text, lambda t: let(spans, lambda sp: _redact(t, sp, style, small)))
+    def with_last(last):
+        better = (f"({xr} < {last}.brank OR ({xr} = {last}.brank AND ({xl} > {last}.blen OR ({xl} = {last}.blen "
+                  f"AND ({x}.start < {last}.bstart OR ({x}.start = {last}.bstart AND {x}.entity < {last}.entity))))))")
 
+        def pick(a, b):
+            return f"CASE WHEN {better} THEN {a} ELSE {b} END"
 
-def _redact(text: Column, spans: Column, style, small: int) -> Column:
-    def prev_end(i):
-        return F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])
+        merged = (f"named_struct('start', {last}.start, 'end', greatest({last}.end, {x}.end), "
+                  f"'entity', {pick(f'{x}.entity', f'{last}.entity')}, "
+                  f"'detector', {pick(f'{x}.detector', f'{last}.detector')}, "
+                  f"'score', greatest({last}.score, {x}.score), 'brank', {pick(xr, f'{last}.brank')}, "
+                  f"'blen', {pick(xl, f'{last}.blen')}, 'bstart', {pick(f'{x}.start', f'{last}.bstart')})")
+        fresh = (f"named_struct('start', {x}.start, 'end', {x}.end, 'entity', {x}.entity, "
+                 f"'detector', {x}.detector, 'score', {x}.score, 'brank', {xr}, 'blen', {xl}, 'bstart', {x}.start)")
+        return (f"CASE WHEN size({acc}) > 0 AND {x}.start < {last}.end "
+                f"THEN concat(slice({acc}, 1, size({acc}) - 1), array({merged})) "
+                f"ELSE concat({acc}, array({fresh})) END")
 
-    last_end = F.coalesce(F.get(spans, F.size(spans) - 1)["end"], F.lit(0))
+    step = let(f"get({acc}, size({acc}) - 1)", with_last)
+    finish = (f"transform({out}, {y} -> named_struct('start', {y}.start, 'end', {y}.end, 'entity', {y}.entity, "
+              f"'detector', {y}.detector, 'score', {y}.score))")
+    return f"aggregate({s}, {empty(_ACC_DDL)}, ({acc}, {x}) -> {step}, {out} -> {finish})"
 
-    by_substring = F.concat(
-        F.array_join(F.transform(spans, lambda x, i: F.concat(
-            text.substr(prev_end(i) + 1, x["start"] - prev_end(i)), replacement(x, style))), ""),
-        text.substr(last_end + 1, F.lit(2147483647)))
 
-    def by_chars(chars):
-        return F.concat(
-            F.array_join(F.transform(spans, lambda x, i: F.concat(
-                F.array_join(F.slice(chars, prev_end(i) + 1, x["start"] - prev_end(i)), ""),
-                replacement(x, style))), ""),
-            F.array_join(F.slice(chars, last_end + 1, F.greatest(F.size(chars) - last_end, F.lit(0))), ""))
+def merge_spans(findings: str) -> str:
+    """One span per connected overlap (touching spans stay apart).
+
+    The label comes from the member with the best (detector rank, longest span,
+    earliest start, smallest entity name); the score is the island's maximum.
+    Sorted by start.  Linear when nothing overlaps (the common case).
+    """
+    return let(f"sort_array(coalesce({findings}, {empty(FINDING_DDL)}))",
+               lambda s: f"CASE WHEN {has_overlap(s)} THEN {_merge_slow(s)} ELSE {s} END")
 
-    return (F.when(text.isNull(), F.lit(None).cast("string"))
-            .when(F.coalesce(F.size(spans), F.lit(0)) == 0, text)
-            .when(F.size(spans) <= small, by_substring)
-            .otherwise(let(F.split(text, ""), by_chars)))
 
+# ---- R4: redact ----
+def replacement(span: str, style: str) -> str:
+    return (f"CASE {style} WHEN 'label' THEN concat('[', upper({span}.entity), ']') "
+            f"WHEN 'mask' THEN repeat('*', {span}.end - {span}.start) ELSE '' END")
 
-def shift(findings: Column, delta: Column) -> Column:
-    return F.transform(findings, lambda x: x.withField("start", x["start"] + delta)
-                       .withField("end", x["end"] + delta))
 
+def style_sql(style: str) -> str:
+    """A style name (label / mask / drop) as a literal, anything else as a column."""
+    return lit(style) if style in ("label", "mask", "drop") else ref(style)
 
-def greedy_decode(findings: Column) -> Column:
+
+def redact_text(text: str, spans: str, style: str = "'label'", small: int = SMALL_SPANS) -> str:
+    """Replace every span of ``spans`` (sorted, disjoint) in ``text``."""
+    def body(t, sp):
+        x, i = _v("x"), _v("i")
+        pe = f"(CASE WHEN {i} = 0 THEN 0 ELSE get({sp}, {i} - 1).end END)"
+        last = f"coalesce(get({sp}, size({sp}) - 1).end, 0)"
+        rep = replacement(x, style)
+        by_substring = (f"concat(array_join(transform({sp}, ({x}, {i}) -> concat(substring({t}, {pe} + 1, "
+                        f"{x}.start - {pe}), {rep})), ''), substring({t}, {last} + 1, 2147483647))")
+        by_chars = let(f"split({t}, '')", lambda ch: (
+            f"concat(array_join(transform({sp}, ({x}, {i}) -> concat(array_join(slice({ch}, {pe} + 1, "
+            f"{x}.start - {pe}), ''), {rep})), ''), array_join(slice({ch}, {last} + 1, "
+            f"greatest(size({ch}) - {last}, 0)), ''))"))
+        return (f"CASE WHEN {t} IS NULL THEN CAST(NULL AS STRING) WHEN coalesce(size({sp}), 0) = 0 THEN {t} "
+                f"WHEN size({sp}) <= {small} THEN {by_substring} ELSE {by_chars} END")
+    return let(text, lambda t: let(spans, lambda sp: body(t, sp)))
+
+
+# ---- D4: greedy decoding ----
+def greedy_decode(findings: str) -> str:
     """Highest score first (then start, end, entity); a span is kept unless
     it overlaps one already kept.  Result sorted by start."""
-    key_ddl = ("struct<neg:double,start:int,end:int,entity:string,detector:string,score:double>")
+    key_ddl = "struct<neg:double,start:int,end:int,entity:string,detector:string,score:double>"
+    x, acc, y, k, z = _v("x"), _v("acc"), _v("y"), _v("k"), _v("z")
 
     def body(fs):
-        keyed = F.sort_array(F.transform(fs, lambda x: F.struct(
-            (-x["score"]).alias("neg"), x["start"].alias("start"), x["end"].alias("end"),
-            x["entity"].alias("entity"), x["detector"].alias("detector"), x["score"].alias("score"))))
-        kept = F.aggregate(keyed, empty(key_ddl), lambda acc, x: F.when(
-            F.exists(acc, lambda k: (k["start"] < x["end"]) & (x["start"] < k["end"])), acc)
-            .otherwise(F.concat(acc, F.array(x))))
-        return F.sort_array(F.transform(kept, lambda y: F.struct(
-            y["start"].alias("start"), y["end"].alias("end"), y["entity"].alias("entity"),
-            y["detector"].alias("detector"), y["score"].alias("score"))))
-
-    return let(F.coalesce(findings, empty(FINDING_DDL)), body)
+        keyed = (f"sort_array(transform({fs}, {x} -> named_struct('neg', -{x}.score, 'start', {x}.start, "
+                 f"'end', {x}.end, 'entity', {x}.entity, 'detector', {x}.detector, 'score', {x}.score)))")
+        kept = (f"aggregate({keyed}, {empty(key_ddl)}, ({acc}, {y}) -> CASE WHEN exists({acc}, {k} -> "
+                f"{k}.start < {y}.end AND {y}.start < {k}.end) THEN {acc} ELSE concat({acc}, array({y})) END)")
+        return (f"sort_array(transform({kept}, {z} -> named_struct('start', {z}.start, 'end', {z}.end, "
+                f"'entity', {z}.entity, 'detector', {z}.detector, 'score', {z}.score)))")
+    return let(f"coalesce({findings}, {empty(FINDING_DDL)})", body)
+
+
+# ---- H2 on the array plane ----
+def apply_decisions(findings: str, decisions: str) -> str:
+    """Rejected spans leave, added spans join, the rest stay; merged again."""
+    def body(fs, ds):
+        x, y, z = _v("x"), _v("y"), _v("z")
+        kept = (f"filter({fs}, {x} -> NOT exists({ds}, {y} -> {y}.action = 'reject' AND {y}.start = {x}.start "
+                f"AND {y}.end = {x}.end))")
+        adds = (f"transform(filter({ds}, {y} -> {y}.action = 'add'), {z} -> named_struct('start', {z}.start, "
+                f"'end', {z}.end, 'entity', {z}.entity, 'detector', 'review', 'score', CAST(1.0 AS DOUBLE)))")
+        return merge_spans(f"concat({kept}, {adds})")
+    return let(f"coalesce({findings}, {empty(FINDING_DDL)})",
+               lambda fs: let(f"coalesce({decisions}, {empty(DECISION_DDL)})", lambda ds: body(fs, ds)))
+
+
+def shift(findings: str, delta: str) -> str:
+    x = _v("x")
+    return (f"transform({findings}, {x} -> named_struct('start', {x}.start + {delta}, 'end', {x}.end + {delta}, "
+            f"'entity', {x}.entity, 'detector', {x}.detector, 'score', {x}.score))")

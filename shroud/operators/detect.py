@@ -11,14 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shroud.functions import patterns as P
-from shroud.functions.spans import (FINDING_DDL, empty, find_all, merge_spans, regex_matches,
-                                    to_findings)
+from shroud.functions import spans as S
+from shroud.functions.spans import FINDING_DDL, empty, ref, regex_matches
 
 
-def _append(df: DataFrame, out: str, new: Column) -> Column:
+def _append(df: DataFrame, out: str, new_sql: str) -> Column:
     if out in df.columns:
-        return F.concat(F.coalesce(F.col(out), empty(FINDING_DDL)), new)
-    return new
+        return F.expr(f"concat(coalesce({ref(out)}, {empty(FINDING_DDL)}), {new_sql})")
+    return F.expr(new_sql)
 
 
 def detect_patterns(df: DataFrame, text_col: str = "text", patterns=P.DEFAULT,
@@ -36,16 +36,16 @@ def detect_patterns(df: DataFrame, text_col: str = "text", patterns=P.DEFAULT,
     mcols = [f"__m{i}" for i in range(len(pats))]
     src = text if enabled is None else F.when(enabled, text)
     staged = df.select("*", *[regex_matches(src, p.regex).alias(c) for p, c in zip(pats, mcols)])
-    found = [to_findings(find_all(text, F.col(c), p.regex), p.entity) for p, c in zip(pats, mcols)]
-    new = F.concat(*found) if len(found) > 1 else found[0]
+    found = [S.to_findings(S.find_all(ref(text_col), ref(c), p.regex), p.entity) for p, c in zip(pats, mcols)]
+    new = f"concat({', '.join(found)})" if len(found) > 1 else found[0]
     keep = [F.col(c) for c in df.columns if c != out]
     return staged.select(*keep, _append(df, out, new).alias(out))
 
 
 def union_findings(df: DataFrame, cols, out: str = "findings") -> DataFrame:
     """D6 on the array plane: the detectors' arrays end in one array."""
-    arrays = [F.coalesce(F.col(c), empty(FINDING_DDL)) for c in cols]
-    return df.withColumn(out, F.concat(*arrays) if len(arrays) > 1 else arrays[0])
+    arrays = [f"coalesce({ref(c)}, {empty(FINDING_DDL)})" for c in cols]
+    return df.withColumn(out, F.expr(f"concat({', '.join(arrays)})" if len(arrays) > 1 else arrays[0]))
 
 
 def union_tables(*tables: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def union_tables(*tables: DataFrame) -> DataFrame:
 
 def merge(df: DataFrame, col: str = "findings", out: str | None = None) -> DataFrame:
     """D7 on the array plane (see ``merge_spans``)."""
-    return df.withColumn(out or col, merge_spans(F.col(col)))
+    return df.withColumn(out or col, F.expr(S.merge_spans(ref(col))))
 
 
 def explode_findings(df: DataFrame, keys, col: str = "findings", with_score: bool = False) -> DataFrame:

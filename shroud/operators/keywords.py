@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shroud.functions.spans import FINDING_DDL, empty, find_all, regex_matches, let
+from shroud.functions import spans as S
+from shroud.functions.spans import FINDING_DDL, empty, lit, ref, regex_matches
 
 TOKEN_RE = r"[\p{L}\p{M}\p{N}]+"
 MAX_LITERAL = 1000          # phrases; above this the join path is used
@@ -67,39 +68,35 @@ def with_tokens(df: DataFrame, text_col: str, prefix: str = "__t",
     m = f"{prefix}m"
     src = F.col(text_col) if enabled is None else F.when(enabled, F.col(text_col))
     staged = df.withColumn(m, regex_matches(src, TOKEN_RE))
-    staged = staged.withColumn(f"{prefix}s", find_all(F.col(text_col), F.col(m), TOKEN_RE)).drop(m)
+    staged = staged.withColumn(f"{prefix}s", F.expr(S.find_all(ref(text_col), ref(m), TOKEN_RE))).drop(m)
     return staged.withColumn(f"{prefix}l", F.transform(F.col(f"{prefix}s"), lambda x: F.lower(x["match"])))
 
 
-def _finding(spans: Column, i: Column, n: Column, entity: Column) -> Column:
-    return F.struct(F.get(spans, i)["start"].alias("start"), F.get(spans, i + n - 1)["end"].alias("end"),
-                    entity.alias("entity"), F.lit("keyword").alias("detector"), F.lit(1.0).alias("score"))
-
-
-def _literal_findings(spans: Column, lt: Column, rows) -> Column:
+def _literal_findings(spans: str, tokens: str, rows) -> str:
+    """The small-dictionary path as one expression: a map literal from first
+    token to candidate phrases, probed at every token position of the row."""
     by_first: dict[str, list[tuple[int, str, str]]] = {}
     for entity, first, n, phrase in rows:
         by_first.setdefault(first, []).append((n, phrase, entity))
     cand_t = "array<struct<n:int,phrase:string,entity:string>>"
     pairs = []
     for first in sorted(by_first):
-        cands = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(p).alias("phrase"), F.lit(e).alias("entity"))
-                          for n, p, e in sorted(by_first[first])])
-        pairs += [F.lit(first), cands.cast(cand_t)]
-    lookup = F.create_map(*pairs)
-
-    def at(i):
-        cands = F.coalesce(F.try_element_at(lookup, F.get(lt, i)), F.array().cast(cand_t))
-        hits = F.filter(cands, lambda c: F.array_join(F.slice(lt, i + 1, c["n"]), " ") == c["phrase"])
-        return F.transform(hits, lambda c: _finding(spans, i, c["n"], c["entity"]))
+        cands = ", ".join(f"named_struct('n', {n}, 'phrase', {lit(p)}, 'entity', {lit(e)})"
+                          for n, p, e in sorted(by_first[first]))
+        pairs.append(f"{lit(first)}, CAST(array({cands}) AS {cand_t})")
+    lookup = f"map({', '.join(pairs)})"
 
-    def body(sp, tl):
-        nonlocal spans, lt
-        spans, lt = sp, tl
-        return F.when(F.size(lt) == 0, empty(FINDING_DDL)).otherwise(
-            F.flatten(F.transform(F.sequence(F.lit(0), F.size(lt) - 1), at)))
+    def body(sp, lt):
+        i, c, h = S._v("i"), S._v("c"), S._v("h")
+        cands = f"coalesce(try_element_at({lookup}, get({lt}, {i})), CAST(array() AS {cand_t}))"
+        hits = f"filter({cands}, {c} -> array_join(slice({lt}, {i} + 1, {c}.n), ' ') = {c}.phrase)"
+        at = (f"transform({hits}, {h} -> named_struct('start', get({sp}, {i}).start, "
+              f"'end', get({sp}, {i} + {h}.n - 1).end, 'entity', {h}.entity, 'detector', 'keyword', "
+              f"'score', CAST(1.0 AS DOUBLE)))")
+        return (f"CASE WHEN size({lt}) = 0 OR size({lt}) IS NULL THEN {empty(FINDING_DDL)} "
+                f"ELSE flatten(transform(sequence(0, size({lt}) - 1), {i} -> {at})) END")
 
-    return let(spans, lambda sp: let(lt, lambda tl: body(sp, tl)))
+    return S.let(spans, lambda sp: S.let(tokens, lambda lt: body(sp, lt)))
 
 
 def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: str = "findings",
@@ -120,11 +117,11 @@ def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: st
                 raise ValueError(f"dictionary larger than {MAX_LITERAL} phrases; use the join path")
             rows = None
     keep = [c for c in df.columns if c != out]
-    prev = F.coalesce(F.col(out), empty(FINDING_DDL)) if out in df.columns else empty(FINDING_DDL)
+    prev = f"coalesce({ref(out)}, {empty(FINDING_DDL)})" if out in df.columns else empty(FINDING_DDL)
     if rows is not None:
         t = with_tokens(df, text_col, enabled=enabled)
-        found = _literal_findings(F.col("__ts"), F.col("__tl"), rows)
-        return t.select(*keep, F.concat(prev, found).alias(out))
+        found = _literal_findings(ref("__ts"), ref("__tl"), rows)
+        return t.select(*keep, F.expr(f"concat({prev}, {found})").alias(out))
     if not key_cols:
         raise ValueError("the join path needs key_cols")
     src = df if enabled is None else df.withColumn("__kwtext", F.when(enabled, F.col(text_col)))
@@ -132,7 +129,7 @@ def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: st
     per_row = table.groupBy(*key_cols).agg(F.collect_list(F.struct(
         "start", F.col("end_").alias("end"), "entity", "detector", F.lit(1.0).alias("score"))).alias("__kw"))
     joined = df.join(per_row, list(key_cols), "left")
-    return joined.select(*keep, F.concat(prev, F.coalesce(F.col("__kw"), empty(FINDING_DDL))).alias(out))
+    return joined.select(*keep, F.expr(f"concat({prev}, coalesce(__kw, {empty(FINDING_DDL)}))").alias(out))
 
 
 def keyword_table(df: DataFrame, key_cols, text_col: str, dictionary: DataFrame,
@@ -166,4 +163,4 @@ def keyword_table(df: DataFrame, key_cols, text_col: str, dictionary: DataFrame,
 
 
 __all__ = ["KEYWORDS", "TOKEN_RE", "detect_keywords", "keyword_table", "keyword_dictionary",
-           "passage_dictionary", "normalise", "with_tokens", "let"]
+           "passage_dictionary", "normalise", "with_tokens"]

@@ -109,9 +109,7 @@ def detect_ner(df: DataFrame, text_col: str = "text", spec: ScorerSpec | None =
     spec = spec or ScorerSpec()
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
     scored = df.mapInPandas(_predict_batches(text_col, spec), f"{schema}, {NER_FIELDS}")
-    findings = F.zip_with(
-        F.arrays_zip("ner_start", "ner_end"), F.arrays_zip("ner_entity", "ner_score"),
-        lambda a, b: F.struct(a["ner_start"].alias("start"), a["ner_end"].alias("end"),
-                              b["ner_entity"].alias("entity"), F.lit("ner").alias("detector"),
-                              b["ner_score"].alias("score")))
-    return scored.select(*df.columns, greedy_decode(findings).alias(out))
+    findings = ("zip_with(arrays_zip(ner_start, ner_end), arrays_zip(ner_entity, ner_score), (a, b) -> "
+                "named_struct('start', a.ner_start, 'end', a.ner_end, 'entity', b.ner_entity, "
+                "'detector', 'ner', 'score', b.ner_score))")
+    return scored.select(*df.columns, F.expr(greedy_decode(findings)).alias(out))

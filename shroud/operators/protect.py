@@ -28,7 +28,13 @@ def checked_keys(keys: DataFrame) -> DataFrame:
 
 
 def key_count(keys: DataFrame) -> int:
-    n = keys.limit(MAX_KEYS + 1).count()
+    n = getattr(keys, "_shroud_key_count", None)
+    if n is None:
+        n = keys.limit(MAX_KEYS + 1).count()
+        try:
+            keys._shroud_key_count = n  # the key table is read once per load; count it once
+        except AttributeError:
+            pass
     if n > MAX_KEYS:
         raise ValueError(f"key table has more than {MAX_KEYS} rows; refusing to broadcast it")
     if n == 0:

@@ -10,20 +10,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shroud.functions import patterns as P
-from shroud.functions.spans import merge_spans, redact_text
+from shroud.functions import spans as S
 
 STYLES = ("label", "mask", "drop")
 
 
 def apply_redactions(df: DataFrame, text_col: str = "text", spans_col: str = "findings",
-                     style: str | Column = "label", out: str = "redacted_text",
+                     style: str = "label", out: str = "redacted_text",
                      merged: bool = False) -> DataFrame:
     """Replace every span.  Spans are merged first unless ``merged``,
     because replacing overlapping spans one by one could leave part visible."""
-    if isinstance(style, str) and style not in STYLES:
-        raise ValueError(f"style must be one of {STYLES}")
-    spans = F.col(spans_col) if merged else merge_spans(F.col(spans_col))
-    return df.withColumn(out, redact_text(F.col(text_col), spans, style))
+    if isinstance(style, str) and style not in STYLES and style not in df.columns:
+        raise ValueError(f"style must be one of {STYLES} or a column holding one")
+    spans = S.ref(spans_col) if merged else S.merge_spans(S.ref(spans_col))
+    return df.withColumn(out, F.expr(S.redact_text(S.ref(text_col), spans, S.style_sql(style))))
 
 
 def residual_check(redacted: DataFrame, text_cols=("redacted_text",), patterns=P.DEFAULT) -> DataFrame:

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shroud.functions.spans import FINDING_DDL, empty, let, merge_spans
+from shroud.functions import spans as S
 
 ACTIONS = ("accept", "reject", "add")
-DECISION_DDL = "struct<start:int,end:int,action:string,entity:string>"
 
 
 def latest_decisions(decisions: DataFrame) -> DataFrame:
@@ -30,21 +29,10 @@ def decisions_per_doc(decisions: DataFrame) -> DataFrame:
         "start", "end", "action", "entity")).alias("decisions"))
 
 
-def apply_decisions_array(findings: Column, decisions: Column) -> Column:
-    """H2 on the array plane: rejected spans leave, added spans join, the rest
-    stay; the result is merged again (D7), sorted by start."""
-    def body(fs, ds):
-        rejected = lambda f: F.exists(ds, lambda d: (d["action"] == "reject") & (d["start"] == f["start"])
-                                      & (d["end"] == f["end"]))
-        kept = F.filter(fs, lambda f: ~rejected(f))
-        adds = F.transform(F.filter(ds, lambda d: d["action"] == "add"), lambda d: F.struct(
-            d["start"].alias("start"), d["end"].alias("end"), d["entity"].alias("entity"),
-            F.lit("review").alias("detector"), F.lit(1.0).alias("score")))
-        return merge_spans(F.concat(kept, adds))
-
-    return let(F.coalesce(findings, empty(FINDING_DDL)),
-               lambda fs: let(F.coalesce(decisions, F.array().cast(f"array<{DECISION_DDL}>")),
-                              lambda ds: body(fs, ds)))
+def apply_decisions_array(findings: str, decisions: str) -> Column:
+    """H2 on the array plane (column names): rejected spans leave, added spans
+    join, the rest stay; the result is merged again (D7), sorted by start."""
+    return F.expr(S.apply_decisions(S.ref(findings), S.ref(decisions)))
 
 
 def apply_decisions(docs: DataFrame, decisions: DataFrame, findings_col: str = "findings",
@@ -55,8 +43,7 @@ def apply_decisions(docs: DataFrame, decisions: DataFrame, findings_col: str = "
     text stay where they are."""
     per_doc = decisions_per_doc(decisions).withColumnRenamed("doc_id", key)
     joined = docs.join(per_doc, key, "left")
-    return joined.withColumn(findings_col, apply_decisions_array(F.col(findings_col), F.col("decisions"))) \
-        .drop("decisions")
+    return joined.withColumn(findings_col, apply_decisions_array(findings_col, "decisions")).drop("decisions")
 
 
 def review_outcome(findings_rows: DataFrame, decisions: DataFrame) -> DataFrame:

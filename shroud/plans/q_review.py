@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shroud.functions import patterns as P
 from shroud.functions.spans import greedy_decode as greedy
+from shroud.functions.spans import ref
 from shroud.operators import detect as D
 from shroud.operators import keywords as K
 from shroud.operators import ner as N
@@ -120,7 +121,7 @@ _GREEDY_SQL = (
 @register("greedy_decode", sql=_GREEDY_SQL)
 def greedy_decode(spark, sf_dir):
     found = detected(spark, sf_dir)
-    return D.explode_findings(found.withColumn("findings", greedy(F.col("findings"))), ["doc_id"])
+    return D.explode_findings(found.withColumn("findings", F.expr(greedy(ref("findings")))), ["doc_id"])
 
 
 @register("detect_ner")

@@ -45,11 +45,10 @@ def review_step(detected: DataFrame, decisions: DataFrame | None) -> DataFrame:
     dec = decisions.withColumn("doc_id", F.col("doc_id").cast("string"))
     per_doc = RV.decisions_per_doc(dec).withColumnRenamed("doc_id", "file_id")
     joined = detected.join(per_doc, "file_id", "left")
-    return joined.withColumn("findings", RV.apply_decisions_array(F.col("findings"), F.col("decisions"))) \
-        .drop("decisions")
+    return joined.withColumn("findings", RV.apply_decisions_array("findings", "decisions")).drop("decisions")
 
 
-def redact_step(reviewed: DataFrame, style: str | Column) -> DataFrame:
+def redact_step(reviewed: DataFrame, style: str) -> DataFrame:
     return R.apply_redactions(reviewed, "content", "findings", style, out="redacted_text", merged=True)
 
 
