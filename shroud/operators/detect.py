@@ -35,7 +35,11 @@ def detect_patterns(df: DataFrame, text_col: str = "text", patterns=P.DEFAULT,
     text = F.col(text_col)
     mcols = [f"__m{i}" for i in range(len(pats))]
     src = text if enabled is None else F.when(enabled, text)
-    staged = df.select("*", *[regex_matches(src, p.regex).alias(c) for p, c in zip(pats, mcols)])
+    def scan(p):
+        m = regex_matches(src, p.regex)
+        return m if p.required is None else F.when(F.instr(src, p.required) > 0, m)
+
+    staged = df.select("*", *[scan(p).alias(c) for p, c in zip(pats, mcols)])
     found = [S.to_findings(S.find_all(ref(text_col), ref(c), p.regex), p.entity) for p, c in zip(pats, mcols)]
     new = f"concat({', '.join(found)})" if len(found) > 1 else found[0]
     keep = [F.col(c) for c in df.columns if c != out]

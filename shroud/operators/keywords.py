@@ -28,6 +28,7 @@ from shroud.functions.spans import FINDING_DDL, empty, lit, ref, regex_matches
 
 TOKEN_RE = r"[\p{L}\p{M}\p{N}]+"
 MAX_LITERAL = 1000          # phrases; above this the join path is used
+MAX_PREFILTER = 64          # distinct first tokens; up to this a substring prefilter runs first
 MAX_BROADCAST = 200_000     # phrases (a few tens of MB); above this no broadcast
 DICT_SCHEMA = "entity string, phrase string"
 
@@ -119,6 +120,13 @@ def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: st
     keep = [c for c in df.columns if c != out]
     prev = f"coalesce({ref(out)}, {empty(FINDING_DDL)})" if out in df.columns else empty(FINDING_DDL)
     if rows is not None:
+        firsts = sorted({r[1] for r in rows})
+        if firsts and len(firsts) <= MAX_PREFILTER:
+            # a row can only match if its lowered text contains some first token:
+            # one literal-alternation scan instead of tokenising every row
+            alt = "|".join("\\Q" + f.replace("\\E", "\\E\\\\E\\Q") + "\\E" for f in firsts)
+            has = F.lower(F.col(text_col)).rlike(f"(?:{alt})")
+            enabled = has if enabled is None else (enabled & has)
         t = with_tokens(df, text_col, enabled=enabled)
         found = _literal_findings(ref("__ts"), ref("__tl"), rows)
         return t.select(*keep, F.expr(f"concat({prev}, {found})").alias(out))

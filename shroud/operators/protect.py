@@ -17,6 +17,7 @@ from shroud.session import exists, scratch_path
 from shroud.sources.files import derive_dek, unwrap_token
 
 MAX_KEYS = 1024  # key versions; the key table is broadcast only below this
+_COUNTS: dict[str, int] = {}  # key table path -> number of keys (read once per process)
 N_DEMO_KEYS = 4
 KEYS_SCHEMA = "key_id string, slot int, master binary"
 
@@ -52,11 +53,16 @@ def load_or_create_keys(spark: SparkSession, path: str | None = None, n: int = N
         rows = [(f"k{i + 1}", i, bytearray(os.urandom(32))) for i in range(n)]
         spark.createDataFrame(rows, KEYS_SCHEMA).write.mode("errorifexists").parquet(path)
     keys = spark.read.parquet(path)
+    if path in _COUNTS:
+        keys._shroud_key_count = _COUNTS[path]
+    else:
+        _COUNTS[path] = key_count(keys)
     if "slot" not in keys.columns:
         # a key table written before slots existed: number its keys in key order
         # (at most MAX_KEYS rows, so one small window is fine)
         from pyspark.sql import Window
         keys = keys.withColumn("slot", (F.row_number().over(Window.orderBy("key_id")) - 1).cast("int"))
+        keys._shroud_key_count = _COUNTS[path]
     return keys
 
 

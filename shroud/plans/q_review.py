@@ -44,28 +44,38 @@ def derive_decisions(spark, sf_dir, findings_rows: DataFrame) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     f = findings_rows.select("doc_id", "start", F.col("end_").alias("end")).join(labels, "doc_id", "inner")
     ts0, ts1 = F.lit(T_FIRST).cast("timestamp"), F.lit(T_LATER).cast("timestamp")
-
-    def dec(df, action, ts):
-        return df.select("doc_id", "start", "end", F.lit(action).alias("action"),
-                         F.lit(None).cast("string").alias("entity"), F.lit("reviewer-1").alias("reviewer"),
-                         ts.alias("decided_at"))
-
-    bad = f.where(F.col("quality") == 0)
-    good = f.where((F.col("quality") == 1) & (F.col("toxic") == 1))
+    bad = F.col("quality") == 0
+    good = (F.col("quality") == 1) & (F.col("toxic") == 1)
+
+    def one(cond, action, ts):
+        return F.when(cond, F.struct(F.lit(action).alias("action"), ts.alias("decided_at")))
+
+    # one pass over the findings: each row yields its 0-2 decisions
+    per_finding = F.filter(F.array(one(bad, "accept", ts0), one(bad, "reject", ts1), one(good, "accept", ts0)),
+                           lambda d: d.isNotNull())
+    spans = f.select("doc_id", "start", "end", F.explode_outer(per_finding).alias("d")).where(F.col("d").isNotNull()) \
+        .select("doc_id", "start", "end", "d.action", F.lit(None).cast("string").alias("entity"),
+                F.lit("reviewer-1").alias("reviewer"), "d.decided_at")
     lens = table(spark, sf_dir, "documents").select("doc_id", F.length("text").alias("n_chars"))
     add_docs = labels.where((F.col("quality") == 1) & (F.col("toxic") == 1)).join(lens, "doc_id") \
         .where(F.col("n_chars") > 0)
     adds = add_docs.select("doc_id", F.lit(0).alias("start"), F.least(F.lit(10), F.col("n_chars")).alias("end"),
                            F.lit("add").alias("action"), F.lit("review_note").alias("entity"),
                            F.lit("reviewer-1").alias("reviewer"), ts1.alias("decided_at"))
-    return dec(bad, "accept", ts0).unionByName(dec(bad, "reject", ts1)).unionByName(dec(good, "accept", ts0)) \
-        .unionByName(adds)
+    return spans.unionByName(adds)
+
+
+def decidable(spark, sf_dir):
+    """Document ids whose labels can yield a decision (the rest stay open)."""
+    return (table(spark, sf_dir, "labels").where((F.col("quality") == 0) | (F.col("toxic") == 1))
+            .select("doc_id"))
 
 
 def reviewed_docs(spark, sf_dir, cols=("doc_id", "text")) -> tuple[DataFrame, DataFrame]:
     """(documents with merged findings, decisions derived for them)."""
     merged = D.merge(detected(spark, sf_dir, cols))
-    decisions = derive_decisions(spark, sf_dir, D.explode_findings(merged, ["doc_id"]))
+    labelled = merged.join(decidable(spark, sf_dir), "doc_id", "left_semi")
+    decisions = derive_decisions(spark, sf_dir, D.explode_findings(labelled, ["doc_id"]))
     return merged, decisions
 
 

@@ -13,7 +13,9 @@ from shroud.streaming.runner import run_available, stream_table
 
 @register("stream_detect", sql=f"SELECT doc_id, start, end_, entity, detector FROM ({DOC_M}) AS m")
 def stream_detect(spark, sf_dir):
-    docs = stream_table(spark, sf_dir, "documents").select("doc_id", "text")
+    # a micro-batch of one file is one task: spread it over the cores by key
+    docs = stream_table(spark, sf_dir, "documents").select("doc_id", "text") \
+        .repartition(spark.sparkContext.defaultParallelism, "doc_id")
     return run_available(S.detect_stream(docs), "detect")
 
 

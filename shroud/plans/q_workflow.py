@@ -12,7 +12,7 @@ from shroud.plans import oracle as O
 from shroud.plans import q_files as QF
 from shroud.plans import workflow as W
 from shroud.plans.q_detect import DOC_M
-from shroud.plans.q_review import ADDS_SQL, REV_F, derive_decisions
+from shroud.plans.q_review import ADDS_SQL, REV_F, decidable, derive_decisions
 from shroud.plans.registry import register
 from shroud.session import scratch_path
 from shroud.sources import files as FS
@@ -41,8 +41,10 @@ def run_workflow(spark, sf_dir):
     keys = PR.load_or_create_keys(spark)
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
     dictionary = K.keyword_dictionary(spark)
-    # review decisions are derived from the detection output and the labels
-    files = FS.ingest_local(docs, keys, F.lit(QF.INGESTED_AT).cast("timestamp"))
+    # review decisions are derived from the labels and the findings of the
+    # labelled documents only (a semi join first, so the rest is not detected twice)
+    labelled = docs.join(decidable(spark, sf_dir), "doc_id", "left_semi")
+    files = FS.ingest_local(labelled, keys, F.lit(QF.INGESTED_AT).cast("timestamp"))
     pre = W.detect_step(files, dictionary, W.WorkflowConfig())
     pre_rows = D.explode_findings(pre.withColumn("doc_id", F.col("file_id").cast("bigint")), ["doc_id"])
     decisions = derive_decisions(spark, sf_dir, pre_rows)
