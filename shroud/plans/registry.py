@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 QUERIES: dict[str, Callable] = {}
@@ -9,10 +10,20 @@ ORACLE: dict[str, str] = {}
 
 
 def register(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir) -> DataFrame``.  The registered callable
+    first applies the session settings results depend on (UTC time zone: the
+    event times are wall-clock values), whatever session the caller built."""
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"query {name!r} registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            from shroud.session import ensure_settings
+            ensure_settings(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

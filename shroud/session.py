@@ -41,6 +41,15 @@ def get_session(app: str = "shroud", master: str | None = None,
     return spark
 
 
+def ensure_settings(spark: SparkSession) -> None:
+    """Apply the settings shroud's results and plans rely on to a session
+    someone else built (idempotent, runtime-settable options only)."""
+    for k, v in _REQUIRED_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
+    checkpoint_root(spark)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
