@@ -92,6 +92,22 @@ def ingest_local(documents: DataFrame, keys: DataFrame, created_at: Column | Non
     return _tokenise(base, keys)
 
 
+def ingest_text_files(spark, path: str, keys: DataFrame, created_at: Column | None = None) -> DataFrame:
+    """S1 for files on disk: one row per whole file (``wholetext``), the file
+    id derived from its path, the uri kept, the name its basename."""
+    created = created_at if created_at is not None else F.current_timestamp()
+    # the keyword, not .option(): text() re-applies its own wholetext=False default
+    raw = spark.read.text(path, wholetext=True).select(
+        F.input_file_name().alias("uri"), F.col("value").alias("content"))
+    base = raw.select(
+        F.sha2(F.col("uri"), 256).substr(1, 32).alias("file_id"), F.lit("pdf").alias("file_code"),
+        F.lit("local").alias("source_kind"), "uri",
+        F.regexp_extract(F.col("uri"), r"[^/]+$", 0).alias("name"),
+        F.length("content").cast("bigint").alias("n_chars"), created.cast("timestamp").alias("created_at"),
+        "content")
+    return _tokenise(base, keys)
+
+
 def ingest_url(pages: DataFrame, keys: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Pages addressed by URL (already fetched); content is the visible text."""
     created = created_at if created_at is not None else F.current_timestamp()

@@ -38,5 +38,6 @@ def save_results_json(jobs_json: DataFrame, path: str) -> None:
 def load_redactions_json(spark: SparkSession, path: str, wholetext: bool = True) -> DataFrame:
     """Saved JSON files for R1.  ``wholetext`` reads one whole file per row
     (a pretty-printed document spans lines); otherwise one JSON per line."""
-    return (spark.read.option("wholetext", str(wholetext).lower()).text(path)
+    # the keyword, not .option(): text() re-applies its own wholetext=False default
+    return (spark.read.text(path, wholetext=wholetext)
             .select(F.input_file_name().alias("source_file"), F.col("value").alias("json")))

@@ -83,3 +83,21 @@ def test_entry_and_registry(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     assert set(qs) - set(sql) == {"detect_ner", "stream_job_tracker"}
+
+
+def test_ingest_text_files_and_write_redacted(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "report.v2.txt").write_text("mail me: a@b.example\nsecond line")
+    (src / "notes").write_text("nothing here")
+    keys = PR.load_or_create_keys(spark)
+    files = FS.ingest_text_files(spark, str(src), keys)
+    rows = {r.name: r for r in files.collect()}
+    assert set(rows) == {"report.v2.txt", "notes"}
+    assert rows["report.v2.txt"].content.endswith("second line") and rows["notes"].n_chars == 12
+    red = R.apply_redactions(D.detect_patterns(files, "content"), "content")
+    from shroud.sources.sinks import write_redacted
+    out = str(tmp_path / "out")
+    write_redacted(red, out)
+    back = {r.redacted_name: r.redacted_text for r in spark.read.parquet(out).collect()}
+    assert back == {"report.v2_redacted.txt": "mail me: [EMAIL]\nsecond line", "notes_redacted": "nothing here"}
