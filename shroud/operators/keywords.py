@@ -46,8 +46,13 @@ KEYWORDS = (
 # ---- end of fixed values ----
 
 
+_NORMALISED: dict[tuple, list] = {}  # literal dictionaries: rows -> normalised rows (Spark-computed once)
+
+
 def keyword_dictionary(spark: SparkSession, rows=KEYWORDS) -> DataFrame:
-    return spark.createDataFrame(list(rows), DICT_SCHEMA)
+    df = spark.createDataFrame(list(rows), DICT_SCHEMA)
+    df._shroud_rows = tuple(rows)  # an in-memory dictionary: its normalised form can be reused
+    return df
 
 
 def passage_dictionary(benchmark: DataFrame, entity: str = "benchmark") -> DataFrame:
@@ -111,8 +116,13 @@ def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: st
     """
     norm = normalise(dictionary)
     rows = None
-    if path in ("auto", "literal"):
+    key = getattr(dictionary, "_shroud_rows", None)
+    if path in ("auto", "literal") and key is not None and key in _NORMALISED:
+        rows = _NORMALISED[key]
+    elif path in ("auto", "literal"):
         rows = [tuple(r) for r in norm.select("entity", "first", "n", "phrase").limit(MAX_LITERAL + 1).collect()]
+        if key is not None and len(rows) <= MAX_LITERAL:
+            _NORMALISED[key] = rows
         if len(rows) > MAX_LITERAL:
             if path == "literal":
                 raise ValueError(f"dictionary larger than {MAX_LITERAL} phrases; use the join path")

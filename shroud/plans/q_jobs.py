@@ -198,3 +198,12 @@ def load_redactions(spark, sf_dir):
     rows = back.select(F.get_json_object("json", "$.case_id").cast("bigint").alias("case_id"),
                        F.get_json_object("json", "$.doc").alias("json"))
     return J.normalize_redactions(rows)
+
+
+@register("poll_percentiles")
+def poll_percentiles(spark, sf_dir):
+    """J11 summary, rows-only: approximate quantiles have no exact SQL twin."""
+    stats = J.poll_stats(_job_events(spark, sf_dir))
+    return J.poll_percentiles(stats).select(
+        F.get("polls_p50_p90", 0).alias("polls_p50"), F.get("polls_p50_p90", 1).alias("polls_p90"),
+        F.get("seconds_p50_p90", 0).alias("seconds_p50"), F.get("seconds_p50_p90", 1).alias("seconds_p90"))
