@@ -9,8 +9,12 @@ from shroud.sources.files import redacted_name
 
 
 def write_annotations(annotations: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """One annotation row per document, also with zero findings, partitioned by job."""
-    writer = annotations.write.mode("append").partitionBy("job_id")
+    """One annotation row per document, also with zero findings, partitioned by job.
+
+    Dynamic partition overwrite: re-running a job (after a failure) replaces
+    that job's partition only, so annotations are never duplicated."""
+    writer = (annotations.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("job_id"))
     if fmt == "json":
         writer.json(path)
     else:

@@ -34,7 +34,8 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append",
         q = writer.format("parquet").option("path", path).trigger(availableNow=True).start()
     else:
         def sink(batch: DataFrame, epoch: int) -> None:
-            batch.write.mode("append").parquet(f"{path}/epoch={epoch}")
+            # a replayed epoch (after a failure) overwrites its own folder: no duplicates
+            batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
         q = writer.foreachBatch(sink).trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
