@@ -189,32 +189,31 @@ def poll_percentiles(stats: DataFrame) -> DataFrame:
 # ---- R3 / R6 ----
 def redaction_requests(requests: DataFrame, files: DataFrame, annotations: DataFrame):
     """A request needs the document file and the annotation file, each with
-    its own token.  Two inner joins on (id, token) give the accepted ones; the
-    refused ones come from an anti join on the accepted ids, with a reason.
+    its own token.  Two left joins on (id, token) mark which of the two
+    matched; accepted and refused rows (with the reason) then come from the
+    same joined rows, so nothing is joined twice.
 
     requests: doc_id, pdf_file_id, pdf_token, fdf_file_id, fdf_token
     files / annotations: file_id, dek_token
     """
-    f = files.select(F.col("file_id").alias("pdf_file_id"), F.col("dek_token").alias("pdf_token"))
-    a = annotations.select(F.col("file_id").alias("fdf_file_id"), F.col("dek_token").alias("fdf_token"))
-    ok = requests.join(f, ["pdf_file_id", "pdf_token"], "inner") \
-        .join(a, ["fdf_file_id", "fdf_token"], "inner")
-    accepted = ok.select("doc_id", "pdf_file_id", "fdf_file_id")
-    pdf_ok = requests.join(f, ["pdf_file_id", "pdf_token"], "left_semi").select("doc_id").withColumn("pdf_ok", F.lit(True))
-    refused = (requests.join(accepted.select("doc_id"), "doc_id", "left_anti")
-               .join(pdf_ok, "doc_id", "left")
-               .select("doc_id", F.when(F.col("fdf_file_id").isNull() | F.col("fdf_token").isNull(),
-                                        F.lit("annotation reference missing"))
-                       .when(F.col("pdf_ok").isNull(), F.lit("document token rejected"))
-                       .otherwise(F.lit("annotation token rejected")).alias("reason")))
-    return accepted, refused
-
-
-def redaction_result(accepted: DataFrame, refused: DataFrame) -> DataFrame:
-    """A job record per request; finished ones carry a ``pdf`` output."""
-    ok = accepted.select(F.concat(F.lit("redact-"), F.col("doc_id").cast("string")).alias("job_id"),
-                         F.lit("finished").alias("status"),
-                         F.concat(F.lit("red-"), F.col("pdf_file_id")).alias("pdf_file_id"))
-    bad = refused.select(F.concat(F.lit("redact-"), F.col("doc_id").cast("string")).alias("job_id"),
-                         F.lit("error").alias("status"), F.lit(None).cast("string").alias("pdf_file_id"))
-    return ok.unionByName(bad)
+    f = files.select(F.col("file_id").alias("pdf_file_id"), F.col("dek_token").alias("pdf_token"),
+                     F.lit(True).alias("pdf_ok"))
+    a = annotations.select(F.col("file_id").alias("fdf_file_id"), F.col("dek_token").alias("fdf_token"),
+                           F.lit(True).alias("fdf_ok"))
+    j = requests.join(f, ["pdf_file_id", "pdf_token"], "left").join(a, ["fdf_file_id", "fdf_token"], "left")
+    reason = (F.when(F.col("fdf_file_id").isNull() | F.col("fdf_token").isNull(), F.lit("annotation reference missing"))
+              .when(F.col("pdf_ok").isNull(), F.lit("document token rejected"))
+              .when(F.col("fdf_ok").isNull(), F.lit("annotation token rejected")))
+    checked = j.select("doc_id", "pdf_file_id", "fdf_file_id", reason.alias("reason"))
+    accepted = checked.where(F.col("reason").isNull()).select("doc_id", "pdf_file_id", "fdf_file_id")
+    refused = checked.where(F.col("reason").isNotNull()).select("doc_id", "reason")
+    return accepted, refused, checked
+
+
+def redaction_result(checked: DataFrame) -> DataFrame:
+    """A job record per request, from the checked requests in one pass;
+    finished ones carry a ``pdf`` output, refused ones are ``error``."""
+    ok = F.col("reason").isNull()
+    return checked.select(F.concat(F.lit("redact-"), F.col("doc_id").cast("string")).alias("job_id"),
+                          F.when(ok, F.lit("finished")).otherwise(F.lit("error")).alias("status"),
+                          F.when(ok, F.concat(F.lit("red-"), F.col("pdf_file_id"))).alias("pdf_file_id"))

@@ -48,7 +48,7 @@ def load_or_create_keys(spark: SparkSession, path: str | None = None, n: int = N
     tests and demos random 32-byte keys are written once (so every later read,
     and every recomputed task, sees the same keys) below the shared
     checkpoint folder."""
-    path = path or scratch_path(spark, "shroud-keys")
+    path = path or scratch_path(spark, "shroud-master-keys")
     if not exists(spark, path):
         rows = [(f"k{i + 1}", i, bytearray(os.urandom(32))) for i in range(n)]
         spark.createDataFrame(rows, KEYS_SCHEMA).write.mode("errorifexists").parquet(path)
@@ -57,12 +57,6 @@ def load_or_create_keys(spark: SparkSession, path: str | None = None, n: int = N
         keys._shroud_key_count = _COUNTS[path]
     else:
         _COUNTS[path] = key_count(keys)
-    if "slot" not in keys.columns:
-        # a key table written before slots existed: number its keys in key order
-        # (at most MAX_KEYS rows, so one small window is fine)
-        from pyspark.sql import Window
-        keys = keys.withColumn("slot", (F.row_number().over(Window.orderBy("key_id")) - 1).cast("int"))
-        keys._shroud_key_count = _COUNTS[path]
     return keys
 
 

@@ -63,19 +63,22 @@ def workflow(spark, sf_dir):
 
 # ---- R3 / R6 ----
 def _redaction_inputs(spark, sf_dir):
+    """Stored files (document and annotation, each with its own token) and
+    the redaction requests users send for them, all from one ingestion."""
     keys = PR.load_or_create_keys(spark)
-    files = QF._local_files(spark, sf_dir, keys)
-    pdf = files.select("file_id", "dek_token")
-    ann_ids = files.select(F.concat(F.lit("fdf-"), F.col("file_id")).alias("file_id"), "key_id")
-    ann = FS.with_master(ann_ids, keys).select("file_id", FS.wrap_token(F.col("master"), F.col("file_id"))
-                                               .alias("dek_token"))
-    req = files.join(ann.withColumnRenamed("file_id", "fdf_file_id").withColumnRenamed("dek_token", "fdf_tok"),
-                     F.concat(F.lit("fdf-"), files["file_id"]) == F.col("fdf_file_id"), "left").select(
+    files = FS.with_master(QF._local_files(spark, sf_dir, keys).select("file_id", "dek_token", "key_id", "n_chars"),
+                           keys)
+    fdf_id = F.concat(F.lit("fdf-"), F.col("file_id"))
+    both = files.select("file_id", "dek_token", "n_chars", fdf_id.alias("fdf_id"),
+                        FS.wrap_token(F.col("master"), fdf_id).alias("fdf_token_real"))
+    pdf = both.select("file_id", "dek_token")
+    ann = both.select(F.col("fdf_id").alias("file_id"), F.col("fdf_token_real").alias("dek_token"))
+    req = both.select(
         F.col("file_id").cast("bigint").alias("doc_id"), F.col("file_id").alias("pdf_file_id"),
         F.when(F.expr(BAD_PDF_RULE), F.concat(F.lit("x"), F.col("dek_token"))).otherwise(F.col("dek_token"))
         .alias("pdf_token"),
-        F.when(~F.expr(MISSING_FDF_RULE), F.col("fdf_file_id")).alias("fdf_file_id"),
-        F.when(~F.expr(MISSING_FDF_RULE), F.col("fdf_tok")).alias("fdf_token"))
+        F.when(~F.expr(MISSING_FDF_RULE), F.col("fdf_id")).alias("fdf_file_id"),
+        F.when(~F.expr(MISSING_FDF_RULE), F.col("fdf_token_real")).alias("fdf_token"))
     return J.redaction_requests(req, pdf, ann)
 
 
@@ -88,14 +91,14 @@ _RREASON = (f"CASE WHEN {MISSING_FDF_RULE} THEN 'annotation reference missing' "
           sql=(f"SELECT doc_id, CAST(doc_id AS VARCHAR) AS pdf_file_id, 'fdf-' || CAST(doc_id AS VARCHAR) AS fdf_file_id "
                f"FROM {_NCH} AS d WHERE ({_RREASON}) IS NULL"))
 def redaction_requests(spark, sf_dir):
-    accepted, _ = _redaction_inputs(spark, sf_dir)
+    accepted, _, _ = _redaction_inputs(spark, sf_dir)
     return accepted
 
 
 @register("redaction_refused",
           sql=f"SELECT doc_id, {_RREASON} AS reason FROM {_NCH} AS d WHERE ({_RREASON}) IS NOT NULL")
 def redaction_refused(spark, sf_dir):
-    _, refused = _redaction_inputs(spark, sf_dir)
+    _, refused, _ = _redaction_inputs(spark, sf_dir)
     return refused
 
 
@@ -104,8 +107,8 @@ def redaction_refused(spark, sf_dir):
                f"ELSE 'error' END AS status, CASE WHEN ({_RREASON}) IS NULL THEN 'red-' || CAST(doc_id AS VARCHAR) END "
                f"AS pdf_file_id FROM {_NCH} AS d"))
 def redaction_result(spark, sf_dir):
-    accepted, refused = _redaction_inputs(spark, sf_dir)
-    return J.redaction_result(accepted, refused)
+    _, _, checked = _redaction_inputs(spark, sf_dir)
+    return J.redaction_result(checked)
 
 
 # ---- J12 ----
@@ -122,30 +125,29 @@ _FUNNEL_SQL = (
 @register("stage_funnel", sql=_FUNNEL_SQL)
 def stage_funnel(spark, sf_dir):
     """Each stage counts the survivors of the previous one; failures are
-    rows with a reason, never exceptions."""
+    rows with a reason, never exceptions.  One row per file carries a flag per
+    stage (left joins on the file id), then a single aggregation counts them."""
     keys = PR.load_or_create_keys(spark)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    uploaded = docs.select(F.col("doc_id").cast("string").alias("file_id"),
-                           F.col("text").isNotNull().alias("ok"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file_id"),
+                                                     F.col("text").isNotNull().alias("uploaded"))
     files = QF._local_files(spark, sf_dir, keys)
-    kept = FS.delete_files(files, QF._tombstones(spark, sf_dir)).select("file_id").withColumn("kept", F.lit(True))
-    detected = uploaded.where("ok").select("file_id").join(kept, "file_id", "left") \
-        .select("file_id", F.col("kept").isNotNull().alias("ok"))
-    accepted, _ = _redaction_inputs(spark, sf_dir)
-    acc = accepted.select(F.col("pdf_file_id").alias("file_id")).withColumn("acc", F.lit(True))
-    redacted = detected.where("ok").select("file_id").join(acc, "file_id", "left") \
-        .select("file_id", F.col("acc").isNotNull().alias("ok"))
+    deleted = QF._tombstones(spark, sf_dir).distinct().withColumn("deleted", F.lit(True))
+    accepted, _, _ = _redaction_inputs(spark, sf_dir)
+    acc = accepted.select(F.col("pdf_file_id").alias("file_id")).withColumn("accepted", F.lit(True))
     granted, _ = FS.download(files, _requests(spark, sf_dir, keys), keys)
-    g = granted.select("file_id").withColumn("g", F.lit(True))
-    downloaded = redacted.where("ok").select("file_id").join(g, "file_id", "left") \
-        .select("file_id", F.col("g").isNotNull().alias("ok"))
-
-    def count(df, stage):
-        return df.agg(F.count_if("ok").alias("n_ok"), F.count_if(~F.col("ok")).alias("n_failed")) \
-            .select(F.lit(stage).alias("stage"), "n_ok", "n_failed")
-
-    return count(uploaded, "uploaded").unionByName(count(detected, "detected")) \
-        .unionByName(count(redacted, "redacted")).unionByName(count(downloaded, "downloaded"))
+    g = granted.select("file_id").withColumn("granted", F.lit(True))
+    flags = docs.join(deleted, "file_id", "left").join(acc, "file_id", "left").join(g, "file_id", "left")
+    up = F.col("uploaded")
+    det = up & F.col("deleted").isNull()
+    red = det & F.col("accepted").isNotNull()
+    dow = red & F.col("granted").isNotNull()
+    counts = flags.agg(
+        F.count_if(up).alias("u_ok"), F.count_if(~up).alias("u_bad"),
+        F.count_if(det).alias("d_ok"), F.count_if(up & ~det).alias("d_bad"),
+        F.count_if(red).alias("r_ok"), F.count_if(det & ~red).alias("r_bad"),
+        F.count_if(dow).alias("w_ok"), F.count_if(red & ~dow).alias("w_bad"))
+    return counts.selectExpr("stack(4, 'uploaded', u_ok, u_bad, 'detected', d_ok, d_bad, "
+                             "'redacted', r_ok, r_bad, 'downloaded', w_ok, w_bad) AS (stage, n_ok, n_failed)")
 
 
 # ---- S9 ----
