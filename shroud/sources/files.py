@@ -19,8 +19,6 @@ HTML_ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<")
                  ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 # ---- end of fixed values ----
 
-MAX_BROADCAST_IDS = 100_000  # S4: above this many ids the lookup is a shuffle semi join
-
 
 def html_to_text(html: Column) -> Column:
     """Visible text of a page: scripts, styles, comments and tags out, entities

@@ -20,17 +20,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
-    """Give a text scan enough tasks.
+SPREAD_MAX_BYTES = 1 << 30  # inputs above this are left as scanned (never reshuffled)
+
 
-    A large input already arrives in many file splits and is left alone (no
-    shuffle of the text).  A scan with fewer splits than the cluster has cores
-    (one big file, one row group) is spread round-robin so that every core
-    gets work; only then is the text moved once.  Hashing on ``keys`` keeps the
-    placement deterministic when a task is retried.
+def spread(df: DataFrame, *keys: str, min_partitions: int | None = None) -> DataFrame:
+    """Give a small text scan enough tasks.
+
+    A scan with fewer splits than the cluster has cores (one big file with one
+    row group, as in the test data) is spread by a hash of ``keys`` so every
+    core gets work; the hash keeps placement deterministic on task retries.
+    Only inputs up to ``SPREAD_MAX_BYTES`` (Catalyst's size estimate of the
+    scan) are spread: a large input is assumed to be laid out for parallel
+    reads and is never moved, so at scale this is a no-op and costs nothing.
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SPREAD_MAX_BYTES or df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

@@ -6,7 +6,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shroud.functions import patterns as P
 from shroud.functions import spans as S
 from shroud.operators import detect as D
 from shroud.operators import redact as R
