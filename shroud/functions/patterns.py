@@ -1,7 +1,7 @@
 """Pattern catalogue for detector D1.
 
-The reference names pattern detection but publishes no pattern, so these are
-our own.  Every pattern stays inside the common subset of Java regex, RE2 and
+Pattern detection is part of the contract, but no pattern is specified, so
+these are our own.  Every pattern stays inside the common subset of Java regex, RE2 and
 Python ``re``: ASCII classes only, no look-around, no back-references, no
 ``\\b`` / ``\\d`` / ``\\w`` (their meaning differs between the engines beside
 accented letters), and none may match the empty string.

@@ -1,6 +1,6 @@
 """D3: entity recognition with a pluggable span scorer (``mapInPandas``).
 
-The reference names a learned span model; no weights are available offline,
+The contract names a learned span model; no weights are available offline,
 so the default scorer here is a **stand-in**: deterministic, built from hashed
 character features, and of no claimed quality.  What this module fixes is the
 interface a real model plugs into:

@@ -79,8 +79,8 @@ def job_responses(events: DataFrame) -> DataFrame:
 
 
 def saved_redactions(responses: DataFrame) -> DataFrame:
-    """M9: what a user saved for the redaction step, in the shapes C4 accepts
-    (and some it refuses): full response, ``{redactions}``, bare array,
+    """M9: what a user saved for the redaction step, in the shapes the redaction
+    step accepts (and some it refuses): full response, ``{redactions}``, bare array,
     ``result: null``, a wrongly typed ``result.redactions``, broken JSON."""
     k = F.col("k")
     arr = F.coalesce(F.get_json_object(F.col("json"), "$.result.redactions"), F.lit("[]"))
