@@ -101,3 +101,27 @@ def test_ingest_text_files_and_write_redacted(spark, tmp_path):
     write_redacted(red, out)
     back = {r.redacted_name: r.redacted_text for r in spark.read.parquet(out).collect()}
     assert back == {"report.v2_redacted.txt": "mail me: [EMAIL]\nsecond line", "notes_redacted": "nothing here"}
+
+
+def test_no_cross_joins_and_partial_aggregation(spark):
+    """No registered query plans a cross join; per-job state is combined map-side."""
+    import __spark_entry__ as E
+    qs = E.queries()
+    skip = {n for n in qs if n.startswith("stream_")} | {"annotations", "results_json", "load_redactions"}
+    for name, fn in qs.items():
+        if name in skip:
+            continue
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+    latest = qs["job_latest"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in latest
+    tokens = qs["token_valid_uses"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "bucket" in tokens  # the interval join runs on (user, time bucket), not on the user alone
+
+
+def test_spread_leaves_large_inputs_alone(spark, monkeypatch):
+    from shroud.sources import tables as T
+    docs = table(spark, SF_SMALL, "documents").select("doc_id", "text")
+    assert "Exchange" in _plan(T.spread(docs, "doc_id"))
+    monkeypatch.setattr(T, "SPREAD_MAX_BYTES", 1)
+    assert "Exchange" not in _plan(T.spread(docs, "doc_id"))
