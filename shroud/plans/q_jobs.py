@@ -56,7 +56,9 @@ def mode_validation(spark, sf_dir):
 
 @register("job_latest", sql=f"SELECT user_id AS job_id, status, ts FROM {_RANKED} AS r WHERE rn_last = 1")
 def job_latest(spark, sf_dir):
-    return J.job_latest(_job_events(spark, sf_dir))
+    # event times were read as TIMESTAMP for watermark use; the answer gives
+    # them back in the source's type (wall-clock, no zone)
+    return J.job_latest(_job_events(spark, sf_dir)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @register("resolve_response",
