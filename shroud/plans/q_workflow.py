@@ -12,7 +12,7 @@ from shroud.plans import oracle as O
 from shroud.plans import q_files as QF
 from shroud.plans import workflow as W
 from shroud.plans.q_detect import DOC_M
-from shroud.plans.q_review import ADDS_SQL, REV_F, decidable, derive_decisions
+from shroud.plans.q_review import ADDS_SQL, REV_F
 from shroud.plans.registry import register
 from shroud.session import scratch_path
 from shroud.sources import files as FS
@@ -37,19 +37,29 @@ def _requests(spark, sf_dir, keys):
          + F.make_dt_interval(F.lit(0), F.lit(0), F.expr(QF.DELAY_RULE).cast("int"))).alias("requested_at"))
 
 
+# The reviewers' decisions the workflow applies, derived from ``labels`` on the
+# document row: quality 0 -> every finding rejected; toxic 1 -> a note added at
+# the start of the text.  (The same rules as the decisions table of the review
+# queries; accepting changes nothing, so accepts need no entry here.)
+_ROW_DECISIONS = (
+    "CASE WHEN quality = 0 THEN transform(findings, f -> named_struct('start', f.start, 'end', f.end, "
+    "'action', 'reject', 'entity', CAST(NULL AS STRING))) "
+    "WHEN quality = 1 AND toxic = 1 AND n_chars > 0 THEN array(named_struct('start', 0, "
+    "'end', CAST(least(10, n_chars) AS INT), 'action', 'add', 'entity', 'review_note')) "
+    "ELSE CAST(array() AS array<struct<start:int,end:int,action:string,entity:string>>) END")
+
+
 def run_workflow(spark, sf_dir):
     keys = PR.load_or_create_keys(spark)
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars"), "doc_id")
     dictionary = K.keyword_dictionary(spark)
-    # review decisions are derived from the labels and the findings of the
-    # labelled documents only (a semi join first, so the rest is not detected twice)
-    labelled = docs.join(decidable(spark, sf_dir), "doc_id", "left_semi")
-    files = FS.ingest_local(labelled, keys, F.lit(QF.INGESTED_AT).cast("timestamp"))
-    pre = W.detect_step(files, dictionary, W.WorkflowConfig())
-    pre_rows = D.explode_findings(pre.withColumn("doc_id", F.col("file_id").cast("bigint")), ["doc_id"])
-    decisions = derive_decisions(spark, sf_dir, pre_rows)
+    # per-document review flags join on the file id like every other step,
+    # so detection runs once and only the small label table moves
+    flags = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("file_id"),
+                                                  "quality", "toxic")
     return W.run(docs, keys, dictionary, _requests(spark, sf_dir, keys), QF._tombstones(spark, sf_dir),
-                 decisions, F.lit(QF.INGESTED_AT).cast("timestamp"))
+                 None, F.lit(QF.INGESTED_AT).cast("timestamp"), row_info=flags,
+                 decide=lambda: F.expr(_ROW_DECISIONS))
 
 
 @register("workflow",

@@ -63,14 +63,35 @@ def download_step(redacted: DataFrame, requests: DataFrame, keys: DataFrame,
     return out, refused
 
 
+def review_on_row(detected: DataFrame, decide) -> DataFrame:
+    """H2 with decisions computed on the document row: ``decide`` returns an
+    ``array<struct<start,end,action,entity>>`` column from the row's columns
+    (e.g. per-document review flags joined on the file id)."""
+    return detected.withColumn("__dec", decide()) \
+        .withColumn("findings", RV.apply_decisions_array("findings", "__dec")).drop("__dec")
+
+
 def run(documents: DataFrame, keys: DataFrame, dictionary: DataFrame, requests: DataFrame,
         tombstones: DataFrame | None = None, decisions: DataFrame | None = None,
-        created_at: Column | None = None, cfg: WorkflowConfig = WorkflowConfig()) -> tuple[DataFrame, DataFrame]:
-    """The whole workflow; returns (delivered documents, refused downloads)."""
+        created_at: Column | None = None, cfg: WorkflowConfig = WorkflowConfig(),
+        row_info: DataFrame | None = None, decide=None) -> tuple[DataFrame, DataFrame]:
+    """The whole workflow; returns (delivered documents, refused downloads).
+
+    Every join is on ``file_id``: once the text side is partitioned by it
+    (the first join that needs a shuffle), deletions, per-document review
+    information, decisions and the download check reuse that partitioning,
+    so the text moves at most once.  ``decisions`` is a decisions table (M11);
+    alternatively ``row_info`` (file_id + columns) is joined to the rows and
+    ``decide`` turns them into decisions on the row.
+    """
     files = FS.ingest_local(documents, keys, created_at)
     if tombstones is not None:
         files = FS.delete_files(files, tombstones)
+    if row_info is not None:
+        files = files.join(row_info, "file_id", "left")
     detected = detect_step(files, dictionary, cfg)
     reviewed = review_step(detected, decisions)
+    if decide is not None:
+        reviewed = review_on_row(reviewed, decide)
     redacted = redact_step(reviewed, cfg.style)
     return download_step(redacted, requests, keys, cfg.ttl_minutes)
