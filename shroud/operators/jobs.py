@@ -92,6 +92,24 @@ def job_summary(responses: DataFrame) -> DataFrame:
         variant_size(redactions_array(v)).alias("n_redactions"))
 
 
+def token_carry(responses: DataFrame, code: str = "fdf") -> DataFrame:
+    """J5 per job: the output reference (with its token) comes from the first
+    answer if it has one, else from the final answer (J3) -- the whole struct,
+    so a token is never paired with another answer's file.  Output: job_id,
+    {code}_file_id, token_present (never the token itself).
+    responses: job_id, ts, event_id, json."""
+    v = parsed(F.col("json"))
+    per = responses.select("job_id", "ts", "event_id", vget(v, "$.jobStatus").alias("status"),
+                           output_file(v, code).alias("ref"))
+    key = F.struct("ts", "event_id")
+    agg = per.groupBy("job_id").agg(F.min_by(F.struct("status", "ref"), key).alias("first"),
+                                    F.max_by(F.struct("status", "ref"), key).alias("last"))
+    final_ref = F.when(F.col("first.status") == "inProgress", F.col("last.ref")).otherwise(F.col("first.ref"))
+    carry = F.coalesce(F.col("first.ref"), final_ref)
+    return agg.select("job_id", carry["fileId"].alias(f"{code}_file_id"),
+                      F.coalesce(carry["dekToken"] != "", F.lit(False)).alias("token_present"))
+
+
 # ---- R1 / R2 ----
 def normalize_redactions(saved: DataFrame) -> DataFrame:
     """Object -> ``result.redactions`` if present and not null, else

@@ -120,17 +120,7 @@ def output_file_first(spark, sf_dir):
 def token_carry(spark, sf_dir):
     """The reference and token come from the first answer, else from the
     final one -- the whole struct, so a token never pairs with another file."""
-    r = _responses(spark, sf_dir)
-    v = J.parsed(F.col("json"))
-    per = r.select("job_id", "ts", "event_id", J.vget(v, "$.jobStatus").alias("status"),
-                   J.output_file(v, "fdf").alias("fdf"))
-    key = F.struct("ts", "event_id")
-    agg = per.groupBy("job_id").agg(F.min_by(F.struct("status", "fdf"), key).alias("first"),
-                                    F.max_by(F.struct("status", "fdf"), key).alias("last"))
-    final_fdf = F.when(F.col("first.status") == "inProgress", F.col("last.fdf")).otherwise(F.col("first.fdf"))
-    carry = F.coalesce(F.col("first.fdf"), final_fdf)
-    return agg.select("job_id", carry["fileId"].alias("fdf_file_id"),
-                      F.coalesce(carry["dekToken"] != "", F.lit(False)).alias("token_present"))
+    return J.token_carry(_responses(spark, sf_dir))
 
 
 @register("job_failed", sql=f"SELECT event_id AS case_id, {_FAILED} AS failed FROM {EV_SQL} AS e")

@@ -90,3 +90,21 @@ def test_redacted_names(spark):
     df = spark.createDataFrame([("a/b/report.v2.txt",), (".env",), ("report",)], "p string")
     got = [r.n for r in df.select(redacted_name(F.col("p")).alias("n")).collect()]
     assert got == ["report.v2_redacted.txt", ".env_redacted", "report_redacted"]
+
+
+def test_token_carry(spark):
+    rows = [
+        # initial inProgress with reference and token, polled finished without token -> initial's
+        (1, 1, "2024-01-01 00:00:00", '{"jobStatus":"inProgress","outputFiles":[{"fileCode":"fdf","fileId":"a","dekToken":"t"}]}'),
+        (1, 2, "2024-01-01 00:00:02", '{"jobStatus":"finished","outputFiles":[{"fileCode":"fdf","fileId":"a"}]}'),
+        # initial inProgress without reference -> the final answer's reference (no token)
+        (2, 3, "2024-01-01 00:00:00", '{"jobStatus":"inProgress"}'),
+        (2, 4, "2024-01-01 00:00:05", '{"jobStatus":"finished","outputFiles":[{"fileCode":"fdf","fileId":"b"}]}'),
+        # initial finished: it is final, later answers do not matter
+        (3, 5, "2024-01-01 00:00:00", '{"jobStatus":"finished","outputFiles":null}'),
+        (3, 6, "2024-01-01 00:00:09", '{"jobStatus":"finished","outputFiles":[{"fileCode":"fdf","fileId":"c","dekToken":"u"}]}'),
+    ]
+    df = spark.createDataFrame(rows, "job_id long, event_id long, ts string, json string") \
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    got = {r.job_id: (r.fdf_file_id, r.token_present) for r in J.token_carry(df).collect()}
+    assert got == {1: ("a", True), 2: ("b", False), 3: (None, False)}
