@@ -43,8 +43,24 @@ def stream_token_uses(spark, sf_dir):
     return run_available(S.token_uses_stream(issues, uses, 1440), "token_uses")
 
 
-@register("stream_job_tracker")
+def _tracker_sql():
+    from shroud.plans.q_jobs import EV_SQL
+    deadline = f"INTERVAL {S.JOB_DEADLINE_S} SECOND"
+    return (f"SELECT f.user_id AS job_id, coalesce(t.status, 'timeout') AS status, "
+            f"coalesce(t.ts, f.t0 + {deadline}) AS ts FROM "
+            f"(SELECT user_id, min(ts) AS t0 FROM {EV_SQL} AS e GROUP BY user_id) AS f LEFT JOIN "
+            f"(SELECT e.user_id, e.ts, e.status, row_number() OVER (PARTITION BY e.user_id "
+            f"ORDER BY e.ts, e.event_id) AS rn FROM {EV_SQL} AS e JOIN "
+            f"(SELECT user_id, min(ts) AS t0 FROM {EV_SQL} AS e0 GROUP BY user_id) AS g ON e.user_id = g.user_id "
+            f"WHERE e.status IN ('finished', 'error') AND e.ts <= g.t0 + {deadline}) AS t "
+            f"ON f.user_id = t.user_id AND t.rn = 1")
+
+
+@register("stream_job_tracker", sql=_tracker_sql())
 def stream_job_tracker(spark, sf_dir):
-    """Rows-only: the outcome per job as the event-time timers resolve it."""
+    """The outcome per job as the event-time timers resolve it.  Over a whole
+    event file every job resolves (its deadline passes the final watermark
+    or a later event arrives), so the result equals the batch rule."""
     ev = stream_table(spark, sf_dir, "events")
-    return run_available(S.job_tracker_stream(job_events(ev)), "job_tracker")
+    out = run_available(S.job_tracker_stream(job_events(ev)), "job_tracker")
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

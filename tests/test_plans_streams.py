@@ -82,7 +82,7 @@ def test_entry_and_registry(spark):
     assert df.count() >= 0
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == {"detect_ner", "stream_job_tracker", "poll_percentiles"}
+    assert set(qs) - set(sql) == {"detect_ner", "poll_percentiles"}
 
 
 def test_ingest_text_files_and_write_redacted(spark, tmp_path):
