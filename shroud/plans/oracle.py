@@ -58,6 +58,10 @@ def merged(findings_sql: str, keys: str) -> str:
 
 
 def replacement_sql(style: str) -> str:
+    """``style`` is a style name, or ``sql:<expression>`` giving the style per row."""
+    if style.startswith("sql:"):
+        return (f"CASE {style[4:]} WHEN 'label' THEN '[' || upper(entity) || ']' "
+                f"WHEN 'mask' THEN repeat('*', end_ - start) ELSE '' END")
     if style == "label":
         return "'[' || upper(entity) || ']'"
     if style == "mask":
@@ -65,7 +69,8 @@ def replacement_sql(style: str) -> str:
     return "''"
 
 
-def redacted(src: str, keys: str, spans_sql: str, text: str = "text", style: str = "label") -> str:
+def redacted(src: str, keys: str, spans_sql: str, text: str = "text", style: str = "label",
+             extra: tuple = ()) -> str:
     """(keys, n_redactions, redacted_text): gaps and replacements in order, then the tail."""
     ks = [k.strip() for k in keys.split(",")]
     on_ds = " AND ".join(f"d.{k} = r.{k}" for k in ks)
@@ -79,7 +84,8 @@ def redacted(src: str, keys: str, spans_sql: str, text: str = "text", style: str
         f"FROM {src} AS d LEFT JOIN ("
         f"SELECT {keys}, count(*) AS n, max(end_) AS last_end, "
         f"string_agg(substring({text}, pe + 1, start - pe) || {replacement_sql(style)}, '' ORDER BY start) AS body "
-        f"FROM (SELECT m.*, s.{text} AS {text}, coalesce(lag(m.end_) OVER (PARTITION BY {m_keys} ORDER BY m.start), 0) AS pe "
+        f"FROM (SELECT m.*, s.{text} AS {text}{''.join(f', s.{c} AS {c}' for c in extra)}, "
+        f"coalesce(lag(m.end_) OVER (PARTITION BY {m_keys} ORDER BY m.start), 0) AS pe "
         f"FROM ({spans_sql}) AS m JOIN {src} AS s ON {on_ms}) AS g GROUP BY {keys}) AS r "
         f"ON {on_ds}")
 

@@ -99,3 +99,24 @@ def apply_config(df, text_col="text", config_col="config", key_cols=("doc_id",))
 def detection_config(spark, sf_dir):
     docs = with_config(texts.documents(spark, sf_dir, ("doc_id", "text", "lang")))
     return D.explode_findings(apply_config(docs), ["doc_id"])
+
+
+_CFG_F = (f"SELECT p.* FROM ({DOC_PAT}) AS p JOIN documents AS d USING (doc_id) "
+          f"WHERE coalesce(d.lang, '') <> 'de' AND (d.lang IS DISTINCT FROM 'fr' OR p.entity IN ('email', 'phone', 'card')) "
+          f"UNION ALL SELECT k.* FROM {DOC_KW} AS k JOIN documents AS d USING (doc_id) "
+          f"WHERE coalesce(d.lang, '') <> 'fr'")
+_STYLE_BY_LANG = "CASE lang WHEN 'es' THEN 'mask' ELSE 'label' END"
+
+
+@register("redact_configured",
+          sql=O.redacted("documents", "doc_id", O.merged(_CFG_F, "doc_id"), style=f"sql:{_STYLE_BY_LANG}",
+                         extra=("lang",)))
+def redact_configured(spark, sf_dir):
+    """D5 + R4: each request's configuration picks detectors, entities and the
+    redaction style (here: ``mask`` for one language, the default label else);
+    the style is a column, applied row by row in the same projection."""
+    from shroud.operators import redact as R
+    docs = with_config(texts.documents(spark, sf_dir, ("doc_id", "text", "lang")))
+    found = D.merge(apply_config(docs))
+    out = R.apply_redactions(found, "text", "findings", "style", merged=True)
+    return out.select("doc_id", F.size("findings").alias("n_redactions"), "redacted_text")
