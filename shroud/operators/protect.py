@@ -51,7 +51,12 @@ def load_or_create_keys(spark: SparkSession, path: str | None = None, n: int = N
     path = path or scratch_path(spark, "shroud-master-keys")
     if not exists(spark, path):
         rows = [(f"k{i + 1}", i, bytearray(os.urandom(32))) for i in range(n)]
-        spark.createDataFrame(rows, KEYS_SCHEMA).write.mode("errorifexists").parquet(path)
+        try:
+            spark.createDataFrame(rows, KEYS_SCHEMA).write.mode("errorifexists").parquet(path)
+        except Exception:
+            # another job created the table first: use that one (keys are written once)
+            if not exists(spark, path):
+                raise
     keys = spark.read.parquet(path)
     if path in _COUNTS:
         keys._shroud_key_count = _COUNTS[path]
