@@ -38,16 +38,48 @@ def get_session(app: str = "shroud", master: str | None = None,
     for k, v in _REQUIRED_CONF.items():
         spark.conf.set(k, v)
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
 def ensure_settings(spark: SparkSession) -> None:
     """Apply the settings shroud's results and plans rely on to a session
-    someone else built (idempotent, runtime-settable options only)."""
+    someone else built (idempotent, runtime-settable options only), and make
+    the package importable by the Python workers."""
     for k, v in _REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     checkpoint_root(spark)
+    ship_package(spark)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python steps (NER's ``mapInPandas``, the job tracker's state function)
+    run in executor Python workers, which must import ``shroud``.  The package
+    is zipped once per application and distributed with ``addPyFile``."""
+    import os
+    import tempfile
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="shroud-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _dirs, files in os.walk(root):
+            if "__pycache__" in d:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.join("shroud", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
