@@ -125,3 +125,15 @@ def test_spread_leaves_large_inputs_alone(spark, monkeypatch):
     assert "Exchange" in _plan(T.spread(docs, "doc_id"))
     monkeypatch.setattr(T, "SPREAD_MAX_BYTES", 1)
     assert "Exchange" not in _plan(T.spread(docs, "doc_id"))
+
+
+def test_package_shipped_to_workers(spark):
+    """Python steps need ``shroud`` importable in executor workers."""
+    import zipfile
+    from shroud.session import ship_package
+    ship_package(spark)
+    zips = [p for p in spark.sparkContext._python_includes if "shroud-" in p]
+    assert zips
+    from pyspark import SparkFiles
+    names = zipfile.ZipFile(SparkFiles.get(zips[0])).namelist()
+    assert "shroud/operators/ner.py" in names and "shroud/streaming/operators.py" in names
