@@ -93,3 +93,39 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import url_filter
     pages = common.table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.url_filter(pages, URL_RULES).drop("url")
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, common.table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query("op3_decontamination", r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM benchmark),
+bl AS (SELECT item_id, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS g FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM bl)),
+lens AS (SELECT DISTINCT n FROM win),
+pos AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n),
+hit AS (SELECT p.r, p.i, p.n, win.item_id FROM (SELECT r, i, n, list_slice(w, i, i + n - 1) AS g FROM pos) p JOIN win ON win.n = p.n AND win.g = p.g),
+cov AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hit) GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS names FROM (SELECT DISTINCT r, item_id::VARCHAR AS s FROM hit) GROUP BY r)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (r) LEFT JOIN it USING (r)""")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontaminate as D
+    index = D.build_index(common.table(spark, sf_dir, "documents"))
+    hits = D.phrase_hits(index, common.table(spark, sf_dir, "benchmark"))
+    return D.contamination(hits).withColumnRenamed("__id", "doc_id").drop("__th")
+
+
+@query("op5_simhash")
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash
+    found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+    return found.select(F.col("__id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
