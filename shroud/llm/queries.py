@@ -129,3 +129,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
     found = simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
     return found.select(F.col("__id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffix_dedup
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
