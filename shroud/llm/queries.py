@@ -136,3 +136,16 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import suffix_dedup
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op7_topk", r"""
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM p) WHERE rank <= 5""")
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import topk
+    return topk.top_k(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
