@@ -167,3 +167,19 @@ def op9_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left")  # at most TARGET_DOCUMENTS ids
     return resample.resample(docs, F.col("good_id").isNotNull(), share=n["good"] / n["n"] if n["n"] else 1.0).select(
         "doc_id", "log_weight", "gumbel_key", "selected")
+
+
+@query("op4_line_dedup", r"""
+WITH l AS (SELECT doc_id, generate_subscripts(s, 1) - 1 AS n, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL)),
+f AS (SELECT doc_id, n, line, length(line) AS m, dense_rank() OVER (ORDER BY doc_id NULLS LAST, n) AS pos FROM l WHERE trim(translate(line, chr(9) || chr(13), '  ')) <> ''),
+u AS (SELECT line, any_value(m) AS m, min(pos) AS pos FROM f GROUP BY line),
+k AS (SELECT line, m, pos, c, unnest([0, 1]) AS side FROM (SELECT line, m, pos, unnest([m, m - 1]) AS c FROM u WHERE m >= 20)),
+h AS (SELECT *, CASE side WHEN 0 THEN left(line, c // 2) ELSE right(line, c - c // 2) END AS part FROM k),
+near AS (SELECT DISTINCT a.line FROM h a JOIN h b ON a.c = b.c AND a.side = b.side AND a.part = b.part AND b.pos < a.pos WHERE levenshtein(a.line, b.line) <= 1),
+d AS (SELECT f.doc_id, f.n FROM f JOIN u USING (line) WHERE f.pos > u.pos OR f.line IN (SELECT line FROM near)),
+g AS (SELECT doc_id, count(*)::BIGINT AS n_dropped, list(n::INTEGER ORDER BY n) AS dropped FROM d GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(dropped, []::INTEGER[]) AS dropped
+FROM documents LEFT JOIN g ON documents.doc_id IS NOT DISTINCT FROM g.doc_id""")
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import line_dedup
+    return line_dedup.line_report(common.table(spark, sf_dir, "documents"))
