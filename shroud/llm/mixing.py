@@ -122,7 +122,12 @@ def mix(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source
                     "target", F.col("__copies").alias("copies"), (F.col("__copies") * F.col("__size")).alias("taken")))
 
 
-def expand(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The mix itself: every document as often as it was taken."""
-    return (mixed.filter(F.col("copies") > 0)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*columns))
+def take(df: DataFrame, **options) -> DataFrame:
+    """The mix itself: every row of ``df`` as often as it is taken, with its columns as they are."""
+    safe = {c: f"__in{i}" for i, c in enumerate(df.columns)}
+    options = {k: safe[v] for k, v in ({"id_col": "doc_id", "text_col": "text", "source_col": "source"} | options).items()
+               if k in ("id_col", "text_col", "source_col", "weight_col")} | {
+        k: v for k, v in options.items() if k not in ("id_col", "text_col", "source_col", "weight_col")}
+    mixed = mix(df.withColumnsRenamed(safe), **options).filter(F.col("copies") > 0)
+    return (mixed.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+            .select(*[F.col(new).alias(old) for old, new in safe.items()]))

@@ -230,8 +230,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     return Model(o, t, beta, mean, scale, base)
 
 
-def score(df: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``df`` with ``score`` (double) and ``predicted`` (int) for every row."""
+def _rated(df: DataFrame, model: Model, text_col: str, name: str) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -240,5 +239,15 @@ def score(df: DataFrame, model: Model, *, text_col: str = "text", threshold: flo
         for part in parts:
             yield pd.Series([scorer.score(t) for t in part], dtype="float64")
 
-    out = df.withColumn("score", rate(F.col(text_col)))
+    return df.withColumn(name, rate(F.col(text_col)))
+
+
+def score(df: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``df`` with ``score`` (double) and ``predicted`` (int) for every row."""
+    out = _rated(df, model, text_col, "score")
     return out.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int"))
+
+
+def keep_clean(df: DataFrame, model: Model, *, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that score below the threshold, with the columns of ``df`` as they are."""
+    return _rated(df, model, text_col, "__score").filter(F.col("__score") < threshold).drop("__score")

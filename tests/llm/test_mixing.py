@@ -60,7 +60,9 @@ def test_all_at_cap_unequal_weights_and_expansion(make):
     got = m.collect()
     assert abs(sum(r.taken for r in got) - 450) <= 2
     assert sum(r.copies for r in got if r.n_chars == 5) > 1.3 * sum(r.copies for r in got if r.n_chars == 1)
-    assert mixing.expand(m, ["doc_id", "text"]).count() == sum(r.copies for r in got)
+    taken = mixing.take(make(rows).withColumn("size", F.lit("clash")), budget=0.5, weight_col="n_chars")
+    assert taken.columns == ["doc_id", "text", "lang", "source", "n_chars", "size"] and {r.size for r in taken.collect()} == {"clash"}
+    assert sorted(r.doc_id for r in taken.collect()) == sorted(r.doc_id for r in got for _ in range(r.copies))
 
 
 def test_empty_and_no_words(make):
