@@ -6,16 +6,14 @@ token sequence equals the text's lowered tokens at consecutive positions, so
 matching is whole-word by construction and blind to punctuation and spacing
 between the words.
 
-Two paths with the same result:
-
-* **small dictionary** (up to ``MAX_LITERAL`` phrases, size checked): the
-  dictionary becomes a map literal (first token -> candidates) evaluated on the
-  row; no join, no shuffle.
-* **large dictionary**: token positions are exploded and joined with the
-  dictionary on the first token (broadcast when the dictionary's checked size
-  allows, a shuffle join otherwise), then each candidate is verified against
-  the text's token array on the same row.  Only positions whose token starts a
-  phrase survive the join, so the n-gram check never runs on most tokens.
+A phrase is looked up by the hash of its first n-gram (its first ``GRAM`` tokens, or all
+of a shorter phrase), so phrases that share a first word cost no more than others.  Every
+hit is verified against the whole phrase, and offsets are computed only for
+texts with a hit.  Both plans test the same lowered tokens and give the same rows:
+
+* a dictionary of up to ``LITERAL_BYTES`` travels in the expression: a hash-set test per
+  token position on the row; no join, no shuffle;
+* a larger one is joined on the hash, broadcast only up to ``BROADCAST_BYTES``.
 """
 
 from __future__ import annotations
@@ -27,9 +25,9 @@ from shroud.functions import spans as S
 from shroud.functions.spans import FINDING_DDL, empty, lit, ref, regex_matches
 
 TOKEN_RE = r"[\p{L}\p{M}\p{N}]+"
-MAX_LITERAL = 1000          # phrases; above this the join path is used
-MAX_PREFILTER = 64          # distinct first tokens; up to this a substring prefilter runs first
-MAX_BROADCAST = 200_000     # phrases (a few tens of MB); above this no broadcast
+GRAM = 4                      # tokens of the n-gram a phrase is looked up by
+LITERAL_BYTES = 256 << 10     # dictionary text inside the expression; above this the join plan
+BROADCAST_BYTES = 16 << 20    # dictionary text that is broadcast; above this a shuffle join
 DICT_SCHEMA = "entity string, phrase string"
 
 # ---- fixed values: built-in keyword list (entity, phrase) ----
@@ -59,92 +57,99 @@ def passage_dictionary(benchmark: DataFrame, entity: str = "benchmark") -> DataF
     return benchmark.select(F.lit(entity).alias("entity"), F.col("text").alias("phrase"))
 
 
+def _gram_key(tokens: str, start: str, g: str) -> str:
+    """Hash of ``g`` tokens from the 1-based ``start``."""
+    return f"xxhash64({g}, array_join(slice({tokens}, {start}, {g}), ' '))"
+
+
 def normalise(dictionary: DataFrame) -> DataFrame:
-    """entity, first, n, phrase (lowered tokens joined by one blank)."""
+    """entity, n, phrase (lowered tokens joined by one blank), g and key (first n-gram), first (hash of the first token)."""
     toks = F.transform(regex_matches(F.col("phrase"), TOKEN_RE), lambda t: F.lower(t))
     d = dictionary.select("entity", toks.alias("toks")).where(F.size("toks") > 0)
-    return d.select("entity", F.get(F.col("toks"), 0).alias("first"),
-                    F.size("toks").alias("n"), F.array_join("toks", " ").alias("phrase")).distinct()
-
-
-def with_tokens(df: DataFrame, text_col: str, prefix: str = "__t",
-                enabled: Column | None = None) -> DataFrame:
-    """Adds ``{prefix}s`` (token spans) and ``{prefix}l`` (lowered tokens).
-    Rows where ``enabled`` is false get no tokens (and so no keyword)."""
-    m = f"{prefix}m"
-    src = F.col(text_col) if enabled is None else F.when(enabled, F.col(text_col))
-    staged = df.withColumn(m, regex_matches(src, TOKEN_RE))
-    staged = staged.withColumn(f"{prefix}s", F.expr(S.find_all(ref(text_col), ref(m), TOKEN_RE))).drop(m)
-    return staged.withColumn(f"{prefix}l", F.transform(F.col(f"{prefix}s"), lambda x: F.lower(x["match"])))
-
-
-def _literal_findings(spans: str, tokens: str, rows) -> str:
-    """The small-dictionary path as one expression: a map literal from first
-    token to candidate phrases, probed at every token position of the row."""
-    by_first: dict[str, list[tuple[int, str, str]]] = {}
-    for entity, first, n, phrase in rows:
-        by_first.setdefault(first, []).append((n, phrase, entity))
+    d = d.withColumn("n", F.size("toks")).withColumn("g", F.least("n", F.lit(GRAM)))
+    return d.select("entity", "n", F.array_join("toks", " ").alias("phrase"), "g",
+                    F.expr(_gram_key("toks", "1", "g")).alias("key"),
+                    F.xxhash64(F.get("toks", F.lit(0))).alias("first")).distinct()
+
+
+def _text_bytes(norm: DataFrame) -> int:
+    return norm.agg(F.sum(F.octet_length("phrase") + F.octet_length("entity"))).first()[0] or 0
+
+
+def _lowered(text: str) -> str:
+    t = S._v("t")
+    return f"transform(regexp_extract_all({text}, {lit(TOKEN_RE)}, 0), {t} -> lower({t}))"
+
+
+def _spans(text: str) -> str:
+    return S.find_all(text, f"regexp_extract_all({text}, {lit(TOKEN_RE)}, 0)", TOKEN_RE)
+
+
+def _literal_findings(text: str, rows) -> str:
+    """The findings of one text as one expression.  Long ``IN`` lists become hash sets,
+    so a token position costs the same whatever the number of phrases."""
+    by_key: dict[int, list] = {}
+    for entity, n, phrase, _g, key, _first in rows:
+        by_key.setdefault(key, []).append((n, phrase, entity))
     cand_t = "array<struct<n:int,phrase:string,entity:string>>"
-    pairs = []
-    for first in sorted(by_first):
-        cands = ", ".join(f"named_struct('n', {n}, 'phrase', {lit(p)}, 'entity', {lit(e)})"
-                          for n, p, e in sorted(by_first[first]))
-        pairs.append(f"{lit(first)}, CAST(array({cands}) AS {cand_t})")
-    lookup = f"map({', '.join(pairs)})"
-
-    def body(sp, lt):
-        i, c, h = S._v("i"), S._v("c"), S._v("h")
-        cands = f"coalesce(try_element_at({lookup}, get({lt}, {i})), CAST(array() AS {cand_t}))"
-        hits = f"filter({cands}, {c} -> array_join(slice({lt}, {i} + 1, {c}.n), ' ') = {c}.phrase)"
-        at = (f"transform({hits}, {h} -> named_struct('start', get({sp}, {i}).start, "
-              f"'end', get({sp}, {i} + {h}.n - 1).end, 'entity', {h}.entity, 'detector', 'keyword', "
-              f"'score', CAST(1.0 AS DOUBLE)))")
-        return (f"CASE WHEN size({lt}) = 0 OR size({lt}) IS NULL THEN {empty(FINDING_DDL)} "
-                f"ELSE flatten(transform(sequence(0, size({lt}) - 1), {i} -> {at})) END")
-
-    return S.let(spans, lambda sp: S.let(tokens, lambda lt: body(sp, lt)))
+    def entry(key):
+        cands = ", ".join(f"named_struct('n', {n}, 'phrase', {lit(p)}, 'entity', {lit(e)})" for n, p, e in sorted(by_key[key]))
+        return f"CAST('{key}' AS BIGINT), CAST(array({cands}) AS {cand_t})"
+
+    pairs = ", ".join(entry(key) for key in sorted(by_key))
+    firsts = ", ".join(f"CAST('{x}' AS BIGINT)" for x in sorted({r[5] for r in rows}))
+    grams = {g: ", ".join(f"CAST('{x}' AS BIGINT)" for x in sorted({r[4] for r in rows if r[3] == g})) for g in sorted({r[3] for r in rows})}
+
+    def body(lt):
+        i, j, c, h = S._v("i"), S._v("j"), S._v("c"), S._v("h")
+        key = {g: _gram_key(lt, f"{i} + 1", str(g)) for g in grams}
+        test = " OR ".join(f"{key[g]} IN ({grams[g]})" for g in grams)
+        hits = f"filter(sequence(0, size({lt}) - 1), {i} -> xxhash64(get({lt}, {i})) IN ({firsts}) AND ({test}))"
+        found = ", ".join(f"coalesce(try_element_at(map({pairs}), {_gram_key(lt, f'{j} + 1', str(g))}), CAST(array() AS {cand_t}))" for g in grams)
+
+        def spans(sp, at):
+            ok = (f"filter(flatten(array({found})), {c} -> {j} + {c}.n <= size({lt}) "
+                  f"AND array_join(slice({lt}, {j} + 1, {c}.n), ' ') = {c}.phrase)")
+            one = (f"transform({ok}, {h} -> named_struct('start', get({sp}, {j}).start, 'end', get({sp}, {j} + {h}.n - 1).end, "
+                   f"'entity', {h}.entity, 'detector', 'keyword', 'score', CAST(1.0 AS DOUBLE)))")
+            return f"flatten(transform({at}, {j} -> {one}))"
+
+        placed = S.let(hits, lambda at: f"CASE WHEN size({at}) = 0 THEN {empty(FINDING_DDL)} "
+                                        f"ELSE {S.let(_spans(text), lambda sp: spans(sp, at))} END")
+        return f"CASE WHEN coalesce(size({lt}), 0) <= 0 THEN {empty(FINDING_DDL)} ELSE {placed} END"
+
+    return S.let(_lowered(text), body) if rows else empty(FINDING_DDL)
 
 
 def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: str = "findings",
                     key_cols=None, path: str = "auto", enabled: Column | None = None) -> DataFrame:
     """D2 on the array plane: appends keyword findings to ``out``.
 
-    ``path``: ``literal``, ``join`` or ``auto`` (literal when the dictionary's
-    size, checked with a bounded ``limit``, is at most ``MAX_LITERAL``).
-    The join path needs ``key_cols`` (unique per row) to bring the findings
-    back to their row.
+    ``path``: ``literal``, ``join`` or ``auto`` (literal up to ``LITERAL_BYTES`` of
+    dictionary text).  The join plan needs ``key_cols`` (unique per row) to bring
+    the findings back to their row.
     """
     norm = normalise(dictionary)
     rows = None
-    key = getattr(dictionary, "_shroud_rows", None)
-    if path in ("auto", "literal") and key is not None and key in _NORMALISED:
-        rows = _NORMALISED[key]
-    elif path in ("auto", "literal"):
-        rows = [tuple(r) for r in norm.select("entity", "first", "n", "phrase").limit(MAX_LITERAL + 1).collect()]
-        if key is not None and len(rows) <= MAX_LITERAL:
-            _NORMALISED[key] = rows
-        if len(rows) > MAX_LITERAL:
-            if path == "literal":
-                raise ValueError(f"dictionary larger than {MAX_LITERAL} phrases; use the join path")
-            rows = None
+    known = getattr(dictionary, "_shroud_rows", None)
+    if path != "join":
+        rows = _NORMALISED.get(known) if known is not None else None
+        if rows is None and _text_bytes(norm) <= LITERAL_BYTES:
+            rows = [tuple(r) for r in norm.select("entity", "n", "phrase", "g", "key", "first").collect()]
+            if known is not None:
+                _NORMALISED[known] = rows
+        if rows is None and path == "literal":
+            raise ValueError(f"dictionary larger than {LITERAL_BYTES} bytes; use the join plan")
     keep = [c for c in df.columns if c != out]
     prev = f"coalesce({ref(out)}, {empty(FINDING_DDL)})" if out in df.columns else empty(FINDING_DDL)
+    src = df if enabled is None else df.withColumn("__kwtext", F.when(enabled, F.col(text_col)))
+    text = text_col if enabled is None else "__kwtext"
     if rows is not None:
-        firsts = sorted({r[1] for r in rows})
-        if firsts and len(firsts) <= MAX_PREFILTER:
-            # a row can only match if its lowered text contains some first token:
-            # one literal-alternation scan instead of tokenising every row
-            alt = "|".join("\\Q" + f.replace("\\E", "\\E\\\\E\\Q") + "\\E" for f in firsts)
-            has = F.lower(F.col(text_col)).rlike(f"(?:{alt})")
-            enabled = has if enabled is None else (enabled & has)
-        t = with_tokens(df, text_col, enabled=enabled)
-        found = _literal_findings(ref("__ts"), ref("__tl"), rows)
-        return t.select(*keep, F.expr(f"concat({prev}, {found})").alias(out))
+        return src.select(*keep, F.expr(f"concat({prev}, {_literal_findings(ref(text), rows)})").alias(out))
     if not key_cols:
-        raise ValueError("the join path needs key_cols")
-    src = df if enabled is None else df.withColumn("__kwtext", F.when(enabled, F.col(text_col)))
-    table = keyword_table(src, key_cols, text_col if enabled is None else "__kwtext", dictionary, normalised=norm)
-    per_row = table.groupBy(*key_cols).agg(F.collect_list(F.struct(
+        raise ValueError("the join plan needs key_cols")
+    found = keyword_table(src, key_cols, text, dictionary, normalised=norm)
+    per_row = found.groupBy(*key_cols).agg(F.collect_list(F.struct(
         "start", F.col("end_").alias("end"), "entity", "detector", F.lit(1.0).alias("score"))).alias("__kw"))
     joined = df.join(per_row, list(key_cols), "left")
     return joined.select(*keep, F.expr(f"concat({prev}, coalesce(__kw, {empty(FINDING_DDL)}))").alias(out))
@@ -152,33 +157,36 @@ def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: st
 
 def keyword_table(df: DataFrame, key_cols, text_col: str, dictionary: DataFrame,
                   normalised: DataFrame | None = None) -> DataFrame:
-    """D2, table plane: key..., start, end_, entity, detector (join path).
+    """D2, table plane: key..., start, end_, entity, detector (join plan).
 
-    With a broadcastable dictionary, explode -> hash probe -> verify runs in
-    one pipelined stage; the token arrays are read in place, never copied per
-    candidate.  A dictionary too large to broadcast is joined by shuffle on
-    the bare (key, pos, token) rows, and the few surviving candidates are
-    verified after joining the token arrays back on the key.
+    Narrow rows (key, position, n-gram hash) meet the dictionary; texts are only
+    joined back for the keys with a hit, where hits are verified and offsets computed.
     """
     keys = list(key_cols)
     norm = normalised if normalised is not None else normalise(dictionary)
-    n_dict = norm.limit(MAX_BROADCAST + 1).count()
-    t = with_tokens(df.select(*keys, text_col), text_col)
-    ok = F.array_join(F.slice(F.col("__tl"), F.col("pos") + 1, F.col("n")), " ") == F.col("phrase")
-    if n_dict <= MAX_BROADCAST:
-        # outer + filter: no inferred size() filter pushed into the scan (see explode_findings)
-        cand = t.select(*keys, "__ts", "__tl", F.posexplode_outer("__tl").alias("pos", "tok")) \
-            .where(F.col("tok").isNotNull())
-        d = F.broadcast(norm)
-        hit = cand.join(d, cand["tok"] == d["first"], "inner").where(ok)
-    else:
-        bare = t.select(*keys, F.posexplode_outer("__tl").alias("pos", "tok")).where(F.col("tok").isNotNull())
-        cand = bare.join(norm, bare["tok"] == norm["first"], "inner").select(*keys, "pos", "n", "phrase", "entity")
-        hit = cand.join(t.select(*keys, "__ts", "__tl"), keys, "inner").where(ok)
-    return hit.select(*keys, F.get(F.col("__ts"), F.col("pos"))["start"].alias("start"),
-                      F.get(F.col("__ts"), F.col("pos") + F.col("n") - 1)["end"].alias("end_"),
-                      "entity", F.lit("keyword").alias("detector"))
+    lens = sorted(r["g"] for r in norm.select("g").distinct().collect())  # at most GRAM rows
+    text = df.select(*keys, F.col(text_col).alias("__text"))
+    i, g = S._v("i"), S._v("g")
+    grams = S.let(_lowered("__text"), lambda lt: (
+        f"CASE WHEN coalesce(size({lt}), 0) <= 0 THEN CAST(array() AS array<struct<pos:int,key:bigint>>) ELSE "
+        f"flatten(transform(sequence(0, size({lt}) - 1), {i} -> transform(filter(array({', '.join(map(str, lens)) or 'CAST(NULL AS INT)'}), "
+        f"{g} -> {i} + {g} <= size({lt})), {g} -> named_struct('pos', {i}, 'key', {_gram_key(lt, f'{i} + 1', g)})))) END"))
+    # outer + filter: no inferred size() filter pushed into the scan (see explode_findings)
+    bare = text.select(*keys, F.inline_outer(F.expr(grams))).where(F.col("pos").isNotNull())
+    d = norm.select(F.col("key").alias("__key"), "n", "phrase", "entity")
+    if _text_bytes(norm) <= BROADCAST_BYTES:
+        d = F.broadcast(d)
+    cand = bare.join(d, F.col("key") == F.col("__key")).groupBy(*keys).agg(
+        F.collect_list(F.struct("pos", "n", "phrase", "entity")).alias("__c"))
+    c, h = S._v("c"), S._v("h")
+    ok = S.let(_lowered("__text"), lambda lt: (
+        f"filter(__c, {c} -> array_join(slice({lt}, {c}.pos + 1, {c}.n), ' ') = {c}.phrase AND {c}.pos + {c}.n <= size({lt}))"))
+    placed = S.let(ok, lambda hits: f"CASE WHEN size({hits}) = 0 THEN CAST(NULL AS array<struct<start:int,end_:int,entity:string>>) ELSE " + S.let(
+        _spans("__text"), lambda sp: (f"transform({hits}, {h} -> named_struct('start', get({sp}, {h}.pos).start, "
+                                      f"'end_', get({sp}, {h}.pos + {h}.n - 1).end, 'entity', {h}.entity))")) + " END")
+    hit = text.join(cand, keys).select(*keys, F.inline_outer(F.expr(placed))).where(F.col("start").isNotNull())
+    return hit.select(*keys, "start", "end_", "entity", F.lit("keyword").alias("detector"))
 
 
 __all__ = ["KEYWORDS", "TOKEN_RE", "detect_keywords", "keyword_table", "keyword_dictionary",
-           "passage_dictionary", "normalise", "with_tokens"]
+           "passage_dictionary", "normalise"]

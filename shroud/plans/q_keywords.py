@@ -22,7 +22,7 @@ COLS = "doc_id, start, end_, entity, detector"
 
 @register("detect_keyword", sql=f"SELECT {COLS} FROM {DOC_KW} AS k")
 def detect_keyword(spark, sf_dir):
-    """Built-in keyword list, small-dictionary path (map literal, no join)."""
+    """Built-in keyword list, carried in the expression (no join)."""
     docs = texts.documents(spark, sf_dir)
     found = K.detect_keywords(docs, "text", K.keyword_dictionary(spark), path="literal")
     return D.explode_findings(found, ["doc_id"])
@@ -30,11 +30,11 @@ def detect_keyword(spark, sf_dir):
 
 @register("detect_phrase", sql=f"SELECT {COLS} FROM {DOC_PASSAGES} AS k")
 def detect_phrase(spark, sf_dir):
-    """Benchmark passages in documents, large-dictionary path (broadcast join
-    on the first token, verification on the row)."""
+    """Benchmark passages in documents, joined on the hash of their first n-gram."""
     docs = texts.documents(spark, sf_dir)
     passages = K.passage_dictionary(table(spark, sf_dir, "benchmark"))
-    return K.keyword_table(docs, ["doc_id"], "text", passages)
+    found = K.detect_keywords(docs, "text", passages, key_cols=["doc_id"])
+    return D.explode_findings(found, ["doc_id"])
 
 
 @register("union_findings",

@@ -31,6 +31,31 @@ def test_literal_and_join_paths_agree(spark):
     assert sorted(r.entity for r in lit.collect() if r.doc_id == 10**9 + 1) == ["license", "license"]
 
 
+def test_same_rows_at_every_dictionary_size(spark):
+    """Greek capitals and apostrophes: the lowered token decides, whatever the number of phrases."""
+    docs = spark.createDataFrame([(1, "\u039f\u0394\u039f\u03a3'\u0391 rue"), (2, "l'eau \u00c9T\u00c9, unrelated 7 words here"), (3, None), (4, "")],
+                                 "doc_id long, text string")
+    base = [("street", "\u03bf\u03b4\u03bf\u03c2"), ("summer", "\u00e9t\u00e9"), ("water", "l eau")]
+    want = None
+    for n in (1, 65, 1001):
+        dic = K.keyword_dictionary(spark, base + [("other", f"unrelated {i} words here") for i in range(n)])
+        lit = _rows(D.explode_findings(K.detect_keywords(docs, "text", dic, path="literal"), ["doc_id"]))
+        join = _rows(K.keyword_table(docs, ["doc_id"], "text", dic))
+        assert lit == join
+        seen = [r for r in lit if r[3] != "other"]
+        assert want is None or seen == want
+        want = seen
+    assert {r[3] for r in want} == {"street", "summer", "water"}
+    assert [r for r in lit if r[3] == "other"] == [(2, 11, 33, "other")]
+
+
+def test_shared_first_words_are_looked_up_by_the_whole_gram(spark):
+    docs = spark.createDataFrame([(i, "the a b c the a b d " * 20) for i in range(5)], "doc_id long, text string")
+    dic = K.keyword_dictionary(spark, [("e", f"the a b x{i}") for i in range(2000)] + [("e", "the a b c d"), ("e", "the a b d the")])
+    found = K.detect_keywords(docs, "text", dic, key_cols=["doc_id"])
+    assert found.selectExpr("sum(size(findings)) AS n").first().n == 5 * 19
+
+
 def test_apply_decisions(spark):
     fs = "array<struct<start:int,end:int,entity:string,detector:string,score:double>>"
     docs = spark.createDataFrame([(1, "x" * 40, [(0, 5, "email", "pattern", 1.0), (10, 15, "ipv4", "pattern", 1.0)]),
