@@ -54,7 +54,7 @@ ALNUM = word_table([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]
 NONSPACE = word_table(set(range(256)) - {0x20, *range(0x09, 0x0E)})
 
 
-def _spans(a: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def spans(a: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     inside = np.zeros(len(a) + 2, np.int8)
     inside[1:-1] = table[a]
     step = np.diff(inside)
@@ -76,12 +76,12 @@ def words_of(texts: list, table: np.ndarray, block: int = 4 << 20) -> tuple[np.n
         if stop == at + 1 and size > block:
             for piece in _cut(data[at], table, block):
                 a = np.frombuffer(piece, np.uint8)
-                s, e = _spans(a, table)
+                s, e = spans(a, table)
                 ids.append(span_ids(prefix(a), s, e))
                 counts[at] += len(s)
         else:
             a = np.frombuffer(gap.join(data[at:stop]), np.uint8)
-            s, e = _spans(a, table)
+            s, e = spans(a, table)
             ids.append(span_ids(prefix(a), s, e))
             edges = np.cumsum([0, *(len(d) + 1 for d in data[at:stop])])
             counts[at:stop] = np.diff(np.searchsorted(s, edges))

@@ -25,8 +25,8 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -34,19 +34,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import common
+from . import bytewords, common
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 128 << 10
-#: Pieces kept per worker; the table is emptied when it is full.
-MEMO_PIECES = 400_000
+#: Pieces kept per worker; when the table is full, longer ones go.
+MEMO_PIECES = 500_000
 #: Longer pieces are encoded but not kept.
 MEMO_PIECE_BYTES = 48
-#: Rows encoded together.
-ROWS = 256
+#: Pieces of so many bytes stay when the table is emptied.
+SHORT_PIECE_BYTES = 9
+#: Text encoded together.
+BATCH_BYTES = 2 << 20
 
-# a full stop or comma after an ASCII letter and before white space is always a token of its own
-_POINT = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|$)")
+# ASCII punctuation (but an apostrophe) between a letter of Latin-1 and white space is one token of its own
+_POINT = re.compile(rb"[!-&(-/:-@\[-`{-~](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[!-&(-/:-@\[-`{-~]*(?=[ \n]|$)")
 
 
 class PieceEncoder:
@@ -55,33 +57,69 @@ class PieceEncoder:
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
-        self.memo: dict[bytes, tuple] = {}
-
-    def pieces(self, text: str | None) -> list[bytes]:
+        #: piece -> its ids as little-endian 32-bit bytes
+        self.memo: dict[bytes, bytes] = {}
+        #: the tokenizer's own model, and its spelling of letters for which its other steps do nothing else
+        self.model = self.tok.model
+        self.spelling = {}
+        for c in map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]):
+            if self.tok.normalizer.normalize_str(c) == c and len(word := self.tok.pre_tokenizer.pre_tokenize_str(c)) == 1:
+                self.spelling[ord(c)] = word[0][0]
+        self.letters = re.compile("[" + "".join(map(chr, self.spelling)) + "]+")
+
+    def prepared(self, text: str | None) -> bytes:
         data = (text or "").encode("utf-8", "surrogatepass")
         # special tokens are matched before lower-casing, and a combining mark composes with the case it follows
         if b"<|" not in data and b"\xcc" not in data and b"\xcd" not in data:
-            data = _POINT.sub(rb" \1", data.lower())
-        return data.split()
+            data = _POINT.sub(rb" \g<0>", data.lower())
+        return data
+
+    def _encode_new(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """A piece of lower-case Latin-1 letters is one word, so the tokenizer's model alone encodes it
+        (half the time); other pieces go through the whole tokenizer."""
+        out: dict[bytes, bytes] = {}
+        rest, word, model, spelling = [], self.letters.fullmatch, self.model.tokenize, self.spelling
+        for p in pieces:
+            t = p.decode("utf-8", "replace")
+            if word(t):
+                out[p] = array("I", [x.id for x in model(t if t.isascii() else t.translate(spelling))]).tobytes()
+            else:
+                rest.append((p, t))
+        for at in range(0, len(rest), 2048):
+            part = rest[at:at + 2048]
+            for (p, _), e in zip(part, self.tok.encode_batch([t for _, t in part], add_special_tokens=False), strict=True):
+                out[p] = array("I", e.ids).tobytes()
+        return out
 
     def encode(self, texts: list) -> list[np.ndarray]:
-        split = [self.pieces(t) for t in texts]
+        data = [self.prepared(t) for t in texts]
+        raw = b"\n".join(data)
+        starts, ends = bytewords.spans(np.frombuffer(raw, np.uint8), bytewords.NONSPACE)
+        # equal pieces of the batch are looked up once
+        ids = bytewords.span_ids(bytewords.prefix(np.frombuffer(raw, np.uint8)), starts, ends)
+        _, first, which = np.unique(ids, return_index=True, return_inverse=True)
+        pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        coded = self._lookup(pieces)
+        flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
+        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        n = sizes[which]
+        begin = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(n) - n)
+        out = flat[np.repeat(begin, n) + np.arange(n.sum())]
+        edges = np.cumsum([0, *(len(d) + 1 for d in data)])
+        cut = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, edges)]
+        return [out[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+
+    def _lookup(self, pieces: list[bytes]) -> list[bytes]:
         memo = self.memo
-        new = [p for p in set(chain.from_iterable(split)) if p not in memo]
-        extra: dict[bytes, tuple] = {}
-        if new:
-            if len(memo) + len(new) > MEMO_PIECES:
-                memo.clear()
-                new = list(set(chain.from_iterable(split)))
-            for at in range(0, len(new), 4096):
-                part = new[at:at + 4096]
-                coded = self.tok.encode_batch([p.decode("utf-8", "replace") for p in part], add_special_tokens=False)
-                for p, e in zip(part, coded, strict=True):
-                    (memo if len(p) <= MEMO_PIECE_BYTES else extra)[p] = tuple(e.ids)
-        if extra:
-            extra.update((p, memo[p]) for s in split for p in s if p in memo)
-        get = (extra or memo).__getitem__
-        return [np.fromiter(chain.from_iterable(map(get, s)), np.int32) for s in split]
+        new = [p for p in pieces if p not in memo]
+        if new and len(memo) + len(new) > MEMO_PIECES:
+            # short pieces are the frequent ones
+            short = {p: v for p, v in memo.items() if len(p) <= SHORT_PIECE_BYTES}
+            memo = self.memo = short if len(short) + len(new) <= MEMO_PIECES // 2 else {}
+            new = [p for p in pieces if p not in memo]
+        coded = self._encode_new(new) if new else {}
+        memo.update((p, v) for p, v in coded.items() if len(p) <= MEMO_PIECE_BYTES)
+        return [memo[p] if p in memo else coded[p] for p in pieces]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -115,10 +153,12 @@ def encode_rows(df: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         shard, pos, enc = TaskContext.get().partitionId(), 0, encoder(name, shared)
         end = np.array([end_id], np.int32)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                ids = [np.concatenate([x, end]) for x in enc.encode(part.column("__text").to_pylist())]
+            at = 0
+            for texts in common.blocks(batch.column("__text").to_pylist(), lambda t: len(t or ""), BATCH_BYTES):
+                ids = [np.concatenate([x, end]) for x in enc.encode(texts)]
                 n = len(ids)
+                part = batch.slice(at, n)
+                at += n
                 yield pa.RecordBatch.from_arrays(
                     [part.column("__id"), pa.array(np.full(n, shard, np.int32)),
                      pa.array(np.arange(pos, pos + n, dtype=np.int64)),

@@ -9,7 +9,7 @@ from shroud.llm.token_output import PieceEncoder
 
 TEXTS = ["Hello, world. It's 3.14!", "", None, "a,b .c , d.\n", "J\u030C. É, e\u0301. I\u0307 \u0130x.", "x" * 300 + ".",
          "<|endoftext|> <|ENDOFTEXT|> we'll,", "tab\tnbsp\u00a0\u0085\u2028 end. ", "wörter, straße. \U0001F600.", "DON'T. 'S, (a). b).,",
-         "\x1c\x1f a.\x1d", "日本語、テスト。 ok.", "a.. b,, c.,", "word, " * 3000, "Hello, world. It's 3.14!"]
+         "\x1c\x1f a.\x1d", "日本語、テスト。 ok.", "a.. b,, c.,", "é, ×, ÷. à... ü!?) ñ*** a', x's. \"q\", ß;", "d'. l', —, é—. 5, x5.", "word, " * 3000, "Hello, world. It's 3.14!"]
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +31,17 @@ def test_pieces_equal_whole_texts(whole):
         token_output.MEMO_PIECES = old
 
 
+def test_words_of_letters_equal_whole_texts(whole):
+    import random
+    rnd = random.Random(1)
+    enc = PieceEncoder(open(tokenizer_path(), encoding="utf-8").read())
+    assert len(enc.spelling) == 26 + 32
+    texts = [" ".join("".join(rnd.choice("aeioutrsn" + "".join(map(chr, enc.spelling))) for _ in range(rnd.randint(1, 14))) for _ in range(50))
+             for _ in range(60)] + [" ".join(map(chr, range(0xC0, 0x100))), "\u01f0x \u1e9e \u0131 \u017f \ufb01 ª º µ ŉ"]
+    for t, ids in zip(texts, enc.encode(texts), strict=True):
+        assert [*ids.tolist(), 2] == whole(t), t
+
+
 def test_round_trip_offsets_and_checksums(spark, make, whole):
     rows = [(i * 7 % 31, t, "en", "s", 1) for i, t in enumerate(TEXTS)] + [(None, "no id", None, None, None), (5, "same id", "", "", 0), (5, "same id", "", "", 0)]
     path = token_output.write_tokens(make(rows).withColumn("ids", common.F.lit("clash")), common.scratch(spark, "t"),
