@@ -1,7 +1,8 @@
 """Pattern catalogue for detector D1.
 
 Pattern detection is part of the contract, but no pattern is specified, so
-these are our own.  Every pattern stays inside the common subset of Java regex, RE2 and
+these are our own.  A match takes the whole run of its characters: a longer number or
+hash is hidden as a whole, never cut to the length of a known kind.  Every pattern stays inside the common subset of Java regex, RE2 and
 Python ``re``: ASCII classes only, no look-around, no back-references, no
 ``\\b`` / ``\\d`` / ``\\w`` (their meaning differs between the engines beside
 accented letters), and none may match the empty string.
@@ -24,14 +25,16 @@ class Pattern:
 
 # ---- fixed values: default pattern set (entity, regex, required literal), in priority order ----
 EMAIL = Pattern("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "@")
-PHONE = Pattern("phone", r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}", "+1 (")
-IPV4 = Pattern("ipv4", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}", ".")
-CARD = Pattern("card", r"4[0-9]{15}")
-HEX_TOKEN = Pattern("hex_token", r"[0-9a-f]{40}")
+PHONE = Pattern("phone", r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,}){2,}"
+                         r"|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4,}")
+IPV4 = Pattern("ipv4", r"[0-9]+(?:\.[0-9]+){3,}", ".")
+IPV6 = Pattern("ipv6", r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}", ":")
+CARD = Pattern("card", r"[0-9]{13,}|[0-9]{4}(?:[ -][0-9]{4}){3}[0-9]*|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5,}")
+HEX_TOKEN = Pattern("hex_token", r"[0-9A-Fa-f]{32,}")
 SECRET = Pattern("secret", r"(?:token|secret|password|api_key) ?= ?\"[0-9A-Za-z]{16,}\"", "=")
 # ---- end of fixed values ----
 
-PLAIN = (EMAIL, PHONE, IPV4, CARD, HEX_TOKEN)
+PLAIN = (EMAIL, PHONE, IPV4, IPV6, CARD, HEX_TOKEN)
 DEFAULT = PLAIN + (SECRET,)
 
 
@@ -54,8 +57,3 @@ def validate(patterns) -> tuple[Pattern, ...]:
             raise ValueError(f"pattern for {p.entity!r} has an empty required literal")
         out.append(p)
     return tuple(out)
-
-
-def by_entity(names, patterns=DEFAULT) -> tuple[Pattern, ...]:
-    wanted = set(names)
-    return tuple(p for p in patterns if p.entity in wanted)

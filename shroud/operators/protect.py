@@ -17,7 +17,6 @@ from shroud.session import exists, scratch_path
 from shroud.sources.files import derive_dek, unwrap_token
 
 MAX_KEYS = 1024  # key versions; the key table is broadcast only below this
-_COUNTS: dict[str, int] = {}  # key table path -> number of keys (read once per process)
 N_DEMO_KEYS = 4
 KEYS_SCHEMA = "key_id string, slot int, master binary"
 
@@ -57,22 +56,20 @@ def load_or_create_keys(spark: SparkSession, path: str | None = None, n: int = N
             # another job created the table first: use that one (keys are written once)
             if not exists(spark, path):
                 raise
-    keys = spark.read.parquet(path)
-    if path in _COUNTS:
-        keys._shroud_key_count = _COUNTS[path]
-    else:
-        _COUNTS[path] = key_count(keys)
-    return keys
+    return spark.read.parquet(path)
 
 
 def protect(files: DataFrame, keys: DataFrame) -> DataFrame:
-    """``content`` -> ``content_enc`` with the file's data key (random IV)."""
-    cols = [c for c in files.columns if c != "content"]
-    j = files.join(F.broadcast(checked_keys(keys).drop("slot")), "key_id", "inner")
+    """``content`` -> ``content_enc`` with the file's data key (random IV).
+
+    Every file keeps its row: without its key version ``content_enc`` is null and ``reason`` says so."""
+    cols = [c for c in files.columns if c not in ("content", "reason")]
+    j = files.join(F.broadcast(checked_keys(keys).drop("slot")), "key_id", "left")
     dek = derive_dek(F.col("master"), F.col("file_id"))
     enc = F.aes_encrypt(F.col("content"), dek, F.lit("GCM"), F.lit("DEFAULT"), F.lit(""),
                         F.col("file_id").cast("binary"))
-    return j.select(*cols, enc.alias("content_enc"))
+    reason = F.when(F.col("master").isNull(), F.lit("unknown key")).when(F.col("content").isNull(), F.lit("no content"))
+    return j.select(*cols, enc.alias("content_enc"), reason.alias("reason"))
 
 
 def unprotect(protected: DataFrame, requests: DataFrame, keys: DataFrame) -> DataFrame:
@@ -81,14 +78,16 @@ def unprotect(protected: DataFrame, requests: DataFrame, keys: DataFrame) -> Dat
     ``requests``: file_id, dek_token (the presented one).  Output: file_id,
     content (null when refused), reason (null when opened).
     """
-    p = protected.select("file_id", "key_id", "content_enc")
+    p = protected.select("file_id", "key_id", "content_enc", F.lit(True).alias("_found"))
     r = requests.select("file_id", F.col("dek_token").alias("req_token"))
     j = r.join(p, "file_id", "left").join(F.broadcast(checked_keys(keys).drop("slot")), "key_id", "left")
     dek = unwrap_token(F.col("master"), F.col("file_id"), F.col("req_token"))
     text = F.try_aes_decrypt(F.col("content_enc"), dek, F.lit("GCM"), F.lit("DEFAULT"),
                              F.col("file_id").cast("binary")).cast("string")
-    reason = (F.when(F.col("content_enc").isNull(), F.lit("unknown file"))
+    reason = (F.when(F.col("_found").isNull(), F.lit("unknown file"))
+              .when(F.col("master").isNull(), F.lit("unknown key"))
               .when(dek.isNull(), F.lit("bad token"))
+              .when(F.col("content_enc").isNull(), F.lit("no content"))
               .when(text.isNull(), F.lit("moved content")))
     return j.select("file_id", text.alias("content"), reason.alias("reason"))
 
@@ -115,7 +114,3 @@ def token_uses(issues: DataFrame, uses: DataFrame, ttl_minutes: int = 1440,
         "issue_id", "use_id", F.col(key),
         F.floor((F.unix_micros("use_ts") - F.unix_micros("issue_ts")) / F.lit(60_000_000))
         .cast("bigint").alias("minutes"))
-
-
-def sha256_text(col: Column) -> Column:
-    return F.sha2(col, 256)

@@ -69,17 +69,16 @@ def review_outcome(findings_rows: DataFrame, decisions: DataFrame) -> DataFrame:
 def review_queue(docs: DataFrame, k: int, findings_col: str = "findings", text_col: str = "text",
                  group: str = "source", key: str = "doc_id", context: int = 20) -> DataFrame:
     """H1: the ``k`` documents per ``group`` with the most findings, with a
-    snippet around the first finding (the finding itself shown by its label).
+    snippet around the first finding, cut from the redacted text.
 
     ``row_number() <= k`` lets Spark insert a per-partition group limit before
     the shuffle, so a huge group ships at most ``k`` rows per task.
     """
     f = F.get(F.col(findings_col), 0)
-    s, e = f["start"], f["end"]
-    snippet = F.concat(
-        F.col(text_col).substr(F.greatest(s - context, F.lit(0)) + 1, s - F.greatest(s - context, F.lit(0))),
-        F.concat(F.lit("["), F.upper(f["entity"]), F.lit("]")),
-        F.col(text_col).substr(e + 1, F.lit(context)))
+    # cut from the redacted text: before the first finding both texts are the same
+    start = F.greatest(f["start"] - context, F.lit(0))
+    docs = docs.withColumn("__redacted", F.when(F.size(findings_col) > 0, F.expr(S.redact_text(S.ref(text_col), S.ref(findings_col)))))
+    snippet = F.col("__redacted").substr(start + 1, f["start"] - start + F.length(f["entity"]) + 2 + context)
     cand = docs.select(group, key, F.size(findings_col).alias("n"), snippet.alias("snippet"))
     w = Window.partitionBy(group).orderBy(F.col("n").desc(), F.col(key))
     # documents without findings rank last, so dropping them after ranking

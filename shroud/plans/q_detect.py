@@ -83,11 +83,19 @@ def redact_conversations(spark, sf_dir):
     return out.select("conv_id", "turn", F.size("findings").alias("n_redactions"), "redacted_text")
 
 
-_RESIDUAL_SQL = " UNION ALL ".join(
-    f"SELECT {O.q(p.entity)} AS entity, CAST(0 AS BIGINT) AS n" for p in P.DEFAULT)
-
-
-@register("residual_check", sql=_RESIDUAL_SQL)
+def _residual_sql() -> str:
+    """Redact in all three styles (a dropped text that shows a new finding is labelled), then scan again."""
+    by = {s: O.redacted("documents", "doc_id", DOC_M, style=s) for s in R.STYLES}
+    anew = " OR ".join(f"regexp_matches(d.redacted_text, {O.q(p.regex)})" for p in P.DEFAULT)
+    drop = (f"SELECT CASE WHEN d.n_redactions > 0 AND ({anew}) THEN l.redacted_text ELSE d.redacted_text END AS t "
+            f"FROM ({by['drop']}) AS d JOIN ({by['label']}) AS l ON d.doc_id = l.doc_id")
+    texts_ = " UNION ALL ".join([f"SELECT redacted_text AS t FROM ({by[s]}) AS r" for s in ("label", "mask")] + [drop])
+    counts = ", ".join(f"coalesce(sum(len(regexp_extract_all(t, {O.q(p.regex)}))), 0) AS n{i}" for i, p in enumerate(P.DEFAULT))
+    rows = " UNION ALL ".join(f"SELECT {O.q(p.entity)} AS entity, CAST(n{i} AS BIGINT) AS n FROM c" for i, p in enumerate(P.DEFAULT))
+    return f"WITH x AS ({texts_}), c AS (SELECT {counts} FROM x) {rows}"
+
+
+@register("residual_check", sql=_residual_sql())
 def residual_check(spark, sf_dir):
     """R5 on all three styles at once: every redacted output is rescanned."""
     df = D.merge(doc_findings(spark, sf_dir))

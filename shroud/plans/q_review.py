@@ -107,12 +107,13 @@ _SNIP = ("substring(d.text, greatest(f.s - 20, 0) + 1, f.s - greatest(f.s - 20,
 
 
 @register("review_queue",
-          sql=("SELECT source, rank, doc_id, n, snippet FROM (SELECT d.source AS source, d.doc_id AS doc_id, "
-               f"f.n AS n, {_SNIP} AS snippet, CAST(row_number() OVER (PARTITION BY d.source ORDER BY f.n DESC, "
-               "d.doc_id) AS INTEGER) AS rank FROM (SELECT doc_id, CAST(count(*) AS INTEGER) AS n, "
-               "first(start ORDER BY start) AS s, first(end_ ORDER BY start) AS e, "
+          sql=("SELECT source, rank, doc_id, n, substring(red, start + 1, s - start + length(ent) + 2 + 20) AS snippet FROM ("
+               "SELECT d.source AS source, d.doc_id AS doc_id, f.n AS n, f.s AS s, greatest(f.s - 20, 0) AS start, f.ent AS ent, "
+               "x.redacted_text AS red, CAST(row_number() OVER (PARTITION BY d.source ORDER BY f.n DESC, d.doc_id) AS INTEGER) AS rank "
+               "FROM (SELECT doc_id, CAST(count(*) AS INTEGER) AS n, first(start ORDER BY start) AS s, "
                f"first(entity ORDER BY start) AS ent FROM ({REV_F}) AS r GROUP BY doc_id) AS f "
-               f"JOIN documents AS d ON f.doc_id = d.doc_id) AS q WHERE rank <= {QUEUE_K}"))
+               f"JOIN documents AS d ON f.doc_id = d.doc_id JOIN ({O.redacted('documents', 'doc_id', REV_F)}) AS x "
+               f"ON x.doc_id = d.doc_id) AS q WHERE rank <= {QUEUE_K}"))
 def review_queue(spark, sf_dir):
     merged = D.merge(detected(spark, sf_dir, ("doc_id", "text", "source")))
     return RV.review_queue(merged, QUEUE_K)

@@ -13,9 +13,8 @@ from shroud.streaming.runner import run_available, stream_table
 
 @register("stream_detect", sql=f"SELECT doc_id, start, end_, entity, detector FROM ({DOC_M}) AS m")
 def stream_detect(spark, sf_dir):
-    # a micro-batch of one file is one task: spread it over the cores by key
-    docs = stream_table(spark, sf_dir, "documents").select("doc_id", "text") \
-        .repartition(spark.sparkContext.defaultParallelism, "doc_id")
+    # stateless and narrow: the splits of the source's files set the tasks, no text is shuffled
+    docs = stream_table(spark, sf_dir, "documents").select("doc_id", "text")
     return run_available(S.detect_stream(docs), "detect")
 
 
@@ -58,9 +57,7 @@ def _tracker_sql():
 
 @register("stream_job_tracker", sql=_tracker_sql())
 def stream_job_tracker(spark, sf_dir):
-    """The outcome per job as the event-time timers resolve it.  Over a whole
-    event file every job resolves (its deadline passes the final watermark
-    or a later event arrives), so the result equals the batch rule."""
+    """The outcome per job, from the streaming minima per job and window."""
     ev = stream_table(spark, sf_dir, "events")
-    out = run_available(S.job_tracker_stream(job_events(ev)), "job_tracker")
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    partials = run_available(S.job_tracker_stream(job_events(ev)), "job_tracker", output_mode="update")
+    return S.job_outcomes(partials).withColumn("ts", F.col("ts").cast("timestamp_ntz"))

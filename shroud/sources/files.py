@@ -8,7 +8,7 @@ file id.  Keys arrive as a column from a small key table joined on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FILE_COLUMNS = ("file_id", "file_code", "source_kind", "uri", "name", "n_chars", "created_at",
@@ -63,16 +63,19 @@ def with_master(df: DataFrame, keys: DataFrame) -> DataFrame:
     table holds one row per key version (a handful), checked before it is
     broadcast."""
     from shroud.operators.protect import checked_keys
-    return df.join(F.broadcast(checked_keys(keys).drop("slot")), "key_id", "inner")
+    return df.join(F.broadcast(checked_keys(keys).drop("slot")), "key_id", "left")
 
 
 def assign_keys(base: DataFrame, keys: DataFrame) -> DataFrame:
-    """New files are spread over the key versions by a hash of the file id
-    (an equi-join on the slot), and keep their ``key_id`` for later unwrapping."""
+    """New files are spread over the key versions by a hash of the file id (an equi-join on
+    the version's place, so gaps in the slots after a rotation lose no file), and
+    keep their ``key_id`` for later unwrapping."""
     from shroud.operators.protect import checked_keys, key_count
     n = key_count(keys)
+    place = F.row_number().over(Window.orderBy("slot", "key_id")) - 1  # at most MAX_KEYS rows
+    placed = checked_keys(keys).withColumn("slot", place)
     slotted = base.withColumn("slot", F.pmod(F.xxhash64("file_id"), F.lit(n)).cast("int"))
-    return slotted.join(F.broadcast(checked_keys(keys)), "slot", "inner").drop("slot")
+    return slotted.join(F.broadcast(placed), "slot", "left").drop("slot")
 
 
 def ingest_local(documents: DataFrame, keys: DataFrame, created_at: Column | None = None) -> DataFrame:
@@ -155,15 +158,18 @@ def download(files: DataFrame, requests: DataFrame, keys: DataFrame,
     The token is checked by unwrapping it with the master key (so a token made
     for another file does not open this one), not by comparing stored strings.
     """
-    f = with_master(files.select("file_id", "key_id", "created_at", "content", "n_chars"), keys)
+    f = with_master(files.select("file_id", "key_id", "created_at", "content", "n_chars", F.lit(True).alias("_found")), keys)
     r = requests.select("file_id", F.col("dek_token").alias("req_token"), "requested_at")
     j = r.join(f, "file_id", "left")
     ok_token = unwrap_token(F.col("master"), F.col("file_id"), F.col("req_token")).isNotNull()
-    live = F.col("requested_at") <= F.col("created_at") + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(ttl_minutes))
-    reason = (F.when(F.col("master").isNull(), F.lit("unknown file"))
-              .when(~ok_token, F.lit("bad token"))
-              .when(~live, F.lit("expired")))
+    ends = F.col("created_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(ttl_minutes))
+    # granted only when every test is true; a null time or token is a refusal
+    reason = (F.when(F.col("_found").isNull(), F.lit("unknown file"))
+              .when(F.col("master").isNull(), F.lit("unknown key"))
+              .when(~F.coalesce(ok_token, F.lit(False)), F.lit("bad token"))
+              .when(F.col("requested_at").isNull(), F.lit("no request time"))
+              .when(~F.coalesce(F.col("requested_at") >= F.col("created_at"), F.lit(False)), F.lit("not yet valid"))
+              .when(~F.coalesce(F.col("requested_at") <= ends, F.lit(False)), F.lit("expired")))
     checked = j.withColumn("reason", reason)
     granted = checked.where(F.col("reason").isNull()).select("file_id", "n_chars", "content")
     refused = checked.where(F.col("reason").isNotNull()).select("file_id", "reason")
@@ -174,8 +180,3 @@ def redacted_name(path: Column) -> Column:
     """basename, then ``_redacted`` before the last extension (kept)."""
     base = F.regexp_extract(path, r"[^/]+$", 0)
     return F.regexp_replace(base, F.lit(r"^(.+?)(\.[^.]*)?$"), F.lit("$1_redacted$2"))
-
-
-def strip_base_url(url: Column) -> Column:
-    """F8: no trailing slash on a base URL."""
-    return F.regexp_replace(url, F.lit("/+$"), F.lit(""))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from shroud.functions import patterns as P
 from shroud.operators import detect as D
@@ -34,72 +33,37 @@ def token_uses_stream(issues: DataFrame, uses: DataFrame, ttl_minutes: int = 144
     return token_uses(issues.withWatermark("ts", delay), uses.withWatermark("ts", delay), ttl_minutes)
 
 
-TRACKER_OUT = "job_id long, status string, ts timestamp"
-TRACKER_STATE = "first_us long, done boolean"
-
-
-def _track(key, batches, state):
-    """Per job: the first terminal event within the deadline wins; without one,
-    the job times out at first event + deadline (event-time timer).  Events
-    after the outcome are ignored; the state is kept (with a cleanup timer) so
-    that they stay ignored, then dropped."""
-    import pandas as pd
-
-    job_id = key[0]
-    deadline_us = JOB_DEADLINE_S * 1_000_000
-
-    def emit(status, ts_us):
-        return pd.DataFrame({"job_id": [job_id], "status": [status],
-                             "ts": [pd.Timestamp(ts_us, unit="us")]})
-
-    if state.hasTimedOut:
-        first_us, done = state.get
-        if done:
-            state.remove()
-            return
-        state.update((first_us, True))
-        state.setTimeoutTimestamp((first_us + 2 * deadline_us) // 1000)
-        yield emit("timeout", first_us + deadline_us)
-        return
-    first_us, done = state.get if state.exists else (None, False)
-    if done:
-        return
-    for pdf in batches:
-        pdf = pdf.sort_values(["ts", "event_id"])
-        for ts, status in zip(pdf["ts"], pdf["status"]):
-            ts_us = int(pd.Timestamp(ts).value // 1000)
-            if first_us is None:
-                first_us = ts_us
-            if ts_us > first_us + deadline_us:
-                state.update((first_us, True))
-                state.setTimeoutTimestamp((first_us + 2 * deadline_us) // 1000)
-                yield emit("timeout", first_us + deadline_us)
-                return
-            if status in TERMINAL:
-                state.update((first_us, True))
-                state.setTimeoutTimestamp((first_us + 2 * deadline_us) // 1000)
-                yield emit(status, ts_us)
-                return
-    state.update((first_us, False))
-    state.setTimeoutTimestamp((first_us + deadline_us) // 1000)
+TRACKER_WINDOW = "1 hour"
+
+
+def _terminal():
+    return F.when(F.col("status").isin(*TERMINAL), F.struct("ts", "event_id", "status"))
 
 
 def job_tracker_stream(job_events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """One outcome row per job (finished / error / timeout)."""
-    return (job_events.withWatermark("ts", delay).groupBy("job_id")
-            .applyInPandasWithState(_track, TRACKER_OUT, TRACKER_STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+    """T2, streaming half: per job and time window the first event and the first terminal
+    event (``update`` mode: a window's row is written again when it improves).
 
+    Built-in aggregation: partial sums per task (a hot job is no hotspot), and a
+    window's state goes when the watermark passes its end, however far that jumps."""
+    return (job_events.withWatermark("ts", delay).groupBy("job_id", F.window("ts", TRACKER_WINDOW))
+            .agg(F.min("ts").alias("t0"), F.min(_terminal()).alias("term"))
+            .select("job_id", "t0", "term"))
 
-def job_tracker_batch(job_events: DataFrame) -> DataFrame:
-    """The batch form of T2 over all events (for equality checks): one
-    aggregation per job, the first terminal event taken as a struct minimum."""
-    terminal = F.when(F.col("status").isin(*TERMINAL), F.struct("ts", "event_id", "status"))
-    agg = job_events.groupBy("job_id").agg(F.min("ts").alias("t0"), F.min(terminal).alias("term"))
+
+def job_outcomes(partials: DataFrame) -> DataFrame:
+    """T2, outcome: exactly one row per job (finished / error / timeout) from all partial
+    rows written so far.  Minima don't mind rows written twice or superseded ones."""
+    agg = partials.groupBy("job_id").agg(F.min("t0").alias("t0"), F.min("term").alias("term"))
     deadline = F.col("t0") + F.expr(f"INTERVAL {JOB_DEADLINE_S} SECONDS")
     in_time = F.col("term").isNotNull() & (F.col("term.ts") <= deadline)
     return agg.select("job_id", F.when(in_time, F.col("term.status")).otherwise(F.lit("timeout")).alias("status"),
                       F.when(in_time, F.col("term.ts")).otherwise(deadline).alias("ts"))
 
 
-__all__ = ["detect_stream", "dedup_stream", "token_uses_stream", "job_tracker_stream", "job_tracker_batch"]
+def job_tracker_batch(job_events: DataFrame) -> DataFrame:
+    """The batch form of T2 over all events (for equality checks)."""
+    return job_outcomes(job_events.select("job_id", F.col("ts").alias("t0"), _terminal().alias("term")))
+
+
+__all__ = ["detect_stream", "dedup_stream", "token_uses_stream", "job_tracker_stream", "job_outcomes", "job_tracker_batch"]

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shroud.session import scratch_path
+from shroud.session import exists, scratch_path
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -40,4 +40,6 @@ def run_available(df: DataFrame, name: str, output_mode: str = "append",
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.schema(df.schema).parquet(path) if output_mode == "append" else spark.read.parquet(path)
+    if not exists(spark, path):  # no batch had rows
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(path)

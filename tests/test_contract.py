@@ -108,3 +108,88 @@ def test_token_carry(spark):
         .withColumn("ts", F.col("ts").cast("timestamp"))
     got = {r.job_id: (r.fdf_file_id, r.token_present) for r in J.token_carry(df).collect()}
     assert got == {1: ("a", True), 2: ("b", False), 3: (None, False)}
+
+
+# ---- fail closed ----
+def _store(spark, slots=(0, 1, 2, 3)):
+    from shroud.operators.protect import KEYS_SCHEMA
+    return spark.createDataFrame([(f"k{s}", s, bytearray([s + 1] * 32)) for s in slots], KEYS_SCHEMA)
+
+
+def _files(spark, keys, n=40):
+    from shroud.sources import files as FS
+    docs = spark.createDataFrame([(i, None if i == 7 else f"text {i}", "s") for i in range(n)], "doc_id long, text string, source string")
+    return FS.ingest_local(docs, keys, F.lit("2024-01-10 00:00:00").cast("timestamp"))
+
+
+def test_download_refuses_null_and_early_times(spark):
+    from shroud.sources import files as FS
+    keys = _store(spark)
+    files = _files(spark, keys)
+    when = {"0": None, "1": "2020-01-01 00:00:00", "2": "2024-01-10 00:00:00", "3": "2024-01-11 00:00:00", "4": "2024-01-11 00:00:01"}
+    req = files.where(F.col("file_id").isin(*when)).select("file_id", "dek_token").join(
+        spark.createDataFrame(list(when.items()), "file_id string, at string"), "file_id") \
+        .select("file_id", F.when(F.col("file_id") != "5", F.col("dek_token")).alias("dek_token"), F.col("at").cast("timestamp").alias("requested_at"))
+    req = req.unionByName(files.where("file_id = '5'").select("file_id", F.lit(None).cast("string").alias("dek_token"),
+                                                             F.lit("2024-01-10 01:00:00").cast("timestamp").alias("requested_at")))
+    granted, refused = FS.download(files, req, keys)
+    assert {r.file_id for r in granted.collect()} == {"2", "3"}
+    assert {r.file_id: r.reason for r in refused.collect()} == {
+        "0": "no request time", "1": "not yet valid", "4": "expired", "5": "bad token"}
+
+
+def test_key_rotation_loses_no_file(spark):
+    from shroud.operators import protect as PR
+    from shroud.sources import files as FS
+    assert _files(spark, _store(spark, (0, 2))).count() == 40
+    keys = _store(spark)
+    files = _files(spark, keys)
+    rest = keys.where("slot <> 1")
+    prot = PR.protect(files, rest)
+    assert prot.count() == 40
+    gone = {r.file_id for r in files.where("key_id = 'k1'").collect()}
+    assert gone and {r.file_id for r in prot.where("reason = 'unknown key'").collect()} == gone
+    opened = {r.file_id: r for r in PR.unprotect(PR.protect(files, keys), files.select("file_id", "dek_token"), keys).collect()}
+    assert opened["7"].reason == "no content" and all(r.reason is None for i, r in opened.items() if i != "7")
+    late = {r.file_id: r.reason for r in PR.unprotect(PR.protect(files, keys), files.select("file_id", "dek_token"), rest).collect()}
+    assert {i for i, r in late.items() if r == "unknown key"} == gone
+    req = files.select("file_id", "dek_token", F.lit("2024-01-10 01:00:00").cast("timestamp").alias("requested_at"))
+    granted, refused = FS.download(files, req, rest)
+    assert {r.file_id for r in refused.collect()} == gone and granted.count() == 40 - len(gone)
+
+
+WHOLE = [  # text, what a label leaves
+    ("x " + "0123456789abcdef" * 4 + " y", "x [HEX_TOKEN] y"),
+    ("card 4111111111111111222 end", "card [CARD] end"),
+    ("ip 99999.1.1.1 end", "ip [IPV4] end"),
+    ("amex 3782 822463 10005, mc 5555 5555 5555 4444, visa 4111-1111-1111-1111.", "amex [CARD], mc [CARD], visa [CARD]."),
+    ("call 555-123-4567 or +44 20 7946 0958 or +1 (555) 123-4567", "call [PHONE] or [PHONE] or [PHONE]"),
+    ("v6 2001:db8:0:0:0:ff00:42:8329 and fe80::1ff:fe23:4567:890a", "v6 [IPV6] and [IPV6]"),
+]
+
+
+def test_matches_take_the_whole_run(spark):
+    from shroud.operators import detect as D
+    from shroud.operators import redact as R
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(WHOLE)], "i int, text string")
+    got = {r.i: r.redacted_text for r in R.apply_redactions(D.detect_patterns(df), "text").collect()}
+    assert got == {i: want for i, (_, want) in enumerate(WHOLE)}
+
+
+def test_dropping_leaves_no_new_finding(spark):
+    from shroud.operators import detect as D
+    from shroud.operators import redact as R
+    tok = "token = \"" + "a" * 16 + "\""
+    df = spark.createDataFrame([(1, "10." + tok + "1.2.3"), (2, "keep " + tok + " this"), (3, None), (4, "none")], "i int, text string")
+    out = R.apply_redactions(D.merge(D.detect_patterns(df)), "text", "findings", "drop", merged=True)
+    got = {r.i: r.redacted_text for r in out.collect()}
+    assert got == {1: "10.[SECRET]1.2.3", 2: "keep  this", 3: None, 4: "none"}
+    assert {r.n for r in R.residual_check(out).collect()} == {0}
+
+
+def test_snippet_shows_no_neighbour(spark):
+    from shroud.operators import detect as D
+    from shroud.operators import review as RV
+    df = spark.createDataFrame([(1, "s", "write a@b.example, 10.20.30.40 tail and more text"), (2, "s", "nothing")], "doc_id int, source string, text string")
+    got = RV.review_queue(D.merge(D.detect_patterns(df)), 5).collect()
+    assert [(r.doc_id, r.snippet) for r in got] == [(1, "write [EMAIL], [IPV4] tail and mo")]
