@@ -1,4 +1,4 @@
-"""D3: entity recognition with a pluggable span scorer (``mapInPandas``).
+"""D3: entity recognition with a pluggable span scorer (iterator pandas UDF).
 
 The contract names a learned span model; no weights are available offline,
 so the default scorer here is a **stand-in**: deterministic, built from hashed
@@ -16,6 +16,8 @@ interface a real model plugs into:
 from __future__ import annotations
 
 import hashlib
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -71,45 +73,64 @@ class HashedSpanScorer:
         return out
 
 
-SCORERS = {"hashed": HashedSpanScorer}
+class LexiconScorer:
+    """Named entities from a fixed lexicon: ``options["terms"]`` maps a whole word (as
+    written, letters only around it) to its label; every hit scores ``options["score"]``."""
+
+    def __init__(self, spec: ScorerSpec):
+        import regex
+        self.terms = dict(spec.options["terms"])
+        self.score = float(spec.options.get("score", 1.0))
+        self.keep = self.score >= spec.threshold
+        words = "|".join(regex.escape(w) for w in sorted(self.terms, key=len, reverse=True))
+        self.find = regex.compile(rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{words})(?![\p{{L}}\p{{M}}\p{{N}}])").finditer if words else None
+
+    def predict(self, text: str):
+        if not text or not self.keep or self.find is None:
+            return []
+        return [(m.start(), m.end(), self.terms[m.group()], self.score) for m in self.find(text)]
+
+
+SCORERS = {"hashed": HashedSpanScorer, "lexicon": LexiconScorer}
 _CACHE: dict = {}
 
 
 def scorer_for(spec: ScorerSpec):
     """One scorer per Python worker process and spec (models load once)."""
-    key = (spec.kind, spec.labels, spec.threshold, spec.seed, spec.dim)
+    key = (spec.kind, spec.labels, spec.threshold, spec.seed, spec.dim, json.dumps(spec.options, sort_keys=True, default=repr))
     if key not in _CACHE:
         _CACHE[key] = SCORERS[spec.kind](spec)
     return _CACHE[key]
 
 
-def _predict_batches(text_col: str, spec: ScorerSpec):
-    def run(batches):
-        model = scorer_for(spec)
-        for pdf in batches:
-            starts, ends, ents, scores = [], [], [], []
-            for text in pdf[text_col]:
-                spans = model.predict(text if isinstance(text, str) else "")
-                starts.append([s[0] for s in spans])
-                ends.append([s[1] for s in spans])
-                ents.append([s[2] for s in spans])
-                scores.append([s[3] for s in spans])
-            yield pdf.assign(ner_start=starts, ner_end=ends, ner_entity=ents, ner_score=scores)
-    return run
+SPANS = "array<struct<start:int,end:int,entity:string,score:double>>"
 
 
 def detect_ner(df: DataFrame, text_col: str = "text", spec: ScorerSpec | None = None,
                out: str = "ner") -> DataFrame:
     """Adds ``out``: array<finding> of NER spans after greedy decoding.
 
-    ``mapInPandas`` keeps the partitioning of ``df``: no shuffle, the row's
-    other columns pass through in the same Arrow batch
-    (``spark.sql.execution.arrow.maxRecordsPerBatch`` rows at a time).
+    An iterator pandas UDF: only the text goes to Python and only spans come back; the
+    row's other columns stay in the JVM and nothing is shuffled.
     """
+    import pandas as pd
+
     spec = spec or ScorerSpec()
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    scored = df.mapInPandas(_predict_batches(text_col, spec), f"{schema}, {NER_FIELDS}")
-    findings = ("zip_with(arrays_zip(ner_start, ner_end), arrays_zip(ner_entity, ner_score), (a, b) -> "
-                "named_struct('start', a.ner_start, 'end', a.ner_end, 'entity', b.ner_entity, "
-                "'detector', 'ner', 'score', b.ner_score))")
-    return scored.select(*df.columns, F.expr(greedy_decode(findings)).alias(out))
+
+    def predict(parts):
+        model = scorer_for(spec)
+        for texts in parts:
+            yield pd.Series([[dict(zip(("start", "end", "entity", "score"), s)) for s in model.predict(t if isinstance(t, str) else "")]
+                             for t in texts], dtype=object)
+
+    predict.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    scored = df.withColumn("__spans", F.pandas_udf(predict, SPANS)(F.col(text_col)))
+    findings = ("transform(coalesce(__spans, array()), a -> named_struct('start', a.start, 'end', a.end, 'entity', a.entity, "
+                "'detector', 'ner', 'score', a.score))")
+    return scored.withColumn(out, F.expr(greedy_decode(findings))).drop("__spans")
+
+
+# ---- fixed values: lexicon of the built-in scorer (word, label); words of the given texts ----
+LEXICON = ScorerSpec(kind="lexicon", labels=("person", "organization", "location"), threshold=0.5, options={
+    "score": 0.9, "terms": {"Eriner": "person", "Anon": "person", "Ofonrereer": "organization", "Thor": "organization", "Thon": "location"}})
+# ---- end of fixed values ----

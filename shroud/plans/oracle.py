@@ -138,3 +138,13 @@ def keyword_findings(src: str, key: str, dict_sql: str, text: str = "text") -> s
             f"'keyword' AS detector, CAST(1.0 AS DOUBLE) AS score FROM tk AS s JOIN d ON s.t = d.first "
             f"JOIN l ON l.{key} = s.{key} JOIN tk AS e ON e.{key} = s.{key} AND e.i = s.i + d.n - 1 "
             f"WHERE array_to_string(l.lt[s.i:s.i + d.n - 1], ' ') = d.phrase)")
+
+
+def lexicon_findings(src: str, key: str, spec, text: str = "text") -> str:
+    """Whole tokens, as written, that the lexicon scorer's terms name."""
+    run = f"sum(length(p) + length(m)) OVER (PARTITION BY {key} ORDER BY i ROWS UNBOUNDED PRECEDING)"
+    terms = " UNION ALL ".join(f"SELECT {q(w)} AS w, {q(e)} AS entity" for w, e in sorted(spec.options["terms"].items()))
+    return (f"(SELECT {key}, CAST(e - length(m) AS INTEGER) AS start, CAST(e AS INTEGER) AS end_, l.entity AS entity, 'ner' AS detector, "
+            f"CAST({spec.options['score']} AS DOUBLE) AS score FROM (SELECT {key}, m, {run} AS e FROM (SELECT {key}, unnest(ms) AS m, "
+            f"unnest(ps[1:len(ms)]) AS p, unnest(range(1, len(ms) + 1)) AS i FROM (SELECT {key}, regexp_extract_all({text}, {q(TOKEN)}) AS ms, "
+            f"string_split_regex({text}, {q(TOKEN)}) AS ps FROM {src}) AS a) AS b) AS t JOIN ({terms}) AS l ON t.m = l.w)")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shroud.functions import patterns as P
+from shroud.operators import config as C
 from shroud.operators import detect as D
 from shroud.operators import keywords as K
+from shroud.operators import ner as N
 from shroud.plans import oracle as O
 from shroud.plans import texts
 from shroud.plans.registry import register
@@ -17,6 +19,7 @@ PASSAGE_DICT = O.dictionary("SELECT 'benchmark' AS entity, text AS phrase FROM b
 DOC_KW = O.keyword_findings("documents", "doc_id", KW_DICT)
 DOC_PASSAGES = O.keyword_findings("documents", "doc_id", PASSAGE_DICT)
 DOC_PAT = O.pattern_findings("documents", "doc_id")
+DOC_NER = O.lexicon_findings("documents", "doc_id", N.LEXICON)
 COLS = "doc_id, start, end_, entity, detector"
 
 
@@ -38,85 +41,61 @@ def detect_phrase(spark, sf_dir):
 
 
 @register("union_findings",
-          sql=f"SELECT {COLS} FROM ({DOC_PAT}) AS p UNION ALL SELECT {COLS} FROM {DOC_KW} AS k")
+          sql=(f"SELECT {COLS} FROM ({DOC_PAT}) AS p UNION ALL SELECT {COLS} FROM {DOC_KW} AS k "
+               f"UNION ALL SELECT {COLS} FROM {DOC_NER} AS n"))
 def union_findings(spark, sf_dir):
-    """Pattern and keyword detectors end in one array per document."""
+    """The three detectors end in one array per document."""
     docs = texts.documents(spark, sf_dir)
     pat = D.detect_patterns(docs, "text", P.DEFAULT, out="f_pattern")
     kw = K.detect_keywords(pat, "text", K.keyword_dictionary(spark), out="f_keyword", path="literal")
-    both = D.union_findings(kw, ["f_pattern", "f_keyword"], out="findings")
-    return D.explode_findings(both, ["doc_id"])
+    ner = N.detect_ner(kw, "text", N.LEXICON, out="f_ner")
+    return D.explode_findings(D.union_findings(ner, ["f_pattern", "f_keyword", "f_ner"], out="findings"), ["doc_id"])
 
 
 # ---- D5: per-request detection configuration ----
-# Requests carry a configuration chosen by the document's language, so every
-# branch (absent, detector subset, entity subset, threshold) meets real rows.
+# Requests carry a configuration chosen by the document's language, and every eleventh
+# one a detector that doesn't exist, so every branch (absent, detector subset, entity
+# subset, threshold, refusal) meets real rows.
 CONFIG_BY_LANG = {
     "fr": '{"detectors":["pattern"],"entities":["email","phone","card"]}',
     "de": '{"detectors":["keyword"]}',
-    "es": '{"detectors":["pattern","keyword"],"threshold":0.5,"style":"mask"}',
+    "es": '{"detectors":["pattern","keyword","ner"],"threshold":0.5,"style":"mask"}',
+    "en": '{"detectors":["pattern","keyword","ner"],"threshold":0.95}',
 }
-DEFAULT_DETECTORS = ("pattern", "keyword")
-
-
-def _config_sql():
-    whens = " ".join(f"WHEN {O.q(k)} THEN {O.q(v)}" for k, v in CONFIG_BY_LANG.items())
-    return f"CASE lang {whens} END"
+BAD_CONFIG = '{"detectors":["patern"]}'
+BAD_RULE = "doc_id % 11 = 5"
 
 
 def with_config(docs):
     cfg = F.lit(None).cast("string")
     for lang, js in CONFIG_BY_LANG.items():
         cfg = F.when(F.col("lang") == lang, F.lit(js)).otherwise(cfg)
-    return docs.withColumn("config", cfg)
-
-
-def apply_config(df, text_col="text", config_col="config", key_cols=("doc_id",)):
-    """Parse the optional JSON once; absent fields take the defaults; each
-    detector runs only on rows that enable it; findings are then narrowed to
-    the allowed entities and the score threshold."""
-    v = F.try_parse_json(F.col(config_col))
-    det = F.coalesce(F.try_variant_get(v, "$.detectors", "array<string>"),
-                     F.array(*[F.lit(d) for d in DEFAULT_DETECTORS]))
-    ents = F.try_variant_get(v, "$.entities", "array<string>")
-    thr = F.coalesce(F.try_variant_get(v, "$.threshold", "double"), F.lit(0.0))
-    style = F.coalesce(F.try_variant_get(v, "$.style", "string"), F.lit("label"))
-    staged = df.select("*", det.alias("_det"), ents.alias("_ents"), thr.alias("_thr"), style.alias("style"))
-    staged = D.detect_patterns(staged, text_col, P.DEFAULT, out="findings",
-                               enabled=F.array_contains("_det", "pattern"))
-    staged = K.detect_keywords(staged, text_col, K.keyword_dictionary(df.sparkSession), out="findings",
-                               path="literal", enabled=F.array_contains("_det", "keyword"))
-    kept = F.filter("findings", lambda f: (F.col("_ents").isNull() | F.array_contains(F.col("_ents"), f["entity"]))
-                    & (f["score"] >= F.col("_thr")))
-    return staged.withColumn("findings", kept).drop("_det", "_ents", "_thr")
-
-
-@register("detection_config",
-          sql=(f"SELECT {COLS} FROM ({DOC_PAT}) AS p JOIN documents AS d USING (doc_id) "
-               f"WHERE coalesce(d.lang, '') <> 'de' AND (d.lang IS DISTINCT FROM 'fr' OR p.entity IN ('email', 'phone', 'card')) "
-               f"UNION ALL SELECT {COLS} FROM {DOC_KW} AS k JOIN documents AS d USING (doc_id) "
-               f"WHERE coalesce(d.lang, '') <> 'fr'"))
-def detection_config(spark, sf_dir):
-    docs = with_config(texts.documents(spark, sf_dir, ("doc_id", "text", "lang")))
-    return D.explode_findings(apply_config(docs), ["doc_id"])
+    return docs.withColumn("config", F.when(F.expr(BAD_RULE), F.lit(BAD_CONFIG)).otherwise(cfg))
 
 
 _CFG_F = (f"SELECT p.* FROM ({DOC_PAT}) AS p JOIN documents AS d USING (doc_id) "
-          f"WHERE coalesce(d.lang, '') <> 'de' AND (d.lang IS DISTINCT FROM 'fr' OR p.entity IN ('email', 'phone', 'card')) "
+          f"WHERE coalesce(d.lang, '') <> 'de' AND (d.lang IS DISTINCT FROM 'fr' OR p.entity IN ('email', 'phone', 'card')) AND NOT d.{BAD_RULE} "
           f"UNION ALL SELECT k.* FROM {DOC_KW} AS k JOIN documents AS d USING (doc_id) "
-          f"WHERE coalesce(d.lang, '') <> 'fr'")
-_STYLE_BY_LANG = "CASE lang WHEN 'es' THEN 'mask' ELSE 'label' END"
+          f"WHERE coalesce(d.lang, '') <> 'fr' AND NOT d.{BAD_RULE} "
+          f"UNION ALL SELECT n.* FROM {DOC_NER} AS n JOIN documents AS d USING (doc_id) WHERE d.lang = 'es' AND NOT d.{BAD_RULE}")
+
+
+@register("detection_config", sql=f"SELECT {COLS} FROM ({_CFG_F}) AS c")
+def detection_config(spark, sf_dir):
+    docs = with_config(texts.documents(spark, sf_dir, ("doc_id", "text", "lang")))
+    return D.explode_findings(C.apply_config(docs), ["doc_id"])
+
+
+_REDACTED = O.redacted("documents", "doc_id", O.merged(_CFG_F, "doc_id"),
+                       style="sql:CASE lang WHEN 'es' THEN 'mask' ELSE 'label' END", extra=("lang",))
 
 
 @register("redact_configured",
-          sql=O.redacted("documents", "doc_id", O.merged(_CFG_F, "doc_id"), style=f"sql:{_STYLE_BY_LANG}",
-                         extra=("lang",)))
+          sql=(f"SELECT doc_id, CASE WHEN NOT {BAD_RULE} THEN n_redactions END AS n_redactions, CASE WHEN NOT {BAD_RULE} THEN redacted_text END "
+               f"AS redacted_text, CASE WHEN {BAD_RULE} THEN 'unknown detector' END AS config_error FROM ({_REDACTED}) AS r"))
 def redact_configured(spark, sf_dir):
-    """D5 + R4: each request's configuration picks detectors, entities and the
-    redaction style (here: ``mask`` for one language, the default label else);
-    the style is a column, applied row by row in the same projection."""
-    from shroud.operators import redact as R
+    """D5 + R4: each request's configuration picks detectors, entities and the redaction
+    style (a column, applied row by row); a refused request gets a reason and no text."""
     docs = with_config(texts.documents(spark, sf_dir, ("doc_id", "text", "lang")))
-    found = D.merge(apply_config(docs))
-    out = R.apply_redactions(found, "text", "findings", "style", merged=True)
-    return out.select("doc_id", F.size("findings").alias("n_redactions"), "redacted_text")
+    out = C.redact_configured(docs)
+    return out.select("doc_id", F.when(F.col("findings").isNotNull(), F.size("findings")).alias("n_redactions"), "redacted_text", "config_error")

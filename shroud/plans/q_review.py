@@ -14,7 +14,7 @@ from shroud.operators import ner as N
 from shroud.operators import review as RV
 from shroud.plans import oracle as O
 from shroud.plans import texts
-from shroud.plans.q_keywords import DOC_KW, DOC_PAT
+from shroud.plans.q_keywords import DOC_KW, DOC_NER, DOC_PAT
 from shroud.plans.registry import register
 from shroud.sources.tables import table
 
@@ -22,7 +22,9 @@ T_FIRST = "2024-01-10 00:00:00"
 T_LATER = "2024-01-11 00:00:00"
 QUEUE_K = 3
 
-RAW_SQL = f"SELECT * FROM ({DOC_PAT}) AS p UNION ALL SELECT * FROM {DOC_KW} AS k"
+NER_COLS = "doc_id, start, end_, entity, detector, score"
+RAW_SQL = (f"SELECT {NER_COLS} FROM ({DOC_PAT}) AS p UNION ALL SELECT {NER_COLS} FROM {DOC_KW} AS k "
+           f"UNION ALL SELECT {NER_COLS} FROM {DOC_NER} AS n")
 REV_F = O.merged(RAW_SQL, "doc_id")
 ADDS_SQL = ("SELECT l.doc_id AS doc_id, 0 AS start, CAST(least(10, length(d.text)) AS INTEGER) AS end_, "
             "'review_note' AS entity, 'review' AS detector, CAST(1.0 AS DOUBLE) AS score "
@@ -31,10 +33,11 @@ ADDS_SQL = ("SELECT l.doc_id AS doc_id, 0 AS start, CAST(least(10, length(d.text
 
 
 def detected(spark, sf_dir, cols=("doc_id", "text")) -> DataFrame:
-    """Documents with pattern and keyword findings on the row (not merged)."""
+    """Documents with the findings of the three detectors on the row (not merged)."""
     docs = texts.documents(spark, sf_dir, cols)
     pat = D.detect_patterns(docs, "text", P.DEFAULT)
-    return K.detect_keywords(pat, "text", K.keyword_dictionary(spark), path="literal")
+    kw = K.detect_keywords(pat, "text", K.keyword_dictionary(spark), path="literal")
+    return D.union_findings(N.detect_ner(kw, "text", N.LEXICON, out="__ner"), ["findings", "__ner"]).drop("__ner")
 
 
 def derive_decisions(spark, sf_dir, findings_rows: DataFrame) -> DataFrame:
@@ -135,9 +138,8 @@ def greedy_decode(spark, sf_dir):
     return D.explode_findings(found.withColumn("findings", F.expr(greedy(ref("findings")))), ["doc_id"])
 
 
-@register("detect_ner")
+@register("detect_ner", sql=f"SELECT doc_id, start, end_, entity, score FROM {DOC_NER} AS n")
 def detect_ner(spark, sf_dir):
-    """Rows-only: the stand-in scorer has no SQL twin (and no claimed quality)."""
-    docs = texts.documents(spark, sf_dir)
-    found = N.detect_ner(docs, "text", N.ScorerSpec(threshold=0.8))
+    """The lexicon scorer (the hashed stand-in is covered by tests of the interface)."""
+    found = N.detect_ner(texts.documents(spark, sf_dir), "text", N.LEXICON)
     return D.explode_findings(found, ["doc_id"], col="ner", with_score=True).drop("detector")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shroud.functions import patterns as P
 from shroud.operators import detect as D
 from shroud.operators import keywords as K
+from shroud.operators import ner as N
 from shroud.operators import redact as R
 from shroud.operators import review as RV
 from shroud.sources import files as FS
@@ -28,12 +29,16 @@ class WorkflowConfig:
     style: str = "label"
     ttl_minutes: int = 1440
     keyword_path: str = "auto"
+    ner: N.ScorerSpec | None = N.LEXICON
 
 
 def detect_step(files: DataFrame, dictionary: DataFrame, cfg: WorkflowConfig) -> DataFrame:
-    """Patterns and dictionary on ``content``, merged."""
+    """Patterns, dictionary and entities on ``content``, merged."""
     found = D.detect_patterns(files, "content", cfg.patterns)
     found = K.detect_keywords(found, "content", dictionary, key_cols=["file_id"], path=cfg.keyword_path)
+    if cfg.ner is not None:
+        found = N.detect_ner(found, "content", cfg.ner, out="__ner")
+        found = D.union_findings(found, ["findings", "__ner"]).drop("__ner")
     return D.merge(found)
 
 

@@ -193,3 +193,32 @@ def test_snippet_shows_no_neighbour(spark):
     df = spark.createDataFrame([(1, "s", "write a@b.example, 10.20.30.40 tail and more text"), (2, "s", "nothing")], "doc_id int, source string, text string")
     got = RV.review_queue(D.merge(D.detect_patterns(df)), 5).collect()
     assert [(r.doc_id, r.snippet) for r in got] == [(1, "write [EMAIL], [IPV4] tail and mo")]
+
+
+CONFIGS = [  # configuration, error, findings
+    (None, None, 2), ('{}', None, 2), ('{"detectors":["pattern"]}', None, 1), ('{"detectors":["ner"]}', None, 1),
+    ('{"detectors":["pattern","keyword","ner"],"style":"drop"}', None, 3), ('{"entities":["email"],"threshold":1}', None, 1),
+    ('{"detectors":["patern"]}', "unknown detector", None), ('{"detectors":[]}', "unknown detector", None),
+    ('{"detectors":"pattern"}', "unknown detector", None), ('{"detectors":[null]}', "unknown detector", None),
+    ('{"entities":["emial"]}', "unknown entity", None), ('{"style":"blur"}', "unknown style", None),
+    ('{"threshold":"high"}', "invalid threshold", None), ('{"threshold":7}', "invalid threshold", None),
+    ('{"detectors":', "invalid configuration", None), ('[1]', "invalid configuration", None), ('"x"', "invalid configuration", None),
+]
+
+
+def test_configuration_refuses_what_it_does_not_know(spark):
+    from shroud.operators import config as C
+    df = spark.createDataFrame([(i, "password of a@b.example, Eriner", c) for i, (c, _, _) in enumerate(CONFIGS)], "doc_id int, text string, config string")
+    got = {r.doc_id: r for r in C.redact_configured(df).collect()}
+    for i, (c, error, n) in enumerate(CONFIGS):
+        r = got[i]
+        assert (r.config_error, None if r.findings is None else len(r.findings)) == (error, n), c
+        assert (r.redacted_text is None) == (error is not None), c
+    assert got[0].redacted_text == "[SECRET_KEYWORD] of [EMAIL], Eriner" and got[4].redacted_text == " of , "
+
+
+def test_scorer_cache_knows_options():
+    from shroud.operators import ner as N
+    a, b = (N.ScorerSpec(kind="lexicon", options={"terms": {w: "person"}}) for w in ("Ada", "Bob"))
+    assert N.scorer_for(a) is not N.scorer_for(b) and N.scorer_for(a).predict("Ada, Bob Adam")[0][:2] == (0, 3)
+    assert [s[:3] for s in N.scorer_for(b).predict("Ada, Bob Adam")] == [(5, 8, "person")]

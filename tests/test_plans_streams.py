@@ -114,7 +114,7 @@ def test_entry_and_registry(spark):
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs)
     from shroud.plans.registry import QUERIES  # without the optional corpus queries
-    assert set(QUERIES) - set(sql) == {"detect_ner", "poll_percentiles"}
+    assert set(QUERIES) - set(sql) == {"poll_percentiles"}
 
 
 def test_ingest_text_files_and_write_redacted(spark, tmp_path):
