@@ -111,19 +111,50 @@ def token_carry(responses: DataFrame, code: str = "fdf") -> DataFrame:
 
 
 # ---- R1 / R2 ----
-def normalize_redactions(saved: DataFrame) -> DataFrame:
-    """Object -> ``result.redactions`` if present and not null, else
-    ``redactions``; any other root is taken as is; whatever was picked must be
-    an array.  Broken JSON is an error too.  Output: case_id, n, is_error."""
-    v = F.try_parse_json(F.col("json"))
+def _saved_array(json_col: str) -> tuple[Column, Column]:
+    """The saved redactions (VARIANT) and whether they are an array: an object gives
+    ``result.redactions`` if present and not null, else ``redactions``; any other root
+    is taken as is."""
+    v = F.try_parse_json(F.col(json_col))
     is_obj = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     inner = vget(v, "$.result.redactions", "variant")
     inner_ok = inner.isNotNull() & ~F.coalesce(F.is_variant_null(inner), F.lit(True))
     picked = F.when(is_obj, F.when(inner_ok, inner).otherwise(vget(v, "$.redactions", "variant"))) \
         .otherwise(v)
-    is_arr = F.coalesce(F.schema_of_variant(picked).startswith("ARRAY"), F.lit(False))
-    return saved.select("case_id", F.when(is_arr, variant_size(picked)).alias("n"),
-                        (~is_arr).alias("is_error"))
+    return picked, F.coalesce(F.schema_of_variant(picked).startswith("ARRAY"), F.lit(False))
+
+
+def normalize_redactions(saved: DataFrame) -> DataFrame:
+    """R1.  Output: case_id, n, is_error (no array, or broken JSON) and the array itself:
+    ``redactions`` as spans with null where a field is missing or of another type."""
+    picked, is_arr = _saved_array("json")
+    items = F.try_variant_get(picked, "$", "array<variant>")
+    item = lambda x: F.struct(
+        vget(x, "$.start", "int").alias("start"), vget(x, "$.end", "int").alias("end"), vget(x, "$.entity", "string").alias("entity"),
+        F.coalesce(vget(x, "$.detector", "string"), F.lit("review")).alias("detector"),
+        F.coalesce(vget(x, "$.score", "double"), F.lit(1.0)).alias("score"))
+    return saved.select("case_id", F.when(is_arr, variant_size(picked)).alias("n"), (~is_arr).alias("is_error"),
+                        F.when(is_arr, F.transform(items, item)).alias("redactions"))
+
+
+def redact_from_saved(docs: DataFrame, saved: DataFrame, key: str = "doc_id", text_col: str = "text", style: str = "label") -> DataFrame:
+    """R1 -> R2 -> R4: texts redacted by saved (or edited) redactions, ``saved(case_id, json)``.
+
+    Every document keeps its row.  No array is a refusal, and so is one span without offsets or entity, or
+    outside its text (``reason``; no redacted text).  An empty array proceeds: the text unchanged."""
+    from shroud.functions import spans as S
+
+    norm = normalize_redactions(saved).withColumnRenamed("case_id", "__case")
+    j = docs.join(norm, F.col(key) == F.col("__case"), "left")
+    good = F.forall("redactions", lambda x: F.coalesce(
+        (x["start"] >= 0) & (x["end"] > x["start"]) & (x["end"] <= F.length(text_col)) & x["entity"].isNotNull(), F.lit(False)))
+    reason = (F.when(F.col(text_col).isNull(), F.lit("no text"))
+              .when(F.col("redactions").isNull(), F.lit("no redactions"))
+              .when(~F.coalesce(good, F.lit(False)), F.lit("invalid span")))
+    merged = j.withColumn("reason", reason).withColumn("redactions", F.expr(
+        f"CASE WHEN reason IS NULL THEN {S.merge_spans('redactions')} END"))
+    out = F.when(F.col("reason").isNull(), F.expr(S.redact_text(S.ref(text_col), "redactions", S.style_sql(style))))
+    return merged.select(key, F.when(F.col("reason").isNull(), F.size("redactions")).alias("n_redactions"), out.alias("redacted_text"), "reason")
 
 
 def redaction_gate(responses: DataFrame) -> DataFrame:

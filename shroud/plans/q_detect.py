@@ -140,6 +140,28 @@ def entity_profile(spark, sf_dir):
     return D.entity_profile(D.explode_findings(merged, ["doc_id", "lang"]), "doc_id", "lang")
 
 
+# ---- R1 -> R2 -> R4: the saved result of a detection, some edited wrongly ----
+_SAVED_REASON = ("CASE WHEN d.doc_id % 7 = 3 THEN 'no redactions' WHEN d.doc_id % 7 = 4 THEN 'invalid span' END")
+
+
+@register("redact_from_saved",
+          sql=(f"SELECT d.doc_id, CASE WHEN {_SAVED_REASON} IS NULL THEN CASE WHEN d.doc_id % 7 = 6 THEN 0 ELSE r.n_redactions END END AS n_redactions, "
+               f"CASE WHEN {_SAVED_REASON} IS NULL THEN CASE WHEN d.doc_id % 7 = 6 THEN d.text ELSE r.redacted_text END END AS redacted_text, "
+               f"{_SAVED_REASON} AS reason FROM documents AS d JOIN ({O.redacted('documents', 'doc_id', DOC_M)}) AS r ON d.doc_id = r.doc_id"))
+def redact_from_saved(spark, sf_dir):
+    """Detection results saved as JSON (objects, plain arrays, empty and faulty ones), normalised and applied."""
+    from shroud.operators import jobs as J
+    js = D.findings_json("findings")
+    rule = F.col("doc_id") % 7
+    body = (F.when(rule == 3, F.lit('{"x":1}'))
+            .when(rule == 4, F.lit('[{"start":0,"end":100000000,"entity":"email"}]'))
+            .when(rule == 5, js)
+            .when(rule == 6, F.lit('{"result":{"redactions":[]}}'))
+            .otherwise(F.concat(F.lit('{"result":{"redactions":'), js, F.lit("}}"))))
+    saved = D.merge(doc_findings(spark, sf_dir)).select(F.col("doc_id").alias("case_id"), body.alias("json"))
+    return J.redact_from_saved(texts.documents(spark, sf_dir), saved)
+
+
 def _uid() -> str:
     import uuid
     return uuid.uuid4().hex[:12]

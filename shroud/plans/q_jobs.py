@@ -168,7 +168,7 @@ _NORM_SQL = (f"SELECT event_id AS case_id, CAST(CASE WHEN k % 6 = 0 THEN CASE WH
 
 @register("normalize_redactions", sql=_NORM_SQL)
 def normalize_redactions(spark, sf_dir):
-    return J.normalize_redactions(EV.saved_redactions(_responses(spark, sf_dir)))
+    return J.normalize_redactions(EV.saved_redactions(_responses(spark, sf_dir))).drop("redactions")
 
 
 @register("redaction_gate",
@@ -189,7 +189,7 @@ def load_redactions(spark, sf_dir):
     back = load_redactions_json(spark, path, wholetext=False)
     rows = back.select(F.get_json_object("json", "$.case_id").cast("bigint").alias("case_id"),
                        F.get_json_object("json", "$.doc").alias("json"))
-    return J.normalize_redactions(rows)
+    return J.normalize_redactions(rows).drop("redactions")
 
 
 @register("poll_percentiles")

@@ -222,3 +222,27 @@ def test_scorer_cache_knows_options():
     a, b = (N.ScorerSpec(kind="lexicon", options={"terms": {w: "person"}}) for w in ("Ada", "Bob"))
     assert N.scorer_for(a) is not N.scorer_for(b) and N.scorer_for(a).predict("Ada, Bob Adam")[0][:2] == (0, 3)
     assert [s[:3] for s in N.scorer_for(b).predict("Ada, Bob Adam")] == [(5, 8, "person")]
+
+
+def test_redaction_from_saved_files(spark, tmp_path):
+    """Whole pretty-printed files, read back, normalised and applied."""
+    import json
+
+    from shroud.sources.sinks import load_redactions_json
+    text = "mail a@b.example now"
+    span = {"start": 5, "end": 16, "entity": "email"}
+    cases = {
+        1: {"result": {"redactions": [span]}}, 2: [span], 3: {"redactions": []}, 4: {"x": 1}, 5: [{"start": 5, "entity": "email"}],
+        6: [{"start": 5, "end": 99, "entity": "email"}], 7: [span, {"start": 0, "end": 6, "entity": "note"}], 8: [{"start": 5, "end": 16}],
+        9: [{"start": -1, "end": 2, "entity": "x"}], 10: "text"}
+    for i, c in cases.items():
+        (tmp_path / f"{i}.json").write_text(json.dumps(c, indent=2))
+    saved = load_redactions_json(spark, str(tmp_path)).select(
+        F.regexp_extract("source_file", r"([0-9]+)\.json$", 1).cast("int").alias("case_id"), "json")
+    docs = spark.createDataFrame([(i, text) for i in [*cases, 11]] + [(12, None)], "doc_id int, text string")
+    got = {r.doc_id: (r.redacted_text, r.n_redactions, r.reason) for r in J.redact_from_saved(docs, saved).collect()}
+    done = "mail [EMAIL] now"
+    assert got == {1: (done, 1, None), 2: (done, 1, None), 3: (text, 0, None), 4: (None, None, "no redactions"),
+                   5: (None, None, "invalid span"), 6: (None, None, "invalid span"), 7: ("[EMAIL] now", 1, None),
+                   8: (None, None, "invalid span"), 9: (None, None, "invalid span"), 10: (None, None, "no redactions"),
+                   11: (None, None, "no redactions"), 12: (None, None, "no text")}
