@@ -125,42 +125,22 @@ def detector_rank(detector: str) -> str:
     return f"CASE {detector} {whens} ELSE {len(DETECTOR_RANK)} END"
 
 
-def has_overlap(s: str) -> str:
-    """Spans sorted by start overlap iff some span starts before its predecessor ends."""
-    i = _v("i")
-    return (f"CASE WHEN size({s}) <= 1 THEN false ELSE exists(sequence(1, size({s}) - 1), "
-            f"{i} -> get({s}, {i}).start < get({s}, {i} - 1).end) END")
+def _islands(s: str, body) -> str:
+    """``body(members, end)`` for every island of connected overlaps of the spans ``s``
+    (sorted by start); ``members`` is the island's slice, ``end`` its largest end.
 
+    Linear after two sorts: span i starts an island iff all i spans before it have
+    ended, that is, iff the i-th smallest end is at most its start."""
+    i, k, h, x = _v("i"), _v("k"), _v("h"), _v("x")
 
-_ACC_DDL = "struct<start:int,end:int,entity:string,detector:string,score:double,brank:int,blen:int,bstart:int>"
+    def over(ends):
+        heads = (f"filter(sequence(0, size({s}) - 1), {i} -> {i} = 0 OR get({ends}, {i} - 1) <= get({s}, {i}).start)")
+        return let(heads, lambda hs: let(
+            f"transform({hs}, ({h}, {k}) -> coalesce(get({hs}, {k} + 1), size({s})))",
+            lambda stops: f"transform({hs}, ({h}, {k}) -> "
+            + let(f"slice({s}, {h} + 1, get({stops}, {k}) - {h})", lambda m: body(m, f"get({ends}, get({stops}, {k}) - 1)")) + ")"))
 
-
-def _merge_slow(s: str) -> str:
-    acc, x, out, y = _v("acc"), _v("x"), _v("o"), _v("y")
-    xr, xl = detector_rank(f"{x}.detector"), f"({x}.end - {x}.start)"
-
-    def with_last(last):
-        better = (f"({xr} < {last}.brank OR ({xr} = {last}.brank AND ({xl} > {last}.blen OR ({xl} = {last}.blen "
-                  f"AND ({x}.start < {last}.bstart OR ({x}.start = {last}.bstart AND {x}.entity < {last}.entity))))))")
-
-        def pick(a, b):
-            return f"CASE WHEN {better} THEN {a} ELSE {b} END"
-
-        merged = (f"named_struct('start', {last}.start, 'end', greatest({last}.end, {x}.end), "
-                  f"'entity', {pick(f'{x}.entity', f'{last}.entity')}, "
-                  f"'detector', {pick(f'{x}.detector', f'{last}.detector')}, "
-                  f"'score', greatest({last}.score, {x}.score), 'brank', {pick(xr, f'{last}.brank')}, "
-                  f"'blen', {pick(xl, f'{last}.blen')}, 'bstart', {pick(f'{x}.start', f'{last}.bstart')})")
-        fresh = (f"named_struct('start', {x}.start, 'end', {x}.end, 'entity', {x}.entity, "
-                 f"'detector', {x}.detector, 'score', {x}.score, 'brank', {xr}, 'blen', {xl}, 'bstart', {x}.start)")
-        return (f"CASE WHEN size({acc}) > 0 AND {x}.start < {last}.end "
-                f"THEN concat(slice({acc}, 1, size({acc}) - 1), array({merged})) "
-                f"ELSE concat({acc}, array({fresh})) END")
-
-    step = let(f"get({acc}, size({acc}) - 1)", with_last)
-    finish = (f"transform({out}, {y} -> named_struct('start', {y}.start, 'end', {y}.end, 'entity', {y}.entity, "
-              f"'detector', {y}.detector, 'score', {y}.score))")
-    return f"aggregate({s}, {empty(_ACC_DDL)}, ({acc}, {x}) -> {step}, {out} -> {finish})"
+    return let(f"array_sort(transform({s}, {x} -> {x}.end))", over)
 
 
 def merge_spans(findings: str) -> str:
@@ -168,10 +148,19 @@ def merge_spans(findings: str) -> str:
 
     The label comes from the member with the best (detector rank, longest span,
     earliest start, smallest entity name); the score is the island's maximum.
-    Sorted by start.  Linear when nothing overlaps (the common case).
+    Sorted by start; one algorithm, linear after sorting.
     """
+    x, y = _v("x"), _v("y")
+
+    def one(members, end):
+        best = (f"array_min(transform({members}, {x} -> named_struct('r', {detector_rank(f'{x}.detector')}, 'l', {x}.start - {x}.end, "
+                f"'s', {x}.start, 'e', {x}.entity, 'd', {x}.detector)))")
+        return let(best, lambda b: (
+            f"named_struct('start', get({members}, 0).start, 'end', {end}, 'entity', {b}.e, 'detector', {b}.d, "
+            f"'score', array_max(transform({members}, {y} -> {y}.score)))"))
+
     return let(f"sort_array(coalesce({findings}, {empty(FINDING_DDL)}))",
-               lambda s: f"CASE WHEN {has_overlap(s)} THEN {_merge_slow(s)} ELSE {s} END")
+               lambda s: f"CASE WHEN size({s}) = 0 THEN {empty(FINDING_DDL)} ELSE {_islands(s, one)} END")
 
 
 # ---- R4: redact ----
@@ -206,18 +195,21 @@ def redact_text(text: str, spans: str, style: str = "'label'", small: int = SMAL
 # ---- D4: greedy decoding ----
 def greedy_decode(findings: str) -> str:
     """Highest score first (then start, end, entity); a span is kept unless
-    it overlaps one already kept.  Result sorted by start."""
+    it overlaps one already kept.  Result sorted by start.  Spans only compete inside
+    their island of overlaps, so the cost is linear but for the size of one island."""
     key_ddl = "struct<neg:double,start:int,end:int,entity:string,detector:string,score:double>"
     x, acc, y, k, z = _v("x"), _v("acc"), _v("y"), _v("k"), _v("z")
 
-    def body(fs):
-        keyed = (f"sort_array(transform({fs}, {x} -> named_struct('neg', -{x}.score, 'start', {x}.start, "
+    def one(members, _end):
+        keyed = (f"sort_array(transform({members}, {x} -> named_struct('neg', -{x}.score, 'start', {x}.start, "
                  f"'end', {x}.end, 'entity', {x}.entity, 'detector', {x}.detector, 'score', {x}.score)))")
         kept = (f"aggregate({keyed}, {empty(key_ddl)}, ({acc}, {y}) -> CASE WHEN exists({acc}, {k} -> "
                 f"{k}.start < {y}.end AND {y}.start < {k}.end) THEN {acc} ELSE concat({acc}, array({y})) END)")
-        return (f"sort_array(transform({kept}, {z} -> named_struct('start', {z}.start, 'end', {z}.end, "
-                f"'entity', {z}.entity, 'detector', {z}.detector, 'score', {z}.score)))")
-    return let(f"coalesce({findings}, {empty(FINDING_DDL)})", body)
+        return (f"CASE WHEN size({members}) = 1 THEN {members} ELSE transform({kept}, {z} -> named_struct('start', {z}.start, "
+                f"'end', {z}.end, 'entity', {z}.entity, 'detector', {z}.detector, 'score', {z}.score)) END")
+
+    return let(f"sort_array(coalesce({findings}, {empty(FINDING_DDL)}))", lambda s: (
+        f"CASE WHEN size({s}) = 0 THEN {empty(FINDING_DDL)} ELSE sort_array(flatten({_islands(s, one)})) END"))
 
 
 # ---- H2 on the array plane ----
@@ -232,9 +224,3 @@ def apply_decisions(findings: str, decisions: str) -> str:
         return merge_spans(f"concat({kept}, {adds})")
     return let(f"coalesce({findings}, {empty(FINDING_DDL)})",
                lambda fs: let(f"coalesce({decisions}, {empty(DECISION_DDL)})", lambda ds: body(fs, ds)))
-
-
-def shift(findings: str, delta: str) -> str:
-    x = _v("x")
-    return (f"transform({findings}, {x} -> named_struct('start', {x}.start + {delta}, 'end', {x}.end + {delta}, "
-            f"'entity', {x}.entity, 'detector', {x}.detector, 'score', {x}.score))")

@@ -66,6 +66,6 @@ def apply_config(df: DataFrame, text_col: str = "text", config_col: str = "confi
 def redact_configured(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """D5 + R4: adds ``redacted_text``; null, with ``config_error``, for a refused request."""
     found = D.merge(apply_config(df, text_col, **options))
-    out = apply_redactions(found, text_col, "findings", "style", merged=True)
+    out = apply_redactions(found, text_col, "findings", "style", merged=True, stable=True)
     ok = F.col("config_error").isNull()
     return out.withColumns({"findings": F.when(ok, F.col("findings")), "redacted_text": F.when(ok, F.col("redacted_text"))})

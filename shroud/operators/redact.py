@@ -17,24 +17,27 @@ STYLES = ("label", "mask", "drop")
 
 def apply_redactions(df: DataFrame, text_col: str = "text", spans_col: str = "findings",
                      style: str = "label", out: str = "redacted_text",
-                     merged: bool = False, patterns=P.DEFAULT) -> DataFrame:
+                     merged: bool = False, stable: bool = False, patterns=P.DEFAULT) -> DataFrame:
     """Replace every span.  Spans are merged first unless ``merged``,
-    because replacing overlapping spans one by one could leave part visible."""
+    because replacing overlapping spans one by one could leave part visible.
+
+    ``stable``: dropping joins the two sides of a span, which may form a new finding of
+    ``patterns``; such texts are labelled instead (a label's brackets are in no pattern)."""
     if isinstance(style, str) and style not in STYLES and style not in df.columns:
         raise ValueError(f"style must be one of {STYLES} or a column holding one")
     spans = S.ref(spans_col) if merged else S.merge_spans(S.ref(spans_col))
     redact = lambda sql: F.expr(S.redact_text(S.ref(text_col), spans, sql))
     done = df.withColumn(out, redact(S.style_sql(style)))
-    if style in ("label", "mask"):
+    if not stable or style in ("label", "mask"):
         return done
-    # dropping joins the two sides of a span, which may form a new finding: such
-    # texts are labelled instead (a label's brackets are in no pattern)
     dropped = F.lit(True) if style == "drop" else F.col(style) == "drop"
+    labelled = redact(S.lit("label"))
     anew = F.lit(False)
     for p in P.validate(patterns):
-        anew = anew | F.col(out).rlike(p.regex)
-    return done.withColumn(out, F.when(dropped & (F.size(F.coalesce(F.col(spans_col), F.array())) > 0) & anew, redact(S.lit("label")))
-                           .otherwise(F.col(out)))
+        anew = anew | (F.regexp_count(F.col(out), F.lit(p.regex)) > F.regexp_count(F.col("__labelled"), F.lit(p.regex)))
+    some = F.size(F.coalesce(F.col(spans_col), F.array())) > 0
+    done = done.withColumn("__labelled", F.when(dropped & some, labelled))
+    return done.withColumn(out, F.when(dropped & some & anew, F.col("__labelled")).otherwise(F.col(out))).drop("__labelled")
 
 
 def residual_check(redacted: DataFrame, text_cols=("redacted_text",), patterns=P.DEFAULT) -> DataFrame:

@@ -86,7 +86,8 @@ def redact_conversations(spark, sf_dir):
 def _residual_sql() -> str:
     """Redact in all three styles (a dropped text that shows a new finding is labelled), then scan again."""
     by = {s: O.redacted("documents", "doc_id", DOC_M, style=s) for s in R.STYLES}
-    anew = " OR ".join(f"regexp_matches(d.redacted_text, {O.q(p.regex)})" for p in P.DEFAULT)
+    anew = " OR ".join(f"len(regexp_extract_all(d.redacted_text, {O.q(p.regex)})) > len(regexp_extract_all(l.redacted_text, {O.q(p.regex)}))"
+                       for p in P.DEFAULT)
     drop = (f"SELECT CASE WHEN d.n_redactions > 0 AND ({anew}) THEN l.redacted_text ELSE d.redacted_text END AS t "
             f"FROM ({by['drop']}) AS d JOIN ({by['label']}) AS l ON d.doc_id = l.doc_id")
     texts_ = " UNION ALL ".join([f"SELECT redacted_text AS t FROM ({by[s]}) AS r" for s in ("label", "mask")] + [drop])
@@ -100,7 +101,7 @@ def residual_check(spark, sf_dir):
     """R5 on all three styles at once: every redacted output is rescanned."""
     df = D.merge(doc_findings(spark, sf_dir))
     for s in R.STYLES:
-        df = R.apply_redactions(df, "text", "findings", s, out=f"redacted_{s}", merged=True)
+        df = R.apply_redactions(df, "text", "findings", s, out=f"redacted_{s}", merged=True, stable=True)
     return R.residual_check(df, [f"redacted_{s}" for s in R.STYLES], P.DEFAULT)
 
 

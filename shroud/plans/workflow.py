@@ -54,7 +54,7 @@ def review_step(detected: DataFrame, decisions: DataFrame | None) -> DataFrame:
 
 
 def redact_step(reviewed: DataFrame, style: str) -> DataFrame:
-    return R.apply_redactions(reviewed, "content", "findings", style, out="redacted_text", merged=True)
+    return R.apply_redactions(reviewed, "content", "findings", style, out="redacted_text", merged=True, stable=True)
 
 
 def download_step(redacted: DataFrame, requests: DataFrame, keys: DataFrame,

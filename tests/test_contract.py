@@ -181,7 +181,7 @@ def test_dropping_leaves_no_new_finding(spark):
     from shroud.operators import redact as R
     tok = "token = \"" + "a" * 16 + "\""
     df = spark.createDataFrame([(1, "10." + tok + "1.2.3"), (2, "keep " + tok + " this"), (3, None), (4, "none")], "i int, text string")
-    out = R.apply_redactions(D.merge(D.detect_patterns(df)), "text", "findings", "drop", merged=True)
+    out = R.apply_redactions(D.merge(D.detect_patterns(df)), "text", "findings", "drop", merged=True, stable=True)
     got = {r.i: r.redacted_text for r in out.collect()}
     assert got == {1: "10.[SECRET]1.2.3", 2: "keep  this", 3: None, 4: "none"}
     assert {r.n for r in R.residual_check(out).collect()} == {0}

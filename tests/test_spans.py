@@ -131,3 +131,24 @@ def test_driver_data_matches_python(spark):
     got = D.explode_findings(D.detect_patterns(docs, "text"), ["doc_id"]).collect()
     want = {(d, s, e, ent) for d, t in texts.items() for s, e, ent, _ in py_findings(t)}
     assert {(r.doc_id, r.start, r.end_, r.entity) for r in got} == want
+
+
+def test_merge_and_greedy_grow_linearly(spark):
+    """16 times the spans in one text, overlapping in pairs: far from 256 times the time."""
+    import time
+
+    from shroud.functions.spans import FINDINGS_DDL, greedy_decode, merge_spans
+
+    def run(n):
+        spans = [(10 * (i // 2) + 3 * (i % 2), 10 * (i // 2) + 3 * (i % 2) + 5, "a", "ner", 0.5 + 0.1 * (i % 2)) for i in range(n)]
+        df = spark.createDataFrame([(i, spans) for i in range(8)], f"i int, f {FINDINGS_DDL}").cache()
+        df.count()
+        out = df.select(F.expr(merge_spans("f")).alias("m"), F.expr(greedy_decode("f")).alias("g"))
+        t = time.perf_counter()
+        r = out.selectExpr("sum(size(m)) AS m", "sum(size(g)) AS g").first()
+        assert (r.m, r.g) == (4 * n, 4 * n)
+        return time.perf_counter() - t
+
+    run(1000)
+    small, large = min(run(1000) for _ in range(3)), min(run(16000) for _ in range(2))
+    assert large < 60 * max(small, 0.05)
