@@ -15,11 +15,31 @@ FILE_COLUMNS = ("file_id", "file_code", "source_kind", "uri", "name", "n_chars",
                 "content", "dek_token", "key_id")
 
 # ---- fixed values: HTML entities decoded by ingest_url (&amp; is decoded last) ----
-HTML_ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"),
+HTML_ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&commat;", "@"), ("&period;", "."), ("&lt;", "<"), ("&gt;", ">"),
                  ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 # ---- end of fixed values ----
 
 
+_NUMERIC = r"&#(?:[xX][0-9A-Fa-f]{1,6}|[0-9]{1,7});"
+
+
+def decode_numeric(text: Column) -> Column:
+    """Numeric character references (``&#64;``, ``&#x40;``) as their characters; a number
+    that is no character (or a NUL) becomes U+FFFD, as browsers do."""
+    found = F.regexp_extract_all(text, F.lit(_NUMERIC), F.lit(0))
+
+    def one(m):
+        body = F.substring(m, 3, 8)
+        n = F.when(F.lower(F.substring(m, 3, 1)) == "x", F.conv(F.regexp_extract(body, "([0-9A-Fa-f]+);", 1), 16, 10)) \
+            .otherwise(F.regexp_extract(body, "([0-9]+);", 1)).cast("long")
+        ok = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        return F.decode(F.unhex(F.lpad(F.hex(F.when(ok, n).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")
+
+    pieces = F.split(text, F.lit(_NUMERIC), -1)
+    joined = F.array_join(F.zip_with(pieces, F.transform(found, one), lambda p, c: F.concat(p, F.coalesce(c, F.lit("")))), "")
+    return F.when(F.size(found) > 0, joined).otherwise(text)
+
+
 def html_to_text(html: Column) -> Column:
     """Visible text of a page: scripts, styles, comments and tags out, entities
     decoded (after the tags, so ``&lt;b&gt;`` stays text), blanks collapsed."""
@@ -27,6 +47,7 @@ def html_to_text(html: Column) -> Column:
     t = F.regexp_replace(t, F.lit(r"(?is)<style[^>]*>.*?</style[^>]*>"), F.lit(" "))
     t = F.regexp_replace(t, F.lit(r"(?s)<!--.*?-->"), F.lit(" "))
     t = F.regexp_replace(t, F.lit(r"<[^>]*>"), F.lit(" "))
+    t = decode_numeric(t)
     for ent, ch in HTML_ENTITIES:
         t = F.replace(t, F.lit(ent), F.lit(ch))
     t = F.regexp_replace(t, F.lit(r"[ \t\r\n]+"), F.lit(" "))

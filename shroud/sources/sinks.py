@@ -28,9 +28,12 @@ def read_annotations(spark: SparkSession, path: str, job_id: str | None = None)
 
 
 def write_redacted(redacted: DataFrame, path: str, name_col: str = "name",
-                   text_col: str = "redacted_text") -> None:
-    """Redacted text with the derived output name."""
-    (redacted.select(redacted_name(F.col(name_col)).alias("redacted_name"), F.col(text_col))
+                   text_col: str = "redacted_text", id_col: str = "file_id") -> None:
+    """Redacted text addressed by the file's id, with the derived output name.
+
+    Names need not be unique (the id is); a file without a name is named by its id."""
+    name = F.coalesce(F.nullif(redacted_name(F.col(name_col)), F.lit("")), F.concat(F.col(id_col).cast("string"), F.lit("_redacted")))
+    (redacted.select(F.col(id_col), name.alias("redacted_name"), F.col(text_col))
      .write.mode("overwrite").parquet(path))
 
 

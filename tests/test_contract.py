@@ -246,3 +246,24 @@ def test_redaction_from_saved_files(spark, tmp_path):
                    5: (None, None, "invalid span"), 6: (None, None, "invalid span"), 7: ("[EMAIL] now", 1, None),
                    8: (None, None, "invalid span"), 9: (None, None, "invalid span"), 10: (None, None, "no redactions"),
                    11: (None, None, "no redactions"), 12: (None, None, "no text")}
+
+
+def test_encoded_addresses_are_found(spark):
+    import html
+
+    from shroud.operators import detect as D
+    from shroud.sources.files import html_to_text
+    pages = ["<p>jo&#64;b.example</p>", "jo&#x40;b.example", "jo&commat;b&period;example &amp;#64; &#128512;&#x1F600;&#0;&#xD800;", "plain", None, "&#9999999;"]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", html_to_text(F.col("html")).alias("text"))
+    got = {r.i: r.text for r in df.collect()}
+    assert got == {0: "jo@b.example", 1: "jo@b.example", 2: html.unescape(pages[2]), 3: "plain", 4: None, 5: "\ufffd"}
+    found = {r.i: [f.entity for f in r.findings] for r in D.detect_patterns(df).collect()}
+    assert [found[i] for i in range(3)] == [["email"]] * 3
+
+
+def test_redacted_output_is_addressed_by_id(spark, tmp_path):
+    from shroud.sources.sinks import write_redacted
+    df = spark.createDataFrame([("1", "a.txt", "x"), ("2", "a.txt", "y"), ("3", "", "z"), ("4", None, "w")], "file_id string, name string, redacted_text string")
+    write_redacted(df, str(tmp_path / "out"))
+    got = {r.file_id: r.redacted_name for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"1": "a_redacted.txt", "2": "a_redacted.txt", "3": "3_redacted", "4": "4_redacted"}

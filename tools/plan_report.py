@@ -34,7 +34,6 @@ def summarise(plan: str) -> dict:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
     from shroud.session import get_session
     spark = get_session("plans", master="local[8]", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
@@ -43,7 +42,9 @@ def main() -> None:
           "`tools/plan_report.py`. Streaming queries show the read-back of their sink.\n")
     print("| query | shuffles | broadcast | SMJ | BHJ | nested loop | Python | scans | tables | reads a text column |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    from shroud.plans.registry import QUERIES, load_all
+    load_all()
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
