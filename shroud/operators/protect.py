@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shroud.session import exists, scratch_path
@@ -92,25 +92,52 @@ def unprotect(protected: DataFrame, requests: DataFrame, keys: DataFrame) -> Dat
     return j.select("file_id", text.alias("content"), reason.alias("reason"))
 
 
+def _buckets(ts: Column, ttl_minutes: int) -> Column:
+    return (F.unix_micros(ts) / F.lit(ttl_minutes * 60 * 1_000_000)).cast("bigint")
+
+
+def _minutes() -> Column:
+    return F.floor((F.unix_micros("use_ts") - F.unix_micros("issue_ts")) / F.lit(60_000_000)).cast("bigint").alias("minutes")
+
+
 def token_uses(issues: DataFrame, uses: DataFrame, ttl_minutes: int = 1440,
                key: str = "user_id") -> DataFrame:
-    """Uses that fall in ``[issue.ts, issue.ts + ttl]`` of an issue of the same key.
+    """One row per use that falls in ``[issue.ts, issue.ts + ttl]`` of an issue of the same
+    key, with its latest such issue.
 
-    A range join on time would compare all issues and uses of one key (a hot
-    key would make that quadratic).  Time is cut into buckets one TTL wide; an
-    issue can only meet uses of its own and the next bucket, so the equi-join
-    runs on (key, bucket) and each candidate pair is near a real one.
+    No pairs: time is cut into buckets one TTL wide, an issue is sent to its own and
+    the next bucket, and inside (key, bucket) a use takes the last issue before it.  A
+    busy key is spread over its buckets, and the cost is linear in its events.
     """
-    width = ttl_minutes * 60 * 1_000_000
-    bucket = (F.unix_micros(F.col("ts")) / F.lit(width)).cast("bigint")
+    i = issues.select(F.col(key), F.col("ts"), F.lit(None).cast("bigint").alias("use_id"), F.col("event_id").alias("issue_id"),
+                      F.explode(F.array(_buckets(F.col("ts"), ttl_minutes), _buckets(F.col("ts"), ttl_minutes) + 1)).alias("bucket"))
+    u = uses.select(F.col(key), F.col("ts"), F.col("event_id").alias("use_id"), F.lit(None).cast("bigint").alias("issue_id"),
+                    _buckets(F.col("ts"), ttl_minutes).alias("bucket"))
+    # issues before uses of the same instant, larger ids later
+    w = Window.partitionBy(key, "bucket").orderBy("ts", F.col("use_id").isNotNull(), "issue_id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    last = F.last(F.when(F.col("issue_id").isNotNull(), F.struct("issue_id", "ts")), ignorenulls=True).over(w)
+    found = i.unionByName(u).withColumn("_last", last).where(F.col("use_id").isNotNull() & F.col("_last").isNotNull())
+    live = found.select(F.col("_last.issue_id").alias("issue_id"), "use_id", key, F.col("ts").alias("use_ts"), F.col("_last.ts").alias("issue_ts")) \
+        .where(F.col("use_ts") <= F.col("issue_ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(ttl_minutes)))
+    return live.select("issue_id", "use_id", key, _minutes())
+
+
+def token_use_pairs(issues: DataFrame, uses: DataFrame, ttl_minutes: int = 1440, key: str = "user_id") -> DataFrame:
+    """Every live (issue, use) pair, as an interval join on (key, bucket): the form a
+    stream-stream join can run (T3), reduced afterwards by :func:`latest_issue`."""
     i = issues.select(F.col("event_id").alias("issue_id"), F.col(key), F.col("ts").alias("issue_ts"),
-                      F.explode(F.array(bucket, bucket + 1)).alias("bucket"))
+                      F.explode(F.array(_buckets(F.col("ts"), ttl_minutes), _buckets(F.col("ts"), ttl_minutes) + 1)).alias("bucket"))
     u = uses.select(F.col("event_id").alias("use_id"), F.col(key).alias("_k"),
-                    F.col("ts").alias("use_ts"), bucket.alias("_b"))
+                    F.col("ts").alias("use_ts"), _buckets(F.col("ts"), ttl_minutes).alias("_b"))
     cond = ((i[key] == u["_k"]) & (i["bucket"] == u["_b"])
             & (u["use_ts"] >= i["issue_ts"])
             & (u["use_ts"] <= i["issue_ts"] + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(ttl_minutes))))
-    return i.join(u, cond, "inner").select(
-        "issue_id", "use_id", F.col(key),
-        F.floor((F.unix_micros("use_ts") - F.unix_micros("issue_ts")) / F.lit(60_000_000))
-        .cast("bigint").alias("minutes"))
+    return i.join(u, cond, "inner").select("issue_id", "use_id", F.col(key), "issue_ts", "use_ts")
+
+
+def latest_issue(pairs: DataFrame, key: str = "user_id") -> DataFrame:
+    """One row per use of a table of pairs: its latest issue (partial maxima per task)."""
+    best = pairs.groupBy("use_id", key, "use_ts").agg(F.max(F.struct("issue_ts", "issue_id")).alias("b"))
+    return best.select(F.col("b.issue_id").alias("issue_id"), "use_id", key, "use_ts", F.col("b.issue_ts").alias("issue_ts")) \
+        .select("issue_id", "use_id", key, _minutes())

@@ -162,11 +162,12 @@ def unprotect_refused(spark, sf_dir):
 
 
 @register("token_valid_uses",
-          sql=("SELECT i.event_id AS issue_id, u.event_id AS use_id, i.user_id AS user_id, "
-               "CAST((epoch_us(u.ts) - epoch_us(i.ts)) // 60000000 AS BIGINT) AS minutes "
+          sql=("SELECT arg_max(issue_id, (its, issue_id)) AS issue_id, use_id, user_id, "
+               "CAST((epoch_us(uts) - epoch_us(max(its))) // 60000000 AS BIGINT) AS minutes FROM ("
+               "SELECT i.event_id AS issue_id, i.ts AS its, u.event_id AS use_id, u.ts AS uts, i.user_id AS user_id "
                "FROM events AS i JOIN events AS u ON i.user_id = u.user_id AND u.ts >= i.ts "
                "AND u.ts <= i.ts + INTERVAL 1440 MINUTE "
-               "WHERE i.event_type = 'signup' AND u.event_type = 'purchase'"))
+               "WHERE i.event_type = 'signup' AND u.event_type = 'purchase') AS p GROUP BY use_id, user_id, uts"))
 def token_valid_uses(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     issues = ev.where(F.col("event_type") == "signup")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from shroud.operators.protect import latest_issue
 from shroud.plans.q_detect import DOC_M
 from shroud.plans.registry import ORACLE, register
 from shroud.sources.events import job_events
@@ -39,7 +40,7 @@ def stream_token_uses(spark, sf_dir):
     ev = stream_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
     issues = ev.where(F.col("event_type") == "signup")
     uses = ev.where(F.col("event_type") == "purchase")
-    return run_available(S.token_uses_stream(issues, uses, 1440), "token_uses")
+    return latest_issue(run_available(S.token_uses_stream(issues, uses, 1440), "token_uses"))
 
 
 def _tracker_sql():

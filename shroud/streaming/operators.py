@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shroud.functions import patterns as P
 from shroud.operators import detect as D
-from shroud.operators.protect import token_uses
+from shroud.operators.protect import token_use_pairs
 from shroud.sources.events import TERMINAL
 
 JOB_DEADLINE_S = 3600
@@ -27,10 +27,10 @@ def dedup_stream(requests: DataFrame, key: str = "event_id", ts: str = "ts",
 
 def token_uses_stream(issues: DataFrame, uses: DataFrame, ttl_minutes: int = 1440,
                       delay: str = "10 minutes") -> DataFrame:
-    """Stream-stream interval join; both sides carry a watermark and the
+    """Stream-stream interval join (``latest_issue`` reduces its sink to one row per use); both sides carry a watermark and the
     join has a time range, so join state is dropped once the watermark passes
     the end of an issue's validity."""
-    return token_uses(issues.withWatermark("ts", delay), uses.withWatermark("ts", delay), ttl_minutes)
+    return token_use_pairs(issues.withWatermark("ts", delay), uses.withWatermark("ts", delay), ttl_minutes)
 
 
 TRACKER_WINDOW = "1 hour"

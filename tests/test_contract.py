@@ -267,3 +267,16 @@ def test_redacted_output_is_addressed_by_id(spark, tmp_path):
     write_redacted(df, str(tmp_path / "out"))
     got = {r.file_id: r.redacted_name for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {"1": "a_redacted.txt", "2": "a_redacted.txt", "3": "3_redacted", "4": "4_redacted"}
+
+
+def test_one_row_per_use_with_its_latest_issue(spark):
+    from shroud.operators import protect as PR
+    t = lambda m: f"2024-01-{1 + m // 1440:02d} {m % 1440 // 60:02d}:{m % 60:02d}:00"
+    schema = "event_id long, user_id long, ts string"
+    issues = [(1, 7, t(0)), (2, 7, t(100)), (3, 7, t(100)), (4, 8, t(5000)), (5, 9, t(1430))]
+    uses = [(11, 7, t(99)), (12, 7, t(100)), (13, 7, t(1540)), (14, 7, t(1541)), (15, 8, t(4999)), (16, 9, t(1430 + 1440)), (17, 5, t(1)),
+            (18, 9, t(1431))]
+    make = lambda rows: spark.createDataFrame(rows, schema).withColumn("ts", F.col("ts").cast("timestamp"))
+    want = {11: (1, 99), 12: (3, 0), 13: (3, 1440), 16: (5, 1440), 18: (5, 1)}
+    for df in (PR.token_uses(make(issues), make(uses)), PR.latest_issue(PR.token_use_pairs(make(issues), make(uses)))):
+        assert {r.use_id: (r.issue_id, r.minutes) for r in df.collect()} == want
