@@ -9,11 +9,12 @@ Nulls, repeated rows and empty tables take the results that the operators define
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from shroud.llm import common, decontaminate, mixing, simhash, token_output, toxicity
 from shroud.llm.queries import END_ID, tokenizer_path
-from shroud.session import ensure_settings
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,20 +44,27 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return token_output.token_digest(spark, path)
 
 
-STAGES = [
+def _with_settings(stage):
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        common.settings(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(name, _with_settings(stage)) for name, stage in (
     ("toxicity", toxicity_stage),
     ("near_duplicates", near_duplicate_stage),
     ("decontamination", decontamination_stage),
     ("mixing", mixing_stage),
     ("token_output", token_stage),
-]
+)]
 
 #: SQL can't express the classifier, the fingerprints or the tokenizer; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ensure_settings(spark)
     docs = common.table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = common.materialize(stage(spark, docs, sf_dir), f"stage-{name}")

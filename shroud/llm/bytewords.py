@@ -61,7 +61,7 @@ def spans(a: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(step == 1), np.flatnonzero(step == -1)
 
 
-def words_of(texts: list, table: np.ndarray, block: int = 4 << 20) -> tuple[np.ndarray, np.ndarray]:
+def words_of(texts: list, table: np.ndarray, block: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Term ids of all words of the texts in order, and the number of words of each text.
     Work arrays cover ``block`` bytes at a time; longer texts are cut between words."""
     gap = b"\n"  # in neither word class

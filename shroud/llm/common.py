@@ -18,11 +18,21 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shroud.session import checkpoint_root
+from shroud.session import checkpoint_root, ensure_settings
 
 #: Bytes of text handled at once inside one Python task; a batch of documents is
-#: cut so that the numpy work arrays (some 60 bytes per byte) stay below 256 MB.
-BLOCK_BYTES = 4 << 20
+#: cut so that the numpy work arrays (some 60 bytes per byte) stay below 64 MB.
+BLOCK_BYTES = 1 << 20
+
+
+#: Rows of an Arrow batch.  Texts have a few kB, so the default of 10,000 rows would hold
+#: tens of MB of text several times over in every Python worker.
+ARROW_ROWS = 1_000
+
+
+def settings(spark: SparkSession) -> None:
+    ensure_settings(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -39,7 +39,7 @@ from .bytewords import ALNUM, words_of
 
 WINDOW = 10
 #: Text of one segment.
-SEGMENT_BYTES = 6 << 20
+SEGMENT_BYTES = 4 << 20
 #: Text of the test set that is broadcast at once.
 QUERY_BYTES = 8 << 20
 

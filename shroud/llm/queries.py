@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shroud.session import ensure_settings
-
 from . import common
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,7 +19,7 @@ URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 def query(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ensure_settings(spark)
+            common.settings(spark)
             return fn(spark, sf_dir)
         QUERIES[name] = run
         if sql:

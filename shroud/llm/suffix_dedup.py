@@ -44,7 +44,7 @@ from . import bytewords, common
 LENGTH = 400
 GRAM = 64
 #: Bytes worked on at once; position in a block must fit in _POS bits.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 _POS = 24
 #: Regions of one anchor that one task may hold (under 150 MB of columns).
 MAX_REGIONS = 50_000

@@ -39,13 +39,13 @@ from . import bytewords, common
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 128 << 10
 #: Pieces kept per worker; when the table is full, longer ones go.
-MEMO_PIECES = 500_000
+MEMO_PIECES = 350_000
 #: Longer pieces are encoded but not kept.
 MEMO_PIECE_BYTES = 48
 #: Pieces of so many bytes stay when the table is emptied.
 SHORT_PIECE_BYTES = 9
 #: Text encoded together.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 # ASCII punctuation (but an apostrophe) between a letter of Latin-1 and white space is one token of its own
 _POINT = re.compile(rb"[!-&(-/:-@\[-`{-~](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[!-&(-/:-@\[-`{-~]*(?=[ \n]|$)")

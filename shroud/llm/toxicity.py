@@ -40,6 +40,8 @@ WINDOW_BYTES = 512
 ORDINARY_DICT, TOXIC_DICT, LEVEL = 65_536, 2_048, 3
 GRAMS = (5, 6, 7)
 GRAM_BUCKETS = 1 << 22
+#: An n-gram marks toxic texts by its share of them: so many times the ordinary share, and so many standard errors more.
+RATIO, MARK_Z = 8.0, 7.0
 FOLDS = 2
 STEPS = (3, 4, 5, 6)
 THRESHOLD = 0.7
@@ -128,19 +130,24 @@ def _lower(text: str) -> bytes:
 
 def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     """Of each toxic text, its words with n-grams that mark toxic texts (empty if none)."""
-    grams = [_grams(t) for t in toxic]
     df = np.zeros((2, GRAM_BUCKETS), np.int32)
-    for b, _ in grams:
-        df[0, np.unique(b)] += 1
-    for t in ordinary:
-        df[1, np.unique(_grams(t)[0])] += 1
+    for side, texts in enumerate((toxic, ordinary)):
+        for t in texts:
+            df[side, np.unique(_grams(t)[0])] += 1
     n1, n0 = len(toxic), len(ordinary)
-    p = df.sum(0) / (n1 + n0)
-    z = (df[0] / n1 - df[1] / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
-    # as strict as the sample allows: the strongest marks, and 30 times the ordinary share
-    marks = (z > min(7.0, 0.6 * float(z.max()))) & (df[0] >= 2) & (df[0] / n1 > 30 * (df[1] + 0.25) / n0)
+    z = np.empty(GRAM_BUCKETS, np.float32)
+    marks = np.empty(GRAM_BUCKETS, bool)
+    for at in range(0, GRAM_BUCKETS, 1 << 18):  # in slices, to keep the work arrays small
+        part = slice(at, at + (1 << 18))
+        d1, d0 = df[0, part], df[1, part]
+        p = (d1 + d0) / (n1 + n0)
+        z[part] = (d1 / n1 - d0 / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
+        marks[part] = (d1 >= 2) & (d1 / n1 > RATIO * (d0 + 0.25) / n0)
+    # as strict as the sample allows
+    marks &= z > min(MARK_Z, 0.6 * float(z.max()))
     out = []
-    for t, (b, at) in zip(toxic, grams, strict=True):
+    for t in toxic:
+        b, at = _grams(t)
         hit = np.zeros(len(t) + 1, bool)
         hit[at[marks[b]] + 1] = True  # a place inside the word (the gram may begin with its space)
         ends = np.cumsum([len(w) + 1 for w in t.split()])
