@@ -111,6 +111,11 @@ def _masks(bits: list[int], most: int) -> list[int]:
     return [w - (1 << 64) if w >> 63 else w for w in words]
 
 
+def _array(words: list[int]):
+    """A constant array, as one expression text (one parse instead of a call per word)."""
+    return F.expr(f"array({', '.join(f"cast('{w}' AS bigint)" for w in words)})")
+
+
 def _hot_links(hot: DataFrame) -> DataFrame:
     """Stars through midpoints for the fingerprints of crowded keys."""
     parts = []
@@ -120,7 +125,7 @@ def _hot_links(hot: DataFrame) -> DataFrame:
             free = [b for b in range(64) if b not in fixed]
             own = hot.filter(F.shiftrightunsigned("key", 24) == 2 * i + h)
             mid = lambda most, own=own, free=free: own.withColumn(
-                "mask", F.explode(F.array(*[F.lit(m).cast("long") for m in _masks(free, most)]))) \
+                "mask", F.explode(_array(_masks(free, most)))) \
                 .select("key", "fp", F.col("fp").bitwiseXOR(F.col("mask")).alias("mid"))
             centre = mid(1).groupBy("key", "mid").agg(F.min("fp").alias("a"))
             parts.append(mid(2).join(centre, ["key", "mid"]).filter("a <> fp").select("a", F.col("fp").alias("b")))

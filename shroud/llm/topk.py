@@ -19,7 +19,7 @@ the chunk of longest vectors, which every query block sees first: the k-th best
 is a lower bound of the k-th best of all.  Each pair keeps at most k rows per query.
 
 Defined results: scores are integer products of floor(``SCALE`` * x); ties go to the
-smaller id; a query is never its own candidate (by id); vectors that are null, empty of
+smaller id; a query row is never its own candidate; vectors that are null, empty of
 numbers (null or non-finite components) or have a null id take no part; rows with a
 repeated id take part as they come; queries of another dimension than a candidate don't meet it; an empty
 table gives no rows; extra columns are ignored.
