@@ -8,13 +8,16 @@ often they pass fixed steps; a logistic model over them, fitted out of fold on
 labelled rows and weighted to the base rate, gives the calibrated score.
 
 Labels mark documents, but only a few words of a toxic document are toxic.  The toxic
-dictionary is therefore trained on the words of toxic documents that hold byte
-n-grams found in far more toxic than ordinary documents.
+dictionary therefore holds the parts of words, the strongest last, whose byte n-grams
+stand in far more toxic than ordinary documents.  How many standard errors more is chosen
+among ``MARK_Z`` by the loss of the calibration on texts out of fold, so a large
+vocabulary of rare toxic words is learnt where it helps; the dictionary's size follows
+the marked parts, up to that of the ordinary one.
 
 Fitting takes a bounded sample of labelled rows (``MAX_TOXIC`` and ``MAX_ORDINARY``
 rows of at most ``MAX_TRAIN_CHARS`` characters, first by hash); class counts
 come from all of them.  Scoring is a narrow map over whole texts; the model that
-goes to the tasks is the two dictionaries and a dozen numbers (under 100 kB).
+goes to the tasks is the two dictionaries and a dozen numbers (under 200 kB).
 
 Defined results: null and empty texts get the score of a text without any window;
 null ids are scored like others; repeated rows keep a row each; repeated or
@@ -37,11 +40,12 @@ MAX_TRAIN_CHARS = 32_768
 WINDOW_WORDS = 5
 #: A longer window (a text without spaces) is cut.
 WINDOW_BYTES = 512
-ORDINARY_DICT, TOXIC_DICT, LEVEL = 65_536, 2_048, 3
+ORDINARY_DICT, TOXIC_DICT, LEVEL = 65_536, 65_536, 3
 GRAMS = (5, 6, 7)
 GRAM_BUCKETS = 1 << 22
-#: An n-gram marks toxic texts by its share of them: so many times the ordinary share, and so many standard errors more.
-RATIO, MARK_Z = 8.0, 7.0
+#: An n-gram marks toxic texts by its share of them: so many times the ordinary share, and so many standard errors
+#: more: the first of these, or a laxer one whose loss out of fold is lower by so many standard errors of the difference.
+RATIO, MARK_Z, GAIN_Z = 8.0, (5.0, 3.5, 2.5), 2.0
 FOLDS = 2
 STEPS = (3, 4, 5, 6)
 THRESHOLD = 0.7
@@ -86,16 +90,18 @@ class Scorer:
         return zstandard.ZstdCompressor(dict_data=d, level=LEVEL, write_checksum=False, write_content_size=False,
                                         write_dict_id=False).compress
 
-    def features(self, text: str | None) -> np.ndarray:
-        ws = windows(text)
-        plain, short = self.plain, self.short
-        saved = np.array([len(plain(w)) - len(short(w)) for w in ws] or [0])
+    @staticmethod
+    def shape(saved: np.ndarray) -> np.ndarray:
         top = np.sort(saved)[::-1]
         n = len(saved)
         passed = [int((saved >= s).sum()) for s in STEPS]
         return np.array([top[0], top[:2].mean(), top[:4].mean(), saved.mean(), *np.log1p(passed), np.log(n),
                          passed[0] / n, passed[2] / n])
 
+    def features(self, text: str | None) -> np.ndarray:
+        plain, short = self.plain, self.short
+        return self.shape(np.array([len(plain(w)) - len(short(w)) for w in windows(text)] or [0]))
+
     def score(self, text: str | None) -> float:
         m = self.model
         if not m.toxic:
@@ -104,11 +110,11 @@ class Scorer:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def _grams(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hash buckets of the n-grams of a lower-cased text, and the place of each; none crosses two words."""
+def _grams(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash buckets of the n-grams of a lower-cased text, the place of each and its length; none crosses two words."""
     a = np.frombuffer(data, np.uint8).astype(np.uint64)
     space = np.concatenate([[0], np.cumsum((a == 32) | ((a >= 9) & (a <= 13)))])
-    buckets, places = [], []
+    buckets, places, sizes = [], [], []
     for n in GRAMS:
         m = len(a) - n + 1
         if m <= 0:
@@ -121,39 +127,53 @@ def _grams(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         ok = np.flatnonzero(space[n - 1:n - 1 + m] - space[1:1 + m] == 0)
         buckets.append((h[ok] % np.uint64(GRAM_BUCKETS)).astype(np.int64))
         places.append(ok)
-    return (np.concatenate(buckets), np.concatenate(places)) if buckets else (np.empty(0, np.int64),) * 2
+        sizes.append(np.full(len(ok), n))
+    return (np.concatenate(buckets), np.concatenate(places), np.concatenate(sizes)) if buckets else (np.empty(0, np.int64),) * 3
 
 
 def _lower(text: str) -> bytes:
     return b" " + b" ".join(text.encode("utf-8", "surrogatepass").lower().split()) + b" "
 
 
-def toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Of each toxic text, its words with n-grams that mark toxic texts (empty if none)."""
+def gram_errors(toxic: list[bytes], ordinary: list[bytes]) -> np.ndarray:
+    """By how many standard errors more of the toxic texts hold a gram (0 where it can't mark them)."""
     df = np.zeros((2, GRAM_BUCKETS), np.int32)
     for side, texts in enumerate((toxic, ordinary)):
         for t in texts:
             df[side, np.unique(_grams(t)[0])] += 1
     n1, n0 = len(toxic), len(ordinary)
     z = np.empty(GRAM_BUCKETS, np.float32)
-    marks = np.empty(GRAM_BUCKETS, bool)
     for at in range(0, GRAM_BUCKETS, 1 << 18):  # in slices, to keep the work arrays small
         part = slice(at, at + (1 << 18))
         d1, d0 = df[0, part], df[1, part]
         p = (d1 + d0) / (n1 + n0)
-        z[part] = (d1 / n1 - d0 / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
-        marks[part] = (d1 >= 2) & (d1 / n1 > RATIO * (d0 + 0.25) / n0)
-    # as strict as the sample allows
-    marks &= z > min(MARK_Z, 0.6 * float(z.max()))
-    out = []
+        errors = (d1 / n1 - d0 / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-9)
+        z[part] = np.where((d1 >= 2) & (d1 / n1 > RATIO * (d0 + 0.25) / n0), errors, 0)
+    return z
+
+
+def toxic_parts(toxic: list[bytes], z: np.ndarray, least: float) -> dict[bytes, float]:
+    """The parts of words covered by grams of more than ``least`` errors, with the most errors of each."""
+    least = min(least, 0.6 * float(z.max()))  # as strict as the sample allows
+    out: dict[bytes, float] = {}
     for t in toxic:
-        b, at = _grams(t)
-        hit = np.zeros(len(t) + 1, bool)
-        hit[at[marks[b]] + 1] = True  # a place inside the word (the gram may begin with its space)
-        ends = np.cumsum([len(w) + 1 for w in t.split()])
-        words = t.split()
-        which = np.unique(np.searchsorted(ends, np.flatnonzero(hit[1:]), side="right"))
-        out.append(b" ".join(words[i] for i in which if i < len(words)))
+        b, at, n = _grams(t)
+        zs = z[b]
+        hit = zs > least
+        if not hit.any():
+            continue
+        at, n, zs = at[hit], n[hit], zs[hit]
+        steps = np.zeros(len(t) + 1, np.int64)
+        np.add.at(steps, at, 1)
+        np.add.at(steps, at + n, -1)
+        cover = (np.cumsum(steps)[:-1] > 0) & (np.frombuffer(t, np.uint8) != 32)
+        edges = np.flatnonzero(np.diff(np.concatenate([[False], cover, [False]])))
+        starts, ends = edges[::2], edges[1::2]
+        best = np.zeros(len(starts), np.float32)
+        np.maximum.at(best, np.searchsorted(ends, at + 1, side="right"), zs)  # a gram's second byte is never a space
+        for i, j, s in zip(starts.tolist(), ends.tolist(), best.tolist(), strict=True):
+            w = t[i:j]
+            out[w] = max(out.get(w, 0.0), s)
     return out
 
 
@@ -167,13 +187,24 @@ def _train(size: int, samples: list[bytes]) -> bytes:
         return b" ".join(samples)[-size:]
 
 
-def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
+def dictionaries(toxic: list[bytes], ordinary: list[bytes], levels: tuple[float, ...]) -> tuple[bytes, list[bytes]]:
+    """The ordinary dictionary, and the toxic one at each of ``levels`` (empty if nothing marks toxic texts)."""
     pieces = []
     for t in ordinary:
         words = t.split()
         pieces.extend(b" ".join(words[i:i + 40]) for i in range(0, len(words), 40))
-    marked = [b" " + w + b" " for w in toxic_words(toxic, ordinary) if w]
-    return _train(ORDINARY_DICT, pieces), _train(TOXIC_DICT, marked)
+    z = gram_errors(toxic, ordinary)
+    out = []
+    for least in levels:
+        parts = toxic_parts(toxic, z, least)
+        chosen, size = [], 2
+        for w in sorted(parts, key=lambda w: (-parts[w], w)):
+            size += len(w) + 1
+            if size > TOXIC_DICT:
+                break
+            chosen.append(w)
+        out.append(b" " + b" ".join(reversed(chosen)) + b" " if chosen else b"")
+    return _train(ORDINARY_DICT, pieces), out
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -211,8 +242,13 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
     picked = spark.createDataFrame([(i, y) for y, ids in some.items() for i in ids], f"__id {lab.schema['__id'].dataType.simpleString()}, __y int")
     texts = rows.join(F.broadcast(picked), F.col("__did") == F.col("__id")).select("__id", "__y", "__text")  # at most 6,000 ids
     sample = sorted((r["__y"], r["__id"], r["__text"]) for r in texts.collect())
+    return learn([(r[0], r[2]) for r in sample], counts, base)
+
+
+def learn(sample: list[tuple[int, str]], counts: dict[int, int], base: float) -> Model:
+    """The model of ``sample`` (class, text); ``counts`` are the rows of each class it stands for."""
     y = np.array([s[0] for s in sample], float)
-    data = [_lower(s[2]) for s in sample]
+    data = [_lower(s[1]) for s in sample]
     fold = np.array([i % FOLDS for i in range(len(sample))])
     parts = [[(c, f) for c in (0, 1) if not ((y == c) & (fold == f)).any()] for f in range(FOLDS)]
     none = Model(b"", b"", np.zeros(1), np.zeros(0), np.ones(0), base)
@@ -220,20 +256,36 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
         return none
     x = None
     pick = lambda mask: [d for d, m in zip(data, mask, strict=True) if m]
+    usable = np.ones(len(MARK_Z), bool)
     for f in range(FOLDS):
-        o, t = dictionaries(pick((y == 1) & (fold != f)), pick((y == 0) & (fold != f)))
-        if not t:
+        o, ts = dictionaries(pick((y == 1) & (fold != f)), pick((y == 0) & (fold != f)), MARK_Z)
+        usable &= [bool(t) for t in ts]
+        if not usable.any():
             return none
-        s = Scorer(Model(o, t, np.zeros(1), np.zeros(0), np.ones(0), base))
+        scorers = [Scorer(Model(o, t, np.zeros(1), np.zeros(0), np.ones(0), base)) if u else None for t, u in zip(ts, usable, strict=True)]
+        plain = next(s.plain for s in scorers if s)
         for i in np.flatnonzero(fold == f):
-            v = s.features(sample[i][2])
-            x = np.zeros((len(sample), len(v))) if x is None else x
-            x[i] = v
-    mean, scale = x.mean(0), x.std(0) + 1e-9
+            ws = windows(sample[i][1])
+            sizes = [len(plain(w)) for w in ws]
+            for k, s in enumerate(scorers):
+                if s:
+                    v = s.shape(np.array([n - len(s.short(w)) for n, w in zip(sizes, ws, strict=True)] or [0]))
+                    x = np.zeros((len(MARK_Z), len(sample), len(v))) if x is None else x
+                    x[k, i] = v
     share = np.array([counts[0] / (y == 0).sum(), counts[1] / (y == 1).sum()])
     w = share[y.astype(int)]
-    beta = _logistic((x - mean) / scale, y, w * len(y) / w.sum())
-    o, t = dictionaries(pick(y == 1), pick(y == 0))
+    w *= len(y) / w.sum()
+    best = None
+    for k in np.flatnonzero(usable):
+        mean, scale = x[k].mean(0), x[k].std(0) + 1e-9
+        beta = _logistic((x[k] - mean) / scale, y, w)
+        at = beta[0] + ((x[k] - mean) / scale) @ beta[1:]
+        loss = w * np.logaddexp(0, np.where(y == 1, -at, at))
+        # a laxer level only where its gain is no chance of the sample
+        if best is None or (best[0] - loss).sum() > GAIN_Z * np.sqrt(len(y)) * (best[0] - loss).std():
+            best = (loss, k, mean, scale, beta)
+    _, k, mean, scale, beta = best
+    o, (t,) = dictionaries(pick(y == 1), pick(y == 0), MARK_Z[k:k + 1])
     return Model(o, t, beta, mean, scale, base)
 
 

@@ -44,6 +44,34 @@ def test_held_out_accuracy(spark, make):
     assert sum(p >= 0.7 and not t for p, t in held) <= 0.02 * len(held)
 
 
+def rare_corpus(n=3600, vocabulary=400, seed=5):
+    """Every third text is toxic by four words of a large vocabulary; each stands in about 1% of the toxic texts."""
+    rnd = random.Random(seed)
+    syll = ["ta", "ren", "sol", "mi", "ka", "ter", "on", "ve", "lu", "ish"]
+    bad = ["".join(rnd.choice("bdfgpqxz") + rnd.choice("aeiou") for _ in range(rnd.randint(3, 5))) for _ in range(vocabulary)]
+    rows = []
+    for i in range(n):
+        words = ["".join(rnd.choice(syll) for _ in range(rnd.randint(1, 4))) for _ in range(rnd.randint(30, 80))]
+        if i % 3 == 0:
+            for w in rnd.sample(bad, 4):
+                words.insert(rnd.randrange(len(words)), w)
+        rows.append((i, " ".join(words), "en", "s", 0, int(i % 3 == 0)))
+    return rows
+
+
+def test_large_vocabulary_of_rare_toxic_words(spark, make):
+    rows = rare_corpus()
+    docs = make([r[:5] for r in rows])
+    labels = spark.createDataFrame([(r[0], 1, r[5]) for r in rows], "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert len(model.toxic) > 2_048
+    y = {r[0]: r[5] for r in rows}
+    held = [(r.score, y[r.doc_id]) for r in toxicity.score(docs, model).collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert auc(held) > 0.97
+    assert sum(p >= 0.7 for p, t in held if t) >= 0.9 * sum(t for _, t in held)
+    assert sum(p >= 0.7 and not t for p, t in held) <= 0.02 * len(held)
+
+
 def test_learns_only_from_rows_not_held_out(spark, make):
     rows = corpus(300)
     docs = make([r[:5] for r in rows])
