@@ -67,3 +67,39 @@ def test_repeated_rows_and_empty_table(make):
     got = L.line_report(make([(1, line + "\nx", "", "", 0), (1, line + "\nx", "", "", 0), (2, line + "!", "", "", 0)])).collect()
     assert sorted((r.doc_id, r.n_lines, r.dropped) for r in got) == [(1, 2, []), (1, 2, []), (2, 1, [0])]
     assert L.line_report(make([])).count() == 0
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+@pytest.mark.parametrize("edits,least", [(1, 1), (2, 1), (2, 6), (3, 1)])
+def test_edit_bound_and_short_lines(make, edits, least):
+    rnd = random.Random(10 * edits + least)
+    size = (lambda: rnd.choice([1, 2, 3, 5, 8, 19, 20, 40])) if edits < 3 else (lambda: rnd.choice([1, 2, 4, 6, 9, 12]))
+    pool = ["".join(rnd.choice("abcdefghé日 ") for _ in range(size())) for _ in range(14)]
+    rows = []
+    for i in rnd.sample(range(100), 14):
+        lines = []
+        for _ in range(rnd.randint(0, 4)):
+            s = rnd.choice(pool)
+            for _ in range(rnd.randint(0, edits + 1)):
+                s = edit(rnd, s)
+            lines.append(s)
+        rows.append((i, "\n".join(lines)))
+    if edits == 2:
+        long = "".join(rnd.choice("abcdefgh ") for _ in range(200))
+        rows += [(200, long), (201, "X" + long[:150] + "Y" + long[151:]), (202, long[1:90] + long[91:]), (203, long[3:])]
+    flat = sorted((i, n, line) for i, t in rows for n, line in enumerate(t.split("\n")) if line.strip(" \t\r"))
+    gone = {}
+    for k, (i, n, line) in enumerate(flat):
+        if any(x == line or (min(len(x), len(line)) >= least and distance(x, line) <= edits) for _, _, x in flat[:k]):
+            gone.setdefault(i, []).append(n)
+    got = L.line_report(make([(i, t, "", "", 0) for i, t in rows]), edits=edits, min_chars=least).collect()
+    assert {r.doc_id: r.dropped for r in got} == {i: gone.get(i, []) for i, _ in rows}
+    assert gone
