@@ -14,19 +14,20 @@ among ``MARK_Z`` by the loss of the calibration on texts out of fold, so a large
 vocabulary of rare toxic words is learnt where it helps; the dictionary's size follows
 the marked parts, up to that of the ordinary one.
 
-Fitting takes a bounded sample of labelled rows (``MAX_TOXIC`` and ``MAX_ORDINARY``
-rows of at most ``MAX_TRAIN_CHARS`` characters, first by hash); class counts
-come from all of them.  Scoring is a narrow map over whole texts; the model that
+Fitting takes a bounded sample of labelled ids (``MAX_TOXIC`` and ``MAX_ORDINARY`` ids
+with a text of at most ``MAX_TRAIN_CHARS`` characters, first by hash; of an id's texts the
+smallest); class counts come from all labels.  Scoring is a narrow map over whole texts; the model that
 goes to the tasks is the two dictionaries and a dozen numbers (under 200 kB).
 
 Defined results: null and empty texts get the score of a text without any window;
 null ids are scored like others; repeated rows keep a row each; repeated or
 contradicting labels count as they come; without labelled rows of both classes every
-score is the base rate; an empty table gives no rows.
+score is the base rate (logged if the labels have both); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +36,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
+LOG = logging.getLogger(__name__)
 MAX_TOXIC, MAX_ORDINARY = 2_000, 4_000
 MAX_TRAIN_CHARS = 32_768
 WINDOW_WORDS = 5
@@ -232,15 +236,18 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col:
            .select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")))
     rows = (docs.filter(F.col(text_col).isNotNull() & (F.length(text_col) <= MAX_TRAIN_CHARS))
             .select(F.col(id_col).alias("__did"), F.col(text_col).alias("__text")))
-    # the labels of the sample are chosen first; only their texts are read
+    # the ids of the sample are chosen first, among those with a usable text; only their texts are collected
+    usable = rows.select("__did").distinct()
+    found = common.materialize(lab.distinct().join(usable, F.col("__id") == F.col("__did"), "left_semi"), "toxicity-labels")
     order = F.xxhash64(F.col("__id"))
-    some = {y: [r["__id"] for r in lab.filter(F.col("__y") == y).select("__id").distinct()
+    some = {y: [r["__id"] for r in found.filter(F.col("__y") == y).select("__id")
                 .orderBy(order, "__id").limit(n).collect()] for y, n in ((1, MAX_TOXIC), (0, MAX_ORDINARY))}
     counts = {r["__y"]: r["n"] for r in lab.groupBy("__y").agg(F.count("*").alias("n")).collect()}
     base = counts.get(1, 0) / max(1, sum(counts.values()))
     spark = docs.sparkSession
     picked = spark.createDataFrame([(i, y) for y, ids in some.items() for i in ids], f"__id {lab.schema['__id'].dataType.simpleString()}, __y int")
-    texts = rows.join(F.broadcast(picked), F.col("__did") == F.col("__id")).select("__id", "__y", "__text")  # at most 6,000 ids
+    texts = (rows.join(F.broadcast(picked), F.col("__did") == F.col("__id"))  # at most 6,000 ids
+             .groupBy("__id", "__y").agg(F.min("__text").alias("__text")))
     sample = sorted((r["__y"], r["__id"], r["__text"]) for r in texts.collect())
     return learn([(r[0], r[2]) for r in sample], counts, base)
 
@@ -253,6 +260,9 @@ def learn(sample: list[tuple[int, str]], counts: dict[int, int], base: float) ->
     parts = [[(c, f) for c in (0, 1) if not ((y == c) & (fold == f)).any()] for f in range(FOLDS)]
     none = Model(b"", b"", np.zeros(1), np.zeros(0), np.ones(0), base)
     if not sample or any(parts):
+        if counts.get(0) and counts.get(1):
+            LOG.warning("toxicity: %d toxic and %d ordinary labelled texts are too few to learn from; every score is the base rate %.4f",
+                        int((y == 1).sum()), int((y == 0).sum()), base)
         return none
     x = None
     pick = lambda mask: [d for d, m in zip(data, mask, strict=True) if m]

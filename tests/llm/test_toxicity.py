@@ -109,3 +109,28 @@ def test_query_on_given_tables(spark, sf):
     held = [(r.score, y[r.doc_id]) for r in got if r.held_out and r.doc_id in y]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in got)
     assert auc(held) > 0.9
+
+
+def test_sample_is_of_ids_with_texts_and_one_text_per_id(spark, make, monkeypatch):
+    rows = corpus(300)
+    seen = []
+    learn = toxicity.learn
+    monkeypatch.setattr(toxicity, "learn", lambda sample, counts, base: seen.append(sample) or learn(sample, counts, base))
+    monkeypatch.setattr(toxicity, "MAX_TOXIC", 30)
+    monkeypatch.setattr(toxicity, "MAX_ORDINARY", 150)
+    hot = next(r for r in rows if r[5] and zlib.crc32(str(r[0]).encode()) % 3 != 1)
+    docs = make([r[:5] for r in rows] + [hot[:5]] * 150)
+    # most labelled ids have no document, or only one that is too long
+    missing = [(i, 1, i % 2) for i in range(10_000, 12_000)]
+    labels = spark.createDataFrame([(r[0], 1, r[5]) for r in rows] + missing, "doc_id bigint, quality int, toxic int")
+    model = toxicity.fit(docs.union(make([(i, "x" * 40_000, "", "", 0) for i in range(10_000, 10_050)])), labels)
+    assert len(seen[0]) == 180 and sum(y for y, _ in seen[0]) == 30
+    assert sum(t == hot[1] for _, t in seen[0]) <= 1 and model.toxic
+
+
+def test_too_few_texts_are_logged(spark, make, caplog):
+    rows = corpus(40)
+    labels = spark.createDataFrame([(r[0], 1, r[5]) for r in rows], "doc_id bigint, quality int, toxic int")
+    with caplog.at_level("WARNING"):
+        model = toxicity.fit(make([r[:5] for r in rows if not r[5]]), labels)
+    assert not model.toxic and "too few to learn from" in caplog.text
