@@ -181,3 +181,51 @@ FROM documents LEFT JOIN g ON documents.doc_id IS NOT DISTINCT FROM g.doc_id""")
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import line_dedup
     return line_dedup.line_report(common.table(spark, sf_dir, "documents"))
+
+
+@query("op11_fingerprint")
+def op11_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import imatch
+    return imatch.fingerprint_pairs(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op12_filter_audit", r"""
+WITH l AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+f AS (SELECT part, coalesce(good, false)::INT AS good, coalesce(toxic, false)::INT AS toxic,
+             [len(w) < 50, 100 * len(list_distinct(w)) < 65 * len(w), 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t),
+              regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS x
+      FROM d LEFT JOIN l USING (doc_id)),
+cell AS (SELECT part, x, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, x),
+s AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS p FROM s a, s b, s c, s d, s e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+st AS (SELECT p, i AS step, p[i] AS flt, p[:i - 1] AS before FROM o, s),
+m AS (SELECT part, p, step, flt, n, good, toxic, x[flt] AS hits, len(list_filter(before, lambda y: x[y])) > 0 AS gone,
+             len(list_filter(x, lambda y: y)) = 1 AS lone FROM cell, st),
+r AS (SELECT part, p, step, flt, sum(n) FILTER (NOT gone AND NOT hits) AS kept, sum(n) FILTER (NOT gone AND hits) AS removed,
+             sum(n) FILTER (gone AND hits) AS redundant, sum(n) FILTER (hits AND lone) AS unique_fails,
+             sum(good) FILTER (NOT gone AND hits) AS good_lost, sum(toxic) FILTER (NOT gone AND hits) AS toxic_lost FROM m GROUP BY part, p, step, flt)
+SELECT part, array_to_string(list_transform(p, lambda y: substr('ABCDE', y, 1)), '') AS filter_order, step, coalesce(kept, 0)::BIGINT AS kept,
+       coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(coalesce(removed, 0)) OVER (PARTITION BY part, flt))::BIGINT AS shapley
+FROM r""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import filter_audit
+    return filter_audit.audit(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+@query("op13_lexical_search", r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+c AS (SELECT count(*) FILTER (len(w) > 0)::BIGINT AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d),
+q AS (SELECT item_id, t, count(*)::BIGINT AS reps FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS t FROM benchmark) GROUP BY ALL),
+p AS (SELECT doc_id, r, n, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, r, len(w)::BIGINT AS n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, c GROUP BY t, n_docs),
+i AS (SELECT doc_id, r, t, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)) AS impact FROM p, c),
+s AS (SELECT item_id, r, any_value(doc_id) AS doc_id, sum(reps * w * impact)::BIGINT AS score FROM q JOIN w USING (t) JOIN i USING (t) GROUP BY item_id, r)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank FROM s WHERE score > 0) WHERE rank <= 20""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lexical_search as L
+    index, n_docs, _ = L.build_index(common.table(spark, sf_dir, "documents"))
+    return L.search(index, n_docs, common.table(spark, sf_dir, "benchmark"), k=20)
