@@ -174,7 +174,8 @@ def fingerprint_pairs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     key = ["__range", "__n", "__id", "__next_range", "__next_n", "n_chars", "__sha", "__own", "__eown"]
     # one row per distinct term of the two texts (1: the text's, 2: the edited one's, 3: both); a document without terms keeps one row
     marks = [(F.array_intersect("__tt", "__et"), 3), (F.array_except("__tt", "__et"), 1), (F.array_except("__et", "__tt"), 2)]
-    both = F.concat(*[F.transform(a, lambda t, m=m: F.struct(t.alias("t"), F.lit(m).alias("of"))) for a, m in marks])
+    marked_as = lambda m: lambda t: F.struct(t.alias("t"), F.lit(m).alias("of"))
+    both = F.concat(*[F.transform(a, marked_as(m)) for a, m in marks])
     terms = rows.select(*key, F.explode_outer(both).alias("__p")).select(*key, "__p.t", "__p.of")
     marked = terms.join(F.broadcast(lex) if small else lex, F.col("t") == F.col("__lt"), "left")
     band = F.col("__lt").isNotNull()
