@@ -22,20 +22,14 @@ import itertools
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MATCH_DDL = "struct<start:int,end:int,match:string>"
+MATCH_DDL = "struct<start:int,end:int>"
 FINDING_DDL = "struct<start:int,end:int,entity:string,detector:string,score:double>"
 FINDINGS_DDL = f"array<{FINDING_DDL}>"
 DECISION_DDL = "struct<start:int,end:int,action:string,entity:string>"
 
-# Up to this many matches per text, offsets come from running sums over the
-# split pieces (cheap, but quadratic in the match count of one text).  Above
-# it the linear marker scan is used, so a huge text full of matches stays linear.
-SMALL_K = 64
 # Up to this many spans, redaction cuts gaps with ``substring`` (each call scans
 # from the start of the text); above it a code-point array gives O(1) cuts.
 SMALL_SPANS = 256
-_MARK = "'\\u0000'"
-_MARK_REPLACEMENT = "'\\u0000$0'"
 
 # ---- fixed values: detector priority for the label of a merged span ----
 DETECTOR_RANK = {"review": 0, "pattern": 1, "keyword": 2, "ner": 3}
@@ -72,26 +66,27 @@ def empty(ddl: str) -> str:
 
 
 # ---- D1: find-all with offsets ----
-def _offsets_by_sum(t: str, m: str, regex: str) -> str:
-    a, b, acc, x, out = _v("a"), _v("b"), _v("acc"), _v("x"), _v("o")
-    s = f"{acc}.pos + {x}.lp"
-    e = f"{acc}.pos + {x}.lp + length({x}.mm)"
-    return (f"aggregate(zip_with({m}, slice(split({t}, {lit(regex)}, -1), 1, size({m})), "
-            f"({a}, {b}) -> named_struct('mm', {a}, 'lp', length({b}))), "
-            f"named_struct('pos', 0, 'out', {empty(MATCH_DDL)}), "
-            f"({acc}, {x}) -> named_struct('pos', {e}, 'out', concat({acc}.out, "
-            f"array(named_struct('start', {s}, 'end', {e}, 'match', {x}.mm)))), {out} -> {out}.out)")
-
-
-def _offsets_by_marker(t: str, m: str, regex: str) -> str:
-    # every match gets a NUL in front; match k (0-based) then sits at marker
-    # position p_k (1-based, in the marked text) minus the k + 1 markers
-    i, mm, k = _v("i"), _v("mm"), _v("k")
-    marked = f"split(regexp_replace({t}, {lit(regex)}, {_MARK_REPLACEMENT}), '')"
-    return let(marked, lambda c: let(
-        f"filter(sequence(1, size({c})), {i} -> get({c}, {i} - 1) = {_MARK})",
-        lambda p: (f"transform({m}, ({mm}, {k}) -> named_struct('start', get({p}, {k}) - {k} - 1, "
-                   f"'end', get({p}, {k}) - {k} - 1 + length({mm}), 'match', {mm}))")))
+def _running(lens: str) -> str:
+    """Start and end of every match, from the lengths ``g`` of the text before it and ``m`` of itself.
+
+    Appending to an array copies it, so the running sum goes over stretches of about the square root of
+    the number of matches, and then over the stretches' totals."""
+    i, k, acc, x, a2, t, s, b, y, z = (_v(n) for n in ("i", "k", "acc", "x", "acc", "t", "s", "b", "y", "z"))
+    end = f"{acc}.pos + {x}.g + {x}.m"
+    stretch = (f"aggregate({s}, named_struct('pos', 0, 'out', {empty(MATCH_DDL)}), ({acc}, {x}) -> named_struct('pos', {end}, 'out', "
+               f"concat({acc}.out, array(named_struct('start', {acc}.pos + {x}.g, 'end', {end})))))")
+
+    def cut(size):
+        slices = f"transform(sequence(0, CAST((size({lens}) - 1) DIV {size} AS INT)), {i} -> slice({lens}, {i} * {size} + 1, {size}))"
+        return let(f"transform({slices}, {s} -> {stretch})", whole)
+
+    def whole(parts):
+        bases = (f"aggregate({parts}, named_struct('pos', 0, 'out', CAST(array() AS array<int>)), ({a2}, {t}) -> "
+                 f"named_struct('pos', {a2}.pos + {t}.pos, 'out', concat({a2}.out, array({a2}.pos))), {k} -> {k}.out)")
+        return (f"flatten(zip_with({parts}, {bases}, ({y}, {b}) -> transform({y}.out, {z} -> "
+                f"named_struct('start', {z}.start + {b}, 'end', {z}.end + {b}))))")
+
+    return let(f"CAST(ceil(sqrt(size({lens}))) AS INT)", cut)
 
 
 def regex_matches(text: Column, regex: str) -> Column:
@@ -99,20 +94,44 @@ def regex_matches(text: Column, regex: str) -> Column:
     return F.regexp_extract_all(text, F.lit(regex), F.lit(0))
 
 
-def find_all(text: str, m: str, regex: str, small_k: int = SMALL_K) -> str:
-    """``array<struct<start,end,match>>`` for the matches ``m`` of ``regex`` in ``text``.
+def find_all(text: str, m: str, regex: str, check: str | None = None) -> str:
+    """``array<struct<start,end>>`` for the matches ``m`` of ``regex`` in ``text``.
 
     ``m`` is ``regex_matches(text, regex)`` materialised in its own projection
-    (the regex runs once).  Null or matchless text gives ``[]``.
+    (the regex runs once more, to split).  Null or matchless text gives ``[]``.
+    ``check`` (see ``CHECKS``) drops the matches that fail it.
     """
+    a, b, x, i = _v("a"), _v("b"), _v("x"), _v("i")
+
     def body(v):
         t, mm = f"{v}.t", f"{v}.m"
-        return (f"CASE WHEN {t} IS NULL OR {mm} IS NULL OR size({mm}) = 0 THEN {empty(MATCH_DDL)} "
-                f"WHEN size({mm}) <= {small_k} OR instr({t}, {_MARK}) > 0 THEN {_offsets_by_sum(t, mm, regex)} "
-                f"ELSE {_offsets_by_marker(t, mm, regex)} END")
+        lens = (f"zip_with({mm}, slice(split({t}, {lit(regex)}, -1), 1, size({mm})), "
+                f"({a}, {b}) -> named_struct('g', length({b}), 'm', length({a})))")
+        found = let(lens, _running)
+        if check:
+            found = f"filter({found}, ({x}, {i}) -> {CHECKS[check](f'get({mm}, {i})')})"
+        return f"CASE WHEN {t} IS NULL OR {mm} IS NULL OR size({mm}) = 0 THEN {empty(MATCH_DDL)} ELSE {found} END"
     return let(f"named_struct('t', {text}, 'm', {m})", body)
 
 
+def luhn(match: str) -> str:
+    """13 to 19 digits whose check digit is right."""
+    i, acc = _v("i"), _v("acc")
+    digit = lambda d: f"CAST(substring({d}, -{i}, 1) AS INT)"
+    total = lambda d: (f"aggregate(sequence(1, length({d})), 0, ({acc}, {i}) -> {acc} + CASE WHEN {i} % 2 = 1 THEN {digit(d)} "
+                       f"WHEN {digit(d)} > 4 THEN 2 * {digit(d)} - 9 ELSE 2 * {digit(d)} END)")
+    return let(f"regexp_replace({match}, '[ -]', '')", lambda d: f"CASE WHEN length({d}) BETWEEN 13 AND 19 THEN {total(d)} % 10 = 0 ELSE false END")
+
+
+def octets(match: str) -> str:
+    """Four numbers of at most 255."""
+    x = _v("x")
+    return let(f"split({match}, '[.]')", lambda p: f"size({p}) = 4 AND forall({p}, {x} -> length({x}) <= 3 AND CAST({x} AS INT) <= 255)")
+
+
+CHECKS = {"luhn": luhn, "octets": octets}
+
+
 def to_findings(matches: str, entity: str, detector: str = "pattern", score: float = 1.0) -> str:
     x = _v("x")
     return (f"transform({matches}, {x} -> named_struct('start', {x}.start, 'end', {x}.end, "

@@ -8,12 +8,14 @@ between the words.
 
 A phrase is looked up by the hash of its first n-gram (its first ``GRAM`` tokens, or all
 of a shorter phrase), so phrases that share a first word cost no more than others.  Every
-hit is verified against the whole phrase, and offsets are computed only for
-texts with a hit.  Both plans test the same lowered tokens and give the same rows:
+hit is verified against the whole phrase on the text itself, and offsets are computed only
+for texts with a hit.  Both plans test the same lowered tokens and give the same rows:
 
 * a dictionary of up to ``LITERAL_BYTES`` travels in the expression: a hash-set test per
   token position on the row; no join, no shuffle;
-* a larger one is joined on the hash, broadcast only up to ``BROADCAST_BYTES``.
+* a larger one is joined on the hash, broadcast only up to ``BROADCAST_BYTES``.  Its hits come
+  back to the rows by the key columns (nulls are equal) and the hash of the text, once per
+  distinct key and text, so rows without a key or with another's key get their own findings.
 """
 
 from __future__ import annotations
@@ -126,8 +128,8 @@ def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: st
     """D2 on the array plane: appends keyword findings to ``out``.
 
     ``path``: ``literal``, ``join`` or ``auto`` (literal up to ``LITERAL_BYTES`` of
-    dictionary text).  The join plan needs ``key_cols`` (unique per row) to bring
-    the findings back to their row.
+    dictionary text).  The join plan needs ``key_cols`` to bring the findings back; they
+    may be null or repeated.
     """
     norm = normalise(dictionary)
     rows = None
@@ -140,7 +142,7 @@ def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: st
                 _NORMALISED[known] = rows
         if rows is None and path == "literal":
             raise ValueError(f"dictionary larger than {LITERAL_BYTES} bytes; use the join plan")
-    keep = [c for c in df.columns if c != out]
+    keep = [F.col(ref(c)) for c in df.columns if c != out]
     prev = f"coalesce({ref(out)}, {empty(FINDING_DDL)})" if out in df.columns else empty(FINDING_DDL)
     src = df if enabled is None else df.withColumn("__kwtext", F.when(enabled, F.col(text_col)))
     text = text_col if enabled is None else "__kwtext"
@@ -148,44 +150,61 @@ def detect_keywords(df: DataFrame, text_col: str, dictionary: DataFrame, out: st
         return src.select(*keep, F.expr(f"concat({prev}, {_literal_findings(ref(text), rows)})").alias(out))
     if not key_cols:
         raise ValueError("the join plan needs key_cols")
-    found = keyword_table(src, key_cols, text, dictionary, normalised=norm)
-    per_row = found.groupBy(*key_cols).agg(F.collect_list(F.struct(
-        "start", F.col("end_").alias("end"), "entity", "detector", F.lit(1.0).alias("score"))).alias("__kw"))
-    joined = df.join(per_row, list(key_cols), "left")
-    return joined.select(*keep, F.expr(f"concat({prev}, coalesce(__kw, {empty(FINDING_DDL)}))").alias(out))
+    joined = _with_candidates(src, key_cols, text, norm)
+    return joined.select(*keep, F.expr(f"concat({prev}, {_verified(ref(text), '__c')})").alias(out))
 
 
-def keyword_table(df: DataFrame, key_cols, text_col: str, dictionary: DataFrame,
-                  normalised: DataFrame | None = None) -> DataFrame:
-    """D2, table plane: key..., start, end_, entity, detector (join plan).
-
-    Narrow rows (key, position, n-gram hash) meet the dictionary; texts are only
-    joined back for the keys with a hit, where hits are verified and offsets computed.
-    """
-    keys = list(key_cols)
-    norm = normalised if normalised is not None else normalise(dictionary)
-    lens = sorted(r["g"] for r in norm.select("g").distinct().collect())  # at most GRAM rows
-    text = df.select(*keys, F.col(text_col).alias("__text"))
+def _grams(text: str, lens) -> str:
+    """``array<struct<pos,key>>``: the n-grams of a text that could begin a phrase."""
     i, g = S._v("i"), S._v("g")
-    grams = S.let(_lowered("__text"), lambda lt: (
+    sizes = f"array({', '.join(map(str, lens)) or 'CAST(NULL AS INT)'})"
+    return S.let(_lowered(text), lambda lt: (
         f"CASE WHEN coalesce(size({lt}), 0) <= 0 THEN CAST(array() AS array<struct<pos:int,key:bigint>>) ELSE "
-        f"flatten(transform(sequence(0, size({lt}) - 1), {i} -> transform(filter(array({', '.join(map(str, lens)) or 'CAST(NULL AS INT)'}), "
+        f"flatten(transform(sequence(0, size({lt}) - 1), {i} -> transform(filter({sizes}, "
         f"{g} -> {i} + {g} <= size({lt})), {g} -> named_struct('pos', {i}, 'key', {_gram_key(lt, f'{i} + 1', g)})))) END"))
+
+
+def _with_candidates(df: DataFrame, key_cols, text_col: str, norm: DataFrame) -> DataFrame:
+    """``df`` with ``__c``: the phrases whose first n-gram stands in the text, with its position (null: none).
+
+    Narrow rows (key, text hash, position, n-gram hash) meet the dictionary.  Repeated rows
+    make equal candidates, which the set of a key and text holds once."""
+    lens = sorted(r["g"] for r in norm.select("g").distinct().collect())  # at most GRAM rows
+    names = {c: f"__k{i}" for i, c in enumerate(key_cols)}
+    hashed = F.xxhash64(F.col(ref(text_col)))
+    narrow = df.select(*[F.col(ref(c)).alias(k) for c, k in names.items()], hashed.alias("__th"), F.col(ref(text_col)).alias("__text"))
     # outer + filter: no inferred size() filter pushed into the scan (see explode_findings)
-    bare = text.select(*keys, F.inline_outer(F.expr(grams))).where(F.col("pos").isNotNull())
+    bare = narrow.select(*names.values(), "__th", F.inline_outer(F.expr(_grams("__text", lens)))).where(F.col("pos").isNotNull())
     d = norm.select(F.col("key").alias("__key"), "n", "phrase", "entity")
     if _text_bytes(norm) <= BROADCAST_BYTES:
         d = F.broadcast(d)
-    cand = bare.join(d, F.col("key") == F.col("__key")).groupBy(*keys).agg(
-        F.collect_list(F.struct("pos", "n", "phrase", "entity")).alias("__c"))
+    cand = bare.join(d, F.col("key") == F.col("__key")).groupBy(*names.values(), "__th").agg(
+        F.collect_set(F.struct("pos", "n", "phrase", "entity")).alias("__c"))
+    left = df.withColumn("__rowhash", hashed)
+    same = F.col("__rowhash") == F.col("__th")
+    for c, k in names.items():
+        same = same & left[ref(c)].eqNullSafe(cand[k])
+    return left.join(cand, same, "left").drop("__rowhash", "__th", *names.values())
+
+
+def _verified(text: str, candidates: str) -> str:
+    """The findings among the candidates of one text."""
     c, h = S._v("c"), S._v("h")
-    ok = S.let(_lowered("__text"), lambda lt: (
-        f"filter(__c, {c} -> array_join(slice({lt}, {c}.pos + 1, {c}.n), ' ') = {c}.phrase AND {c}.pos + {c}.n <= size({lt}))"))
-    placed = S.let(ok, lambda hits: f"CASE WHEN size({hits}) = 0 THEN CAST(NULL AS array<struct<start:int,end_:int,entity:string>>) ELSE " + S.let(
-        _spans("__text"), lambda sp: (f"transform({hits}, {h} -> named_struct('start', get({sp}, {h}.pos).start, "
-                                      f"'end_', get({sp}, {h}.pos + {h}.n - 1).end, 'entity', {h}.entity))")) + " END")
-    hit = text.join(cand, keys).select(*keys, F.inline_outer(F.expr(placed))).where(F.col("start").isNotNull())
-    return hit.select(*keys, "start", "end_", "entity", F.lit("keyword").alias("detector"))
+    ok = S.let(_lowered(text), lambda lt: (
+        f"filter({candidates}, {c} -> array_join(slice({lt}, {c}.pos + 1, {c}.n), ' ') = {c}.phrase AND {c}.pos + {c}.n <= size({lt}))"))
+    placed = S.let(ok, lambda hits: f"CASE WHEN size({hits}) = 0 THEN {empty(FINDING_DDL)} ELSE " + S.let(
+        _spans(text), lambda sp: (f"transform({hits}, {h} -> named_struct('start', get({sp}, {h}.pos).start, 'end', get({sp}, {h}.pos + {h}.n - 1).end, "
+                                  f"'entity', {h}.entity, 'detector', 'keyword', 'score', CAST(1.0 AS DOUBLE)))")) + " END")
+    return f"CASE WHEN {candidates} IS NULL THEN {empty(FINDING_DDL)} ELSE {placed} END"
+
+
+def keyword_table(df: DataFrame, key_cols, text_col: str, dictionary: DataFrame,
+                  normalised: DataFrame | None = None) -> DataFrame:
+    """D2, table plane: key..., start, end_, entity, detector (join plan)."""
+    norm = normalised if normalised is not None else normalise(dictionary)
+    found = _with_candidates(df, key_cols, text_col, norm).select(*key_cols, F.expr(_verified(ref(text_col), "__c")).alias("__f"))
+    return found.select(*key_cols, F.inline_outer("__f")).where(F.col("start").isNotNull()) \
+        .select(*key_cols, "start", F.col("end").alias("end_"), "entity", "detector")
 
 
 __all__ = ["KEYWORDS", "TOKEN_RE", "detect_keywords", "keyword_table", "keyword_dictionary",

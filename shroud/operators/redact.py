@@ -34,7 +34,7 @@ def apply_redactions(df: DataFrame, text_col: str = "text", spans_col: str = "fi
     labelled = redact(S.lit("label"))
     anew = F.lit(False)
     for p in P.validate(patterns):
-        anew = anew | (F.regexp_count(F.col(out), F.lit(p.regex)) > F.regexp_count(F.col("__labelled"), F.lit(p.regex)))
+        anew = anew | (F.regexp_count(F.col(out), F.lit(p.scanned)) > F.regexp_count(F.col("__labelled"), F.lit(p.scanned)))
     some = F.size(F.coalesce(F.col(spans_col), F.array())) > 0
     done = done.withColumn("__labelled", F.when(dropped & some, labelled))
     return done.withColumn(out, F.when(dropped & some & anew, F.col("__labelled")).otherwise(F.col(out))).drop("__labelled")

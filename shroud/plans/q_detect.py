@@ -163,6 +163,46 @@ def redact_from_saved(spark, sf_dir):
     return J.redact_from_saved(texts.documents(spark, sf_dir), saved)
 
 
+
+
 def _uid() -> str:
     import uuid
     return uuid.uuid4().hex[:12]
+
+
+# ---- verified numbers: only what can be a card or an address ----
+def _verified_sql() -> str:
+    digits = "string_split(regexp_replace(m, '[ -]', '', 'g'), '')"
+    luhn = (f"length(regexp_replace(m, '[ -]', '', 'g')) BETWEEN 13 AND 19 AND list_sum(list_transform(list_reverse({digits}), lambda d, i: "
+            "CASE WHEN i % 2 = 1 THEN d::INT WHEN d::INT > 4 THEN 2 * d::INT - 9 ELSE 2 * d::INT END)) % 10 = 0")
+    octets = "len(string_split(m, '.')) = 4 AND len(list_filter(string_split(m, '.'), lambda x: length(x) > 3 OR x::HUGEINT > 255)) = 0"
+    found = O.pattern_findings("documents", "doc_id", patterns=P.VERIFIED)
+    return (f"SELECT f.doc_id, start, end_, entity, detector FROM (SELECT f.*, substring(d.text, start + 1, end_ - start) AS m FROM ({found}) AS f "
+            f"JOIN documents AS d ON f.doc_id = d.doc_id) AS f WHERE CASE entity WHEN 'card' THEN {luhn} ELSE {octets} END")
+
+
+@register("detect_verified", sql=_verified_sql())
+def detect_verified(spark, sf_dir):
+    """Card numbers whose check digit is right and addresses with four octets."""
+    return D.explode_findings(D.detect_patterns(texts.documents(spark, sf_dir), "text", P.VERIFIED), ["doc_id"])
+
+
+# ---- texts of any size: those above a limit are scanned and redacted in pieces ----
+#: The longest documents here have some 100 kB, so the limit is set where a tenth of the text lies above it.
+OVERSIZED = {"limit": 8 << 10, "piece_chars": 4 << 10}
+
+
+@register("detect_oversized", sql=f"SELECT doc_id, {FINDING_COLS} FROM ({DOC_F}) AS x")
+def detect_oversized(spark, sf_dir):
+    from shroud.operators import oversized as Z
+    docs = texts.documents(spark, sf_dir, ("doc_id", "text", "n_chars"))
+    return D.explode_findings(Z.detect(docs, ["doc_id"], size=F.col("n_chars"), **OVERSIZED), ["doc_id"])
+
+
+@register("redact_oversized", sql=O.redacted("documents", "doc_id", DOC_M))
+def redact_oversized(spark, sf_dir):
+    from shroud.operators import oversized as Z
+    docs = texts.documents(spark, sf_dir, ("doc_id", "text", "n_chars"))
+    merged = D.merge(Z.detect(docs, ["doc_id"], size=F.col("n_chars"), **OVERSIZED))
+    out = Z.redact(merged, ["doc_id"], size=F.col("n_chars"), **OVERSIZED)
+    return out.select("doc_id", F.size("findings").alias("n_redactions"), "redacted_text")

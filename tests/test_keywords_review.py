@@ -49,6 +49,21 @@ def test_same_rows_at_every_dictionary_size(spark):
     assert [r for r in lit if r[3] == "other"] == [(2, 11, 33, "other")]
 
 
+def test_null_and_repeated_ids_agree_in_both_plans(spark):
+    df = spark.createDataFrame([(None, "my password here"), (1, "my password here"), (1, "xx password password"), (1, "xx password password"),
+                                (None, None), (2, ""), (None, "api  key, API KEY")], "doc_id int, text string")
+    d = K.keyword_dictionary(spark)
+    by = {}
+    for path in ("literal", "join"):
+        out = K.detect_keywords(df, "text", d, key_cols=["doc_id"], path=path).collect()
+        by[path] = sorted((str(r.doc_id), str(r.text), sorted((f.start, f.end, f.entity) for f in r.findings)) for r in out)
+    assert by["literal"] == by["join"] and len(by["join"]) == 7
+    assert [[s for s, _, _ in f] for i, t, f in by["join"] if t == "my password here"] == [[3], [3]]
+    assert [[s for s, _, _ in f] for i, t, f in by["join"] if t.startswith("xx")] == [[3, 12], [3, 12]]
+    table = K.keyword_table(df, ["doc_id"], "text", d).collect()
+    assert len(table) == 1 + 1 + 2 + 2 + 2
+
+
 def test_shared_first_words_are_looked_up_by_the_whole_gram(spark):
     docs = spark.createDataFrame([(i, "the a b c the a b d " * 20) for i in range(5)], "doc_id long, text string")
     dic = K.keyword_dictionary(spark, [("e", f"the a b x{i}") for i in range(2000)] + [("e", "the a b c d"), ("e", "the a b d the")])
