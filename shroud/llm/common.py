@@ -13,6 +13,7 @@ Conventions every operator follows
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,11 +29,40 @@ BLOCK_BYTES = 1 << 20
 #: Rows of an Arrow batch.  Texts have a few kB, so the default of 10,000 rows would hold
 #: tens of MB of text several times over in every Python worker.
 ARROW_ROWS = 1_000
+#: Bytes of an Arrow batch: long texts (or rows of an index) come in fewer rows.
+ARROW_BYTES = 4 << 20
 
 
 def settings(spark: SparkSession) -> None:
     ensure_settings(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
+def tidy() -> None:
+    """Give memory that nothing uses back to the system.
+
+    Python workers serve one stage after another; what a stage freed stays with the
+    allocators of Python, Arrow and C otherwise, and adds up over the stages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
+def tidied(run):
+    """``run`` (an iterator to an iterator, in a Python worker) that begins and ends with :func:`tidy`."""
+    @functools.wraps(run)
+    def tidy_run(*args, **kw):
+        tidy()
+        yield from run(*args, **kw)
+        tidy()
+    return tidy_run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

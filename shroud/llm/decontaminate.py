@@ -71,7 +71,7 @@ def build_index(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                 yield segment(batch.column("__id").slice(at, stop - at), batch.column("__th").slice(at, stop - at), part)
                 at = stop
 
-    index = rows.mapInArrow(run, f"docs array<{id_type}>, ths array<bigint>, n_words array<bigint>, "
+    index = rows.mapInArrow(common.tidied(run), f"docs array<{id_type}>, ths array<bigint>, n_words array<bigint>, "
                                  "terms array<bigint>, n array<bigint>, gaps array<int>")
     path = common.scratch(df.sparkSession, "postings")
     (index.write.option("compression", "zstd").option("parquet.writer.version", "v2")
@@ -191,7 +191,7 @@ def phrase_hits(index: DataFrame, items: DataFrame, *, item_id: str = "item_id",
                 for i in range(batch.num_rows):
                     yield _search(Segment(_row(batch, i)), shared.value)
 
-        parts.append(index.mapInArrow(run, f"__id {id_type}, __th bigint, n_words bigint, spans array<bigint>, items array<string>"))
+        parts.append(index.mapInArrow(common.tidied(run), f"__id {id_type}, __th bigint, n_words bigint, spans array<bigint>, items array<string>"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
@@ -282,7 +282,7 @@ def proximity_hits(index: DataFrame, queries: list[str], slop: int) -> DataFrame
                         [pa.array(np.full(len(at), q, np.int32)), seg.docs.take(pa.array(doc)), pa.array(at - seg.starts[doc], pa.int64())],
                         names=["query", "__id", "position"])
 
-    return index.mapInArrow(run, f"query int, __id {id_type}, position bigint")
+    return index.mapInArrow(common.tidied(run), f"query int, __id {id_type}, position bigint")
 
 
 def decontaminate(df: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

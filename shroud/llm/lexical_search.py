@@ -93,7 +93,7 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             yield seg.row()
 
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-    index = rows.mapInArrow(run, f"ids array<{id_type}>, {LISTS}")
+    index = rows.mapInArrow(common.tidied(run), f"ids array<{id_type}>, {LISTS}")
     return common.materialize(index, "impact-lists"), n_docs, n_terms
 
 
@@ -154,7 +154,7 @@ def document_frequencies(index: DataFrame, terms: np.ndarray) -> dict[int, int]:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["term", "df"])
 
-    counted = index.select("terms", "ends").mapInArrow(run, "term int, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
+    counted = index.select("terms", "ends").mapInArrow(common.tidied(run), "term int, df bigint").groupBy("term").agg(F.sum("df").alias("df"))
     return {int(terms[r["term"]]): r["df"] for r in counted.collect()}
 
 
@@ -271,7 +271,7 @@ def search(index: DataFrame, n_docs: int, items: DataFrame, *, k: int = 20, item
             if (w > 0).any():
                 queries.append((q, terms[w > 0], (w * repeats)[w > 0]))
         shared = spark.sparkContext.broadcast(queries)
-        found = index.mapInArrow(lambda batches, shared=shared: _task_best(batches, shared.value, k),
+        found = index.mapInArrow(common.tidied(lambda batches, shared=shared: _task_best(batches, shared.value, k)),
                                  f"query int, doc {doc_type.simpleString()}, score bigint")
         first = Window.partitionBy("query", "group").orderBy(F.desc("score"), F.asc_nulls_first("doc"))
         found = found.withColumn("group", F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))).withColumn("r", F.row_number().over(first)).filter(F.col("r") <= k)

@@ -80,7 +80,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 [batch.column("__id"), batch.column("__th"), pa.array(np.array(fps, np.uint64).view(np.int64))],
                 names=["__id", "__th", "fp"])
 
-    return rows.mapInArrow(run, f"__id {id_type}, __th bigint, fp bigint")
+    return rows.mapInArrow(common.tidied(run), f"__id {id_type}, __th bigint, fp bigint")
 
 
 def _segment(col, i: int):

@@ -125,7 +125,7 @@ def anchors(df: DataFrame, *, id_col: str, text_col: str, length: int, gram: int
                     yield out(batch, b"".join(part), ends, lambda row, begin=begin, at=at: begin[row - at], lambda t, at=at: t + at)
                 at += len(part)
 
-    return rows.mapInArrow(run, f"__id {id_type}, __th bigint, lo bigint, hi bigint, p bigint, a bigint, r bigint")
+    return rows.mapInArrow(common.tidied(run), f"__id {id_type}, __th bigint, lo bigint, hi bigint, p bigint, a bigint, r bigint")
 
 
 def repeats_in_collection(regions: list[bytes], anchor: np.ndarray, length: int):
@@ -225,7 +225,7 @@ def repeated_starts(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
         cut, f"__id {id_type}, __th bigint, lo bigint, hi bigint, p bigint, a bigint, d bigint, data binary"), "edge-regions")
     names = ["__id", "__th", "lo", "hi"]
     edges = (regions.filter(F.col("d") <= max_regions).drop("d", "hi").repartition("a").sortWithinPartitions("a")
-             .mapInArrow(_construct(length, names), f"__id {id_type}, __th bigint, lo bigint, hi bigint"))
+             .mapInArrow(common.tidied(_construct(length, names)), f"__id {id_type}, __th bigint, lo bigint, hi bigint"))
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -236,7 +236,7 @@ def repeated_starts(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                                              names=["__id", "__th", "lo", "a", "h"])
 
     crowd = regions.filter(F.col("d") > max_regions)
-    single = (crowd.mapInArrow(strings, f"__id {id_type}, __th bigint, lo bigint, a bigint, h array<bigint>")
+    single = (crowd.mapInArrow(common.tidied(strings), f"__id {id_type}, __th bigint, lo bigint, a bigint, h array<bigint>")
               .select("__id", "__th", "lo", "a", F.posexplode("h").alias("i", "h")))
     twice = single.groupBy("a", "h").agg(F.count("*").alias("n")).filter("n > 1").select("a", "h")
     counted = single.join(twice, ["a", "h"]).select("__id", "__th", (F.col("lo") + F.col("i")).alias("lo"),
@@ -284,4 +284,4 @@ def remove_repeats(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
                                              names=[*old, "spans", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep.schema.fields)
-    return rows.mapInArrow(cut, f"{schema}, {added}")
+    return rows.mapInArrow(common.tidied(cut), f"{schema}, {added}")

@@ -166,7 +166,7 @@ def encode_rows(df: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                     names=["doc_id", "shard", "pos", "n_tokens", "ids"])
                 pos += n
 
-    return df.mapInArrow(run, f"doc_id {id_type.simpleString()}, shard int, pos bigint, n_tokens bigint, ids array<int>")
+    return df.mapInArrow(common.tidied(run), f"doc_id {id_type.simpleString()}, shard int, pos bigint, n_tokens bigint, ids array<int>")
 
 
 def write_tokens(df: DataFrame, path: str, *, tokenizer_path: str, end_id: int = 2,
@@ -213,7 +213,7 @@ def token_digest(spark: SparkSession, path: str) -> DataFrame:
 
     stored = spark.read.parquet(path).select("doc_id", "shard", "pos", "ids")
     id_type = stored.schema["doc_id"].dataType.simpleString()
-    rows = stored.mapInArrow(run, f"doc_id {id_type}, shard int, pos bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = stored.mapInArrow(common.tidied(run), f"doc_id {id_type}, shard int, pos bigint, n_tokens bigint, ids_crc32 bigint")
     totals = spark.read.parquet(path).groupBy("shard").agg(F.sum("n_tokens").alias("_n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select(F.col("shard").alias("_shard"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))

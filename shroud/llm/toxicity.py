@@ -304,9 +304,12 @@ def _rated(df: DataFrame, model: Model, text_col: str, name: str) -> DataFrame:
 
     @F.pandas_udf("double")
     def rate(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        common.tidy()
         scorer = Scorer(shared.value)
         for part in parts:
             yield pd.Series([scorer.score(t) for t in part], dtype="float64")
+        del scorer
+        common.tidy()
 
     return df.withColumn(name, rate(F.col(text_col)))
 
