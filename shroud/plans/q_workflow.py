@@ -62,9 +62,11 @@ def run_workflow(spark, sf_dir):
                  decide=lambda: F.expr(_ROW_DECISIONS))
 
 
-@register("workflow",
-          sql=(f"SELECT r.doc_id, r.n_redactions, r.redacted_text FROM ({O.redacted('documents', 'doc_id', APPLIED_SQL)}) AS r "
-               f"JOIN ({QF._REQ}) AS g ON CAST(r.doc_id AS VARCHAR) = g.file_id WHERE ({QF._REASON}) IS NULL"))
+ORACLE_WORKFLOW = (f"SELECT r.doc_id, r.n_redactions, r.redacted_text FROM ({O.redacted('documents', 'doc_id', APPLIED_SQL)}) AS r "
+                   f"JOIN ({QF._REQ}) AS g ON CAST(r.doc_id AS VARCHAR) = g.file_id WHERE ({QF._REASON}) IS NULL")
+
+
+@register("workflow", sql=ORACLE_WORKFLOW)
 def workflow(spark, sf_dir):
     delivered, _ = run_workflow(spark, sf_dir)
     return delivered.select(F.col("file_id").cast("bigint").alias("doc_id"),
