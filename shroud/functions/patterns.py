@@ -51,7 +51,7 @@ def _from_run(chars: str) -> str:
 
 
 _DIGIT = "[0-9]"
-_LOCAL, _HEX = "A-Za-z0-9._%+-", "0-9A-Fa-f"
+_LOCAL = "A-Za-z0-9._%+-"
 
 # ---- fixed values: default pattern set (entity, regex, required literal), in priority order ----
 EMAIL = Pattern("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "@",
@@ -64,7 +64,7 @@ IPV4 = Pattern("ipv4", r"[0-9]+(?:\.[0-9]+){3,}", ".", gate=_DIGIT, scan=_from_r
 IPV6 = Pattern("ipv6", r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}", ":")
 CARD = Pattern("card", r"[0-9]{13,}|[0-9]{4}(?:[ -][0-9]{4}){3}[0-9]*|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5,}", gate=_DIGIT,
                scan=r"[0-9]{13,}+|[0-9]{4}(?:[ -][0-9]{4}){3}[0-9]*+|3[47][0-9]{2}[ -][0-9]{6}[ -][0-9]{5,}+")
-HEX_TOKEN = Pattern("hex_token", r"[0-9A-Fa-f]{32,}", scan=_from_run(_HEX) + r"[0-9A-Fa-f]{32,}+")
+HEX_TOKEN = Pattern("hex_token", r"[0-9A-Fa-f]{32,}", scan=r"[0-9A-Fa-f]{32,}+")
 SECRET = Pattern("secret", r"(?:token|secret|password|api_key) ?= ?\"[0-9A-Za-z]{16,}\"", "=",
                  scan=r"(?:token|secret|password|api_key) ?= ?\"[0-9A-Za-z]{16,}+\"")
 # ---- end of fixed values ----

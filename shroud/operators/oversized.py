@@ -100,9 +100,11 @@ def detect_in_pieces(df: DataFrame, key_cols, text_col: str = "text", patterns=P
         found = found.withColumn("__f", F.expr(f"concat(__f, {own})"))
     moved = F.transform("__f", lambda f: F.struct((f["start"] + F.col("at")).alias("start"), (f["end"] + F.col("at")).alias("end"),
                                                   f["entity"], f["detector"], f["score"]).cast(FINDING_DDL))
-    # a repeated row has repeated pieces; the set holds a finding once
-    per_text = found.select(*names, "__th", moved.alias("__f")).where(F.size("__f") > 0).groupBy(*names, "__th").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("__f")))).alias("__found"))
+    # a repeated row has repeated pieces; the set holds a part once.  (A filter on the size here would be pushed
+    # below the projection together with the whole detection, which would run twice.)
+    per_text = found.select(*names, "__th", "part", moved.alias("__f")).groupBy(*names, "__th").agg(
+        F.collect_set(F.struct("part", "__f")).alias("__parts")).select(
+        *names, "__th", F.array_sort(F.flatten(F.transform("__parts", lambda p: p["__f"]))).alias("__found"))
     joined = _together(df, key_cols, text_col, per_text)
     keep = [F.col(ref(c)) for c in df.columns if c != out]
     prev = f"coalesce({ref(out)}, {empty(FINDING_DDL)})" if out in df.columns else empty(FINDING_DDL)
