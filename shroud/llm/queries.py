@@ -149,20 +149,21 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
-#: Labelled good documents whose text is the target model's (first by hash of the id).
-TARGET_DOCUMENTS = 50_000
+#: So many ids of labelled good documents (8 bytes each) are broadcast; more are met by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 @query("op9_resample")
 def op9_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As many documents as the labels' share of good ones."""
+    """As many documents as the labels' share of good ones; the target model is counted from all labelled good texts."""
     from . import resample
     labels = common.table(spark, sf_dir, "labels").filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     n = labels.agg(F.count("*").alias("n"), F.count(F.when(F.col("quality") == 1, 1)).alias("good")).first()
-    good = (labels.filter("quality = 1").select(F.col("doc_id").alias("good_id")).distinct()
-            .orderBy(F.xxhash64("good_id"), "good_id").limit(TARGET_DOCUMENTS))
+    good = labels.filter("quality = 1").select(F.col("doc_id").alias("good_id")).distinct()
+    if n["good"] <= BROADCAST_IDS:
+        good = F.broadcast(good)
     docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = docs.join(F.broadcast(good), F.col("doc_id") == F.col("good_id"), "left")  # at most TARGET_DOCUMENTS ids
+    docs = docs.join(good, F.col("doc_id") == F.col("good_id"), "left")
     return resample.resample(docs, F.col("good_id").isNotNull(), share=n["good"] / n["n"] if n["n"] else 1.0).select(
         "doc_id", "log_weight", "gumbel_key", "selected")
 
