@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shroud.operators.protect import latest_issue
 from shroud.plans.q_detect import DOC_M
 from shroud.plans.registry import ORACLE, register
 from shroud.sources.events import job_events
+from shroud.session import scratch_path
 from shroud.streaming import operators as S
+from shroud.streaming import stateful as ST
+from shroud.streaming.answers import job_states, run_two_phase
 from shroud.streaming.runner import run_available, stream_table
 
 
@@ -62,3 +67,36 @@ def stream_job_tracker(spark, sf_dir):
     ev = stream_table(spark, sf_dir, "events")
     partials = run_available(S.job_tracker_stream(job_events(ev)), "job_tracker", output_mode="update")
     return S.job_outcomes(partials).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("stream_answers", sql=(
+    "SELECT 'detect-' || CAST(d.doc_id AS VARCHAR) AS job_id, 'inProgress' AS first_status, 'fdf-' || CAST(d.doc_id AS VARCHAR) "
+    "AS fdf_file_id, CASE WHEN d.text IS NULL THEN 'error' ELSE 'finished' END AS status, "
+    "CASE WHEN d.text IS NOT NULL THEN CAST(coalesce(m.n, 0) AS INTEGER) END AS n_redactions, "
+    "CASE WHEN d.text IS NULL THEN 'no text' END AS error FROM documents AS d LEFT JOIN "
+    f"(SELECT doc_id, count(*) AS n FROM ({DOC_M}) AS f GROUP BY doc_id) AS m ON d.doc_id = m.doc_id"))
+def stream_answers(spark, sf_dir):
+    """T1 with J3 and J5: accepted with a reference first, answered in a second write."""
+    docs = stream_table(spark, sf_dir, "documents").select("doc_id", "text")
+    root = scratch_path(spark, "streams", "answers", uuid.uuid4().hex[:12])
+    run_two_phase(docs, f"{root}/out", f"{root}/checkpoint")
+    return job_states(spark, f"{root}/out")
+
+
+@register("stream_job_outcomes", sql=(
+    f"SELECT job_id, status, ts FROM ({_tracker_sql()}) AS o "
+    "WHERE ts <= date_trunc('milliseconds', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE"))
+def stream_job_outcomes(spark, sf_dir):
+    """Outcomes, timeouts included, as the stream itself gives them: those the final watermark has passed."""
+    ev = stream_table(spark, sf_dir, "events")
+    out = run_available(ST.job_outcome_stream(job_events(ev), S.JOB_DEADLINE_S), "job_outcomes", rocksdb=True)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@register("stream_token_answers", sql=_token_sql())
+def stream_token_answers(spark, sf_dir):
+    """T3 from expiring state: the sink holds a row per answered use, no pairs."""
+    ev = stream_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    issues = ev.where(F.col("event_type") == "signup")
+    uses = ev.where(F.col("event_type") == "purchase")
+    return latest_issue(run_available(ST.token_answers_stream(issues, uses, 1440), "token_answers", "update", rocksdb=True))

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from shroud.session import exists, scratch_path
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int = 1) -> DataFrame:
     """A table's Parquet file as a stream (the file source needs a directory,
@@ -22,21 +25,29 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
 
 
 def run_available(df: DataFrame, name: str, output_mode: str = "append",
-                  path: str | None = None, checkpoint: str | None = None) -> DataFrame:
+                  path: str | None = None, checkpoint: str | None = None, rocksdb: bool = False) -> DataFrame:
     """Process everything available now into a Parquet sink (checkpointed),
-    then return the sink's contents as a batch DataFrame."""
+    then return the sink's contents as a batch DataFrame.  ``rocksdb``: the state
+    store that timers and keyed state need; the session's choice is set back once the query has started."""
     spark = df.sparkSession
     run = uuid.uuid4().hex[:12]
     path = path or scratch_path(spark, "streams", name, run, "out")
     checkpoint = checkpoint or scratch_path(spark, "streams", name, run, "checkpoint")
     writer = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if output_mode == "append":
-        q = writer.format("parquet").option("path", path).trigger(availableNow=True).start()
+        writer = writer.format("parquet").option("path", path)
     else:
         def sink(batch: DataFrame, epoch: int) -> None:
             # a replayed epoch (after a failure) overwrites its own folder: no duplicates
             batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
-        q = writer.foreachBatch(sink).trigger(availableNow=True).start()
+        writer = writer.foreachBatch(sink)
+    former = spark.conf.get(STATE_STORE)
+    if rocksdb:
+        spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        q = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(STATE_STORE, former)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
