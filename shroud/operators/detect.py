@@ -98,7 +98,7 @@ def redaction_count(df: DataFrame, col: str = "findings", out: str = "n_redactio
 
 
 def detection_result(df: DataFrame, key: str, col: str = "findings") -> DataFrame:
-    """One record per document with ``result.redactions`` and an ``fdf`` reference.
+    """D8, the findings part: one record per document with its redactions (:func:`detection_response` has the rest).
 
     Every document keeps its row (findings ride on the row, so nothing is
     lost to an inner join); a document with nothing found has ``[]``.
@@ -108,6 +108,20 @@ def detection_result(df: DataFrame, key: str, col: str = "findings") -> DataFram
         findings_json(col).alias("redactions_json"))
 
 
+def detection_response(df: DataFrame, key: str, text_col: str = "text", col: str = "findings") -> DataFrame:
+    """D8, the whole response: job id and status, the output file that the redaction asks for, the redactions.
+
+    A null text is an ``error`` response without output files and without redactions, never an empty result."""
+    bad = F.col(text_col).isNull()
+    ident = F.col(key).cast("string")
+    fdf = F.struct(F.lit("fdf").alias("fileCode"), F.concat(F.lit("fdf-"), ident).alias("fileId"))
+    return df.select(
+        F.concat(F.lit("detect-"), ident).alias("job_id"), F.when(bad, "error").otherwise("finished").alias("status"),
+        F.when(bad, F.array().cast("array<struct<fileCode:string,fileId:string>>")).otherwise(F.array(fdf)).alias("output_files"),
+        F.when(~bad, F.size(col)).alias("n_redactions"), F.when(~bad, findings_json(col)).alias("redactions_json"),
+        F.when(bad, "no text").alias("error"))
+
+
 def entity_profile(findings_table: DataFrame, key: str = "doc_id", by: str = "lang") -> DataFrame:
     """Findings by entity x ``by``, with totals per entity (``rollup``).
 

@@ -210,23 +210,59 @@ def job_timeouts(job_events: DataFrame, as_of: Column, limit_s: int = JOB_TIMEOU
     return fl.select("job_id", secs.alias("seconds"), (secs > limit_s).alias("timed_out"))
 
 
-def poll_stats(job_events: DataFrame) -> DataFrame:
-    """Polls up to and including the first terminal event, and seconds to it.
+HOT_PARTS = 8     # a job's events meet its outcome in this many parts
+SKETCH_K = 400    # KLL sketch size: normalised rank error below RANK_ERROR with over 99 % probability
+RANK_ERROR = 0.02
+
+
+def _polls(job_events: DataFrame) -> DataFrame:
+    """job_id, f_ts, polls, seconds of every job with a terminal event.
 
-    The first terminal event per job is one small aggregate row per job; it is
-    joined back on the job id (a skewed job is split by AQE's skew join, and
-    the per-job side is broadcast when small), then polls are counted with a
-    partial aggregation.  No window, so no job's events meet in one task.
+    The outcome per job (one narrow row) is dealt to ``HOT_PARTS`` parts of the job by event id, and polls are
+    counted per part, then per job: a job with a third of all events is counted by that many tasks.
     """
+    parts = F.pmod(F.xxhash64("event_id"), F.lit(HOT_PARTS))
     fl = first_and_last(job_events).where(F.col("term").isNotNull()) \
-        .select("job_id", F.col("term.ts").alias("t_ts"), F.col("term.event_id").alias("t_id"),
-                F.col("first.ts").alias("f_ts"))
-    e = job_events.select("job_id", "ts", "event_id")
+        .select("job_id", F.col("term.ts").alias("t_ts"), F.col("term.event_id").alias("t_id"), F.col("first.ts").alias("f_ts"),
+                F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(HOT_PARTS - 1).cast("bigint"))).alias("part"))
+    e = job_events.select("job_id", "ts", "event_id", parts.alias("part"))
     upto = (F.col("ts") < F.col("t_ts")) | ((F.col("ts") == F.col("t_ts")) & (F.col("event_id") <= F.col("t_id")))
-    counted = e.join(fl, "job_id", "inner").where(upto).groupBy("job_id", "t_ts", "f_ts") \
-        .agg(F.count(F.lit(1)).alias("polls"))
-    return counted.select("job_id", "polls",
-                          F.timestamp_diff("SECOND", F.col("f_ts"), F.col("t_ts")).alias("seconds"))
+    per_part = e.join(fl, ["job_id", "part"], "inner").where(upto).groupBy("job_id", "part", "t_ts", "f_ts").agg(F.count(F.lit(1)).alias("n"))
+    return per_part.groupBy("job_id", "t_ts", "f_ts").agg(F.sum("n").alias("polls")).select(
+        "job_id", "f_ts", "polls", F.timestamp_diff("SECOND", F.col("f_ts"), F.col("t_ts")).alias("seconds"))
+
+
+def poll_stats(job_events: DataFrame) -> DataFrame:
+    """Polls up to and including the first terminal event, and seconds to it."""
+    return _polls(job_events).select("job_id", "polls", "seconds")
+
+
+def poll_sketches(job_events: DataFrame) -> DataFrame:
+    """J11 summary to keep: one row per hour of submission with the number of jobs and a KLL sketch of polls
+    and of seconds.  Rows of any hours merge (:func:`sketch_quantiles`) without the jobs being read again."""
+    hourly = _polls(job_events).groupBy(F.date_trunc("hour", "f_ts").alias("hour"))
+    return hourly.agg(F.count(F.lit(1)).alias("jobs"), F.kll_sketch_agg_bigint("polls", SKETCH_K).alias("polls"),
+                      F.kll_sketch_agg_bigint("seconds", SKETCH_K).alias("seconds"))
+
+
+def sketch_quantiles(sketches: DataFrame, ranks=(0.5, 0.9, 0.99)) -> DataFrame:
+    """``measure, q, n, value`` from hourly sketches: values whose rank is within ``RANK_ERROR`` of q."""
+    one = sketches.agg(F.sum("jobs").alias("n"), F.kll_merge_agg_bigint("polls", SKETCH_K).alias("polls"),
+                       F.kll_merge_agg_bigint("seconds", SKETCH_K).alias("seconds")).where("n > 0")
+    cells = [F.struct(F.lit(m).alias("measure"), F.lit(q).alias("q"), "n", F.kll_sketch_get_quantile_bigint(m, F.lit(q)).alias("value"))
+             for m in ("polls", "seconds") for q in ranks]
+    return one.select(F.inline(F.array(*cells)))
+
+
+def rank_check(stats: DataFrame, quantiles: DataFrame) -> DataFrame:
+    """The exact rank interval of every value against its q: ``measure, q, n, within``."""
+    at = quantiles.agg(F.collect_list(F.struct("measure", "q", "value")).alias("at"))  # one row of a few cells
+    long = stats.select(F.inline(F.array(*[F.struct(F.lit(m).alias("m"), F.col(m).cast("bigint").alias("v")) for m in ("polls", "seconds")])))
+    each = long.groupBy("m", "v").agg(F.count(F.lit(1)).alias("c")).join(F.broadcast(at.select(F.inline("at"))), F.col("m") == F.col("measure"))
+    ranks = each.groupBy("measure", "q").agg(F.sum("c").alias("n"), F.sum(F.when(F.col("v") < F.col("value"), F.col("c")).otherwise(0)).alias("below"),
+                                             F.sum(F.when(F.col("v") <= F.col("value"), F.col("c")).otherwise(0)).alias("upto"))
+    within = (F.col("below") <= (F.col("q") + RANK_ERROR) * F.col("n")) & (F.col("upto") >= (F.col("q") - RANK_ERROR) * F.col("n"))
+    return ranks.select("measure", "q", "n", within.alias("within"))
 
 
 def poll_percentiles(stats: DataFrame) -> DataFrame:

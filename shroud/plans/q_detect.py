@@ -110,6 +110,16 @@ def detection_result(spark, sf_dir):
     return D.detection_result(D.merge(doc_findings(spark, sf_dir)), "doc_id")
 
 
+@register("detection_response", sql=(
+    "SELECT 'detect-' || CAST(d.doc_id AS VARCHAR) AS job_id, CASE WHEN text IS NULL THEN 'error' ELSE 'finished' END AS status, "
+    "CASE WHEN text IS NULL THEN '[]' ELSE '[{\"fileCode\":\"fdf\",\"fileId\":\"fdf-' || CAST(d.doc_id AS VARCHAR) || '\"}]' END AS output_files, "
+    "CASE WHEN text IS NOT NULL THEN r.n_redactions END AS n_redactions, CASE WHEN text IS NOT NULL THEN r.redactions_json END AS redactions_json, "
+    f"CASE WHEN text IS NULL THEN 'no text' END AS error FROM documents AS d JOIN ({_json_sql(DOC_M, 'doc_id')}) AS r ON d.doc_id = r.doc_id"))
+def detection_response(spark, sf_dir):
+    docs = doc_findings(spark, sf_dir)
+    return D.detection_response(D.merge(docs), "doc_id").withColumn("output_files", F.to_json("output_files"))
+
+
 @register("annotations", sql=_json_sql(DOC_M, "doc_id"))
 def annotations(spark, sf_dir):
     """The annotation artefact is written (partitioned by job), then read back."""

@@ -199,3 +199,20 @@ def poll_percentiles(spark, sf_dir):
     return J.poll_percentiles(stats).select(
         F.get("polls_p50_p90", 0).alias("polls_p50"), F.get("polls_p50_p90", 1).alias("polls_p90"),
         F.get("seconds_p50_p90", 0).alias("seconds_p50"), F.get("seconds_p50_p90", 1).alias("seconds_p90"))
+
+
+_STATS_SQL = ("SELECT count(*) AS polls, (epoch_us(min(t.t_ts)) - epoch_us(min(e.ts))) // 1000000 AS seconds "
+              f"FROM {EV_SQL} AS e JOIN {_TERM} AS t ON e.user_id = t.user_id "
+              "WHERE e.ts < t.t_ts OR (e.ts = t.t_ts AND e.event_id <= t.t_id) GROUP BY e.user_id")
+
+
+@register("poll_quantiles", sql=(
+    f"SELECT m.measure, q.q, s.n, true AS within FROM (SELECT count(*) AS n FROM ({_STATS_SQL}) AS x) AS s, "
+    "(VALUES ('polls'), ('seconds')) AS m(measure), (VALUES (CAST(0.5 AS DOUBLE)), (CAST(0.9 AS DOUBLE)), (CAST(0.99 AS DOUBLE))) AS q(q) WHERE s.n > 0"))
+def poll_quantiles(spark, sf_dir):
+    """J11 summary from stored hourly sketches, with the exact rank of every value checked against the bound."""
+    import uuid
+    events = _job_events(spark, sf_dir)
+    path = scratch_path(spark, "poll-sketches", uuid.uuid4().hex[:12])
+    J.poll_sketches(events).write.parquet(path)
+    return J.rank_check(J.poll_stats(events), J.sketch_quantiles(spark.read.parquet(path)))

@@ -3,6 +3,8 @@ requests R3, redaction result R6, saved job JSON S9."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from shroud.operators import jobs as J
@@ -10,6 +12,7 @@ from shroud.operators import keywords as K
 from shroud.operators import protect as PR
 from shroud.plans import oracle as O
 from shroud.plans import q_files as QF
+from shroud.plans import stages as ST
 from shroud.plans import workflow as W
 from shroud.plans.q_detect import DOC_M
 from shroud.plans.q_review import ADDS_SQL, REV_F
@@ -134,32 +137,35 @@ _FUNNEL_SQL = (
     f"FROM ({QF._REQ}) AS r WHERE NOT deleted AND NOT ({MISSING_FDF_RULE} OR {BAD_PDF_RULE})) AS t")
 
 
+def _stage_results(spark, sf_dir):
+    """Upload, detection, redaction and download run for real, each on what the one before passed."""
+    keys = PR.load_or_create_keys(spark)
+    root, cfg = scratch_path(spark, "stage-tables", uuid.uuid4().hex[:12]), W.WorkflowConfig()
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars"), "doc_id")
+    files = ST.upload(docs, keys, F.lit(QF.INGESTED_AT).cast("timestamp"), root)
+    found = ST.detect(files, QF._tombstones(spark, sf_dir), K.keyword_dictionary(spark), cfg, root)
+    _, _, checked = _redaction_inputs(spark, sf_dir)
+    redacted = ST.redact(found, checked.select(F.col("pdf_file_id").alias("file_id"), "reason"), cfg, root)
+    ST.deliver(redacted, _requests(spark, sf_dir, keys), keys, cfg.ttl_minutes, root)
+    return ST.results(spark, root)
+
+
 @register("stage_funnel", sql=_FUNNEL_SQL)
 def stage_funnel(spark, sf_dir):
-    """Each stage counts the survivors of the previous one; failures are
-    rows with a reason, never exceptions.  One row per file carries a flag per
-    stage (left joins on the file id), then a single aggregation counts them."""
-    keys = PR.load_or_create_keys(spark)
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file_id"),
-                                                     F.col("text").isNotNull().alias("uploaded"))
-    files = QF._local_files(spark, sf_dir, keys)
-    deleted = QF._tombstones(spark, sf_dir).distinct().withColumn("deleted", F.lit(True))
-    accepted, _, _ = _redaction_inputs(spark, sf_dir)
-    acc = accepted.select(F.col("pdf_file_id").alias("file_id")).withColumn("accepted", F.lit(True))
-    granted, _ = FS.download(files, _requests(spark, sf_dir, keys), keys)
-    g = granted.select("file_id").withColumn("granted", F.lit(True))
-    flags = docs.join(deleted, "file_id", "left").join(acc, "file_id", "left").join(g, "file_id", "left")
-    up = F.col("uploaded")
-    det = up & F.col("deleted").isNull()
-    red = det & F.col("accepted").isNotNull()
-    dow = red & F.col("granted").isNotNull()
-    counts = flags.agg(
-        F.count_if(up).alias("u_ok"), F.count_if(~up).alias("u_bad"),
-        F.count_if(det).alias("d_ok"), F.count_if(up & ~det).alias("d_bad"),
-        F.count_if(red).alias("r_ok"), F.count_if(det & ~red).alias("r_bad"),
-        F.count_if(dow).alias("w_ok"), F.count_if(red & ~dow).alias("w_bad"))
-    return counts.selectExpr("stack(4, 'uploaded', u_ok, u_bad, 'detected', d_ok, d_bad, "
-                             "'redacted', r_ok, r_bad, 'downloaded', w_ok, w_bad) AS (stage, n_ok, n_failed)")
+    """Passed and failed files by stage, counted from the stage tables only."""
+    return ST.funnel(_stage_results(spark, sf_dir))
+
+
+@register("stage_errors", sql=(
+    "SELECT stage, error, count(*) AS n_files FROM ("
+    "SELECT 'uploaded' AS stage, 'no text' AS error FROM documents WHERE text IS NULL "
+    f"UNION ALL SELECT 'detected', 'file not found' FROM ({QF._REQ}) AS r WHERE n_chars IS NOT NULL AND deleted "
+    f"UNION ALL SELECT 'redacted', {_RREASON} FROM ({QF._REQ}) AS r WHERE n_chars IS NOT NULL AND NOT deleted "
+    f"UNION ALL SELECT 'downloaded', {QF._REASON} FROM ({QF._REQ}) AS r WHERE n_chars IS NOT NULL AND NOT deleted "
+    f"AND ({_RREASON}) IS NULL) AS e WHERE error IS NOT NULL GROUP BY stage, error"))
+def stage_errors(spark, sf_dir):
+    """Files by stage and error."""
+    return ST.stage_errors(_stage_results(spark, sf_dir))
 
 
 # ---- S9 ----
@@ -177,7 +183,6 @@ _RESULTS_SQL = (
 def results_json(spark, sf_dir):
     """Each detection job's response kept as one JSON line, then read back.
     Tokens are left out of the saved record (never stored in clear)."""
-    import uuid
     from shroud.plans.q_detect import doc_findings
     merged = D.merge(doc_findings(spark, sf_dir))
     jid = F.concat(F.lit("detect-"), F.col("doc_id").cast("string"))
