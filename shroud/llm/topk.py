@@ -2,8 +2,9 @@
 
 Vectors are grouped by length (norm): buckets of geometrically falling length, cut
 into chunks of at most ``CHUNK`` vectors, so that a length shared by many rows fills
-several chunks.  Chunks and blocks of queries are packed rows (one matrix each);
-every pair of a query block and a chunk meets once, and the pair is the unit of work.
+several chunks.  Chunks and blocks of queries are packed rows (one matrix each), dealt to groups
+of bounded bytes; a cell of the grid is a group of chunks and a group of blocks, and is the unit of work.
+Which cells meet is decided on narrow rows; a matrix is sent once per cell.
 
 Inside a chunk, with the local threshold t of a query (its k-th best score so far):
 
@@ -16,7 +17,7 @@ Inside a chunk, with the local threshold t of a query (its k-th best score so fa
 
 Remaining vectors are verified by integer products.  A first threshold comes from
 the chunk of longest vectors, which every query block sees first: the k-th best score there
-is a lower bound of the k-th best of all.  Each pair keeps at most k rows per query.
+is a lower bound of the k-th best of all; inside a cell it rises with every chunk.  A cell gives at most k rows per query.
 
 Defined results: scores are integer products of floor(``SCALE`` * x); ties go to the
 smaller id; a query row is never its own candidate; vectors that are null, empty of
@@ -42,6 +43,8 @@ CHUNK, QUERY_BLOCK, GROUP = 8192, 1024, 32
 PACK = "pack bigint, dim int, top double, kind string, ids binary, uids binary, flat binary"
 #: Buckets of lengths per factor of two.
 STEPS = 4
+#: Bytes of packed vectors that a cell of the grid holds of each side, about; parts of the join of the cells' narrow keys.
+CELL_BYTES, SALTS = 8 << 20, 16
 #: Local cosine threshold from which coordinate pruning is used.
 COORDINATE_FROM = 0.5
 
@@ -174,17 +177,57 @@ def _thresholds(k: int):
     return work
 
 
-def _candidates(k: int):
-    def work(a, q, block: pa.Table) -> pa.Table:
-        cols: list[list] = [[np.empty(0, np.int64)] for _ in range(5)]
-        if q is not None:
-            for j, rows, scores in search(a, q, k):
-                n = len(rows)
-                for c, v in zip(cols, (np.full(n, q.ids[j]), np.full(n, q.uids[j]), a.ids[rows], a.uids[rows], scores), strict=True):
-                    c.append(v)
-        return pa.table({n: np.concatenate(c).astype(np.int64) for n, c in
-                         zip(("query_id", "uid", "vec_id", "vec_uid", "score"), cols, strict=True)})
-    return work
+def _cells(df: DataFrame, size: str, group: str) -> DataFrame:
+    """Rows dealt to groups of like ``size`` (the first part of the group's key) of about ``CELL_BYTES`` of matrices."""
+    level = F.floor(F.log2(F.greatest(F.col(size), F.lit(0.0)) + 1) * STEPS).cast("int").alias("_lv")
+    n = df.groupBy("dim", level).agg(F.ceil(F.sum(F.length("flat")) / CELL_BYTES).alias("_n")).select(F.col("dim").alias("_nd"), F.col("_lv").alias("_nl"), "_n")
+    rows = df.withColumn("_lv", level)
+    return (rows.join(n, (F.col("dim") == F.col("_nd")) & (F.col("_lv") == F.col("_nl")))
+            .withColumn(group, F.struct("dim", "_lv", F.pmod(F.xxhash64("pack"), F.greatest("_n", F.lit(1))).alias("part"))).drop("_nd", "_nl", "_lv", "_n"))
+
+
+def _grid(chunks: DataFrame, blocks: DataFrame, k: int) -> DataFrame:
+    """The k best per query of every cell.  A cell is a group of chunks and a group of query blocks whose
+    lengths and thresholds let them meet; matrices are sent once per cell, not once per pair of them."""
+    left = _cells(chunks, "top", "cg")
+    right = _cells(blocks, "need", "bg")
+    tops = left.groupBy("cg").agg(F.max("top").alias("_t")).withColumn("_s", F.pmod(F.xxhash64("cg"), F.lit(SALTS)))
+    needs = right.groupBy("bg").agg(F.min("need").alias("_need")).withColumn("_bs", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    cells = tops.join(needs, (F.col("cg.dim") == F.col("bg.dim")) & (F.col("_s") == F.col("_bs")) & (F.col("_t") >= F.col("_need"))).select(
+        F.col("cg").alias("_cg"), F.col("bg").alias("_bg"))
+    chunk_rows = left.join(cells, F.col("cg") == F.col("_cg")).select(F.to_json("_cg").alias("c"), F.to_json("_bg").alias("b"), *chunks.columns)
+    block_rows = right.join(cells, F.col("bg") == F.col("_bg")).select(F.to_json("_cg").alias("c"), F.to_json("_bg").alias("b"), *blocks.columns)
+
+    def run(chunk_table: pa.Table, block_table: pa.Table) -> pa.Table:
+        packs = sorted((Pack(chunk_table, i) for i in range(chunk_table.num_rows)), key=lambda a: -a.top)
+        parts = [_block_best(packs, Pack(block_table, i), block_table.column("need")[i].as_py(), k) for i in range(block_table.num_rows)]
+        cols = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else [np.empty(0, np.int64)] * 5
+        return pa.table(dict(zip(("query_id", "uid", "vec_id", "vec_uid", "score"), cols, strict=True)))
+
+    return chunk_rows.groupBy("c", "b").cogroup(block_rows.groupBy("c", "b")).applyInArrow(
+        run, "query_id bigint, uid bigint, vec_id bigint, vec_uid bigint, score bigint")
+
+
+def _block_best(packs: list["Pack"], q: "Pack", need: float, k: int) -> tuple[np.ndarray, ...]:
+    """The k best of a cell's chunks per query, longest chunks first; a k-th best score found raises the query's threshold."""
+    q.theta = q.theta.copy()
+    found: list[tuple] = [(np.empty(0, np.int64),) * 4]
+    for a in packs:
+        if a.top < need:
+            break
+        better = []
+        for j, rows, scores in search(a, q, k):
+            found.append((np.full(len(rows), j), a.ids[rows], a.uids[rows], scores))
+            if len(scores) == k and scores[-1] > q.theta[j]:
+                better.append((j, scores[-1]))
+        for j, score in better:
+            q.theta[j] = score
+    j, ids, uids, scores = (np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True))
+    order = np.lexsort((uids, ids, -scores, j))
+    j, ids, uids, scores = j[order], ids[order], uids[order], scores[order]
+    first = np.searchsorted(j, j, side="left")
+    keep = np.arange(len(j)) - first < k
+    return q.ids[j[keep]], q.uids[j[keep]], ids[keep], uids[keep], scores[keep]
 
 
 def top_k(df: DataFrame, is_query: Column, *, k: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -200,9 +243,7 @@ def top_k(df: DataFrame, is_query: Column, *, k: int, id_col: str = "vec_id", ve
     pairs = blocks.join(first, F.col("dim") == F.col("_d")).drop("_d")
     blocks = common.materialize(_meet(chunks, pairs, _thresholds(k), PACK + ", theta binary, need double"), "thresholds")
 
-    meta = chunks.select(F.col("pack").alias("chunk"), F.col("dim").alias("_d"), F.col("top").alias("_t"))
-    pairs = blocks.join(meta, (F.col("dim") == F.col("_d")) & (F.col("_t") >= F.col("need"))).drop("_d", "_t", "need")
-    found = _meet(chunks, pairs, _candidates(k), "query_id bigint, uid bigint, vec_id bigint, vec_uid bigint, score bigint")
+    found = _grid(chunks, blocks, k)
     best = Window.partitionBy("uid").orderBy(F.col("score").desc(), "vec_id", "vec_uid")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -37,6 +37,7 @@ def test_against_brute_force(spark, monkeypatch, chunk, coordinate):
     monkeypatch.setattr(T, "QUERY_BLOCK", 4)
     monkeypatch.setattr(T, "GROUP", 2)
     monkeypatch.setattr(T, "COORDINATE_FROM", coordinate)
+    monkeypatch.setattr(T, "CELL_BYTES", 64 * chunk)  # several cells
     rows = vectors(random.Random(chunk), 250)
     bad = [(1150, None), (1200, []), (1250, [None] * 8), (1300, [float("nan")] * 8), (1350, [float("inf")] * 8), (None, [1.0] * 8)]
     df = spark.createDataFrame(rows + bad, "vec_id bigint, embedding array<double>").withColumn("score", F.lit("clash")).withColumn("norm", F.lit(1))
