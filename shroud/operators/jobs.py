@@ -15,8 +15,8 @@ from shroud.sources.events import TERMINAL
 
 MODES = ("sync", "async")
 FILES_T = "array<struct<fileCode:string,fileId:string,dekToken:string>>"
-PLAIN_TIMEOUT_S = 120      # per plain request
-JOB_TIMEOUT_S = 3600       # per job
+PLAIN_TIMEOUT_S = 120      # per plain request (upload, download, poll, accepting an async job)
+JOB_TIMEOUT_S = 3600       # per job, and per request that waits for its job (mode ``sync``)
 
 
 # ---- F-helpers over a parsed response ----
@@ -210,6 +210,16 @@ def job_timeouts(job_events: DataFrame, as_of: Column, limit_s: int = JOB_TIMEOU
     return fl.select("job_id", secs.alias("seconds"), (secs > limit_s).alias("timed_out"))
 
 
+def request_timeouts(requests: DataFrame, as_of: Column) -> DataFrame:
+    """J10 per request: ``case_id, kind, seconds, limit_s, timed_out``.  A request without an answer is judged at
+    ``as_of``; a kind that is null or unknown has the plain limit; without a start nothing is known (null).
+
+    requests: case_id, kind, started, ended."""
+    limit = F.when(F.col("kind") == "sync", F.lit(JOB_TIMEOUT_S)).otherwise(F.lit(PLAIN_TIMEOUT_S))
+    secs = F.timestamp_diff("SECOND", F.col("started"), F.coalesce(F.col("ended"), as_of))
+    return requests.select("case_id", "kind", secs.alias("seconds"), limit.alias("limit_s"), (secs > limit).alias("timed_out"))
+
+
 HOT_PARTS = 8     # a job's events meet its outcome in this many parts
 SKETCH_K = 400    # KLL sketch size: normalised rank error below RANK_ERROR with over 99 % probability
 RANK_ERROR = 0.02

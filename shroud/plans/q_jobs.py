@@ -216,3 +216,21 @@ def poll_quantiles(spark, sf_dir):
     path = scratch_path(spark, "poll-sketches", uuid.uuid4().hex[:12])
     J.poll_sketches(events).write.parquet(path)
     return J.rank_check(J.poll_stats(events), J.sketch_quantiles(spark.read.parquet(path)))
+
+
+# derived requests: the kind by the event's type, answered after a time that follows from ``k``, some never
+_KIND = "CASE event_type WHEN 'signup' THEN 'upload' WHEN 'view' THEN 'poll' WHEN 'purchase' THEN 'download' WHEN 'click' THEN 'sync' ELSE 'async' END"
+
+
+@register("request_timeouts", sql=(
+    "SELECT event_id AS case_id, kind, seconds, limit_s, seconds > limit_s AS timed_out FROM ("
+    f"SELECT event_id, kind, CASE WHEN k % 9 = 0 THEN (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(ts)) // 1000000 ELSE k * 45 END AS seconds, "
+    f"CAST(CASE WHEN kind = 'sync' THEN {J.JOB_TIMEOUT_S} ELSE {J.PLAIN_TIMEOUT_S} END AS INTEGER) AS limit_s "
+    f"FROM (SELECT event_id, ts, {_KIND} AS kind, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) AS e) AS r"))
+def request_timeouts(spark, sf_dir):
+    """120 s for plain requests, 3600 s for one that waits for its job."""
+    k = F.get_json_object("props", "$.k").cast("int")
+    req = _events(spark, sf_dir).select(
+        F.col("event_id").alias("case_id"), F.expr(_KIND).alias("kind"), F.col("ts").cast("timestamp").alias("started"),
+        F.when(k % 9 != 0, F.col("ts").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (k * 45).cast("decimal(18,6)"))).alias("ended"))
+    return J.request_timeouts(req, F.lit(AS_OF).cast("timestamp"))

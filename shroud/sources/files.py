@@ -156,9 +156,9 @@ def list_files(files: DataFrame) -> DataFrame:
 
 
 def file_metadata(files: DataFrame, ids) -> DataFrame:
-    """Point lookup.  A Python list of ids becomes an ``isin`` filter that
-    reaches the Parquet reader; a DataFrame of ids is a semi join (broadcast
-    when its checked size allows, otherwise Catalyst plans a shuffle join)."""
+    """Metadata by ids, from a list (a filter) or a DataFrame (a semi join; Catalyst picks its kind).
+    The ids of freshly ingested files are computed, so neither reaches the Parquet reader: a point
+    lookup that does is the stored catalogue's (``sources.catalogue``)."""
     meta = list_files(files)
     if isinstance(ids, DataFrame):
         id_df = ids.select("file_id").distinct()

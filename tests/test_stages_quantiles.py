@@ -80,3 +80,12 @@ def test_detection_response(spark):
     assert (rows["detect-1"].status, rows["detect-1"].n_redactions, rows["detect-1"].output_files[0].fileId) == ("finished", 1, "fdf-1")
     assert (rows["detect-2"].status, rows["detect-2"].output_files, rows["detect-2"].redactions_json, rows["detect-2"].error) == ("error", [], None, "no text")
     assert (rows["detect-3"].status, rows["detect-3"].n_redactions, rows["detect-3"].redactions_json) == ("finished", 0, "[]")
+
+
+def test_request_timeouts(spark):
+    t = datetime(2024, 1, 1)
+    rows = [(1, "poll", t, t + timedelta(seconds=120)), (2, "poll", t, t + timedelta(seconds=121)), (3, "sync", t, t + timedelta(seconds=3600)),
+            (4, "sync", t, None), (5, None, t, t + timedelta(seconds=200)), (6, "poll", None, t)]
+    df = spark.createDataFrame(rows, "case_id long, kind string, started timestamp, ended timestamp")
+    got = {r.case_id: (r.limit_s, r.timed_out) for r in J.request_timeouts(df, F.lit("2024-01-01 02:00:00").cast("timestamp")).collect()}
+    assert got == {1: (120, False), 2: (120, True), 3: (3600, False), 4: (3600, True), 5: (120, True), 6: (120, None)}
