@@ -1,14 +1,14 @@
 """D3: entity recognition with a pluggable span scorer (iterator pandas UDF).
 
-The contract names a learned span model; no weights are available offline,
-so the default scorer here is a **stand-in**: deterministic, built from hashed
-character features, and of no claimed quality.  What this module fixes is the
-interface a real model plugs into:
+The contract names a learned span model.  ``shroud.operators.tagger`` fits one on
+labelled findings; no pretrained weights are available offline, so the default scorer
+here is a **stand-in**: deterministic, built from hashed character features, and of no
+claimed quality.  This module fixes the interface a scorer plugs into:
 
 * a scorer is built once per Python worker from a small, picklable spec
   (label names, threshold, model path or seed) -- never per row or per batch;
 * it receives Arrow batches of texts and returns candidate spans with a score
-  per label;
+  per label (``predict`` for one text, or ``predict_all`` for a batch);
 * results go back onto the document row as arrays (no shuffle), where the
   Spark-side greedy decoder (D4) removes overlaps.
 """
@@ -119,9 +119,10 @@ def detect_ner(df: DataFrame, text_col: str = "text", spec: ScorerSpec | None =
 
     def predict(parts):
         model = scorer_for(spec)
+        predict_all = getattr(model, "predict_all", lambda ts: [model.predict(t) for t in ts])
         for texts in parts:
-            yield pd.Series([[dict(zip(("start", "end", "entity", "score"), s)) for s in model.predict(t if isinstance(t, str) else "")]
-                             for t in texts], dtype=object)
+            found = predict_all([t if isinstance(t, str) else "" for t in texts])
+            yield pd.Series([[dict(zip(("start", "end", "entity", "score"), s)) for s in spans] for spans in found], dtype=object)
 
     predict.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     scored = df.withColumn("__spans", F.pandas_udf(predict, SPANS)(F.col(text_col)))

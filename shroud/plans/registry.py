@@ -30,7 +30,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ("q_detect", "q_files", "q_jobs", "q_keywords", "q_review", "q_workflow", "q_streams", "q_store")
+MODULES = ("q_detect", "q_files", "q_jobs", "q_keywords", "q_review", "q_workflow", "q_streams", "q_store", "q_learned")
 
 
 def load_all() -> None:
