@@ -39,6 +39,8 @@ from shroud.session import checkpoint_root
 DIM = 1 << 14
 #: Cells (lines x longest line) decoded at once.
 CELLS = 1 << 16
+#: Lines decoded together while fitting.
+GROUP = 32
 FORBIDDEN = -1e9
 EDGE = "\x02"
 LINE_DDL = "line string, starts array<int>, ends array<int>, entities array<string>"
@@ -248,33 +250,51 @@ def _gold(words, places, starts, ends, entities, labels) -> np.ndarray:
 def train_epoch(rows: list, labels: tuple, weights: np.ndarray, moves: np.ndarray):
     """One pass over ``(line, starts, ends, entities)`` rows: the last and the averaged weights and moves.
 
-    A wrong line moves the weights just so far that the right path leads by one per wrong token
-    (a step of at most 1 per feature)."""
+    Lines are decoded in groups; only one that its group's first weights get wrong is decoded by
+    itself, and if it is still wrong, it moves the weights just so far that the right path leads by
+    one per wrong token (a step of at most 1 per feature)."""
     find = _token_re().finditer
     cut = [tokens(r[0], find) for r in rows]
     gold = [_gold(w, p, *r[1:], labels) for (w, p), r in zip(cut, rows, strict=True)]
     lines = _Lines([w for w, _ in cut], weights.shape[1])
     weights, moves = weights.copy(), moves.copy()
-    late_w, late_m, steps = np.zeros_like(weights), np.zeros_like(moves), 1
-    for i, want in enumerate(gold):
-        if not len(want):
-            continue
-        padded, lengths = lines.windows([i])
+    late_w, late_m, steps = np.zeros_like(weights), np.zeros_like(moves), 0
+    full = [i for i, g in enumerate(gold) if len(g)]
+
+    def decode(which):
+        padded, lengths = lines.windows(which)
         used, back = np.unique(padded, return_inverse=True)
         emit = emissions(weights[:, lines.features[used]].sum(axis=2), back.reshape(padded.shape))
-        got = viterbi(emit, lengths, moves)[0]
+        return padded, viterbi(emit, lengths, moves)
+
+    def suspects():
+        """Lines in order that the weights at the beginning of their group get wrong."""
+        for b in range(0, len(full), GROUP):
+            group = full[b:b + GROUP]
+            _, tags = decode(group)
+            yield from ((i if (tags[r, :len(gold[i])] != gold[i]).any() else None) for r, i in enumerate(group))
+
+    for i in suspects():
+        steps += 1
+        if i is None:
+            continue
+        want = gold[i]
+        padded, got = decode([i])
+        got = got[0]
         wrong = np.flatnonzero(want != got)
         if len(wrong):
             change, change_m = _difference(lines.features[padded[0]], want, got, wrong, weights.shape)
             at, by = change
             lead = float((weights.reshape(-1)[at] * by).sum() + (moves * change_m).sum())
-            step = min(1.0, (len(wrong) - lead) / float((by ** 2).sum() + (change_m ** 2).sum()))
+            norm = float((by ** 2).sum() + (change_m ** 2).sum())
+            if not norm:   # wrong tokens that cancel each other out
+                continue
+            step = min(1.0, (len(wrong) - lead) / norm)
             weights.reshape(-1)[at] += step * by
             late_w.reshape(-1)[at] += steps * step * by
             moves += step * change_m
             late_m += steps * step * change_m
-        steps += 1
-    return weights, moves, weights - late_w / steps, moves - late_m / steps
+    return weights, moves, weights - late_w / max(steps, 1), moves - late_m / max(steps, 1)
 
 
 def _difference(features, want, got, wrong, shape):
@@ -292,7 +312,7 @@ def _difference(features, want, got, wrong, shape):
 
 
 def fit(df: DataFrame, text_col: str = "text", findings_col: str = "findings", labels: tuple | None = None, *,
-        max_marked: int = 2000, max_plain: int = 2000, max_chars: int = 4096, shards: int = 8, epochs: int = 4) -> TaggerModel:
+        max_marked: int = 2000, max_plain: int = 2000, max_chars: int = 4096, shards: int = 4, epochs: int = 6) -> TaggerModel:
     """A model of the findings of ``df`` (see the module for the bounds and the method).
 
     ``labels`` names the entities to learn (their number sets the model's size); by default
