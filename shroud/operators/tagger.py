@@ -7,8 +7,8 @@ decisions, a lexicon); ``scorer_spec`` turns the model into a scorer for ``detec
   sign.  Tags are O, B-x and I-x for every label x; I-x stands only behind B-x or I-x.
 * A token's score per tag is the sum of hashed features (word, shape, prefix, suffix, and
   whether it touches the token before) of itself and of both neighbours, plus the
-  score of staying inside a span.  Words are scored once per batch, lines of like length are
-  decoded together in numpy; memory is linear in the batch, a line is never cut.
+  score of staying inside a span.  Words are scored once per run of texts; only lines where some token
+  could leave O are decoded, those of like length together.  Memory is bounded by the run; a line is never cut.
 * Fitting is iterative parameter mixing: the sample is dealt over shards by content hash,
   every shard trains one epoch from the mixed weights in its own task, weights are averaged; the model
   is the last epoch's mix of the shards' running means.
@@ -22,6 +22,7 @@ once; without a marked line the model finds nothing; extra columns are ignored b
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -39,6 +40,8 @@ from shroud.session import checkpoint_root
 DIM = 1 << 14
 #: Cells (lines x longest line) decoded at once.
 CELLS = 1 << 16
+#: Characters of text tagged at once.
+RUN_CHARS = 1 << 19
 #: Lines decoded together while fitting.
 GROUP = 32
 FORBIDDEN = -1e9
@@ -61,27 +64,31 @@ class TaggerModel:
 
 
 def _token_re():
+    """A token with the blank before it, if there is one."""
     import regex
-    return regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\s\p{L}\p{M}\p{N}]")
+    return regex.compile(r"\s?(?:[\p{L}\p{M}]+|\p{N}+|[^\s\p{L}\p{M}\p{N}])")
 
 
-def tokens(line: str, find) -> tuple[list[str], list[tuple[int, int]]]:
-    """Words (marked where they touch the word before) and their places."""
-    words, places, last = [], [], -1
-    for m in find(line):
-        a, b = m.span()
-        words.append("\x01" + m.group() if a == last else m.group())
-        places.append((a, b))
-        last = b
-    return words, places
+def words_of(line: str, token) -> list[str]:
+    return token.findall(" " + line)
 
 
-def _features(word: str, dim: int) -> list[int]:
-    glued, w = word[:1] == "\x01", word.lstrip("\x01")
+def _bare(word: str) -> str:
+    return word[1:] if len(word) > 1 and word[0].isspace() else word
+
+
+def places_of(line: str, token) -> list[tuple[int, int]]:
+    return [(m.end() - 1 - len(_bare(m.group())), m.end() - 1) for m in token.finditer(" " + line)]
+
+
+@functools.lru_cache(maxsize=1 << 16)
+def _features(word: str, dim: int) -> tuple[int, ...]:
+    w = _bare(word)
+    glued = w is word
     low = w.lower()
     shape = "".join("X" if c.isupper() else "x" if c.isalpha() else "9" if c.isdigit() else c for c in w[:1] + w[-1:])
     parts = (f"w{low}", f"h{shape}{min(len(w), 12)}{glued}", f"s{low[-3:]}", f"p{low[:2]}{glued}", f"b{shape}")
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % dim for p in parts]
+    return tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) % dim for p in parts)
 
 
 class _Lines:
@@ -136,9 +143,9 @@ def viterbi(emit: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndar
     return out
 
 
-def _runs(lines: _Lines):
-    """Lines in order of length, in runs of at most ``CELLS`` cells (a longer line stands alone)."""
-    order = sorted((i for i, r in enumerate(lines.rows) if len(r)), key=lambda i: len(lines.rows[i]))
+def _runs(lines: _Lines, which):
+    """The lines of ``which`` in order of length, in runs of at most ``CELLS`` cells (a longer line stands alone)."""
+    order = sorted((int(i) for i in which), key=lambda i: len(lines.rows[i]))
     run = []
     for i in order:
         if run and (len(run) + 1) * len(lines.rows[i]) > CELLS:
@@ -156,35 +163,61 @@ class TaggerScorer:
 
     def __init__(self, spec: ScorerSpec):
         self.model, self.threshold = spec.options["model"], spec.threshold
-        self.find = _token_re().finditer
+        self.token = _token_re()
 
     def predict(self, text: str):
         return self.predict_all([text])[0]
 
     def predict_all(self, texts: list):
-        out, where, words, places = [[] for _ in texts], [], [], []
+        """Spans of every text.  Texts are taken in runs of ``RUN_CHARS`` characters (a longer text stands alone)."""
+        out, run, size = [], [], 0
+        for text in texts:
+            text = text or ""
+            if run and size + len(text) > RUN_CHARS:
+                out += self._predict_run(run)
+                run, size = [], 0
+            run.append(text)
+            size += len(text)
+        return out + self._predict_run(run)
+
+    def _predict_run(self, texts: list):
+        out, where, words = [[] for _ in texts], [], []
         for n, text in enumerate(texts):
             at = 0
-            for line in (text or "").split("\n"):
-                w, p = tokens(line, self.find)
+            for line in text.split("\n"):
+                w = words_of(line, self.token)
                 if w:
-                    where.append((n, at))
+                    where.append((n, at, line))
                     words.append(w)
-                    places.append(p)
                 at += len(line) + 1
         if not words:
             return out
         lines = _Lines(words, self.model.weights.shape[1])
         scores = lines.scores(self.model.weights)
-        for run in _runs(lines):
+        for run in _runs(lines, self._marked(lines, scores)):
             padded, lengths = lines.windows(run)
             emit = emissions(scores, padded)
             tags = viterbi(emit, lengths, self.model.moves)
             for r in np.flatnonzero(tags.any(axis=1)):
-                n, at = where[run[r]]
-                out[n] += self._spans(tags[r], emit[r], places[run[r]], at)
+                n, at, line = where[run[r]]
+                out[n] += self._spans(tags[r], emit[r], places_of(line, self.token), at)
         return [sorted(spans) for spans in out]
 
+    def _marked(self, lines, scores) -> np.ndarray:
+        """Lines with a token that some other tag than O could win; the best path of all others is O throughout."""
+        n = np.array([len(r) for r in lines.rows])
+        flat = np.zeros(n.sum() + len(n) + 1, np.int64)              # an edge before, between and behind the lines
+        at = np.delete(np.arange(1, len(flat)), np.cumsum(n + 1) - 1)
+        flat[at] = np.concatenate(lines.rows)
+        gain = np.zeros(scores.shape[2], np.float32)
+        gain[2::2] = np.maximum(self.model.moves.max(axis=0), 0)
+        lead = np.zeros(len(at), bool)
+        for b in range(0, len(at), CELLS):
+            a = at[b:b + CELLS]
+            emit = scores[0, flat[a - 1]] + scores[1, flat[a]] + scores[2, flat[a + 1]]
+            lead[b:b + CELLS] = ((emit + gain)[:, 1:] > emit[:, :1]).any(axis=1)
+        return np.flatnonzero(np.logical_or.reduceat(lead, np.concatenate([[0], np.cumsum(n)[:-1]])))
+
     def _spans(self, tags, emit, places, at):
         spans, i = [], 0
         while i < len(places):
@@ -235,9 +268,9 @@ def labelled_lines(df: DataFrame, text_col: str, findings_col: str) -> DataFrame
     return src.where("t IS NOT NULL").mapInPandas(cut, LINE_DDL)
 
 
-def _gold(words, places, starts, ends, entities, labels) -> np.ndarray:
+def _gold(places, starts, ends, entities, labels) -> np.ndarray:
     """Tags of a line: a token belongs to the first span that it shares a character with."""
-    out, k, last = np.zeros(len(words), np.int16), 0, -1
+    out, k, last = np.zeros(len(places), np.int16), 0, -1
     for i, (a, b) in enumerate(places):
         while k < len(starts) and ends[k] <= a:
             k += 1
@@ -253,9 +286,9 @@ def train_epoch(rows: list, labels: tuple, weights: np.ndarray, moves: np.ndarra
     Lines are decoded in groups; only one that its group's first weights get wrong is decoded by
     itself, and if it is still wrong, it moves the weights just so far that the right path leads by
     one per wrong token (a step of at most 1 per feature)."""
-    find = _token_re().finditer
-    cut = [tokens(r[0], find) for r in rows]
-    gold = [_gold(w, p, *r[1:], labels) for (w, p), r in zip(cut, rows, strict=True)]
+    token = _token_re()
+    cut = [(words_of(r[0], token), places_of(r[0], token)) for r in rows]
+    gold = [_gold(p, *r[1:], labels) for (_, p), r in zip(cut, rows, strict=True)]
     lines = _Lines([w for w, _ in cut], weights.shape[1])
     weights, moves = weights.copy(), moves.copy()
     late_w, late_m, steps = np.zeros_like(weights), np.zeros_like(moves), 0

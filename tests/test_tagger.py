@@ -40,7 +40,7 @@ def test_scores_are_the_sum_of_features():
     """A batch of lines scores as a plain recount of every token's features does."""
     rng = np.random.default_rng(6)
     weights = rng.normal(size=(3, 64, 5)).astype(np.float32)
-    words = [["Ab", "c", "\x01."], ["x"], ["Ab", "Ab"]]
+    words = [[" Ab", " c", "."], [" x"], [" Ab", " Ab"]]
     lines = T._Lines(words, 64)
     padded, lengths = lines.windows([0, 1, 2])
     emit = T.emissions(lines.scores(weights), padded)
@@ -51,6 +51,30 @@ def test_scores_are_the_sum_of_features():
             assert np.allclose(emit[r, t], plain, atol=1e-5)
 
 
+def test_skipped_lines_have_no_span():
+    """Lines left out of the decoding are those whose best path is O throughout."""
+    rng = np.random.default_rng(8)
+    labels = ("a", "b")
+    weights = rng.normal(-0.02, 0.3, size=(3, 256, 5)).astype(np.float32)
+    weights[:, :, 0] += 0.1
+    scorer = T.TaggerScorer(T.scorer_spec(T.TaggerModel(labels, weights, rng.normal(size=(2, 2)).astype(np.float32))))
+    words = [T.words_of(" ".join(rng.choice(["Ab", "c.", "x1", "(y)", "Zed"], rng.integers(1, 4))), scorer.token) for _ in range(300)]
+    lines = T._Lines(words, 256)
+    scores = lines.scores(weights)
+    marked = set(scorer._marked(lines, scores).tolist())
+    padded, lengths = lines.windows(range(300))
+    spans = T.viterbi(T.emissions(scores, padded), lengths, scorer.model.moves).any(axis=1)
+    assert 0 < len(marked) < 300 and set(np.flatnonzero(spans).tolist()) <= marked
+
+
+def test_words_and_places():
+    token = T._token_re()
+    line = "Dr  Ané-1,\tx\u00a0y"
+    assert [line[a:b] for a, b in T.places_of(line, token)] == ["Dr", "Ané", "-", "1", ",", "x", "y"]
+    assert [T._bare(w) for w in T.words_of(line, token)] == ["Dr", "Ané", "-", "1", ",", "x", "y"]
+    assert T.words_of("", token) == [] and T.words_of("  ", token) == []
+
+
 def _sentences(names, places, n, seed):
     rnd, rows = random.Random(seed), []
     for i in range(n):
