@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -94,41 +95,61 @@ def job_outcome_stream(job_events: DataFrame, deadline_s: int, delay: str = "10
 
 
 # ---- T3 ----
+NO_ID = -2**63  # a null event id on its way through the state
+#: Users are dealt over so many groups; a state holds the users of one group and one bucket.
+GROUPS = 64
+ROW = ["user_id", "us", "event_id", "is_use", "answered", "is_open"]
+
+
+def _answer(t: pd.DataFrame, ttl_us: int, passed: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """New answers and the rows that may still matter, of the issues and uses of one group and bucket.
+
+    A use is answered by its user's latest issue not after it (of equal times the largest id)."""
+    code = pd.factorize(t["user_id"])[0]
+    order = np.lexsort((t["event_id"], t["is_use"], t["us"], code))  # issues stand before the uses of their time
+    t, code = t.iloc[order].reset_index(drop=True), code[order]
+    us, ident, is_use, answered, is_open = (t[c].to_numpy() for c in ROW[1:])
+    at = np.maximum.accumulate(np.where(is_use, -1, np.arange(len(t))))
+    met = is_use & (at >= 0) & (code[at] == code) & (us - us[at] <= ttl_us) & (is_open | (ident[at] != answered))
+    by = at[met]
+    out = pd.DataFrame({"issue_id": ident[by], "use_id": ident[met], "user_id": t["user_id"].to_numpy()[met],
+                        "use_us": us[met], "issue_us": us[by]})
+    t["answered"], t["is_open"] = np.where(met, ident[at], answered), is_open & ~met
+    # behind the watermark no use and no issue comes any more: of a user's issues there only the last one counts
+    old = us <= passed
+    issues = np.flatnonzero(~is_use)
+    late = issues[1:][(code[issues[1:]] == code[issues[:-1]]) & old[issues[1:]]]
+    keep = ~(old & is_use)
+    keep[issues[np.searchsorted(issues, late) - 1]] = False
+    return out, t[keep]
+
+
 class LatestIssue(StatefulProcessor):
-    """State of (user, bucket): the latest issue behind the watermark, and what lies before it
-    (issues that may still come out of order, uses that such an issue may still change)."""
+    """State of (group of users, bucket): of every user the latest issue behind the watermark, and what lies before it
+    (issues that may still come out of order, uses that such an issue may still change), as one Arrow table."""
 
     def __init__(self, ttl_us: int, width_us: int):
         self.ttl, self.width = ttl_us, width_us
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "issues array<struct<us:long,id:long>>, uses array<struct<us:long,id:long,issue:long>>")
+        self.seen = handle.getValueState("seen", "rows binary")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         passed = max(timerValues.getCurrentWatermarkInMs(), 0) * 1000
+        parts = [f[ROW[:4]].assign(answered=NO_ID, is_open=True) for f in rows]
         if self.seen.exists():
-            issues, uses = ([tuple(x) for x in part] for part in self.seen.get())
+            parts.insert(0, pa.ipc.open_stream(self.seen.get()[0]).read_all().to_pandas())
         else:
-            issues, uses = [], []
             self.handle.registerTimer(_ms((key[1] + 1) * self.width))
-        for f in rows:
-            for us, ident, is_use in zip(f["us"].tolist(), f["event_id"].tolist(), f["is_use"].tolist(), strict=True):
-                (uses if is_use else issues).append((us, ident, -1) if is_use else (us, ident))
-        issues.sort()
-        out, kept, at = [], [], 0
-        for us, ident, answered in sorted(uses):
-            while at < len(issues) and issues[at][0] <= us:
-                at += 1
-            if at and us - issues[at - 1][0] <= self.ttl and issues[at - 1][1] != answered:
-                answered = issues[at - 1][1]
-                out.append((answered, ident, key[0], us, issues[at - 1][0]))
-            if us > passed:
-                kept.append((us, ident, answered))
-        old = sum(i[0] <= passed for i in issues)
-        self.seen.update((issues[max(old - 1, 0):], kept))
-        if out:
-            yield pd.DataFrame(out, columns=["issue_id", "use_id", "user_id", "use_us", "issue_us"])
+        out, kept = _answer(pd.concat(parts, ignore_index=True), self.ttl, passed)
+        buffer = pa.BufferOutputStream()
+        table = pa.Table.from_pandas(kept, preserve_index=False)
+        with pa.ipc.new_stream(buffer, table.schema) as w:
+            w.write_table(table)
+        self.seen.update((buffer.getvalue().to_pybytes(),))
+        if len(out):
+            yield out
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.seen.clear()
@@ -139,23 +160,27 @@ class LatestIssue(StatefulProcessor):
 
 
 def token_answers_stream(issues: DataFrame, uses: DataFrame, ttl_minutes: int = 1440, delay: str = "10 minutes",
-                         parts: int = 4) -> DataFrame:
+                         parts: int = 4, groups: int = GROUPS) -> DataFrame:
     """Every use of a live token once, with its latest issue, as soon as it arrives; a row follows again only
     when an issue that came late is the better answer (``protect.latest_issue`` keeps the best).
 
     Time is cut into buckets of a ``parts``-th of the TTL; an issue goes to its own and the next
     ``parts`` buckets, a use to its own.  A busy user's day so spreads over buckets, and
-    a bucket's state goes when the watermark passes its end.  Event ids are integers."""
+    a bucket's state goes when the watermark passes its end.  A state (with its calls between Spark and Python, a few
+    milliseconds each) is one per bucket and group of users, not per user; ``groups`` grows
+    with the number of users at one time.  Event ids are integers."""
     ttl = ttl_minutes * 60_000_000
     width = ttl // parts
     us = F.unix_micros("ts")
     bucket = F.floor(us / F.lit(width)).cast("long")
-    cols = ["user_id", "event_id", "ts", us.alias("us")]
+    cols = [F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int").alias("grp"), "user_id",
+            F.coalesce(F.col("event_id").cast("long"), F.lit(NO_ID)).alias("event_id"), "ts", us.alias("us")]
     i = issues.select(*cols, F.lit(False).alias("is_use"), F.explode(F.sequence(bucket, bucket + parts)).alias("bucket"))
     u = uses.select(*cols, F.lit(True).alias("is_use"), bucket.alias("bucket"))
     both = i.unionByName(u).where(F.col("user_id").isNotNull() & F.col("ts").isNotNull()).withWatermark("ts", delay)
     user = both.schema["user_id"].dataType.simpleString()
-    out = both.groupBy("user_id", "bucket").transformWithStateInPandas(
+    out = both.groupBy("grp", "bucket").transformWithStateInPandas(
         LatestIssue(ttl, width), f"issue_id long, use_id long, user_id {user}, use_us long, issue_us long", "Update", "EventTime")
-    return out.select("issue_id", "use_id", "user_id", F.timestamp_micros("issue_us").alias("issue_ts"),
+    known = lambda c: F.nullif(F.col(c), F.lit(NO_ID)).alias(c)
+    return out.select(known("issue_id"), known("use_id"), "user_id", F.timestamp_micros("issue_us").alias("issue_ts"),
                       F.timestamp_micros("use_us").alias("use_ts"))

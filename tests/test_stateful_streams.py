@@ -5,13 +5,14 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from shroud.streaming import operators as S
 from shroud.streaming import stateful as ST
 from shroud.streaming.answers import job_states, run_two_phase
-from shroud.streaming.runner import run_available
+from shroud.streaming.runner import ROCKSDB, STATE_STORE, run_available
 
 EVENTS = "event_id long, job_id long, ts timestamp, status string"
 TOKENS = "event_id long, user_id long, ts timestamp, event_type string"
@@ -87,3 +88,42 @@ def test_restart_between_the_two_writes(spark, tmp_path):
     assert (rows["detect-0"].status, rows["detect-0"].n_redactions) == ("finished", 1)
     assert (rows["detect-10"].status, rows["detect-10"].error) == ("error", "no text")
     assert (rows["detect-20"].status, rows["detect-20"].n_redactions) == ("finished", 0)
+
+
+def test_token_states_are_per_group_and_bucket(spark, tmp_path):
+    rows = [(n, n % 200, datetime(2024, 1, 1, 0, 30) + timedelta(seconds=n), "signup" if n < 200 else "purchase") for n in range(400)]
+    rows += [(None, 7, datetime(2024, 1, 1, 0, 58), "signup"), (900, 7, datetime(2024, 1, 1, 0, 59), "purchase")]
+    spark.createDataFrame(rows, TOKENS).coalesce(1).write.parquet(str(tmp_path / "in"))
+    src = spark.readStream.schema(TOKENS).parquet(str(tmp_path / "in"))
+    pick = lambda kind: src.where(F.col("event_type") == kind)
+    former = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        q = ST.token_answers_stream(pick("signup"), pick("purchase"), 60, groups=4).writeStream.outputMode("update") \
+            .format("memory").queryName("token_groups").option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, former)
+    got = {(r.issue_id, r.use_id, r.user_id) for r in spark.table("token_groups").collect()}
+    assert got == {(n - 200, n, n - 200) for n in range(200, 400)} | {(None, 900, 7)}
+    # 4 groups in some 7 buckets, with their timers; a state per user had 200 times 5
+    assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 4 * 7 * 3
+
+
+def test_answers_of_a_group_equal_brute_force():
+    rnd = random.Random(9)
+    for _ in range(100):
+        t = pd.DataFrame([(rnd.choice("ab"), rnd.randint(0, 30), n, rnd.random() < 0.5, ST.NO_ID, True) for n in range(rnd.randint(1, 25))], columns=ST.ROW)
+        out, kept = ST._answer(t, 10, 12)
+        rows = list(t.itertuples(index=False))
+        want = set()
+        for u in (r for r in rows if r.is_use):
+            live = [(i.us, i.event_id) for i in rows if not i.is_use and i.user_id == u.user_id and i.us <= u.us]
+            if live and u.us - max(live)[0] <= 10:
+                want.add((max(live)[1], u.event_id))
+        assert set(zip(out["issue_id"], out["use_id"], strict=True)) == want
+        late = {}
+        for i in sorted((r for r in rows if not r.is_use and r.us <= 12), key=lambda r: (r.us, r.event_id)):
+            late[i.user_id] = i.event_id
+        assert set(kept["event_id"]) == set(late.values()) | {r.event_id for r in rows if r.us > 12}
+        assert ST._answer(kept, 10, 12)[0].empty  # nothing twice
