@@ -173,3 +173,35 @@ def test_content_moved_to_another_id_does_not_open(spark, made):
     assert [r.reason for r in DK.download(moved, checked.where("file_id = 'f2'")).collect()] == ["no content"]
     p = plan(DK.download(table, checked))
     assert "0x" not in p and "X'" not in p  # no key in the plan
+
+
+def test_content_moves_and_is_written_once(spark, made, tmp_path):
+    root, m = made
+    f = files(spark)
+    f.write.parquet(str(tmp_path / "files"))
+    src, keys = spark.read.parquet(str(tmp_path / "files")), DK.data_keys(spark, root)
+    former = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with keys of many files
+    try:
+        p = plan(C._meet(src.select(*C.META, "content"), DK.opened_keys(keys, m).select("file_id", "dek"), "dek"))
+    finally:
+        for k, v in former.items():
+            spark.conf.set(k, v)
+    assert p.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in p and p.count("Sort [") == 1
+
+
+def test_a_deletion_killed_between_two_buckets_is_finished(spark, made):
+    root, _ = made
+    table = C.stored(spark, root)
+    bucket = {r.file_id: r.bucket for r in table.select("file_id", "bucket").collect()}
+    a, b = bucket["f3"], next(x for x in bucket.values() if x != bucket["f3"])
+    c = next(x for x in bucket.values() if x not in (a, b))
+    gone = {"f3"} | {f for f, x in bucket.items() if x == c}
+    left = table.where(F.col("bucket").isin(a, b) & (F.col("file_id") != "f3"))
+    left.write.partitionBy("bucket").parquet(f"{root}/staging/rows")
+    spark.createDataFrame([(a, True), (b, True), (c, False)], "bucket int, has_rows boolean").write.parquet(f"{root}/staging/touched")
+    fs, staged = C._fs(spark, f"{root}/staging/rows/bucket={b}")
+    C.remove_path(spark, f"{root}/files/bucket={b}")
+    assert fs.rename(staged, C._fs(spark, f"{root}/files/bucket={b}")[1])  # b was moved, then the run was killed
+    got = [r.file_id for r in C.list_files(spark, root).collect()]
+    assert sorted(got) == sorted(set(bucket) - gone) and not exists(spark, f"{root}/staging")
