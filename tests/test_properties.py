@@ -81,3 +81,13 @@ def test_text_outside_spans_untouched(spark):
     none = df.withColumn("findings", F.expr(f"CAST(array() AS {FS})"))
     assert all(r.redacted_text == rows[r.doc_id][1]
                for r in R.apply_redactions(none, "text", "findings", "label", merged=True).collect())
+
+
+def test_texts_reach_python_in_batches_bounded_by_bytes(spark):
+    from shroud.session import ensure_settings
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    ensure_settings(spark)  # as every registered query does first
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) == 4 << 20
+    df = spark.range(400, numPartitions=1).selectExpr("id", "repeat('x', 100000) AS text")
+    sizes = df.mapInArrow(lambda bs: (b.select([]).from_arrays([[b.num_rows]], names=["n"]) for b in bs), "n long").collect()
+    assert sum(r.n for r in sizes) == 400 and max(r.n for r in sizes) <= 60
