@@ -30,6 +30,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -344,6 +346,34 @@ def _difference(features, want, got, wrong, shape):
     return (at[by != 0], by[by != 0]), moves
 
 
+def _smallest(max_marked: int, max_plain: int):
+    """A task's distinct lines of smallest ``(h, line)``: ``max_marked`` with a span and ``max_plain`` without."""
+    def cut(t: pa.Table, n: int) -> pa.Table:
+        t = t.sort_by([("h", "ascending"), ("line", "ascending")])
+        if len(t) > 1:
+            again = pc.and_(pc.equal(t["h"][1:], t["h"][:-1]), pc.equal(t["line"][1:], t["line"][:-1]))
+            t = t.filter(pa.chunked_array([pa.array([True]), *pc.invert(again).chunks], pa.bool_()))
+        return t.slice(0, n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bool, pa.Table] = {}
+        for b in batches:
+            new = pa.Table.from_batches([b])
+            spans = pc.greater(pc.list_value_length(new["starts"]), 0)
+            for marked, n in ((True, max_marked), (False, max_plain)):
+                part = new.filter(spans if marked else pc.invert(spans))
+                if marked in held:
+                    if len(held[marked]) >= n > 0:
+                        part = part.filter(pc.less_equal(part["h"], held[marked]["h"][n - 1]))
+                    if not len(part):
+                        continue
+                    part = pa.concat_tables([held[marked], part])
+                held[marked] = cut(part, n).combine_chunks()
+        for t in held.values():
+            yield from t.to_batches()
+    return run
+
+
 def fit(df: DataFrame, text_col: str = "text", findings_col: str = "findings", labels: tuple | None = None, *,
         max_marked: int = 2000, max_plain: int = 2000, max_chars: int = 4096, shards: int = 4, epochs: int = 6) -> TaggerModel:
     """A model of the findings of ``df`` (see the module for the bounds and the method).
@@ -351,10 +381,12 @@ def fit(df: DataFrame, text_col: str = "text", findings_col: str = "findings", l
     ``labels`` names the entities to learn (their number sets the model's size); by default
     those of the sampled lines, in order."""
     lines = labelled_lines(df, text_col, findings_col).where(F.length("line") <= max_chars)
-    lines = lines.withColumn("h", F.xxhash64("line", "starts", "ends", "entities")).dropDuplicates(["h", "line"])
-    pick = lambda marked, n: lines.where((F.size("starts") > 0) == marked).orderBy("h", "line").limit(n)
-    sample = pick(True, max_marked).unionAll(pick(False, max_plain)).withColumn("shard", F.expr(f"cast(pmod(h, {shards}) as int)"))
+    lines = lines.withColumn("h", F.xxhash64("line", "starts", "ends", "entities"))
     checkpoint_root(df.sparkSession)
+    # one pass over the texts: every task sends its own smallest lines, among which those of the whole table are
+    near = lines.mapInArrow(_smallest(max_marked, max_plain), f"{LINE_DDL}, h long").checkpoint().dropDuplicates(["h", "line"])
+    pick = lambda marked, n: near.where((F.size("starts") > 0) == marked).orderBy("h", "line").limit(n)
+    sample = pick(True, max_marked).unionAll(pick(False, max_plain)).withColumn("shard", F.expr(f"cast(pmod(h, {shards}) as int)"))
     sample = sample.checkpoint()
     if labels is None:
         labels = tuple(r[0] for r in sample.select(F.explode("entities").alias("e")).distinct().orderBy("e").collect())
