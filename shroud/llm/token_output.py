@@ -11,9 +11,9 @@ Documents are range-partitioned by id as text (one shuffle) and encoded after
 that, in file order, so the ids themselves never move.
 
 Encoding calls the ``tokenizers`` library once per distinct piece between ASCII
-white space and keeps the answers in a bounded table per worker.  This gives the
-same ids as encoding whole texts, because the tokenizer drops white space and
-neither its normaliser nor its splitter looks across it.
+white space and keeps the answers in a bounded table per worker, by the pieces'
+64-bit ids.  This gives the same ids as encoding whole texts, because the tokenizer
+drops white space and neither its normaliser nor its splitter looks across it.
 
 Defined results: a null text is empty (only the end id); null ids sort first;
 rows with the same id are ordered by text hash and each keeps its own entry; an
@@ -23,9 +23,9 @@ empty table gives an empty token table.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -38,17 +38,96 @@ from . import bytewords, common
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 128 << 10
-#: Pieces kept per worker; when the table is full, longer ones go.
-MEMO_PIECES = 350_000
+#: Pieces kept per worker (some 50 bytes each); when the table is full, the half found least often goes.
+MEMO_PIECES = 1_000_000
 #: Longer pieces are encoded but not kept.
 MEMO_PIECE_BYTES = 48
-#: Pieces of so many bytes stay when the table is emptied.
-SHORT_PIECE_BYTES = 9
 #: Text encoded together.
 BATCH_BYTES = 1 << 20
 
 # ASCII punctuation (but an apostrophe) between a letter of Latin-1 and white space is one token of its own
-_POINT = re.compile(rb"[!-&(-/:-@\[-`{-~](?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[!-&(-/:-@\[-`{-~]*(?=[ \n]|$)")
+_POINT = bytewords.word_table([b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27])
+_LETTER = bytewords.word_table(range(0x61, 0x7B))
+_LETTER_C3 = bytewords.word_table({*range(0x80, 0xC0)} - {0x97, 0xB7})  # after 0xC3
+
+
+def point_starts(a: np.ndarray) -> np.ndarray:
+    """Starts of the runs of punctuation that stand between a letter and a space, line feed or the end."""
+    start, end = bytewords.spans(a, _POINT)
+    after = np.append(a, np.uint8(0x0A))[end]
+    keep = (start > 0) & ((after == 0x20) | (after == 0x0A))
+    start = start[keep]
+    before = a[start - 1]
+    accented = _LETTER_C3[before] & (start > 1) & (a[np.maximum(start - 2, 0)] == 0xC3)
+    return start[_LETTER[before] | accented]
+
+
+def _gather(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``flat[b:b + n]`` of every (b, n), end to end."""
+    return flat[np.repeat(begin - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]
+
+
+def _put(a: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
+    """``a`` with ``values`` from ``at`` on, longer if need be."""
+    end = at + len(values)
+    if end > len(a):
+        a, old = np.zeros(end * 3 // 2, a.dtype), a
+        a[:at] = old[:at]
+    a[at:end] = values
+    return a
+
+
+class PieceTable:
+    """Ids of at most ``MEMO_PIECES`` pieces, by the pieces' 64-bit ids."""
+
+    def __init__(self):
+        self._clear()
+
+    def _clear(self) -> None:
+        #: sorted, and the row of each
+        self.keys, self.rows = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.sizes, self.begin, self.hits, self.flat = (np.empty(0, np.int32) for _ in range(4))
+        self.used = 0
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Row of each of the distinct ``keys``, -1 for one not held."""
+        found = np.full(len(keys), -1, np.int64)
+        if len(self):
+            order = np.argsort(keys)  # neighbours are searched one after the other
+            at = np.minimum(np.searchsorted(self.keys, keys[order]), len(self) - 1)
+            same = self.keys[at] == keys[order]
+            found[order[same]] = self.rows[at[same]]
+            self.hits[found[order[same]]] += 1
+        return found
+
+    def ids(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces end to end, and how many each has."""
+        sizes = self.sizes[rows]
+        return _gather(self.flat, self.begin[rows], sizes), sizes
+
+    def add(self, keys: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """Pieces not held so far."""
+        if len(self) + len(keys) > MEMO_PIECES:
+            often = np.argsort(-self.hits[self.rows], kind="stable")[:MEMO_PIECES // 2]
+            rows = self.rows[often]
+            kept = self.keys[often], *self.ids(rows), self.hits[rows] // 2
+            self._clear()
+            self._append(*kept)
+        if len(self) + len(keys) <= MEMO_PIECES:
+            self._append(keys, flat, sizes, np.zeros(len(keys), np.int32))
+
+    def _append(self, keys: np.ndarray, flat: np.ndarray, sizes: np.ndarray, hits: np.ndarray) -> None:
+        n = len(self)
+        self.sizes, self.hits = _put(self.sizes, n, sizes), _put(self.hits, n, hits)
+        self.begin = _put(self.begin, n, self.used + np.cumsum(sizes) - sizes)
+        self.flat = _put(self.flat, self.used, flat)
+        self.used += len(flat)
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.rows = np.insert(self.keys, at, keys[order]), np.insert(self.rows, at, n + order)
 
 
 class PieceEncoder:
@@ -57,8 +136,7 @@ class PieceEncoder:
     def __init__(self, tokenizer_json: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
-        #: piece -> its ids as little-endian 32-bit bytes
-        self.memo: dict[bytes, bytes] = {}
+        self.memo = PieceTable()
         #: the tokenizer's own model, and its spelling of letters for which its other steps do nothing else
         self.model = self.tok.model
         self.spelling = {}
@@ -67,59 +145,58 @@ class PieceEncoder:
                 self.spelling[ord(c)] = word[0][0]
         self.letters = re.compile("[" + "".join(map(chr, self.spelling)) + "]+")
 
-    def prepared(self, text: str | None) -> bytes:
-        data = (text or "").encode("utf-8", "surrogatepass")
-        # special tokens are matched before lower-casing, and a combining mark composes with the case it follows
-        if b"<|" not in data and b"\xcc" not in data and b"\xcd" not in data:
-            data = _POINT.sub(rb" \g<0>", data.lower())
-        return data
-
-    def _encode_new(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """A piece of lower-case Latin-1 letters is one word, so the tokenizer's model alone encodes it
-        (half the time); other pieces go through the whole tokenizer."""
-        out: dict[bytes, bytes] = {}
+    def _encode_new(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces end to end, and how many each has.  A piece of lower-case Latin-1 letters is one word,
+        so the tokenizer's model alone encodes it (half the time); other pieces go through the whole tokenizer."""
+        out: list[list[int]] = [[]] * len(pieces)
         rest, word, model, spelling = [], self.letters.fullmatch, self.model.tokenize, self.spelling
-        for p in pieces:
+        for i, p in enumerate(pieces):
             t = p.decode("utf-8", "replace")
             if word(t):
-                out[p] = array("I", [x.id for x in model(t if t.isascii() else t.translate(spelling))]).tobytes()
+                out[i] = [x.id for x in model(t if t.isascii() else t.translate(spelling))]
             else:
-                rest.append((p, t))
+                rest.append((i, t))
         for at in range(0, len(rest), 2048):
             part = rest[at:at + 2048]
-            for (p, _), e in zip(part, self.tok.encode_batch([t for _, t in part], add_special_tokens=False), strict=True):
-                out[p] = array("I", e.ids).tobytes()
-        return out
+            for (i, _), e in zip(part, self.tok.encode_batch([t for _, t in part], add_special_tokens=False), strict=True):
+                out[i] = e.ids
+        sizes = np.fromiter(map(len, out), np.int64, len(out))
+        return np.fromiter(itertools.chain.from_iterable(out), np.int32, sizes.sum()), sizes
 
     def encode(self, texts: list) -> list[np.ndarray]:
-        data = [self.prepared(t) for t in texts]
-        raw = b"\n".join(data)
-        starts, ends = bytewords.spans(np.frombuffer(raw, np.uint8), bytewords.NONSPACE)
-        # equal pieces of the batch are looked up once
-        ids = bytewords.span_ids(bytewords.prefix(np.frombuffer(raw, np.uint8)), starts, ends)
-        _, first, which = np.unique(ids, return_index=True, return_inverse=True)
-        pieces = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        coded = self._lookup(pieces)
-        flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        n = sizes[which]
-        begin = (np.cumsum(sizes) - sizes)[which] - (np.cumsum(n) - n)
-        out = flat[np.repeat(begin, n) + np.arange(n.sum())]
+        data = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+        # special tokens are matched before lower-casing, and a combining mark composes with the case it follows
+        plain = np.array([b"<|" not in d and b"\xcc" not in d and b"\xcd" not in d for d in data], bool)
+        raw = b"\n".join([d.lower() if p else d for d, p in zip(data, plain.tolist(), strict=True)])
         edges = np.cumsum([0, *(len(d) + 1 for d in data)])
+        a = np.frombuffer(raw, np.uint8)
+        starts, ends = bytewords.spans(a, bytewords.NONSPACE)
+        points = point_starts(a)
+        if not plain.all():
+            points = points[plain[np.searchsorted(edges, points, side="right") - 1]]
+        starts, ends = np.sort(np.concatenate([starts, points])), np.sort(np.concatenate([ends, points]))
+        # equal pieces of the batch are looked up once
+        coded = pa.array(bytewords.span_ids(bytewords.prefix(a), starts, ends)).dictionary_encode()
+        keys, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+        rows = self.memo.find(keys)
+        held, new = np.flatnonzero(rows >= 0), np.flatnonzero(rows < 0)
+        flat, sizes = self.memo.ids(rows[held])
+        place = np.empty(len(keys), np.int64)
+        place[held] = np.arange(len(held))
+        if len(new):
+            first = np.empty(len(keys), np.int64)
+            first[which[::-1]] = np.arange(len(which))[::-1]
+            begin, end = starts[first[new]], ends[first[new]]
+            new_flat, new_sizes = self._encode_new([raw[x:y] for x, y in zip(begin.tolist(), end.tolist(), strict=True)])
+            short = end - begin <= MEMO_PIECE_BYTES
+            self.memo.add(keys[new][short], new_flat[np.repeat(short, new_sizes)], new_sizes[short])
+            place[new] = len(held) + np.arange(len(new))
+            flat, sizes = np.concatenate([flat, new_flat]), np.concatenate([sizes, new_sizes])
+        at = place[which]
+        n = sizes[at]
+        out = _gather(flat, (np.cumsum(sizes) - sizes)[at], n)
         cut = np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, edges)]
-        return [out[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
-
-    def _lookup(self, pieces: list[bytes]) -> list[bytes]:
-        memo = self.memo
-        new = [p for p in pieces if p not in memo]
-        if new and len(memo) + len(new) > MEMO_PIECES:
-            # short pieces are the frequent ones
-            short = {p: v for p, v in memo.items() if len(p) <= SHORT_PIECE_BYTES}
-            memo = self.memo = short if len(short) + len(new) <= MEMO_PIECES // 2 else {}
-            new = [p for p in pieces if p not in memo]
-        coded = self._encode_new(new) if new else {}
-        memo.update((p, v) for p, v in coded.items() if len(p) <= MEMO_PIECE_BYTES)
-        return [memo[p] if p in memo else coded[p] for p in pieces]
+        return [out[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}

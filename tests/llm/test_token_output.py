@@ -42,6 +42,27 @@ def test_words_of_letters_equal_whole_texts(whole):
         assert [*ids.tolist(), 2] == whole(t), t
 
 
+def test_frequent_pieces_stay_when_the_table_is_full(monkeypatch):
+    from collections import Counter
+    monkeypatch.setattr(token_output, "MEMO_PIECES", 100)
+    enc = PieceEncoder(open(tokenizer_path(), encoding="utf-8").read())
+    coded, encode_new = Counter(), enc._encode_new
+    monkeypatch.setattr(enc, "_encode_new", lambda pieces: (coded.update(pieces), encode_new(pieces))[1])
+    often = [f"frequent-long-word-{c}" for c in "abcdefghij"]
+    for i in range(30):
+        enc.encode([" ".join([*often, *(f"x{i}y{j}" for j in range(20))])])
+    assert {coded[w.encode()] for w in often} == {1} and len(coded) == 10 + 30 * 20
+
+
+def test_punctuation_of_random_texts_equals_whole_texts(whole):
+    import random
+    rnd = random.Random(2)
+    enc = PieceEncoder(open(tokenizer_path(), encoding="utf-8").read())
+    texts = ["".join(rnd.choices(list("abzAZ09 .,;'\"-([{<|>~`^_\t\n\r\x0b\x85é×÷ßÀ\u0301日 \n "), k=rnd.randint(0, 40))) for _ in range(3000)]
+    for t, ids in zip(texts, enc.encode(texts), strict=True):
+        assert [*ids.tolist(), 2] == whole(t), t
+
+
 def test_round_trip_offsets_and_checksums(spark, make, whole):
     rows = [(i * 7 % 31, t, "en", "s", 1) for i, t in enumerate(TEXTS)] + [(None, "no id", None, None, None), (5, "same id", "", "", 0), (5, "same id", "", "", 0)]
     path = token_output.write_tokens(make(rows).withColumn("ids", common.F.lit("clash")), common.scratch(spark, "t"),
