@@ -78,3 +78,17 @@ def test_query_against_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in common.table(spark, d, "documents").collect()]
     got = sorted(map(tuple, QUERIES["op6_suffix_dedup"](spark, d).collect()), key=str)
     assert got == brute(rows, 400) and sum(r[2] for r in got) > 0
+
+
+def test_passages_of_over_50_words_by_their_bytes(make):
+    """The contract's length is in bytes: a repeated passage of 400 goes whole, one of 399 stays, however many words it has."""
+    rnd = random.Random(51)
+    fill = lambda k: " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(k))
+    long, short = (fill(120)[:n - 1] + "z" for n in (400, 399))
+    assert len(long.split()) > 50 and len(short.split()) > 50
+    rows = [(2 * i + j, f"{fill(80)} {i}{j}{p}{j}{i} {fill(80)}") for i, p in enumerate([long, short]) for j in (0, 1)]
+    rows += [(4, fill(300)), (5, fill(60))]
+    got = S.remove_repeats(make([(i, t, "", "", 0) for i, t in rows])).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    got = sorted(map(tuple, got.collect()), key=str)
+    assert got == brute(rows, 400)
+    assert [r[2:4] for r in got] == [(400, 1), (400, 1), (0, 0), (0, 0), (0, 0), (0, 0)]
