@@ -18,6 +18,9 @@ their offsets, in order of list length.  Terms missing from a segment end its ph
 Term ids are 64-bit hashes of the word's bytes; two different words would have to
 collide in ten places in a row to give a false hit.
 
+What a task holds is bounded: row groups of the index have ``common.GROUP_ROWS`` rows, test windows are
+places in the block's words (some 40 bytes each) and are looked up ``PART_WINDOWS`` at a time.
+
 Defined results: null texts have no words; an item without words has no window; an
 item shorter than the window is one window; null item ids are named ``null``;
 repeated item ids count once; repeated documents keep a row each; empty tables give
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .bytewords import ALNUM, words_of
+from .bytewords import ALNUM, mix, words_of
 
 WINDOW = 10
 #: Text of one segment.
 SEGMENT_BYTES = 4 << 20
 #: Text of the test set that is broadcast at once.
 QUERY_BYTES = 8 << 20
+#: Windows looked up at once, and positions of their shortest lists tried at once (one window's list may be longer).
+PART_WINDOWS = 1 << 14
+CANDIDATES = 1 << 19
 
 
 def build_index(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -73,10 +80,8 @@ def build_index(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
     index = rows.mapInArrow(common.tidied(run), f"docs array<{id_type}>, ths array<bigint>, n_words array<bigint>, "
                                  "terms array<bigint>, n array<bigint>, gaps array<int>")
-    path = common.scratch(df.sparkSession, "postings")
-    (index.write.option("compression", "zstd").option("parquet.writer.version", "v2")
-     .option("parquet.enable.dictionary", "false").parquet(path))
-    return df.sparkSession.read.schema(index.schema).parquet(path)
+    return common.materialize_wide(index, "postings", **{
+        "compression": "zstd", "parquet.writer.version": "v2", "parquet.enable.dictionary": "false"})
 
 
 class Segment:
@@ -122,6 +127,16 @@ class Segment:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         lists = lists[alive]
         rarest = np.argsort(self.n[lists], axis=1, kind="stable")
+        # windows whose shortest lists have some CANDIDATES positions together are tried at once
+        n = self.n[np.take_along_axis(lists, rarest[:, :1], 1)[:, 0]]
+        run = (np.cumsum(n) - n) // CANDIDATES
+        cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(run)]
+        found = [(alive[a + row], start) for a, b in zip(cuts, cuts[1:], strict=False)
+                 for row, start in [self._starts(lists[a:b], rarest[a:b], length)]]
+        which, start = zip(*found, strict=True)
+        return np.concatenate(which), np.concatenate(start)
+
+    def _starts(self, lists: np.ndarray, rarest: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         pick = lambda k: (np.take_along_axis(lists, rarest[:, k:k + 1], 1)[:, 0], rarest[:, k])
         first, offset = pick(0)
         row, at = self.expand(first)
@@ -133,7 +148,7 @@ class Segment:
             lst, off = pick(k)
             keep = self.has(lst[row], start + off[row])
             row, start = row[keep], start[keep]
-        return alive[row], start
+        return row, start
 
     def near(self, terms: np.ndarray, slop: int) -> np.ndarray:
         """Positions of the rarest term with every other term within ``slop`` words in the same document."""
@@ -151,18 +166,49 @@ class Segment:
         return at
 
 
-def item_windows(ids: list, texts: list, window: int = WINDOW) -> dict[int, tuple[np.ndarray, list]]:
-    """length -> (distinct windows, names of the items of each)."""
+@dataclass
+class Windows:
+    """The distinct windows of a block of items: places in its words, and the items of each as numbers."""
+    words: np.ndarray
+    names: list
+    #: length -> (starts in ``words``, ends of the windows' runs in the items, items)
+    groups: dict
+
+    def parts(self):
+        """``(length, windows, first, ends, items)`` of at most ``PART_WINDOWS`` windows; ``first`` is the first one's number."""
+        for length, (starts, ends, items) in self.groups.items():
+            for a in range(0, len(starts), PART_WINDOWS):
+                yield length, self.words[starts[a:a + PART_WINDOWS, None] + np.arange(length)], a, ends, items
+
+
+def item_windows(ids: list, texts: list, window: int = WINDOW) -> Windows:
     words, counts = words_of(texts, ALNUM)
-    found: dict[int, dict[bytes, set]] = {}
-    at = 0
-    for name, n in zip(ids, counts, strict=True):
-        name = "null" if name is None else str(name)
-        size = min(int(n), window)
-        for i in range(int(n) - size + 1 if n else 0):
-            found.setdefault(size, {}).setdefault(words[at + i:at + i + size].tobytes(), set()).add(name)
-        at += int(n)
-    return {size: (np.frombuffer(b"".join(w), np.uint64).reshape(-1, size), list(w.values())) for size, w in found.items()}
+    names: dict[str, int] = {}
+    owner = np.array([names.setdefault("null" if i is None else str(i), len(names)) for i in ids], np.int64)
+    first, size = np.cumsum(counts) - counts, np.minimum(counts, window)
+    groups = {}
+    for length in np.unique(size[size > 0]).tolist():
+        mine = size == length
+        n = counts[mine] - length + 1
+        starts = np.repeat(first[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        groups[length] = _distinct(words, starts, np.repeat(owner[mine], n), length)
+    return Windows(words, list(names), groups)
+
+
+def _distinct(words: np.ndarray, starts: np.ndarray, owner: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One start per distinct window, the ends of the windows' runs in the items, and the items."""
+    code = np.zeros(len(starts), np.uint64)
+    for k in range(length):
+        code = mix(code) + words[starts + k]
+    order = np.lexsort((owner, code))
+    starts, owner, code = starts[order], owner[order], code[order]
+    new = code[1:] != code[:-1]  # windows of one code are compared by their words
+    for k in range(length):
+        new |= words[starts[1:] + k] != words[starts[:-1] + k]
+    fresh = np.concatenate([[True], new])
+    keep = fresh | np.concatenate([[True], owner[1:] != owner[:-1]])
+    owner, fresh_kept = owner[keep], np.flatnonzero(fresh[keep])
+    return starts[fresh], np.append(fresh_kept[1:], len(owner)), owner
 
 
 def _query_blocks(items: DataFrame, id_col: str, text_col: str):
@@ -210,17 +256,18 @@ def _row(batch: pa.RecordBatch, i: int):
     return pa.RecordBatch.from_arrays(cut, names=batch.schema.names)
 
 
-def _search(seg: Segment, windows: dict) -> pa.RecordBatch:
+def _search(seg: Segment, windows: Windows) -> pa.RecordBatch:
     total = int(seg.starts[-1])
     cover = np.zeros(total + 1, np.int64)
     found: dict[int, set] = {}
-    for length, (rows, names) in windows.items():
+    for length, rows, first, ends, items in windows.parts():
         which, start = seg.phrases(rows, length)
         np.add.at(cover, start, 1)
         np.add.at(cover, start + length, -1)
         docs = np.searchsorted(seg.starts, start, side="right") - 1
-        for d, w in set(zip(docs.tolist(), which.tolist(), strict=True)):
-            found.setdefault(d, set()).update(names[w])
+        pairs = np.unique(np.stack([docs, which + first]), axis=1)
+        for d, w in pairs.T.tolist():
+            found.setdefault(d, set()).update(items[ends[w - 1] if w else 0:ends[w]].tolist())
     covered = np.cumsum(cover[:-1]) > 0
     spans = []
     for d in range(len(seg.n_words)):
@@ -231,7 +278,7 @@ def _search(seg: Segment, windows: dict) -> pa.RecordBatch:
         spans.append(edge.tolist())
     return pa.RecordBatch.from_arrays(
         [seg.docs, seg.ths, pa.array(seg.n_words, pa.int64()), pa.array(spans, pa.list_(pa.int64())),
-         pa.array([sorted(found.get(d, ())) for d in range(len(seg.n_words))], pa.list_(pa.string()))],
+         pa.array([sorted(windows.names[i] for i in found.get(d, ())) for d in range(len(seg.n_words))], pa.list_(pa.string()))],
         names=["__id", "__th", "n_words", "spans", "items"])
 
 

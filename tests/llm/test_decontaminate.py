@@ -111,3 +111,36 @@ def test_words_of_matches_the_pattern():
         ids, n = bytewords.words_of(texts, bytewords.NONSPACE, block)
         assert n.tolist() == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
     assert np.unique(bytewords.mix(np.arange(1000, dtype=np.uint64))).size == 1000
+
+
+def test_row_groups_of_the_index_are_bounded(spark, make, monkeypatch):
+    """Spark reads up to 4,096 rows of a row group at once, so a task's segments must not share one."""
+    from pyarrow import parquet
+    monkeypatch.setattr(D, "SEGMENT_BYTES", 2_000)
+    index = D.build_index(make([(i, f"w{i} " * 200, "", "", 0) for i in range(120)], parts=1))
+    groups = [m.row_group(i) for f in index.inputFiles() for m in [parquet.ParquetFile(f.removeprefix("file://")).metadata] for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == index.count() >= 50
+    assert max(g.num_rows for g in groups) <= 4
+
+
+def test_windows_in_small_parts(spark, make, monkeypatch):
+    docs, items = data(7)
+    monkeypatch.setattr(D, "PART_WINDOWS", 7)
+    monkeypatch.setattr(D, "CANDIDATES", 5)
+    check(spark, make, docs, items)
+
+
+def test_windows_of_equal_codes_stay_apart(monkeypatch):
+    """Windows are told apart by their words, whatever their codes."""
+    texts = ["a b c", "b c a d b c", "a b c d", None, "a b c"]
+    for mixed in (D.mix, lambda h: h * np.uint64(0)):
+        monkeypatch.setattr(D, "mix", mixed)
+        got = D.item_windows([1, 2, 3, 4, None], texts, 3)
+        codes = {w: int(bytewords.words_of([w], bytewords.ALNUM)[0][0]) for w in "abcd"}
+        found = {}
+        for _, rows, first, ends, owners in got.parts():
+            for w, row in enumerate(rows.tolist(), first):
+                found.setdefault(tuple(row), set()).update(got.names[i] for i in owners[ends[w - 1] if w else 0:ends[w]])
+        key = lambda s: tuple(codes[c] for c in s)
+        assert found == {key("abc"): {"1", "3", "null"}, key("bca"): {"2"}, key("cad"): {"2"}, key("adb"): {"2"},
+                         key("dbc"): {"2"}, key("bcd"): {"3"}}
