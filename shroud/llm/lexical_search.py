@@ -39,6 +39,8 @@ from .bytewords import ALNUM, words_of
 
 #: Bytes of text of one segment (its lists are some 8 bytes per distinct word of a document).
 SEGMENT_BYTES = 4 << 20
+#: Bytes that a document counts besides its text: a search holds a table of its terms by the segment's documents.
+DOC_BYTES = 512
 #: Bytes of query text sent to the tasks at once.
 QUERY_BYTES = 4 << 20
 #: Postings of each list read in the first round; every round reads twice as many.
@@ -55,7 +57,7 @@ LENGTH_PERCENT = 25
 
 #: The same words as ``bytewords.ALNUM`` after lower-casing A-Z, for counting.
 WORD_RE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-LISTS = "terms array<bigint>, ends array<int>, posting_docs array<int>, impacts array<bigint>"
+LISTS = "terms array<bigint>, ends array<int>, posting_docs array<int>, impacts array<int>"
 
 
 def corpus_size(docs: DataFrame, text_col: str = "text") -> tuple[int, int]:
@@ -84,7 +86,7 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         seg = _Collector(n_docs, n_terms)
         for batch in batches:
             texts, at = batch.column("__text").to_pylist(), 0
-            for part in common.blocks(texts, lambda t: len(t or "")):
+            for part in common.blocks(texts, lambda t: len(t or "") + DOC_BYTES):
                 seg.add(batch.column("__id").slice(at, len(part)), part)
                 at += len(part)
                 if seg.bytes >= SEGMENT_BYTES:
@@ -94,7 +96,7 @@ def build_index(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     index = rows.mapInArrow(common.tidied(run), f"ids array<{id_type}>, {LISTS}")
-    return common.materialize(index, "impact-lists"), n_docs, n_terms
+    return common.materialize_wide(index, "impact-lists"), n_docs, n_terms
 
 
 class _Collector:
@@ -114,11 +116,11 @@ class _Collector:
         words, doc = words[order], doc[order]
         new = np.flatnonzero(np.concatenate([[True], (words[1:] != words[:-1]) | (doc[1:] != doc[:-1])])) if len(words) else np.empty(0, np.int64)
         tf = np.diff(np.append(new, len(words)))
-        impact = impacts_of(tf.astype(np.int64), counts[doc[new]], *self.size)
+        impact = impacts_of(tf.astype(np.int64), counts[doc[new]], *self.size).astype(np.int32)  # at most UNIT / TF_SCALE
         self.parts.append((words[new], (doc[new] + self.docs).astype(np.int32), impact))
         self.ids.append(ids)
         self.docs += len(texts)
-        self.bytes += sum(len(t or "") for t in texts)
+        self.bytes += sum(len(t or "") + DOC_BYTES for t in texts)
 
     def row(self) -> pa.RecordBatch:
         terms, docs, impact = (np.concatenate(x) for x in zip(*self.parts, strict=True))
@@ -164,7 +166,7 @@ class Segment:
         self.terms = _list(batch, "terms", i).to_numpy().view(np.uint64)
         self.ends = _list(batch, "ends", i).to_numpy().astype(np.int64)
         self.docs = _list(batch, "posting_docs", i).to_numpy()
-        self.impacts = _list(batch, "impacts", i).to_numpy()
+        self.impacts = _list(batch, "impacts", i).to_numpy().astype(np.int64)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
         """Documents (places in the segment) and final scores of all that may belong to

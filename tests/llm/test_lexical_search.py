@@ -96,3 +96,14 @@ def test_reads_stop_early():
 def test_string_ids_and_null_ids():
     keep = L._best(np.array([5, 7, 7, 7]), np.array(["z", "b", None, "a"], object), 3)
     assert keep.tolist() == [2, 3, 1]
+
+
+def test_segments_and_row_groups_are_bounded(spark, make, monkeypatch):
+    """Documents without text fill a segment too, and a task's segments don't share one row group."""
+    from pyarrow import parquet
+    monkeypatch.setattr(L, "SEGMENT_BYTES", 1 << 18)
+    docs = [(i, f"w{i} x{i} y") for i in range(9_000)] + [(10_000 + i, None) for i in range(3_000)]
+    index, _, _ = L.build_index(make([(i, t, "", "", 0) for i, t in docs], parts=1))
+    assert max(r[0] for r in index.selectExpr("size(ids)").collect()) <= 2_048
+    groups = [m.row_group(i) for f in index.inputFiles() for m in [parquet.ParquetFile(f.removeprefix("file://")).metadata] for i in range(m.num_row_groups)]
+    assert len(groups) > 1 and max(g.num_rows for g in groups) <= 4
