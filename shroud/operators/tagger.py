@@ -9,11 +9,11 @@ decisions, a lexicon); ``scorer_spec`` turns the model into a scorer for ``detec
   whether it touches the token before) of itself and of both neighbours, plus the
   score of staying inside a span.  Words are scored once per run of texts; only lines where some token
   could leave O are decoded, those of like length together.  Memory is bounded by the run; a line is never cut.
-* Fitting is iterative parameter mixing: the sample is dealt over shards by content hash,
-  every shard trains one epoch from the mixed weights in its own task, weights are averaged; the model
-  is the last epoch's mix of the shards' running means.
-  The sample is bounded by documented parameters: ``max_marked`` lines with a span and ``max_plain``
-  without, smallest hashes first, no line over ``max_chars``.  Equal input gives an equal model.
+* Fitting is iterative parameter mixing over all distinct lines, marked or not: they are dealt over shards by content hash
+  (one per ``SHARD_CHARS`` characters, ``shards`` at least), tokenised once and stored as word numbers.  Every shard trains
+  one epoch from the mixed weights in its own task; what it changed is averaged over the shards by parts of the model;
+  the model is the last epoch's mix of the shards' running means.  Equal input gives an equal model.
+  A caller may bound the lines (``max_marked``, ``max_plain``, ``max_chars``); by default nothing is left out.
 
 Defined results: null and empty texts have no spans; findings that overlap are merged by
 ``merge`` before fitting (of several on one token the first counts); repeated lines count
@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import sys
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,10 +46,15 @@ DIM = 1 << 14
 CELLS = 1 << 16
 #: Characters of text tagged at once.
 RUN_CHARS = 1 << 19
-#: Lines decoded together while fitting.
-GROUP = 32
+#: Lines looked at together while fitting (fewer if they have ``CELLS`` tokens).
+GROUP = 512
+#: Characters of the lines of one shard, on average.
+SHARD_CHARS = 8 << 20
+#: Features whose weights are averaged together.
+PART = 256
 FORBIDDEN = -1e9
 EDGE = "\x02"
+N_FEATURES = 5
 LINE_DDL = "line string, starts array<int>, ends array<int>, entities array<string>"
 
 
@@ -282,43 +289,110 @@ def _gold(places, starts, ends, entities, labels) -> np.ndarray:
     return out
 
 
-def train_epoch(rows: list, labels: tuple, weights: np.ndarray, moves: np.ndarray):
-    """One pass over ``(line, starts, ends, entities)`` rows: the last and the averaged weights and moves.
+class Shard:
+    """Lines as word numbers: an edge (word 0) before, between and behind them; tags of the marked lines."""
 
-    Lines are decoded in groups; only one that its group's first weights get wrong is decoded by
+    COLUMNS = {"ids": np.uint32, "lengths": np.int32, "features": np.uint16, "marked": np.int32, "tags": np.int16}
+    DDL = ", ".join(f"{c} binary" for c in COLUMNS)
+
+    def __init__(self, parts: dict):
+        self.ids, self.lengths, features, marked, tags = (np.frombuffer(parts[c], t) for c, t in self.COLUMNS.items())
+        self.features = features.reshape(-1, N_FEATURES)
+        self.first = 1 + np.cumsum(self.lengths + 1, dtype=np.int64) - (self.lengths + 1)
+        self.gold = dict(zip(marked.tolist(), np.split(tags, np.cumsum(self.lengths[marked])[:-1]), strict=True)) if len(marked) else {}
+
+    @classmethod
+    def pack(cls, rows, labels: tuple, dim: int = DIM) -> dict:
+        """``(line, starts, ends, entities)`` rows; lines without a token are left out."""
+        token, words = _token_re(), {EDGE: 0}
+        ids, lengths, marked, tags = [np.zeros(1, np.uint32)], [], [], []
+        for line, starts, ends, entities in rows:
+            found = words_of(line, token)
+            if not found:
+                continue
+            if len(starts):
+                gold = _gold(places_of(line, token), starts, ends, entities, labels)
+                if gold.any():
+                    marked.append(len(lengths))
+                    tags.append(gold)
+            ids.append(np.fromiter((words.setdefault(w, len(words)) for w in found), np.uint32, len(found)))
+            ids.append(ids[0])
+            lengths.append(len(found))
+        features = np.fromiter((f for w in words for f in _features(w, dim)), np.uint16, len(words) * N_FEATURES)
+        parts = (np.concatenate(ids), lengths, features, marked, np.concatenate(tags) if tags else [])
+        return {c: np.asarray(x, t).tobytes() for (c, t), x in zip(cls.COLUMNS.items(), parts, strict=True)}
+
+    def groups(self):
+        """Ranges of lines of at most ``GROUP`` lines and ``CELLS`` tokens (a longer line stands alone)."""
+        a, ends = 0, np.cumsum(self.lengths, dtype=np.int64)
+        while a < len(ends):
+            done = int(ends[a - 1]) if a else 0
+            b = min(a + GROUP, max(a + 1, int(np.searchsorted(ends, done + CELLS, side="right"))))
+            yield a, b
+            a = b
+
+    def line(self, i: int) -> np.ndarray:
+        """Word numbers with an edge on both sides."""
+        return self.ids[self.first[i] - 1:self.first[i] + self.lengths[i] + 1]
+
+
+def _wrong(shard: Shard, a: int, b: int, weights: np.ndarray, moves: np.ndarray) -> list[int]:
+    """Lines ``a`` to ``b`` whose best path is not the right one."""
+    used, flat = np.unique(shard.ids[shard.first[a] - 1:shard.first[b - 1] + shard.lengths[b - 1] + 1], return_inverse=True)
+    scores = weights[:, shard.features[used]].sum(axis=2)
+    # a line in which no token can leave O has O throughout as its best path
+    gain = np.zeros(scores.shape[2], np.float32)
+    gain[2::2] = np.maximum(moves.max(axis=0), 0)
+    emit = scores[0, flat[:-2]] + scores[1, flat[1:-1]] + scores[2, flat[2:]]
+    lead = (emit[:, 1:] + gain[1:]).max(axis=1) > emit[:, 0]
+    start = shard.first[a:b] - shard.first[a]
+    lead[start[1:] - 1] = False  # edges
+    free = np.logical_or.reduceat(lead, start)
+    rows = [i for i in range(a, b) if free[i - a] or i in shard.gold]
+    out = []
+    for run in _by_length(rows, shard.lengths):
+        n = shard.lengths[run]
+        padded = np.full((len(run), n.max()), -1, np.int64)
+        for r, i in enumerate(run):
+            padded[r, :n[r]] = np.arange(start[i - a], start[i - a] + n[r])
+        tags = viterbi(emit[padded], n, moves)
+        out += [i for r, i in enumerate(run) if (tags[r, :n[r]] != shard.gold.get(i, 0)).any()]
+    return sorted(out)
+
+
+def _by_length(rows: list[int], lengths: np.ndarray):
+    """Rows in order of length, in runs of at most ``CELLS`` cells (a longer line stands alone)."""
+    run: list[int] = []
+    for i in sorted(rows, key=lambda i: (lengths[i], i)):
+        if run and (len(run) + 1) * lengths[i] > CELLS:
+            yield run
+            run = []
+        run.append(i)
+    if run:
+        yield run
+
+
+def train_epoch(shard: Shard, weights: np.ndarray, moves: np.ndarray):
+    """One pass over a shard's lines: the last and the averaged weights and moves.
+
+    Lines are looked at in groups; only one that its group's first weights get wrong is decoded by
     itself, and if it is still wrong, it moves the weights just so far that the right path leads by
     one per wrong token (a step of at most 1 per feature)."""
-    token = _token_re()
-    cut = [(words_of(r[0], token), places_of(r[0], token)) for r in rows]
-    gold = [_gold(p, *r[1:], labels) for (_, p), r in zip(cut, rows, strict=True)]
-    lines = _Lines([w for w, _ in cut], weights.shape[1])
     weights, moves = weights.copy(), moves.copy()
-    late_w, late_m, steps = np.zeros_like(weights), np.zeros_like(moves), 0
-    full = [i for i, g in enumerate(gold) if len(g)]
-
-    def decode(which):
-        padded, lengths = lines.windows(which)
-        used, back = np.unique(padded, return_inverse=True)
-        emit = emissions(weights[:, lines.features[used]].sum(axis=2), back.reshape(padded.shape))
-        return padded, viterbi(emit, lengths, moves)
-
-    def suspects():
-        """Lines in order that the weights at the beginning of their group get wrong."""
-        for b in range(0, len(full), GROUP):
-            group = full[b:b + GROUP]
-            _, tags = decode(group)
-            yield from ((i if (tags[r, :len(gold[i])] != gold[i]).any() else None) for r, i in enumerate(group))
-
-    for i in suspects():
-        steps += 1
-        if i is None:
-            continue
-        want = gold[i]
-        padded, got = decode([i])
-        got = got[0]
-        wrong = np.flatnonzero(want != got)
-        if len(wrong):
-            change, change_m = _difference(lines.features[padded[0]], want, got, wrong, weights.shape)
+    late_w, late_m, steps = np.zeros_like(weights), np.zeros_like(moves), len(shard.lengths)
+    for a, b in shard.groups():
+        for i in _wrong(shard, a, b, weights, moves):
+            padded = shard.line(i)
+            want = shard.gold.get(i)
+            if want is None:
+                want = np.zeros(len(padded) - 2, np.int16)
+            used, back = np.unique(padded, return_inverse=True)
+            emit = emissions(weights[:, shard.features[used]].sum(axis=2), back[None, :])
+            got = viterbi(emit, np.array([len(want)]), moves)[0]
+            wrong = np.flatnonzero(want != got)
+            if not len(wrong):
+                continue
+            change, change_m = _difference(shard.features[padded], want, got, wrong, weights.shape)
             at, by = change
             lead = float((weights.reshape(-1)[at] * by).sum() + (moves * change_m).sum())
             norm = float((by ** 2).sum() + (change_m ** 2).sum())
@@ -326,9 +400,9 @@ def train_epoch(rows: list, labels: tuple, weights: np.ndarray, moves: np.ndarra
                 continue
             step = min(1.0, (len(wrong) - lead) / norm)
             weights.reshape(-1)[at] += step * by
-            late_w.reshape(-1)[at] += steps * step * by
+            late_w.reshape(-1)[at] += (i + 1) * step * by
             moves += step * change_m
-            late_m += steps * step * change_m
+            late_m += (i + 1) * step * change_m
     return weights, moves, weights - late_w / max(steps, 1), moves - late_m / max(steps, 1)
 
 
@@ -374,47 +448,103 @@ def _smallest(max_marked: int, max_plain: int):
     return run
 
 
+def _stored(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Written once below the shared folder and read back."""
+    path = f"{checkpoint_root(df.sparkSession)}/tagger/{label}-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.options(**options).parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def fit(df: DataFrame, text_col: str = "text", findings_col: str = "findings", labels: tuple | None = None, *,
-        max_marked: int = 2000, max_plain: int = 2000, max_chars: int = 4096, shards: int = 4, epochs: int = 6) -> TaggerModel:
-    """A model of the findings of ``df`` (see the module for the bounds and the method).
+        max_marked: int | None = None, max_plain: int | None = None, max_chars: int | None = None,
+        shards: int = 4, epochs: int = 6) -> TaggerModel:
+    """A model of the findings of ``df`` (see the module for the method), learnt from all its lines.
 
     ``labels`` names the entities to learn (their number sets the model's size); by default
-    those of the sampled lines, in order."""
-    lines = labelled_lines(df, text_col, findings_col).where(F.length("line") <= max_chars)
+    those of the lines, in order.  ``max_marked`` lines with a span and ``max_plain`` without, of smallest
+    hash, and lines up to ``max_chars`` are what a caller may restrict it to."""
+    lines = labelled_lines(df, text_col, findings_col)
+    if max_chars is not None:
+        lines = lines.where(F.length("line") <= max_chars)
     lines = lines.withColumn("h", F.xxhash64("line", "starts", "ends", "entities"))
-    checkpoint_root(df.sparkSession)
-    # one pass over the texts: every task sends its own smallest lines, among which those of the whole table are
-    near = lines.mapInArrow(_smallest(max_marked, max_plain), f"{LINE_DDL}, h long").checkpoint().dropDuplicates(["h", "line"])
-    pick = lambda marked, n: near.where((F.size("starts") > 0) == marked).orderBy("h", "line").limit(n)
-    sample = pick(True, max_marked).unionAll(pick(False, max_plain)).withColumn("shard", F.expr(f"cast(pmod(h, {shards}) as int)"))
-    sample = sample.checkpoint()
+    if max_marked is None and max_plain is None:
+        lines = lines.dropDuplicates(["h", "line"])
+    else:
+        # every task sends its own smallest lines, among which those of the whole table are
+        cut = _smallest(*(sys.maxsize if n is None else n for n in (max_marked, max_plain)))
+        near = _stored(lines.mapInArrow(cut, f"{LINE_DDL}, h long"), "near").dropDuplicates(["h", "line"])
+        pick = lambda marked, n: (lambda x: x if n is None else x.orderBy("h", "line").limit(n))(near.where((F.size("starts") > 0) == marked))
+        lines = pick(True, max_marked).unionAll(pick(False, max_plain))
+    lines = _stored(lines, "lines")
     if labels is None:
-        labels = tuple(r[0] for r in sample.select(F.explode("entities").alias("e")).distinct().orderBy("e").collect())
+        labels = tuple(r[0] for r in lines.select(F.explode("entities").alias("e")).distinct().orderBy("e").collect())
     n = 2 * len(labels) + 1
     weights, moves = np.zeros((3, DIM, n), np.float32), np.zeros((2, len(labels)), np.float32)
     final = weights, moves
-    for _ in range(epochs if labels else 0):
-        parts = _epoch(sample, shards, labels, weights, moves)
-        if not parts:
-            break
-        mixed = [np.mean([p[i] for p in parts], axis=0, dtype=np.float32) for i in range(4)]
-        weights, moves, final = mixed[0], mixed[1], (mixed[2], mixed[3])
+    if labels:
+        shards = max(shards, -(-(lines.agg(F.sum(F.length("line"))).first()[0] or 0) // SHARD_CHARS))
+        packed = _packed(lines, shards, labels)
+        for _ in range(epochs):
+            mixed = _epoch(packed, weights, moves)
+            if mixed is None:
+                break
+            weights, moves, final = mixed[0], mixed[1], (mixed[2], mixed[3])
     return TaggerModel(labels, *final)
 
 
-def _epoch(sample: DataFrame, shards: int, labels: tuple, weights: np.ndarray, moves: np.ndarray) -> list:
-    """The shards' results in order; a result has the size of the model, whatever the data."""
-    shapes = (weights.shape, moves.shape)
-    shared = sample.sparkSession.sparkContext.broadcast((weights, moves))
-
-    def train(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+def _packed(lines: DataFrame, shards: int, labels: tuple) -> DataFrame:
+    """One row per shard: its lines in order of ``(h, line)`` as a :class:`Shard`."""
+    def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["h", "line"])
-        rows = [(x.line, list(x.starts), list(x.ends), list(x.entities)) for x in frame.itertuples()]
-        parts = train_epoch(rows, labels, *shared.value)
-        return pd.DataFrame([(key[0], *[p.astype(np.float32).tobytes() for p in parts])], columns=["shard", "w", "m", "aw", "am"])
+        rows = zip(frame["line"], frame["starts"], frame["ends"], frame["entities"], strict=True)
+        return pd.DataFrame([{"shard": key[0], **Shard.pack(rows, labels)}])
 
     # a partition count of its own: the shards are small in bytes and would be put into one task
-    done = sample.repartition(shards, "shard").groupBy("shard").applyInPandas(
-        train, "shard int, w binary, m binary, aw binary, am binary").collect()
+    dealt = lines.withColumn("shard", F.expr(f"cast(pmod(h, {shards}) as int)")).repartition(shards, "shard")
+    return _stored(dealt.groupBy("shard").applyInPandas(pack, f"shard int, {Shard.DDL}"), "shards",
+                   **{"parquet.block.row.count.limit": "1"})  # Spark reads up to 4,096 rows of a row group at once
+
+
+def _epoch(packed: DataFrame, weights: np.ndarray, moves: np.ndarray) -> list | None:
+    """The mean over the shards of the last and averaged weights and moves; what comes back has the size of the model."""
+    shared = packed.sparkSession.sparkContext.broadcast((weights, moves))
+    size = PART * weights.shape[2]
+    n_parts = 3 * weights.shape[1] // PART
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        old = np.concatenate([x.reshape(-1) for x in shared.value])
+        for batch in batches:
+            for row in range(batch.num_rows):
+                w, m, aw, am = train_epoch(Shard({c: batch.column(c)[row].as_py() for c in Shard.COLUMNS}), *shared.value)
+                last, mean = (np.concatenate([x.reshape(-1), y.reshape(-1)]).astype(np.float32) - old for x, y in ((w, m), (aw, am)))
+                at = np.flatnonzero((last != 0) | (mean != 0))
+                # the parts that changed; the moves are behind the weights, in a part of their own
+                part, first = np.unique(np.minimum(at // size, n_parts), return_index=True)
+                cut = lambda x: [c.tobytes() for c in np.split(x, first[1:])] if len(at) else []  # noqa: E731,B023
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([-1, *part.tolist()], pa.int32()), pa.array([batch.column("shard")[row].as_py()] * (len(part) + 1), pa.int32()),
+                     *(pa.array([b"", *cut(x)], pa.binary()) for x in (at, last[at], mean[at]))],
+                    names=["part", "shard", "at", "last", "mean"])
+
+    def add(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        """Sums of a part's changes in order of the shards (the sum doesn't hang on the order of tasks)."""
+        if key[0] < 0:
+            return pd.DataFrame([(key[0], len(frame), b"", b"", b"")], columns=["part", "n", "at", "last", "mean"])
+        frame = frame.sort_values("shard")
+        at, back = np.unique(np.concatenate([np.frombuffer(x, np.int64) for x in frame["at"]]), return_inverse=True)
+        sums = [np.bincount(back, np.concatenate([np.frombuffer(x, np.float32) for x in frame[c]]), len(at)) for c in ("last", "mean")]
+        return pd.DataFrame([(key[0], len(frame), at.tobytes(), *(x.tobytes() for x in sums))], columns=["part", "n", "at", "last", "mean"])
+
+    done = packed.mapInArrow(train, "part int, shard int, at binary, last binary, mean binary").groupBy("part").applyInPandas(
+        add, "part int, n int, at binary, last binary, mean binary").collect()
     shared.unpersist()
-    return [[np.frombuffer(r[c], np.float32).reshape(shapes[c in ("m", "am")]) for c in ("w", "m", "aw", "am")] for r in sorted(done, key=lambda r: r.shard)]
+    count = sum(r["n"] for r in done if r["part"] < 0)
+    if not count:
+        return None
+    new = [np.concatenate([weights.reshape(-1), moves.reshape(-1)]) for _ in range(2)]
+    for r in done:
+        at = np.frombuffer(r["at"], np.int64)
+        for x, c in zip(new, ("last", "mean"), strict=True):
+            x[at] += (np.frombuffer(r[c], np.float64) / count).astype(np.float32)
+    return [y for x in new for y in (x[:weights.size].reshape(weights.shape), x[weights.size:].reshape(moves.shape))]
