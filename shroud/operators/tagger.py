@@ -7,8 +7,8 @@ decisions, a lexicon); ``scorer_spec`` turns the model into a scorer for ``detec
   sign.  Tags are O, B-x and I-x for every label x; I-x stands only behind B-x or I-x.
 * A token's score per tag is the sum of hashed features (word, shape, prefix, suffix, and
   whether it touches the token before) of itself and of both neighbours, plus the
-  score of staying inside a span.  Words are scored once per run of texts; only lines where some token
-  could leave O are decoded, those of like length together.  Memory is bounded by the run; a line is never cut.
+  score of staying inside a span.  Words are scored once per run of texts; only lines where some span
+  could lead over O are decoded, those of like length together.  Memory is bounded by the run; a line is never cut.
 * Fitting is iterative parameter mixing over all distinct lines, marked or not: they are dealt over shards by content hash
   (one per ``SHARD_CHARS`` characters, ``shards`` at least), tokenised once and stored as word numbers.  Every shard trains
   one epoch from the mixed weights in its own task; what it changed is averaged over the shards by parts of the model;
@@ -47,12 +47,14 @@ CELLS = 1 << 16
 #: Characters of text tagged at once.
 RUN_CHARS = 1 << 19
 #: Lines looked at together while fitting (fewer if they have ``CELLS`` tokens).
-GROUP = 512
+GROUP = 1024
 #: Characters of the lines of one shard, on average.
 SHARD_CHARS = 8 << 20
 #: Features whose weights are averaged together.
 PART = 256
 FORBIDDEN = -1e9
+#: More than a line's tokens can lead by together.
+FAR = 1e7
 EDGE = "\x02"
 N_FEATURES = 5
 LINE_DDL = "line string, starts array<int>, ends array<int>, entities array<string>"
@@ -100,6 +102,15 @@ def _features(word: str, dim: int) -> tuple[int, ...]:
     return tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) % dim for p in parts)
 
 
+def word_scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """(neighbour, word, tag): sums over the words' features; a feature's weights are read in one piece."""
+    by_feature = np.ascontiguousarray(weights.transpose(1, 0, 2)).reshape(weights.shape[1], -1)
+    out = by_feature[features[:, 0]]
+    for k in range(1, features.shape[1]):
+        out += by_feature[features[:, k]]
+    return out.reshape(len(features), len(weights), -1).transpose(1, 0, 2)
+
+
 class _Lines:
     """Tokenised lines with the features of their distinct words."""
 
@@ -118,7 +129,7 @@ class _Lines:
 
     def scores(self, weights: np.ndarray) -> np.ndarray:
         """(neighbour, word, tag)"""
-        return weights[:, self.features].sum(axis=2)
+        return word_scores(weights, self.features)
 
 
 def emissions(scores: np.ndarray, padded: np.ndarray) -> np.ndarray:
@@ -152,6 +163,39 @@ def viterbi(emit: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> np.ndar
     return out
 
 
+def may_leave_o(emit: np.ndarray, moves: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of lines whose tokens stand behind one another in ``emit`` (others between them don't count): True where
+    some span may lead over O.  The best path of all others is O throughout.
+
+    ``lead`` of a span that ends at a token is that of B-x where it begins and of I-x, with its better move, behind it;
+    the best of them is a running sum and a running maximum, begun anew by a step of ``-FAR`` into each line."""
+    begin = emit[:, 1::2] - emit[:, :1]
+    step = (emit[:, 2::2] - emit[:, :1] + moves.max(axis=0)).astype(np.float64)
+    step[starts] = -FAR
+    outside = np.ones(len(emit), bool)
+    outside[_ranges(starts, ends)] = False
+    begin[outside], step[outside] = FORBIDDEN, 0
+    np.cumsum(step, axis=0, out=step)
+    lead = np.maximum.accumulate(begin - step, axis=0)
+    lead += step
+    return np.logical_or.reduceat((lead > -0.01).any(axis=1) & ~outside, starts)
+
+
+def _groups(lengths: np.ndarray, most: int):
+    """Ranges of lines of at most ``most`` lines and ``CELLS`` tokens (a longer line stands alone)."""
+    a, ends = 0, np.cumsum(lengths, dtype=np.int64)
+    while a < len(ends):
+        done = int(ends[a - 1]) if a else 0
+        b = min(a + most, max(a + 1, int(np.searchsorted(ends, done + CELLS, side="right"))))
+        yield a, b
+        a = b
+
+
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    n = ends - starts
+    return np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def _runs(lines: _Lines, which):
     """The lines of ``which`` in order of length, in runs of at most ``CELLS`` cells (a longer line stands alone)."""
     order = sorted((int(i) for i in which), key=lambda i: len(lines.rows[i]))
@@ -213,19 +257,18 @@ class TaggerScorer:
         return [sorted(spans) for spans in out]
 
     def _marked(self, lines, scores) -> np.ndarray:
-        """Lines with a token that some other tag than O could win; the best path of all others is O throughout."""
+        """Lines with a span that may lead over O; the best path of all others is O throughout."""
         n = np.array([len(r) for r in lines.rows])
         flat = np.zeros(n.sum() + len(n) + 1, np.int64)              # an edge before, between and behind the lines
-        at = np.delete(np.arange(1, len(flat)), np.cumsum(n + 1) - 1)
-        flat[at] = np.concatenate(lines.rows)
-        gain = np.zeros(scores.shape[2], np.float32)
-        gain[2::2] = np.maximum(self.model.moves.max(axis=0), 0)
-        lead = np.zeros(len(at), bool)
-        for b in range(0, len(at), CELLS):
-            a = at[b:b + CELLS]
-            emit = scores[0, flat[a - 1]] + scores[1, flat[a]] + scores[2, flat[a + 1]]
-            lead[b:b + CELLS] = ((emit + gain)[:, 1:] > emit[:, :1]).any(axis=1)
-        return np.flatnonzero(np.logical_or.reduceat(lead, np.concatenate([[0], np.cumsum(n)[:-1]])))
+        first = np.cumsum(n + 1) - n
+        flat[_ranges(first, first + n)] = np.concatenate(lines.rows)
+        out = np.zeros(len(n), bool)
+        for a, b in _groups(n, len(n)):
+            at = flat[first[a] - 1:first[b - 1] + n[b - 1] + 1]
+            emit = scores[0, at[:-2]] + scores[1, at[1:-1]] + scores[2, at[2:]]
+            start = first[a:b] - first[a]
+            out[a:b] = may_leave_o(emit, self.model.moves, start, start + n[a:b])
+        return np.flatnonzero(out)
 
     def _spans(self, tags, emit, places, at):
         spans, i = [], 0
@@ -322,15 +365,6 @@ class Shard:
         parts = (np.concatenate(ids), lengths, features, marked, np.concatenate(tags) if tags else [])
         return {c: np.asarray(x, t).tobytes() for (c, t), x in zip(cls.COLUMNS.items(), parts, strict=True)}
 
-    def groups(self):
-        """Ranges of lines of at most ``GROUP`` lines and ``CELLS`` tokens (a longer line stands alone)."""
-        a, ends = 0, np.cumsum(self.lengths, dtype=np.int64)
-        while a < len(ends):
-            done = int(ends[a - 1]) if a else 0
-            b = min(a + GROUP, max(a + 1, int(np.searchsorted(ends, done + CELLS, side="right"))))
-            yield a, b
-            a = b
-
     def line(self, i: int) -> np.ndarray:
         """Word numbers with an edge on both sides."""
         return self.ids[self.first[i] - 1:self.first[i] + self.lengths[i] + 1]
@@ -339,15 +373,10 @@ class Shard:
 def _wrong(shard: Shard, a: int, b: int, weights: np.ndarray, moves: np.ndarray) -> list[int]:
     """Lines ``a`` to ``b`` whose best path is not the right one."""
     used, flat = np.unique(shard.ids[shard.first[a] - 1:shard.first[b - 1] + shard.lengths[b - 1] + 1], return_inverse=True)
-    scores = weights[:, shard.features[used]].sum(axis=2)
-    # a line in which no token can leave O has O throughout as its best path
-    gain = np.zeros(scores.shape[2], np.float32)
-    gain[2::2] = np.maximum(moves.max(axis=0), 0)
+    scores = word_scores(weights, shard.features[used])
     emit = scores[0, flat[:-2]] + scores[1, flat[1:-1]] + scores[2, flat[2:]]
-    lead = (emit[:, 1:] + gain[1:]).max(axis=1) > emit[:, 0]
     start = shard.first[a:b] - shard.first[a]
-    lead[start[1:] - 1] = False  # edges
-    free = np.logical_or.reduceat(lead, start)
+    free = may_leave_o(emit, moves, start, start + shard.lengths[a:b])
     rows = [i for i in range(a, b) if free[i - a] or i in shard.gold]
     out = []
     for run in _by_length(rows, shard.lengths):
@@ -380,7 +409,7 @@ def train_epoch(shard: Shard, weights: np.ndarray, moves: np.ndarray):
     one per wrong token (a step of at most 1 per feature)."""
     weights, moves = weights.copy(), moves.copy()
     late_w, late_m, steps = np.zeros_like(weights), np.zeros_like(moves), len(shard.lengths)
-    for a, b in shard.groups():
+    for a, b in _groups(shard.lengths, GROUP):
         for i in _wrong(shard, a, b, weights, moves):
             padded = shard.line(i)
             want = shard.gold.get(i)

@@ -225,10 +225,9 @@ def test_wrong_lines_are_those_whose_best_path_differs(monkeypatch):
         gold = T._gold(T.places_of(line, token), *spans, labels)
         if (T.viterbi(T.emissions(lines.scores(weights), padded), lengths, moves)[0] != gold).any():
             want.append(i)
-    monkeypatch.setattr(T, "GROUP", 30)
     for cells in (1 << 16, 100):
         monkeypatch.setattr(T, "CELLS", cells)
-        groups = list(shard.groups())
+        groups = list(T._groups(shard.lengths, 30))
         assert [a for a, _ in groups] == [0, *(b for _, b in groups[:-1])] and groups[-1][1] == 201
         assert [i for a, b in groups for i in T._wrong(shard, a, b, weights, moves)] == want
     assert 0 < len(want) < 201
